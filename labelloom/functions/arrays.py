@@ -5,6 +5,11 @@ from pyspark.sql import Column, functions as F
 
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once per row, however often the body uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def empty_strings() -> Column:
     return F.expr("cast(array() as array<string>)")
 

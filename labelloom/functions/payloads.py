@@ -3,7 +3,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from .text import strip, BLANK
+from .arrays import let
+from .text import strip
 
 PREDICTION = "array<struct<title:string,score:double>>"
 
@@ -18,7 +19,10 @@ def _kind(v: Column) -> Column:
 
 def parse_occupations(c: Column) -> Column:
     """Blank -> []; JSON list -> titles or plain strings; other JSON -> []; anything else is split on '|'."""
-    v = _variant(c)
+    return let(_variant(c), lambda v: _occupations(c, v))
+
+
+def _occupations(c: Column, v: Column) -> Column:
     items = F.try_variant_get(v, "$", "array<variant>")
     names = F.transform(items, lambda x: F.when(
         _kind(x).startswith("OBJECT"), F.try_variant_get(x, "$.title", "string"))
@@ -57,16 +61,18 @@ def extract_json(c: Column) -> Column:
 
 def response_groups(c: Column) -> Column:
     """``{"groups": [{"labels": [...]}]}`` inside an answer -> array<array<string>>; null when unusable."""
-    v = _variant(extract_json(c))
+    return let(_variant(extract_json(c)), _groups)
+
+
+def _groups(v: Column) -> Column:
     groups = F.try_variant_get(v, "$.groups", "array<variant>")
-    labels = F.transform(
+    return F.transform(
         F.filter(groups, lambda g: _kind(g).startswith("OBJECT")),
         lambda g: F.filter(
             F.transform(F.coalesce(F.try_variant_get(g, "$.labels", "array<variant>"),
                                    F.expr("cast(array() as array<variant>)")),
                         lambda x: F.when(_kind(x) == "STRING", F.try_variant_get(x, "$", "string"))),
             lambda s: s.isNotNull()))
-    return labels
 
 
 def _pairs(items: Column, *names: str) -> Column:
@@ -79,8 +85,10 @@ def _pairs(items: Column, *names: str) -> Column:
 
 def parse_predictions_json(payload: Column) -> Column:
     """Four known payload shapes -> array of (title, score)."""
-    v = _variant(payload)
+    return let(_variant(payload), _predictions)
+
 
+def _predictions(v: Column) -> Column:
     def at(path):
         return F.try_variant_get(v, path, "array<variant>")
 

@@ -10,6 +10,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..functions.arrays import let
 from ..functions.scalars import one_row
 from ..functions.text import word_count
 from ..functions.vectors import constant_vector, dot
@@ -118,38 +119,37 @@ def classify_rules(label: Column, description: Column) -> Column:
     return out
 
 
+def _weighted(low: Column, n: Column, c: Category) -> Column:
+    """Score of one category, null below its threshold. ``low``: lower-cased text, ``n``: its words."""
+    weight = TYPE_WEIGHTS.get(c.code[:1], OTHER_WEIGHT)
+    raw = _sum([F.when(F.contains(low, F.lit(k)), len(k.split()) * weight).otherwise(0.0) for k in c.keywords]) if c.keywords else F.lit(0.0)
+    limit = TYPE_THRESHOLDS.get(c.code[:1], OTHER_THRESHOLD)
+    return F.when((n > 0) & (raw > 0) & (raw / n >= limit), raw / n)
+
+
 def score_keywords_weighted(text: Column, cats: list[Category]) -> Column:
     """Array of (code, ord, score), best first: hits x words x type weight / words of the text."""
-    low, n = F.lower(text), word_count(text)
-    entries = []
-    for c in cats:
-        weight = TYPE_WEIGHTS.get(c.code[:1], OTHER_WEIGHT)
-        raw = _sum([F.when(F.contains(low, F.lit(k)), len(k.split()) * weight).otherwise(0.0) for k in c.keywords])
-        limit = TYPE_THRESHOLDS.get(c.code[:1], OTHER_THRESHOLD)
-        score = raw / n
-        entries.append(F.when((n > 0) & (raw > 0) & (score >= limit), F.struct(
-            (-score).alias("k"), F.lit(c.ord).alias("ord"), F.lit(c.code).alias("code"))))
-    kept = F.array_sort(F.filter(F.array(*entries), lambda e: e.isNotNull()))
-    return F.transform(kept, lambda e: F.struct(e.code.alias("code"), e.ord.alias("ord"), (-e.k).alias("score")))
+    def rank(t):
+        entries = F.array(*[F.struct((-_weighted(t.low, t.n, c)).alias("k"), F.lit(c.ord).alias("ord"), F.lit(c.code).alias("code")) for c in cats])
+        kept = F.array_sort(F.filter(entries, lambda e: e.k.isNotNull()))
+        return F.transform(kept, lambda e: F.struct(e.code.alias("code"), e.ord.alias("ord"), (-e.k).alias("score")))
+    return let(F.struct(F.lower(text).alias("low"), word_count(text).alias("n")), rank)
 
 
 def combine_scores(query: Column, label_text: Column, cats: list[Category]) -> Column:
     """Query score + 3 x label score per category, best first, with the contributing sources."""
-    q, l = score_keywords_weighted(query, cats), score_keywords_weighted(label_text, cats)
-
-    def of(scores, code):
-        return F.get(F.filter(scores, lambda e: e.code == code), F.lit(0)).score
-
-    entries = []
-    for c in cats:
-        a, b = of(q, c.code), of(l, c.code)
-        total = F.coalesce(a, F.lit(0.0)) + 3 * F.coalesce(b, F.lit(0.0))
-        sources = F.concat_ws("+", F.when(a.isNotNull(), "query"), F.when(b.isNotNull(), "labels"))
-        entries.append(F.when(a.isNotNull() | b.isNotNull(), F.struct(
-            (-total).alias("k"), F.lit(c.ord).alias("ord"), F.lit(c.code).alias("code"), sources.alias("sources"))))
-    kept = F.array_sort(F.filter(F.array(*entries), lambda e: e.isNotNull()))
-    return F.transform(kept, lambda e: F.struct(e.code.alias("code"), e.ord.alias("ord"),
-                                                (-e.k).alias("score"), e.sources.alias("sources")))
+    def entry(t, c):
+        def total(x):
+            score = F.coalesce(x.a, F.lit(0.0)) + 3 * F.coalesce(x.b, F.lit(0.0))
+            return F.struct(F.when(x.a.isNotNull() | x.b.isNotNull(), -score).alias("k"), F.lit(c.ord).alias("ord"), F.lit(c.code).alias("code"),
+                            F.concat_ws("+", F.when(x.a.isNotNull(), "query"), F.when(x.b.isNotNull(), "labels")).alias("sources"))
+        return let(F.struct(_weighted(t.q, t.qn, c).alias("a"), _weighted(t.l, t.ln, c).alias("b")), total)
+
+    def rank(t):
+        kept = F.array_sort(F.filter(F.array(*[entry(t, c) for c in cats]), lambda e: e.k.isNotNull()))
+        return F.transform(kept, lambda e: F.struct(e.code.alias("code"), e.ord.alias("ord"), (-e.k).alias("score"), e.sources.alias("sources")))
+
+    return let(F.struct(F.lower(query).alias("q"), word_count(query).alias("qn"), F.lower(label_text).alias("l"), word_count(label_text).alias("ln")), rank)
 
 
 def category_distribution(scored: DataFrame, scores: str = "scores", key: str = "sample_id") -> DataFrame:

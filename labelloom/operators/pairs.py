@@ -17,7 +17,8 @@ def training_pairs(samples: DataFrame, n_neg: int = 3, prefixes: bool = True, se
         hash_order(seed, F.col("sample_id"), x).alias("k"), i.alias("i"), x.alias("l")))), 1, n_neg)
     negatives = F.filter(F.transform(drawn, lambda t: strip(t.l)), lambda x: x != "")
     negatives = F.transform(negatives, lambda x: with_prefix(x, "passage", prefixes))
-    x = samples.select("sample_id", strip(F.col("query")).alias("q"), F.posexplode("pos").alias("pos_no", "p"), negatives.alias("negatives"))
+    x = samples.select("sample_id", strip(F.col("query")).alias("q"), "pos", negatives.alias("negatives"))
+    x = x.select("sample_id", "q", F.posexplode("pos").alias("pos_no", "p"), "negatives")
     x = x.withColumn("p", strip(F.col("p"))).where("q <> '' and p <> ''")
     return x.select("sample_id", "pos_no", with_prefix(F.col("q"), "query", prefixes).alias("anchor"),
                     with_prefix(F.col("p"), "passage", prefixes).alias("positive"), "negatives")

@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.arrays import keep_marked, or_empty
+from ..functions.arrays import empty_strings, keep_marked, let, or_empty
 from ..functions.text import strip
 
 # --- fixed values: accepted field names, in order of preference ---
@@ -26,19 +26,18 @@ def standardise(df: DataFrame, source: str, record: str = "record", keys=("sampl
     The first PRESENT query alias wins, the first NON-EMPTY list alias wins, scalars become one-element
     lists, everything else goes to ``metadata``; rows without query or positives are dropped.
     """
-    v = F.try_parse_json(record)
+    v = F.col("_v")
     raw = F.from_json(F.col(record), "map<string,string>")
 
-    def strings(path) -> Column:
-        items = F.try_variant_get(v, path, "array<string>")
-        scalar = F.try_variant_get(v, path, "string")
-        is_list = F.schema_of_variant(F.try_variant_get(v, path, "variant")).startswith("ARRAY")
-        return F.when(is_list, F.filter(items, lambda x: x.isNotNull())).when(
-            F.coalesce(scalar, F.lit("")) != "", F.array(scalar))
+    def strings(name) -> Column:
+        def as_list(x):
+            return F.when(F.schema_of_variant(x).startswith("ARRAY"), F.filter(
+                F.try_variant_get(x, "$", "array<string>"), lambda y: y.isNotNull())).when(
+                F.coalesce(F.try_variant_get(x, "$", "string"), F.lit("")) != "", F.array(F.try_variant_get(x, "$", "string")))
+        return let(F.try_variant_get(v, f"$.{name}", "variant"), as_list)
 
     def first_filled(names) -> Column:
-        lists = [strings(f"$.{n}") for n in names]
-        return or_empty(F.coalesce(*[F.when(F.size(x) > 0, x) for x in lists]))
+        return F.coalesce(F.get(F.filter(F.array(*[strings(n) for n in names]), lambda x: F.size(x) > 0), F.lit(0)), empty_strings())
 
     names = QUERY_ALIASES + POS_ALIASES + NEG_ALIASES
     query = F.lit(None).cast("string")
@@ -46,10 +45,13 @@ def standardise(df: DataFrame, source: str, record: str = "record", keys=("sampl
         query = F.when(F.map_contains_key(F.col("_raw"), name), F.try_variant_get(v, f"$.{name}", "string")).otherwise(query)
     leftovers = F.map_filter(F.col("_raw"), lambda k, _: ~k.isin(*names))
     keep = [k for k in keys if k in df.columns]
-    return (df.withColumn("_raw", raw).select(
-        *keep, query.alias("query"), first_filled(POS_ALIASES).alias("pos"), first_filled(NEG_ALIASES).alias("neg"),
+    row = F.struct(
+        query.alias("query"), first_filled(POS_ALIASES).alias("pos"), first_filled(NEG_ALIASES).alias("neg"),
         F.map_concat(leftovers, F.create_map(F.lit("source_dataset"), F.lit(source))).alias("metadata"))
-        .where((F.coalesce("query", F.lit("")) != "") & (F.size("pos") > 0)))
+    # filtered inside the row: a condition above this projection would be pushed below it and parse again
+    good = F.filter(F.array("_row"), lambda r: (F.coalesce(r.query, F.lit("")) != "") & (F.size(r.pos) > 0))
+    parsed = df.withColumn("_raw", raw).withColumn("_v", F.try_parse_json(record)).select(*keep, row.alias("_row"))
+    return parsed.select(*keep, F.inline(good))
 
 
 def filter_labels(df: DataFrame, marker: str = ":") -> DataFrame:

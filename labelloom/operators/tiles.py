@@ -38,7 +38,7 @@ def tiled(left: DataFrame, left_id: str, right: DataFrame, right_id: str,
     def spread(df, mine, own, n_own, other, n_other):
         # fresh column identities: both sides may come from one DataFrame
         df = df.select([F.col(c).alias(c) for c in df.columns])
-        return (df.withColumn(own, F.pmod(F.xxhash64(mine), F.lit(n_own)))
+        return (df.withColumn(own, F.pmod(F.xxhash64(mine), F.lit(n_own)).cast("int"))
                 .withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(n_other - 1))))
                 .repartition(n, "_r", "_c"))
 

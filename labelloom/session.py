@@ -19,6 +19,7 @@ def local_session(cores: int | str = 8, partitions: int = 8, app: str = "labello
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", "16g")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
 
@@ -39,3 +40,9 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: the result survives the loss of executors."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def scratch_dir(spark: SparkSession) -> str:
+    """New folder under the shared checkpoint location, for tables that one query writes and reads back."""
+    import uuid
+    return os.path.join(ensure_checkpoint_dir(spark), f"scratch-{uuid.uuid4().hex}")

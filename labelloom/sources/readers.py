@@ -63,9 +63,12 @@ def read_jsonl(spark: SparkSession, path) -> Loaded:
     return _samples(_json(spark, path, multi_line=False))
 
 
-def file_formats(spark: SparkSession, path) -> DataFrame:
+def file_formats(spark: SparkSession, path, **options) -> DataFrame:
     """(file, fmt) from the first non-blank line of each file: array, single object or JSON Lines."""
-    lines = (spark.read.text(path).select(row_position().alias("row_no"), strip(F.col("value")).alias("line"))
+    reader = spark.read
+    for key, value in options.items():
+        reader = reader.option(key, value)
+    lines = (reader.text(path).select(row_position().alias("row_no"), strip(F.col("value")).alias("line"))
              .where("line <> ''"))
     first = lines.groupBy(F.col("row_no.file").alias("file")).agg(F.min_by("line", "row_no").alias("line"))
     parsed = F.try_parse_json("line")
@@ -74,36 +77,31 @@ def file_formats(spark: SparkSession, path) -> DataFrame:
                         .otherwise("object").alias("fmt"))
 
 
-def read_samples(spark: SparkSession, path, fmt: str = "auto", variant: str | None = None) -> Loaded:
+def read_samples(spark: SparkSession, path, fmt: str = "auto", variant: str | None = None, **options) -> Loaded:
     """JSON array, one object, or JSON Lines; ``variant='gen'`` refuses a top-level object.
 
-    An array file is one record for Spark and is read by one task; large sets belong in JSON Lines.
-    The format probe collects one short row per file.
+    An array file is one record for Spark and is read by one task; large sets belong in JSON Lines, and
+    ``fmt='jsonl'`` skips the probe. The probe collects one short row per file.
     """
-    if fmt == "auto":
-        kinds = file_formats(spark, path).collect()
-    else:
-        kinds = None
-    if kinds is not None and variant == "gen" and any(r.fmt == "object" for r in kinds):
-        raise ValueError("a top-level object is not accepted here: expected a list of samples")
-    if kinds is None:
-        loaded = _samples(_json(spark, path, multi_line=fmt in ("array", "object")))
+    if fmt != "auto":
+        loaded = _samples(_json(spark, path, fmt in ("array", "object"), **options))
     else:
-        lined = [r.file for r in kinds if r.fmt == "jsonl"]
-        whole = [r.file for r in kinds if r.fmt != "jsonl"]
-        parts = ([_json(spark, lined, False)] if lined else []) + ([_json(spark, whole, True)] if whole else [])
+        kinds = file_formats(spark, path, **options).collect()
+        if variant == "gen" and any(r.fmt == "object" for r in kinds):
+            raise ValueError("a top-level object is not accepted here: expected a list of samples")
+        parts = [_json(spark, files, multi) for multi in (False, True)
+                 if (files := [r.file for r in kinds if (r.fmt != "jsonl") == multi])]
         if not parts:
             raise ValueError(f"no samples in {path}")
         loaded = _samples(parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1]))
-    if loaded.rows.isEmpty():
+    if loaded.rows.where("query is not null or pos is not null or neg is not null").isEmpty():
         raise ValueError(f"no samples in {path}")
     return loaded
 
 
 def read_directories(spark: SparkSession, paths: list[str]) -> Loaded:
     """All ``*.json`` files directly inside the directories (not below them)."""
-    raw = _json(spark, list(paths), True, pathGlobFilter="*.json", recursiveFileLookup="false")
-    return _samples(raw)
+    return read_samples(spark, list(paths), pathGlobFilter="*.json", recursiveFileLookup="false")
 
 
 # --- strict contract --------------------------------------------------------------------------

@@ -89,3 +89,13 @@ TEXT_KEYWORDS = [  # the same for v_text
     (1, "T2", ["that", "was"]), (2, "S3", ["des", "les"]), (3, "K2", ["der", "die", "und"]),
     (4, "L2", ["los", "del", "que"])]
 # --------------------------------------------------------------------------------------------------
+
+
+def v_doc(spark, d):
+    """Label documents with a description that lists the parts of the label, and suppliers as occupations."""
+    parts = v_item(spark, d).groupBy("label").agg(F.array_join(F.array_sort(F.collect_list(
+        F.concat("p_type", F.lit(" part of size "), F.col("p_size").cast("string")))), ", ").alias("description"))
+    occ = v_skill_occ(spark, d).groupBy("label").agg(
+        F.array_sort(F.collect_list(F.col("occupation").cast("string"))).alias("occupations"))
+    return parts.join(occ, "label", "left").select(
+        "label", "description", F.coalesce("occupations", F.expr("cast(array() as array<string>)")).alias("occupations"))
