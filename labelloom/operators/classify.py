@@ -82,19 +82,21 @@ def _best_two(scores: list[Column], cats: list[Category], positive: Column, rati
     """Codes of the best category, plus the second when close; scores are compared as rounded numbers."""
     entries = F.array(*[F.struct((-s).alias("k"), F.lit(c.ord).alias("ord"), F.lit(c.code).alias("code"))
                         for s, c in zip(scores, cats)])
-    kept = F.array_sort(F.filter(entries, lambda e: positive(-e.k)))
-    first, second = F.get(kept, F.lit(0)), F.get(kept, F.lit(1))
-    return (F.when(F.size(kept) == 0, F.array(F.lit(UNCLASSIFIED)))
-            .when((F.size(kept) > 1) & (-second.k >= -first.k * ratio), F.array(first.code, second.code))
-            .otherwise(F.array(first.code)))
+    def choose(kept):
+        first, second = F.get(kept, F.lit(0)), F.get(kept, F.lit(1))
+        return (F.when(F.size(kept) == 0, F.array(F.lit(UNCLASSIFIED)))
+                .when((F.size(kept) > 1) & (-second.k >= -first.k * ratio), F.array(first.code, second.code))
+                .otherwise(F.array(first.code)))
+    return let(F.array_sort(F.filter(entries, lambda e: positive(-e.k))), choose)
 
 
 def classify_keywords(query: Column, labels: Column, cats: list[Category]) -> Column:
     """1 or 2 codes: a keyword in the query counts 2, in the joined labels 3; second best from 70 %."""
-    q, l = F.lower(query), F.lower(F.array_join(labels, " "))
-    scores = [_sum([F.when(F.contains(q, F.lit(k.lower())), 2).otherwise(0)
-                    + F.when(F.contains(l, F.lit(k.lower())), 3).otherwise(0) for k in c.keywords]) for c in cats]
-    return _best_two(scores, cats, lambda s: s > 0, 0.7)
+    def best(t):
+        scores = [_sum([F.when(F.contains(t.q, F.lit(k.lower())), 2).otherwise(0)
+                        + F.when(F.contains(t.l, F.lit(k.lower())), 3).otherwise(0) for k in c.keywords]) for c in cats]
+        return _best_two(scores, cats, lambda s: s > 0, 0.7)
+    return let(F.struct(F.lower(query).alias("q"), F.lower(F.array_join(labels, " ")).alias("l")), best)
 
 
 def classify_semantic(vector: Column, cats: list[Category], threshold: float = 0.3, ratio: float = 0.85) -> Column:

@@ -9,6 +9,7 @@ import os
 from collections.abc import Callable
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
@@ -362,25 +363,28 @@ def chunk_by_similarity(samples: DataFrame, pool: DataFrame, n: int = 3, thresho
     rows = samples.select("sample_id", F.posexplode(F.filter(or_empty(F.col(labels)), lambda x: x != "")).alias("i", "label"))
     withv = rows.join(pool.select("label", "vector"), "label")
 
-    def greedy(pdf):
-        import pandas as pd
-        pdf = pdf.sort_values("i")
-        names, m = list(pdf["label"]), np.vstack(pdf["vector"].to_numpy()).astype(float)
+    items = withv.groupBy("sample_id").agg(F.array_sort(F.collect_list(F.struct("i", "label", "vector"))).alias("t"))
+
+    def greedy(names: list[str], flat: np.ndarray) -> list[list[str]]:
+        m = flat.reshape(len(names), -1)
         length = np.linalg.norm(m, axis=1, keepdims=True)
         m = np.divide(m, length, out=m.copy(), where=length > 0)
-        free, out = list(dict.fromkeys(names)), []
+        close = np.round(m @ m.T, DIGITS) >= threshold
         at = {l: i for i, l in reversed(list(enumerate(names)))}
+        free, out = list(dict.fromkeys(names)), []
         while free:
-            seed, chunk, rest = free[0], [free[0]], []
+            chunk, rest = [free[0]], []
             for other in free[1:]:
-                close = len(chunk) < n and round(float(m[at[seed]] @ m[at[other]]), DIGITS) >= threshold
-                (chunk if close else rest).append(other)
+                (chunk if len(chunk) < n and close[at[free[0]], at[other]] else rest).append(other)
             out.append(chunk)
             free = rest
-        return pd.DataFrame({"sample_id": [pdf["sample_id"].iloc[0]], "_chunks": [out]})
+        return out
+
+    @F.pandas_udf("array<array<string>>")
+    def chunked(names: pd.Series, vectors: pd.Series) -> pd.Series:
+        return pd.Series([greedy(list(l), np.asarray(v, dtype=float)) for l, v in zip(names, vectors)])
 
-    schema = f"sample_id {_type(samples, 'sample_id')}, _chunks array<array<string>>"
-    found = withv.groupBy("sample_id").applyInPandas(greedy, schema)
+    found = items.select("sample_id", chunked(F.col("t.label"), F.flatten("t.vector")).alias("_chunks"))
     plain = chunk_sequential(F.filter(or_empty(F.col(labels)), lambda x: x != ""), n)
     return samples.join(found, "sample_id", "left").select("sample_id", F.coalesce("_chunks", plain).alias("chunks"))
 
