@@ -1,6 +1,7 @@
 """Text columns: every function is Column -> Column and stays inside code generation."""
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, functions as F
 
 # --- fixed values -----------------------------------------------------------------------------
@@ -73,8 +74,6 @@ def token_count(c: Column, tokenizer=None, max_length: int | None = None) -> Col
     if tokenizer is None:
         n = estimated_tokens(c)
     else:
-        import pandas as pd
-
         @F.pandas_udf("long")
         def count(texts: pd.Series) -> pd.Series:
             return texts.map(lambda t: tokenizer(t) if t is not None else 0).astype("int64")

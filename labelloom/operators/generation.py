@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.arrays import chunk_sequential, negatives_for, or_empty
+from ..functions.arrays import chunk_sequential, let, negatives_for, or_empty
 from ..functions.hashing import hash_order, hash_uniform
 from ..functions.payloads import response_groups
 from ..functions.prompts import rare_prompt, new_skill_prompt
@@ -86,15 +86,25 @@ def reconcile_groups(labels: Column, response: Column, n: int) -> Column:
     one group without asking. All arrays are those of one sample.
     """
     clean = F.filter(labels, lambda x: strip(x) != "")
-    groups = response_groups(response)
-    own = F.transform(groups, lambda g: F.array_distinct(F.filter(F.transform(g, strip), lambda x: F.array_contains(clean, x))))
-    once = F.filter(F.transform(own, lambda g, i: F.array_except(g, F.flatten(F.slice(own, F.lit(1), i)))), lambda g: F.size(g) > 0)
-    rest = F.filter(clean, lambda x: ~F.array_contains(F.flatten(once), x))
-    fits = (F.size(once) > 0) & (F.size(F.element_at(once, -1)) + F.size(rest) <= n)
-    joined = F.concat(F.slice(once, F.lit(1), F.size(once) - 1), F.array(F.concat(F.element_at(once, -1), rest)))
-    out = F.when(F.size(rest) == 0, once).when(fits, joined).otherwise(F.concat(once, chunk_sequential(rest, n)))
-    return (F.when(F.size(clean) <= n, F.array(clean)).when(groups.isNull(), F.lit(None))
-            .when(F.size(out) > 0, out))
+
+    def finish(clean, once, rest):
+        fits = (F.size(once) > 0) & (F.size(F.element_at(once, -1)) + F.size(rest) <= n)
+        joined = F.concat(F.slice(once, F.lit(1), F.size(once) - 1), F.array(F.concat(F.element_at(once, -1), rest)))
+        out = F.when(F.size(rest) == 0, once).when(fits, joined).otherwise(F.concat(once, chunk_sequential(rest, n)))
+        return F.when(F.size(once) + F.size(rest) > 0, out)
+
+    def first_time(own):
+        kept = F.transform(own, lambda g, i: F.array_except(g, F.flatten(F.slice(own, F.lit(1), i))))
+        return F.filter(kept, lambda g: F.size(g) > 0)
+
+    def asked(t):
+        own = F.transform(t.groups, lambda g: F.array_distinct(F.filter(F.transform(g, strip), lambda x: F.array_contains(t.clean, x))))
+        return let(own, lambda own: let(first_time(own), lambda once: let(
+            F.filter(t.clean, lambda x: ~F.array_contains(F.flatten(once), x)), lambda rest: finish(t.clean, once, rest))))
+
+    answer = F.struct(clean.alias("clean"), response_groups(response).alias("groups"))
+    return F.when(F.size(clean) <= n, F.array(clean)).otherwise(
+        let(answer, lambda t: F.when(t.groups.isNotNull(), asked(t))))
 
 
 def split_by_group(samples: DataFrame, groups: str = "groups", strategy: str = "label_group", keep=("sample_id",)) -> DataFrame:
