@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as tx
 from ..functions.arrays import stable_distinct
-from ..operators import dedup, relations, samples as op
+from ..operators import dedup, fuzzy, relations, samples as op
 from ..sources import tables as t
 from .base import joined, query, r6, rounded
 from .views import sql, words
@@ -167,3 +167,8 @@ def c6b(spark, d):
 @query("c8_head_sample", sql(f"SELECT {FLAT} FROM v_sample ORDER BY row_no LIMIT 25", "v_sample"))
 def c8(spark, d):
     return _flat(dedup.head_sample(t.v_sample(spark, d), 25))
+
+
+@query("c7_annotate_fuzzy")
+def c7(spark, d):
+    return fuzzy.annotate_fuzzy(t.v_text_sample(spark, d), t.v_real(spark, d), 0.95).select("sample_id", "source")

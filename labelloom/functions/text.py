@@ -4,6 +4,8 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column, functions as F
 
+from .arrays import let
+
 # --- fixed values -----------------------------------------------------------------------------
 # Blanks on which words are split (all Unicode blanks, not only the ASCII ones).
 BLANK = r"[\s\x0B\x1c-\x1f\x85\p{Z}]"
@@ -120,11 +122,13 @@ def route(tokens: Column, n_pos: Column, limit: int = 320, split_over: int = 3,
 
 def strip_lead_in(c: Column) -> Column:
     """Remove one known lead-in, then the blanks after it."""
-    out = c
-    for prefix in reversed(LEAD_INS):
-        rest = F.regexp_replace(F.substring(c, len(prefix) + 1, 2147483647), rf"^{BLANK}+", "")
-        out = F.when(c.startswith(prefix), rest).otherwise(out)
-    return out
+    def cut(x):
+        out = x
+        for prefix in reversed(LEAD_INS):
+            rest = F.regexp_replace(F.substring(x, len(prefix) + 1, 2147483647), rf"^{BLANK}+", "")
+            out = F.when(x.startswith(prefix), rest).otherwise(out)
+        return out
+    return let(c, cut)
 
 
 def bullets(c: Column) -> Column:
@@ -136,13 +140,16 @@ def bullets(c: Column) -> Column:
 
 def cut_to_length(c: Column, limit: int) -> Column:
     """Shorten an over-long text at the last blank before ``limit``; null when that leaves too little."""
-    head = rstrip(F.substring(c, 1, limit))
-    to_blank = F.when(F.instr(head, " ") > 0, F.regexp_replace(head, r" [^ ]*$", "")).otherwise(head)
-    bare = F.regexp_replace(to_blank, r"[,;:\-]+$", "")
-    dotted = F.when(bare.endswith("."), bare).otherwise(F.concat(bare, F.lit(".")))
-    enough = (bare != "") & (F.length(bare) >= limit * 0.6)
-    cut = F.when(enough, strip(dotted)).otherwise(c)
-    return F.when(F.length(c) <= limit, c).when(F.length(cut) <= limit, cut)
+    def finish(bare):
+        dotted = strip(F.when(bare.endswith("."), bare).otherwise(F.concat(bare, F.lit("."))))
+        fits = (bare != "") & (F.length(bare) >= limit * 0.6) & (F.length(dotted) <= limit)
+        return F.when(fits, dotted)
+
+    def shorten(head):
+        at_blank = F.when(F.instr(head, " ") > 0, F.regexp_replace(head, r" [^ ]*$", "")).otherwise(head)
+        return let(F.regexp_replace(at_blank, r"[,;:\-]+$", ""), finish)
+
+    return let(c, lambda x: F.when(F.length(x) <= limit, x).otherwise(let(rstrip(F.substring(x, 1, limit)), shorten)))
 
 
 def contains_any(text: Column, terms: Column) -> Column:
