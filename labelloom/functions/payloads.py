@@ -43,9 +43,9 @@ def json_candidates(c: Column) -> Column:
     for pattern in (r"(?is)```json\s*(.*?)\s*```", r"(?is)```\s*(.*?)\s*```", r"(?is)`([^`]*)`"):
         found.append(F.coalesce(F.regexp_extract_all(c, F.lit(pattern), 1), none))
     found.append(F.coalesce(F.regexp_extract_all(c, F.lit(r"(?s)(\{.*\})"), 1), none))
-    # a block opens on a line that starts with '{' and closes on a later line that ends with '}'
+    # a block opens on a line that starts with '{' (again on every such line) and closes on a later one that ends with '}'
     found.append(F.coalesce(F.regexp_extract_all(
-        c, F.lit(r"(?m)^[ \t]*(\{[^\n]*\n(?:[^\n]*\n)*?[^\n]*\})[ \t\r]*$"), 1), none))
+        c, F.lit(r"(?m)^[ \t]*(\{[^\n]*\n(?:(?![ \t]*\{)[^\n]*\n)*?(?![ \t]*\{)[^\n]*\})[ \t\r]*$"), 1), none))
     return F.transform(F.flatten(F.array(*found)), strip)
 
 

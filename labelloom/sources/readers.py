@@ -42,7 +42,8 @@ def parse_meta(c: Column) -> Column:
 
 
 def _samples(raw: DataFrame) -> Loaded:
-    bad = raw.where(F.col(BAD).isNotNull()).select("row_no", F.col(BAD).alias("record"))
+    # Spark refuses to read the corrupt-record column alone, so the record also names a data column
+    bad = raw.where(F.col(BAD).isNotNull()).select("row_no", F.coalesce(BAD, "query").alias("record"))
     row_id = F.concat_ws("#", "row_no.file", "row_no.block", "row_no.seq")
     good = raw.where(F.col(BAD).isNull()).select(
         F.md5(row_id).alias("sample_id"), "row_no", "query", "pos", "neg", parse_meta(F.col("meta")).alias("meta"))
