@@ -18,6 +18,7 @@ from ..functions.hashing import hash_order, model_key, text_key
 from ..functions.scalars import one_row
 from ..functions.text import skill_text, strip, words
 from ..functions.vectors import as_double, cosine, dot, norm
+from ..session import cut_lineage
 from .tiles import best_k, chunks, matrix, nested, shared_counts, tiled
 
 DIGITS = 9
@@ -220,7 +221,8 @@ def rank_positives(samples: DataFrame, pool: DataFrame, normalise: bool = True,
                          "similarity": flat, "higher": pa.array(higher)})
 
     schema = f"sample_id {_type(left, 'sample_id')}, label string, similarity double, higher bigint"
-    return tiled(left, "sample_id", right, "label", kernel, schema, tile_rows).groupBy("sample_id", "label").agg(
+    rows = (samples.count(), pool.count())
+    return tiled(left, "sample_id", right, "label", kernel, schema, tile_rows, rows).groupBy("sample_id", "label").agg(
         F.first("similarity").alias("similarity"), (F.sum("higher") + 1).alias("rank"))
 
 
@@ -434,6 +436,7 @@ def mine_hard_negatives(samples: DataFrame, pool: DataFrame, k: int = 8, max_pos
         "sample_id", "vector", F.array_union("_p", "_n").alias("used"), F.coalesce("pv", F.expr("cast(array() as array<float>)")).alias("pv"))
     right = pool.select("label", "vector")
     id_type = _type(samples, "sample_id")
+    rows = (samples.count(), pool.count())
 
     def walk(l: pa.Table, r: pa.Table):
         """(row range, scores, used mask, too-similar mask) for blocks of the left tile; columns in label order."""
@@ -468,8 +471,9 @@ def mine_hard_negatives(samples: DataFrame, pool: DataFrame, k: int = 8, max_pos
                          "score": pa.array(np.concatenate(sims))})
 
     w = Window.partitionBy("sample_id").orderBy(F.desc("score"), "label")
-    picks = (tiled(left, "sample_id", right, "label", pick, f"sample_id {id_type}, label string, score double", tile_rows)
+    picks = (tiled(left, "sample_id", right, "label", pick, f"sample_id {id_type}, label string, score double", tile_rows, rows)
              .withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k))
+    picks = cut_lineage(picks)  # k rows per sample, read by the second pass and by the result
     item = F.struct("rank", "label", "score")
     chosen = picks.groupBy("sample_id").agg(F.array_sort(F.collect_list(item)).alias("t"))
     full = F.size("t") >= k
@@ -492,7 +496,7 @@ def mine_hard_negatives(samples: DataFrame, pool: DataFrame, k: int = 8, max_pos
                     close_n[row] = (before & close[i]).sum()
         return pa.table({"sample_id": l["sample_id"], "seen": seen, "used": used_n, "close": close_n})
 
-    counts = (tiled(cut, "sample_id", right, "label", skipped, f"sample_id {id_type}, seen bigint, used bigint, close bigint", tile_rows)
+    counts = (tiled(cut, "sample_id", right, "label", skipped, f"sample_id {id_type}, seen bigint, used bigint, close bigint", tile_rows, rows)
               .groupBy("sample_id").agg(F.sum("seen").alias("candidates"), F.sum("used").alias("excluded_used"),
                                         F.sum("close").alias("excluded_by_positive_similarity")))
     new = F.coalesce(F.transform("t", lambda x: x.label), F.expr("cast(array() as array<string>)"))
@@ -532,7 +536,8 @@ def cooccurring_by_group(targets: DataFrame, skills: DataFrame, min_shared: int
         return pa.table({"target": l["target"].take(pa.array(np.concatenate(rows))),
                          "label": r["label"].take(pa.array(np.concatenate(cols))), "shared": pa.array(np.concatenate(n))})
 
-    local = tiled(left, "target", right, "label", kernel, "target string, label string, shared bigint", tile_rows)
+    local = tiled(left, "target", right, "label", kernel, "target string, label string, shared bigint", tile_rows,
+                  (targets.count(), skills.count()))
     w = Window.partitionBy("target").orderBy(F.desc("shared"), "label")
     return local.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
@@ -592,6 +597,7 @@ def group_hard_negatives(targets: DataFrame, skills: DataFrame, covered: DataFra
         return pa.table({"target_id": l["target_id"].take(pa.array(np.concatenate(rows))),
                          "label": r["label"].take(pa.array(np.concatenate(cols))), "score": pa.array(np.concatenate(sc))})
 
-    local = tiled(left, "target_id", docs, "label", kernel, f"target_id {id_type}, label string, score double", tile_rows)
+    local = tiled(left, "target_id", docs, "label", kernel, f"target_id {id_type}, label string, score double", tile_rows,
+                  (targets.count(), skills.count()))
     w = Window.partitionBy("target_id").orderBy(F.desc("score"), "label")
     return local.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)

@@ -28,12 +28,15 @@ def grid(left_rows: int, right_rows: int, tile_rows: int, cores: int) -> tuple[i
 
 def tiled(left: DataFrame, left_id: str, right: DataFrame, right_id: str,
           kernel: Callable[[pa.Table, pa.Table], pa.Table], schema: str, tile_rows: int = TILE_ROWS,
-          tiles: tuple[int, int] | None = None) -> DataFrame:
-    """Apply ``kernel(left_tile, right_tile)`` to all pairs of tiles."""
+          rows: tuple[int, int] | None = None) -> DataFrame:
+    """Apply ``kernel(left_tile, right_tile)`` to all pairs of tiles.
+
+    ``rows`` = row counts (or upper bounds) of both sides where the caller knows them; otherwise they are counted.
+    """
     spark = left.sparkSession
     cores = spark.sparkContext.defaultParallelism
-    rows, cols = tiles or grid(left.count(), right.count(), tile_rows, cores)
-    n = min(rows * cols, max(cores, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    n_rows, n_cols = grid(*(rows or (left.count(), right.count())), tile_rows, cores)
+    n = min(n_rows * n_cols, max(cores, int(spark.conf.get("spark.sql.shuffle.partitions"))))
 
     def spread(df, mine, own, n_own, other, n_other):
         # fresh column identities: both sides may come from one DataFrame
@@ -42,8 +45,8 @@ def tiled(left: DataFrame, left_id: str, right: DataFrame, right_id: str,
                 .withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(n_other - 1))))
                 .repartition(n, "_r", "_c"))
 
-    a = spread(left, left_id, "_r", rows, "_c", cols)
-    b = spread(right, right_id, "_c", cols, "_r", rows)
+    a = spread(left, left_id, "_r", n_rows, "_c", n_cols)
+    b = spread(right, right_id, "_c", n_cols, "_r", n_rows)
 
     def one(l: pa.Table, r: pa.Table) -> pa.Table:
         return kernel(l.drop_columns(["_r", "_c"]), r.drop_columns(["_r", "_c"]))
