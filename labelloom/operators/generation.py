@@ -142,7 +142,8 @@ def accept(candidates: DataFrame, limit: int, existing: DataFrame | None = None)
     """
     base = strip_lead_in(strip(F.col("text")))
     cut = cut_to_length(base, limit)
-    x = candidates.withColumn("_base", base).withColumn("_cut", cut).withColumn("_key", F.md5(F.lower("_cut")))
+    x = candidates.withColumn("_base", base).withColumn("_cut", cut).withColumn(
+        "_key", F.coalesce(F.md5(F.lower("_cut")), F.lit("")))  # never null, or the joins would filter on it and cut every text twice
     first = (F.when(F.col("_base") == "", "blank").when(F.col("_cut").isNull(), "too long")
              .when(contains_any(F.col("_cut"), or_empty(F.col("forbidden"))), "forbidden term"))
     x = x.withColumn("_r1", first)
