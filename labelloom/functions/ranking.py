@@ -8,7 +8,7 @@ def running_before(df: DataFrame, group: list[str], bucket: Column, order: list[
     """Add ``name`` = sum of ``value`` over the rows of the group that come before this row.
 
     ``bucket`` must grow with the order. Rows are only sorted inside (group, bucket); the bucket totals are
-    one small row each and carry the sum over. So a group with a third of all rows is spread over its buckets.
+    one small row each and carry the sum over. Group and order columns must not be null. So a group with a third of all rows is spread over its buckets.
     """
     x = df.withColumn("_bucket", bucket)
     keys = [*group, "_bucket"]
@@ -17,7 +17,6 @@ def running_before(df: DataFrame, group: list[str], bucket: Column, order: list[
     totals = x.groupBy(*keys).agg(*[F.sum(v).alias(f"_t_{n}") for n, v in values.items()])
     carried = totals.select(*keys, *[F.coalesce(F.sum(f"_t_{n}").over(across), F.lit(0)).alias(f"_b_{n}") for n in values])
     x = x.withColumns({f"_i_{n}": F.coalesce(F.sum(v).over(inside), F.lit(0)) for n, v in values.items()})
-    # the join columns are never null inside a bucketed group
     out = x.join(carried, keys).withColumns({n: F.col(f"_i_{n}") + F.col(f"_b_{n}") for n in values})
     return out.drop("_bucket", *[f"_{p}_{n}" for p in ("i", "b") for n in values])
 

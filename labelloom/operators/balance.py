@@ -135,7 +135,7 @@ def stratified_pick(rows: DataFrame, quotas: DataFrame, seed: int = 42, stratify
     category has at least twice its quota; what they leave open is filled in md5 order.
     """
     x = rows.join(quotas, "category").withColumn("_h", hash_order(seed, F.col("sample_id")))
-    ordinal = F.array_position(F.array(*[F.lit(b) for b in BUCKETS]), F.col("bucket"))
+    ordinal = F.coalesce(F.array_position(F.array(*[F.lit(b) for b in BUCKETS]), F.col("bucket")), F.lit(0))
     x = x.withColumn("_o", ordinal)
     one = {"r": F.lit(1).cast("long")}
     x = running_before(x, ["category", "_o"], _hash_bucket(F.col("_h")), [F.col("_h"), F.col("sample_id")], one)
@@ -259,6 +259,7 @@ def select_expansion(scored: DataFrame, target: int, priorities: dict[str, float
     for code, value in p.items():
         cap = max(5, target // 4) if value >= 4 else max(3, target // 6) if value >= 3 else max(2, target // 10)
         limit = F.when(F.col("category") == code, cap).otherwise(limit)
+    scored = scored.withColumn("category", F.coalesce("category", F.lit("")))
     x = running_before(scored, ["category"], -F.floor(F.col("score") * 1000), [F.desc("score"), F.col("label")],
                        {"_r": F.lit(1).cast("long")})
     x = x.withColumn("_in", F.col("_r") < limit)
