@@ -161,5 +161,5 @@ def redact(docs: DataFrame, text: str = "text", n_chars: str | None = "n_chars")
         return [pa.array([None if x is None else masked(x) for x in batch.column(batch.schema.get_field_index(text)).to_pylist()], pa.string())]
 
     out = annotate(docs, run, [T.StructField("__masked", T.StringType())])
-    counted = {n_chars: F.when(F.col(text) == F.col("__masked"), F.col(n_chars)).otherwise(F.length("__masked").cast(docs.schema[n_chars].dataType))} if n_chars in docs.columns else {}
+    counted = {n_chars: F.when(F.col(text).eqNullSafe(F.col("__masked")), F.col(n_chars)).otherwise(F.length("__masked").cast(docs.schema[n_chars].dataType))} if n_chars in docs.columns else {}
     return out.withColumns({text: F.col("__masked")} | counted).drop("__masked").select(*docs.columns)
