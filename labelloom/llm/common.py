@@ -1,6 +1,7 @@
 """Row-wise annotation over Arrow batches, and whole-text helpers shared by the operators."""
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -12,6 +13,19 @@ from pyspark.sql import types as T
 CHUNK = 1 << 20
 
 
+#: Most bytes of rows that go to a Python worker at once. Spark's default of 64 MB is held several times over on both sides.
+BATCH = 8 << 20
+
+
+def arrow(df: DataFrame, fn: Callable, schema) -> DataFrame:
+    """mapInArrow with batches of at most about ``BATCH`` bytes, unless the session asks for smaller ones."""
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = int(re.sub("[^0-9]", "", conf.get(name) or "0") or 0)
+    if not 0 < now <= BATCH:
+        conf.set(name, str(BATCH))
+    return df.mapInArrow(fn, schema)
+
+
 def annotate(df: DataFrame, fn: Callable[[pa.RecordBatch], list[pa.Array]], fields: list[T.StructField]) -> DataFrame:
     """Narrow: keeps every column of ``df`` and appends ``fields``, computed by ``fn`` for each Arrow batch."""
     names = [*df.columns, *[f.name for f in fields]]
@@ -20,7 +34,7 @@ def annotate(df: DataFrame, fn: Callable[[pa.RecordBatch], list[pa.Array]], fiel
         for batch in batches:
             yield pa.RecordBatch.from_arrays([*batch.columns, *fn(batch)], names=names)
 
-    return df.mapInArrow(run, T.StructType([*df.schema.fields, *fields]))
+    return arrow(df, run, T.StructType([*df.schema.fields, *fields]))
 
 
 def column(batch: pa.RecordBatch, name: str) -> pa.Array:

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import types as T
 
-from labelloom.llm.common import annotate, column
+from labelloom.llm.common import annotate, arrow, column
 
 ROLES = ("assistant", "system", "tool", "user")
 #: The words that transcripts use for each role.
@@ -131,7 +131,7 @@ def train(rows: DataFrame) -> Chain:
                                 count[f, v, own] = count.get((f, v, own), 0) + 1
             yield pa.RecordBatch.from_pylist([{"f": f, "v": v, "r": r, "n": n} for (f, v, r), n in count.items()], pa.schema([("f", pa.string()), ("v", pa.string()), ("r", pa.string()), ("n", pa.int64())]))
 
-    counts = rows.select("role", "text").mapInArrow(shown, "f string, v string, r string, n long").groupBy("f", "v", "r").agg(F.sum("n").alias("n")).collect()
+    counts = arrow(rows.select("role", "text"), shown, "f string, v string, r string, n long").groupBy("f", "v", "r").agg(F.sum("n").alias("n")).collect()
     mapping = F.create_map(*[F.lit(x) for kv in SPEAKERS.items() for x in kv])
     turns = rows.select("conv_id", F.col("turn").cast("long").alias("turn"), F.element_at(mapping, F.lower(F.trim("role"))).alias("r")).filter("r is not null and turn is not null and conv_id is not null").distinct()
     after = turns.select(F.col("conv_id").alias("c"), (F.col("turn") - 1).alias("t"), F.col("r").alias("next"))

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import types as T
 
-from labelloom.llm.common import annotate, chunks, column
+from labelloom.llm.common import annotate, arrow, chunks, column
 from labelloom.llm.words import Words
 
 WINDOW, SHINGLE = 13, 4
@@ -125,7 +125,7 @@ def blocks(docs: DataFrame, items: DataFrame, window: int, shingle: int, block_b
                 at = np.flatnonzero(n)
                 yield pa.RecordBatch.from_arrays([pa.array([k] * len(at), pa.int32()), pa.array(shared.value.keys[k][at].view(np.int64)), pa.array(n[at])], names=["k", "h", "n"])
 
-        counted = docs.select(text).mapInArrow(count, "k int, h long, n long").groupBy("k", "h").agg(F.sum("n").alias("n"))
+        counted = arrow(docs.select(text), count, "k int, h long, n long").groupBy("k", "h").agg(F.sum("n").alias("n"))
         block.choose({(r["k"], r["h"] & 0xFFFFFFFFFFFFFFFF): r["n"] for r in counted.toLocalIterator()})
         shared.unpersist()
         out.append(context.broadcast(block))

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import types as T
 
-from labelloom.llm.common import annotate, chunks, column
+from labelloom.llm.common import annotate, arrow, chunks, column
 from labelloom.llm.words import Words, mix
 
 DIMS = 1 << 12
@@ -134,7 +134,7 @@ def train(docs: DataFrame, labels: DataFrame, train_rows: int = 2000) -> Model |
                 yield pa.RecordBatch.from_arrays([column(batch, c).slice(first, n) for c in "ky"] + [pa.array([i.astype(np.int32).tobytes() for i in at]), pa.array([r[i].tobytes() for r, i in zip(x, at)])], names=["k", "y", "at", "x"])
 
     kinds = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
-    got = sorted(rows.mapInArrow(shares, f"k {kinds['k']}, y {kinds['y']}, at binary, x binary").dropDuplicates(["k"]).collect(), key=lambda r: r["k"])
+    got = sorted(arrow(rows, shares, f"k {kinds['k']}, y {kinds['y']}, at binary, x binary").dropDuplicates(["k"]).collect(), key=lambda r: r["k"])
     y = np.array([r["y"] for r in got], float)
     fit, test = y[np.arange(len(y)) % 4 != 3], y[np.arange(len(y)) % 4 == 3]
     if len(y) < 8 or fit.min() == fit.max() or not len(test):

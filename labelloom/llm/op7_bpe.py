@@ -25,7 +25,7 @@ from labelloom.llm.common import annotate, portions, texts
 #: The pattern of byte-level pre-tokenization, over classes of characters (see ``Classes``).
 PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^ \t\n\r\f\vA-Za-z0-9]+|[ \t\n\r\f\v]+(?![^ \t\n\r\f\v])|[ \t\n\r\f\v]+")
 #: Pieces and pairs that a worker remembers; only speed depends on them.
-REMEMBERED = 250_000
+REMEMBERED = 100_000
 
 
 def byte_of_char() -> dict[str, int]:
@@ -180,7 +180,7 @@ class Vocabulary:
                     key = last[at - length] << 20 | token
                     fits = pairs.get(key)
                     if fits is None:
-                        if len(pairs) > 2 * REMEMBERED:
+                        if len(pairs) > 3 * REMEMBERED:
                             pairs.clear()
                         fits = pairs[key] = self.compatible(key >> 20, token)
                     if fits:

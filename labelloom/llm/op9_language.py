@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
-from labelloom.llm.common import annotate, chunks, column, texts
+from labelloom.llm.common import annotate, arrow, chunks, column, texts
 
 LETTER = re.compile(r"[^\W\d_]")
 ORDER = 3
@@ -151,7 +151,7 @@ def train(docs: DataFrame, per_lang: int = 2000, text: str = "text", lang: str =
                     n = np.bincount(where, np.concatenate([p[1] for p in parts])).astype(np.int64)
                     yield pa.RecordBatch.from_arrays([pa.array([name] * len(codes), pa.string()), pa.array(codes.astype(np.int64)), pa.array(n)], names=["l", "g", "n"])
 
-    got = rows.filter(draw).select("t", "l").mapInArrow(count, "l string, g long, n long").groupBy("l", "g").agg(F.sum("n").alias("n")).toArrow()
+    got = arrow(rows.filter(draw).select("t", "l"), count, "l string, g long, n long").groupBy("l", "g").agg(F.sum("n").alias("n")).toArrow()
     names = np.array(got.column("l").to_pylist(), object)
     g, n = got.column("g").to_numpy().astype(np.uint32), got.column("n").to_numpy()
     return Model({x: (g[names == x], n[names == x]) for x in sorted(set(names))})
