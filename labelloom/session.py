@@ -3,6 +3,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,14 +25,36 @@ def local_session(cores: int | str = 8, partitions: int = 8, app: str = "labello
     )
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> SparkSession:
+    """Sends this package to the workers, once per application: they need not share the driver's paths or working directory."""
+    context = spark.sparkContext
+    if context.applicationId not in _SHIPPED:
+        root = os.path.dirname(os.path.abspath(__file__))
+        archive = os.path.join(tempfile.mkdtemp(prefix="labelloom-"), "labelloom.zip")
+        with zipfile.ZipFile(archive, "w") as z:
+            for folder, _, names in os.walk(root):
+                for name in sorted(names):
+                    if name.endswith(".py"):
+                        path = os.path.join(folder, name)
+                        z.write(path, os.path.relpath(path, os.path.dirname(root)))
+        context.addPyFile(archive)
+        _SHIPPED.add(context.applicationId)
+    return spark
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the folder the cluster names in ``spark.checkpoint.dir``; a temporary one only where unset."""
+    """The folder that the session names in ``spark.checkpoint.dir``, which all executors must share. One process (``local[...]``) gets a temporary one."""
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
-        named = tempfile.mkdtemp(prefix="labelloom-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+        if not (spark.sparkContext.master == "local" or spark.sparkContext.master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        named = tempfile.mkdtemp(prefix="labelloom-ckpt-")
     spark.sparkContext.setCheckpointDir(named)
     return named
 
