@@ -19,7 +19,8 @@ from labelloom.llm.common import annotate, arrow, chunks, column
 from labelloom.llm.words import Words, mix
 
 DIMS = 1 << 12
-KEPT_FROM = 0.5
+#: Rejected is only what is more likely than not by a good margin to be poor.
+KEPT_FROM = 0.3
 FOLD = np.arange(256, dtype=np.uint8)
 IS_WORD = np.ones(256, bool)
 IS_WORD[[0x20, *range(0x09, 0x0E)]] = False
