@@ -22,23 +22,31 @@ def _per_query():
     FROM (SELECT query_id, count(*) AS n_rel FROM qrels GROUP BY 1) n LEFT JOIN hits h ON h.query_id = n.query_id GROUP BY 1"""
 
 
-EVAL = dict(sim=SIM, preds=TOP.format(k=30), qrels=QRELS, hits=HITS, pq=_per_query())
+EVAL = dict(sim=SIM, preds=TOP.format(k=100), qrels=QRELS, hits=HITS, pq=_per_query())
 
 
-def qrels(spark, d):
-    """Other vectors of the same label; label 9 has no relevant items, so that some queries are not evaluable."""
+def relevant(spark, d):
+    """(query_id, n_rel): as many other vectors have the same label; label 9 has no relevant items, so that some queries are not evaluable."""
     v = t.v_vec(spark, d).where("label < 9").select("vec_id", "label")
-    a, b = v.select(F.col("vec_id").alias("query_id"), "label"), v.select(F.col("vec_id").alias("corpus_id"), "label")
-    return a.join(b, "label").where("query_id <> corpus_id").select("query_id", "corpus_id")
+    n = v.groupBy("label").agg((F.count(F.lit(1)) - 1).alias("n_rel")).where("n_rel > 0")
+    return v.join(n, "label").select(F.col("vec_id").alias("query_id"), "n_rel")
+
+
+def hits(spark, d, k):
+    """(query_id, rank) of the predictions with the label of the query."""
+    v = t.v_vec(spark, d).where("label < 9")
+    p = neighbours(spark, d, k).select("query_id", "corpus_id", "rank")
+    p = p.join(v.select(F.col("vec_id").alias("query_id"), F.col("label").alias("_q")), "query_id")
+    return p.join(v.select(F.col("vec_id").alias("corpus_id"), F.col("label").alias("_c")), "corpus_id").where("_q = _c").select("query_id", "rank")
 
 
 def per_query(spark, d):
-    return op.per_query_metrics(neighbours(spark, d, 30), qrels(spark, d))
+    return op.metrics_of_hits(hits(spark, d, 100), relevant(spark, d))
 
 
 @query("k1_evaluable_queries", sql("SELECT DISTINCT query_id FROM qrels", "v_vec", qrels=QRELS))
 def k1(spark, d):
-    return op.evaluable_queries(t.v_vec(spark, d).select(F.col("vec_id").alias("query_id")), qrels(spark, d))
+    return op.evaluable_queries(t.v_vec(spark, d).select(F.col("vec_id").alias("query_id")), relevant(spark, d))
 
 
 def _metric(key, prefix, names):

@@ -79,11 +79,14 @@ def i5(spark, d):
     return x.select("sample_id", joined("pos"), joined("neg"), "group_index", "group_size", "total_groups")
 
 
-@query("i6_compress_result", sql("SELECT sample_id, '[DryRun] komprimiert: ' || array_to_string(pos, ', ') AS query, array_to_string(pos, '|') AS pos, 'compress' AS augmentation FROM v_sample WHERE len(pos) > 1", "v_sample"))
+@query("i6_compress_result", sql("""SELECT sample_id, CASE WHEN left(query, 1) IN ('1', '2') THEN query ELSE rtrim('[DryRun] komprimiert: ' || array_to_string(pos, ', ')) END AS query, array_to_string(pos, '|') AS pos,
+    CASE WHEN left(query, 1) NOT IN ('1', '2') THEN 'compress' END AS augmentation, CASE WHEN left(query, 1) IN ('1', '2') THEN 'empty answer' END AS error FROM v_sample""", "v_sample"))
 def i6(spark, d):
-    s = t.v_sample(spark, d).where(F.size("pos") > 1)
-    answers = s.select("sample_id", op.dry_run_compress(F.col("pos")).alias("text"))
-    return op.compress_result(s, answers)[0].select("sample_id", "query", joined("pos"), "augmentation")
+    """Some answers are missing, some blank."""
+    s = t.v_sample(spark, d)
+    blank = F.when(F.col("query").startswith("2"), F.lit(" ")).otherwise(op.dry_run_compress(F.col("pos")))
+    good, failed = op.compress_result(s, s.where("query not like '1%'").select("sample_id", blank.alias("text")))
+    return good.select("sample_id", "query", joined("pos"), "augmentation").unionByName(failed.select("sample_id", "query", joined("pos"), "error"), allowMissingColumns=True)
 
 
 def _lit(s):
@@ -199,16 +202,17 @@ CUTS = """SELECT *, CASE WHEN n <= 400 THEN base WHEN length(bare) >= 240 AND le
     SELECT *, regexp_replace(substr(base, 1, 400), '{B}+$', '') AS head FROM (SELECT doc_id, regexp_replace(text, '^{B}+|{B}+$', '', 'g') AS base, source, length(regexp_replace(text, '^{B}+|{B}+$', '', 'g')) AS n FROM documents))))""".replace("{B}", BLANK)
 JUDGED = """SELECT *, CASE WHEN base = '' THEN 'blank' WHEN cut IS NULL THEN 'too long' WHEN contains(lower(cut), 'xx') OR (source = 'src1' AND contains(lower(cut), 'the')) THEN 'forbidden term'
     WHEN md5(lower(cut)) IN (SELECT md5(lower(query)) FROM v_real) THEN 'existing text' END AS r FROM cuts"""
-FINAL = "SELECT *, coalesce(r, CASE WHEN row_number() OVER (PARTITION BY r IS NULL, lower(cut) ORDER BY doc_id) > 1 THEN 'repeated text' END) AS reason FROM judged"
+FINAL = """SELECT *, reason IS NULL AND row_number() OVER (PARTITION BY doc_id // 8, reason IS NULL ORDER BY doc_id) = 1 AS first_survivor FROM (
+    SELECT *, coalesce(r, CASE WHEN row_number() OVER (PARTITION BY doc_id // 8, r IS NULL, lower(cut) ORDER BY doc_id) > 1 THEN 'repeated text' END) AS reason FROM judged)"""
 
 
-@query("i12_accept", sql("SELECT doc_id AS request_id, CASE WHEN reason IS NULL THEN md5(cut) END AS digest, reason AS reject_reason, reason IS NULL AS first_survivor FROM final", "v_real", cuts=CUTS, judged=JUDGED, final=FINAL))
+@query("i12_accept", sql("SELECT doc_id // 8 AS request_id, doc_id % 8 AS cand_no, CASE WHEN reason IS NULL THEN md5(cut) END AS digest, reason AS reject_reason, first_survivor FROM final", "v_real", cuts=CUTS, judged=JUDGED, final=FINAL))
 def i12(spark, d):
     x = t.v_text(spark, d).select(
-        F.col("doc_id").alias("request_id"), F.lit(1).alias("cand_no"), F.col("query").alias("text"),
+        F.floor(F.col("doc_id") / 8).alias("request_id"), (F.col("doc_id") % 8).alias("cand_no"), F.col("query").alias("text"),
         F.when(F.col("source") == "src1", F.array(F.lit("THE"), F.lit("xx"))).otherwise(F.array(F.lit("xx"), F.lit(""))).alias("forbidden"))
     out = op.accept(x, 400, t.v_real(spark, d).select(F.col("query").alias("text")))
-    return out.select("request_id", F.md5("accepted").alias("digest"), "reject_reason", "first_survivor")
+    return out.select("request_id", "cand_no", F.md5("accepted").alias("digest"), "reject_reason", "first_survivor")
 
 
 @query("i13_forbidden_mentions", sql("SELECT conv_id, turn, contains(lower(text), 'der') OR contains(lower(text), 'les') AS warned FROM v_response", "v_response"))
@@ -247,15 +251,17 @@ def i15(spark, d):
     return focused(spark, d).select("label", joined(negatives_for(unused, F.col("neg"), F.col("focus"), 4), "negatives"))
 
 
-@query("i16_fill_deficits")
+@query("i16_fill_deficits", "SELECT 0::BIGINT AS still_lacking, 0::BIGINT AS too_many, true AS all_distinct")
 def i16(spark, d):
-    """Dry run on the labels that lack a sample or two: after the rounds every label has its minimum."""
+    """Dry run: after the rounds every label has its minimum, and none was given more than it lacked."""
     s = t.v_sample(spark, d)
-    f = op.fill_deficits(s, t.v_doc(spark, d), 12, max_rounds=4)
-    after = s.select("pos").unionAll(f.samples.select("pos"))
-    rare = stats.rare_labels(stats.label_frequency(after), 12)
-    left = rare.agg(F.coalesce(F.sum("deficit"), F.lit(0)).alias("still_lacking"))
-    return f.samples.agg(F.count(F.lit(1)).alias("generated"), F.count_distinct("query").alias("distinct_texts")).withColumn("still_lacking", left.scalar())
+    before = stats.label_frequency(s)
+    f = op.fill_deficits(s, t.v_doc(spark, d), 12)
+    gained = f.samples.select(F.explode("pos").alias("label")).groupBy("label").agg(F.count(F.lit(1)).alias("g"))
+    x = before.join(gained, "label", "full").select(F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("g", F.lit(0)).alias("g"))
+    lack = x.agg(F.sum(F.greatest(F.lit(0), 12 - F.col("n") - F.col("g"))).cast("long").alias("still_lacking"), F.sum(F.when(F.col("g") > 0, F.greatest(F.lit(0), F.col("n") + F.col("g") - 12)).otherwise(0)).cast("long").alias("too_many"))
+    same = f.samples.agg((F.count("query") == F.count_distinct("query")).alias("all_distinct"))
+    return lack.withColumn("all_distinct", same.scalar())
 
 
 @query("i17_new_label_requests", sql("""SELECT label AS target, sample_no, label AS focus, 'llm_new_skill' AS source, label || ': ' || description AS description, array_to_string(occupations, '|') AS occupations

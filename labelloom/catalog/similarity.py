@@ -1,5 +1,5 @@
 """G: vector similarity, retrieval, embedding cache, negative mining."""
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from ..operators import similarity as op, stats
 from ..session import scratch_dir
@@ -20,7 +20,8 @@ def neighbours(spark, d, k):
 def vec_samples(spark, d):
     """Each vector as a query: pos = the 3 smallest ids of its label, neg = the 2 smallest ids of the next label."""
     v = t.v_vec(spark, d)
-    first = v.groupBy("label").agg(F.slice(F.array_sort(F.collect_list("vec_id")), 1, 3).alias("ids"))
+    nth = F.row_number().over(Window.partitionBy("label").orderBy("vec_id"))
+    first = v.select("label", "vec_id", nth.alias("n")).where("n <= 3").groupBy("label").agg(F.array_sort(F.collect_list("vec_id")).alias("ids"))
     text = (lambda c, n: F.transform(F.slice(c, 1, n), lambda x: x.cast("string")))
     pos = first.select("label", text(F.col("ids"), 3).alias("pos"))
     neg = first.select(F.pmod(F.col("label") - 1, F.lit(10)).cast("int").alias("label"), text(F.col("ids"), 2).alias("neg"))

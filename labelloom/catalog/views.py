@@ -14,7 +14,7 @@ VIEWS = {
         FROM v_sample_label JOIN orders ON sample_id = o_orderkey GROUP BY ALL""", ["v_sample_label"]),
     "v_skill": ("""SELECT label, max_by(p_type, p_partkey) AS description, max(p_partkey) AS row_no,
         max_by(p_size, p_partkey) AS size FROM v_item GROUP BY label""", ["v_item"]),
-    "v_skill_occ": ("SELECT DISTINCT label, l_suppkey AS occupation FROM lineitem JOIN v_item ON l_partkey = p_partkey WHERE l_quantity >= 46", ["v_item"]),
+    "v_skill_occ": ("SELECT DISTINCT label, l_suppkey AS occupation FROM lineitem JOIN v_item ON l_partkey = p_partkey", ["v_item"]),
     "v_skill_partial": ("SELECT * FROM v_skill WHERE size > 12", ["v_skill"]),
     "v_text": ("SELECT doc_id, text AS query, lang, source, n_chars FROM documents", []),
     "v_text_sample": ("SELECT doc_id AS sample_id, doc_id AS row_no, text AS query, [source] AS pos, [lang] AS neg FROM documents", []),
@@ -22,7 +22,7 @@ VIEWS = {
     "v_vec": ("SELECT CAST(vec_id AS VARCHAR) AS id, vec_id, CAST(embedding AS DOUBLE[]) AS vector, label FROM embeddings", []),
     "v_response": ("SELECT conv_id, turn, text FROM conversations WHERE role = 'assistant'", []),
     "v_doc": ("""SELECT a.label, a.description, coalesce(o.occupations, []) AS occupations FROM
-        (SELECT label, string_agg(t, ', ' ORDER BY t) AS description FROM (SELECT label, concat(p_type, ' part of size ', p_size) AS t FROM v_item) GROUP BY label) a
+        (SELECT label, string_agg(t, ', ' ORDER BY t) AS description FROM (SELECT DISTINCT label, concat(p_type, ' part of size ', p_size) AS t FROM v_item) GROUP BY label) a
         LEFT JOIN (SELECT label, list(CAST(occupation AS VARCHAR) ORDER BY CAST(occupation AS VARCHAR)) AS occupations FROM v_skill_occ GROUP BY label) o
         ON a.label = o.label""", ["v_item", "v_skill_occ"]),
     "v_kw": ("""SELECT * FROM (VALUES (1,'S1','ring'),(1,'S1','gear'),(2,'S2','bolt'),(2,'S2','rod'),(3,'K1','plate'),(3,'K1','anvil'),

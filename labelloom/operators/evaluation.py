@@ -28,6 +28,11 @@ def per_query_metrics(preds: DataFrame, qrels: DataFrame, queries: DataFrame | N
     if queries is not None:
         n_rel = n_rel.join(queries.select("query_id").distinct(), "query_id", "left_semi")
     hits = preds.where(F.col("rank") <= top).select("query_id", "corpus_id", "rank").join(rel, ["query_id", "corpus_id"])
+    return metrics_of_hits(hits.select("query_id", "rank"), n_rel, cuts, ndcg_k, mrr_k, map_k)
+
+
+def metrics_of_hits(hits: DataFrame, n_rel: DataFrame, cuts=CUTS, ndcg_k: int = 10, mrr_k: int = 10, map_k: int = 100) -> DataFrame:
+    """The same from (query_id, rank) of the relevant predictions and (query_id, n_rel): no table of relevant pairs is needed where relevance is a rule."""
     w = Window.partitionBy("query_id").orderBy("rank")
     hits = hits.withColumn("hit_no", F.row_number().over(w))
     aggs = [F.count_if(F.col("rank") <= k).alias(f"h{k}") for k in cuts]

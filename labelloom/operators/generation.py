@@ -5,7 +5,7 @@ import time
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.arrays import chunk_sequential, let, negatives_for, or_empty
 from ..functions.hashing import hash_order, hash_uniform
@@ -69,7 +69,8 @@ def generate(requests: DataFrame, backend: Callable[[], Callable[[str], str]] |
                 texts.append(text), states.append(state)
             yield pdf.assign(text=texts, status=states)
 
-    return requests.mapInPandas(run, schema)
+    spread = requests.repartition(F.xxhash64(F.col(prompt)))  # small rows would else be read, and asked for, by a single task
+    return spread.mapInPandas(run, schema)
 
 
 def prompt_log(requests: DataFrame, path: str) -> None:
@@ -120,7 +121,7 @@ def split_by_group(samples: DataFrame, groups: str = "groups", strategy: str = "
 
 def compress_result(samples: DataFrame, answers: DataFrame, key: str = "sample_id") -> tuple[DataFrame, DataFrame]:
     """(compressed, failed): the query is replaced; an empty or missing answer is an error row."""
-    x = samples.join(answers.select(key, strip(F.col("text")).alias("_t")), key)
+    x = samples.join(answers.select(key, strip(F.col("text")).alias("_t")), key, "left")
     ok = F.coalesce(F.col("_t"), F.lit("")) != ""
     good = x.where(ok).withColumn("query", F.col("_t")).withColumn("augmentation", F.lit("compress")).drop("_t")
     return good, x.where(~ok).drop("_t").withColumn("error", F.lit("empty answer"))
@@ -136,32 +137,50 @@ def forbidden_mentions(text: Column, labels: Column) -> Column:
 def accept(candidates: DataFrame, limit: int, existing: DataFrame | None = None) -> DataFrame:
     """Candidates + (accepted, reject_reason, first_survivor).
 
-    ``candidates``: request_id, cand_no, text, forbidden; ``existing``: text. Repeats are compared by lower
-    case, the first (request_id, cand_no) among otherwise good ones stays; that minimum combines on the map
-    side, so a text which a third of all candidates share is no hot spot.
+    ``candidates``: request_id, cand_no, text, forbidden and optionally focus (labels); ``existing``: text, with request_id if each
+    request has its own known texts. Repeats are compared by lower case, inside a request: the first stays. Between requests only the
+    first survivors count, and only where two requests share a focus label: the smaller request_id keeps the text, the other goes on to
+    its next candidate. Texts are joined by digest, only those that are good so far; minima combine on the map side.
     """
     base = strip_lead_in(strip(F.col("text")))
-    cut = cut_to_length(base, limit)
-    x = candidates.withColumn("_base", base).withColumn("_cut", cut).withColumn(
-        "_key", F.coalesce(F.md5(F.lower("_cut")), F.lit("")))  # never null, or the joins would filter on it and cut every text twice
+    x = candidates.withColumn("_base", base).withColumn("_cut", cut_to_length(base, limit))
     first = (F.when(F.col("_base") == "", "blank").when(F.col("_cut").isNull(), "too long")
              .when(contains_any(F.col("_cut"), or_empty(F.col("forbidden"))), "forbidden term"))
     x = x.withColumn("_r1", first)
+    keys = ["request_id", "cand_no"]
+    good = x.where(F.col("_r1").isNull()).select(*keys, F.md5(F.lower("_cut")).alias("_key"), *[c for c in ["focus"] if c in candidates.columns])
+    once = good.groupBy("request_id", "_key").agg(F.min("cand_no").alias("_w"))
     if existing is not None:
-        known = existing.select(F.md5(F.lower("text")).alias("_key")).distinct().withColumn("_known", F.lit(True))
-        x = x.join(known, "_key", "left")
+        on = [c for c in ["request_id"] if c in existing.columns] + ["_key"]
+        known = existing.withColumn("_key", F.md5(F.lower("text"))).select(*on).distinct().withColumn("_known", F.lit(True))
+        once = once.join(known, on, "left")
     else:
-        x = x.withColumn("_known", F.lit(None).cast("boolean"))
-    x = x.withColumn("_r2", F.coalesce("_r1", F.when(F.col("_known"), "existing text")))
-    winner = x.where(F.col("_r2").isNull()).groupBy("_key").agg(F.min(F.struct("request_id", "cand_no")).alias("_w"))
-    x = x.join(winner, "_key", "left")
-    reason = F.coalesce("_r2", F.when(F.struct("request_id", "cand_no") != F.col("_w"), "repeated text"))
-    x = x.withColumn("reject_reason", reason)
-    best = x.where(F.col("reject_reason").isNull()).groupBy("request_id").agg(F.min("cand_no").alias("_first"))
-    x = x.join(best, "request_id", "left")
-    ok = F.col("reject_reason").isNull()
-    return x.select(*candidates.columns, F.when(ok, F.col("_cut")).alias("accepted"), "reject_reason",
-                    (ok & (F.col("cand_no") == F.col("_first"))).alias("first_survivor"))
+        once = once.withColumn("_known", F.lit(None).cast("boolean"))
+    good = good.join(once, ["request_id", "_key"]).withColumn(
+        "_r2", F.when(F.col("_known"), "existing text").when(F.col("cand_no") > F.col("_w"), "repeated text")).drop("_known", "_w")
+    if "focus" in candidates.columns:
+        good = _settle_requests(good)
+    best = good.where(F.col("_r2").isNull()).groupBy("request_id").agg(F.min("cand_no").alias("_first"))
+    x = x.join(good.select(*keys, "_r2"), keys, "left").join(best, "request_id", "left")
+    reason = F.coalesce("_r1", "_r2")
+    return x.select(*candidates.columns, F.when(reason.isNull(), F.col("_cut")).alias("accepted"), reason.alias("reject_reason"),
+                    (reason.isNull() & F.coalesce(F.col("cand_no") == F.col("_first"), F.lit(False))).alias("first_survivor"))
+
+
+def _settle_requests(good: DataFrame) -> DataFrame:
+    """Rejects first survivors that a smaller request with a common focus label has already, until none is left. A round only decides
+    against requests that are not in dispute themselves."""
+    good = cut_lineage(good)
+    while True:
+        alive = good.where(F.col("_r2").isNull())
+        best = alive.groupBy("request_id").agg(F.min_by(F.struct("cand_no", "_key", "focus"), "cand_no").alias("s"))
+        each = best.select("request_id", "s.cand_no", "s._key", F.explode("s.focus").alias("label"))
+        owner = each.groupBy("label", "_key").agg(F.min("request_id").alias("_owner"))
+        lost = cut_lineage(each.join(owner, ["label", "_key"]).where("request_id > _owner").groupBy("request_id", "cand_no").agg(F.min("_owner").alias("_owner")))
+        if lost.isEmpty():
+            return good
+        decided = lost.join(lost.select(F.col("request_id").alias("_owner")).distinct(), "_owner", "left_anti").select("request_id", "cand_no", F.lit("repeated text").alias("_r3"))
+        good = cut_lineage(good.join(decided, ["request_id", "cand_no"], "left").withColumn("_r2", F.coalesce("_r2", "_r3")).drop("_r3"))
 
 
 # --- rare labels ----------------------------------------------------------------------------------
@@ -235,25 +254,30 @@ class Filled:
     rounds: int
 
 
-def fill_deficits(samples: DataFrame, skills: DataFrame, minimum: int, backend=None, max_rounds: int = 12, max_group: int = 3,
+def fill_deficits(samples: DataFrame, skills: DataFrame, minimum: int, backend=None, attempts: int = 4, max_group: int = 3,
                   max_negatives: int = 8, max_chars: int = 400, seed: int = 42, log_path: str | None = None) -> Filled:
     """Generate for rare labels until none is below the minimum.
 
-    The reference behaviour asks one label at a time; here a round asks for every open label at once, accepts,
-    and recounts. A round asks each label once, so ``max_rounds`` plays the part of the attempt limit. Answers
+    A round asks for open labels at once: of the requests, in md5 order, those whose focus labels would not get more texts than they
+    lack. It accepts and recounts. Each label gets one text of its own at most in a round, so there are as many rounds as the largest
+    deficit, times ``attempts`` for answers that are refused; what is then still open is ``leftover``. Answers
     are checkpointed, so a lost executor does not ask again for what later rounds already use.
     """
     open_labels = cut_lineage(rare_labels(label_frequency(samples), minimum).select("label", "deficit"))
-    current, made, rounds = samples.select("sample_id", "row_no", "query", "pos", "neg"), None, 0
-    while rounds < max_rounds and not open_labels.isEmpty():
-        requests, queries = rare_requests(samples, open_labels, skills, rounds, max_group, max_negatives, max_chars, seed)
+    most = open_labels.agg(F.max("deficit")).first()[0] or 0
+    made, rounds = None, 0
+    current = samples.select("sample_id", "row_no", "query", "pos", "neg")
+    while rounds < attempts * most and not open_labels.isEmpty():
+        requests, queries = rare_requests(current, open_labels, skills, rounds, max_group, max_negatives, max_chars, seed)
+        requests = cut_lineage(within_deficits(requests, open_labels, seed + rounds))
         if log_path:
             prompt_log(requests, log_path)
         answers = cut_lineage(generate(requests, backend, dry_run_text(F.array_join("focus", " "), rounds + 1)))
-        taken = queries.select(F.col("query").alias("text"))
+        taken = queries.join(requests.select("request_id"), "request_id", "left_semi").select("request_id", F.col("query").alias("text"))
         if made is not None:
-            taken = taken.unionByName(made.select(F.col("query").alias("text")))
-        cand = answers.where("status = 'ok'").select("request_id", F.lit(1).alias("cand_no"), "text", F.col("avoid").alias("forbidden"))
+            own = requests.select("request_id", F.explode("focus").alias("label"))
+            taken = taken.unionByName(own.join(made.select(F.explode("pos").alias("label"), F.col("query").alias("text")), "label").select("request_id", "text"))
+        cand = answers.where("status = 'ok'").select("request_id", F.lit(1).alias("cand_no"), "text", F.col("avoid").alias("forbidden"), "focus")
         good = accept(cand, max_chars, taken).where("first_survivor").select("request_id", F.col("accepted").alias("query"))
         new = cut_lineage(answers.join(good, "request_id").select(
             "query", F.col("focus").alias("pos"), F.col("avoid").alias("neg"), "label", "scenario", F.lit(SOURCE_RARE).alias("source")))
@@ -267,6 +291,15 @@ def fill_deficits(samples: DataFrame, skills: DataFrame, minimum: int, backend=N
     return Filled(made, open_labels, rounds)
 
 
+def within_deficits(requests: DataFrame, deficits: DataFrame, seed: int) -> DataFrame:
+    """The requests of which, for every focus label, no more come before them in md5 order than the label lacks. At least one stays."""
+    order = hash_order(seed, F.col("request_id"))
+    each = requests.select("request_id", F.explode("focus").alias("label")).withColumn("_k", order)
+    nth = F.row_number().over(Window.partitionBy("label").orderBy("_k", "request_id"))
+    over = each.withColumn("_n", nth).join(deficits.select("label", "deficit"), "label").where("_n > deficit")
+    return requests.join(over.select("request_id").distinct(), "request_id", "left_anti")
+
+
 # --- new labels -----------------------------------------------------------------------------------
 
 def new_label_requests(targets: DataFrame, skills: DataFrame, per_label: int = 3, companions: DataFrame | None = None,

@@ -36,7 +36,7 @@ def tiled(left: DataFrame, left_id: str, right: DataFrame, right_id: str,
     spark = left.sparkSession
     cores = spark.sparkContext.defaultParallelism
     n_rows, n_cols = grid(*(rows or (left.count(), right.count())), tile_rows, cores)
-    n = min(n_rows * n_cols, max(cores, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    n = n_rows * n_cols
 
     def spread(df, mine, own, n_own, other, n_other):
         # fresh column identities: both sides may come from one DataFrame

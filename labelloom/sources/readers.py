@@ -2,7 +2,7 @@
 
 Every reader attaches ``row_no`` = (file, block, seq). ``monotonically_increasing_id`` is taken directly
 above the scan and only ever compared within one block of one file, so it does not depend on how Spark
-packs files into tasks. Malformed records go to a second DataFrame instead of failing the job.
+packs files into tasks. ``sample_id`` is the digest of the content and its number among equal contents, so neither packing nor paths change it. Malformed records go to a second DataFrame instead of failing the job.
 """
 from __future__ import annotations
 
@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from .. import schemas as S
 from ..functions.arrays import or_empty
 from ..functions.payloads import parse_occupations
+from ..functions.ranking import running_before
 from ..functions.text import strip
 
 BAD = "_bad"
@@ -44,9 +45,10 @@ def parse_meta(c: Column) -> Column:
 def _samples(raw: DataFrame) -> Loaded:
     # Spark refuses to read the corrupt-record column alone, so the record also names a data column
     bad = raw.where(F.col(BAD).isNotNull()).select("row_no", F.coalesce(BAD, "query").alias("record"))
-    row_id = F.concat_ws("#", "row_no.file", "row_no.block", "row_no.seq")
-    good = raw.where(F.col(BAD).isNull()).select(
-        F.md5(row_id).alias("sample_id"), "row_no", "query", "pos", "neg", parse_meta(F.col("meta")).alias("meta"))
+    good = raw.where(F.col(BAD).isNull()).withColumn("_content", F.md5(F.to_json(F.struct("query", "pos", "neg", "meta"))))
+    good = running_before(good, ["_content"], F.struct("row_no.file", "row_no.block"), [F.col("row_no.seq")], {"_before": F.lit(1).cast("long")})
+    good = good.select(
+        F.md5(F.concat_ws("#", "_content", "_before")).alias("sample_id"), "row_no", "query", "pos", "neg", parse_meta(F.col("meta")).alias("meta"))
     return Loaded(good, bad)
 
 

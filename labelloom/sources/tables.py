@@ -47,7 +47,7 @@ def v_skill(spark, d):
 
 
 def v_skill_occ(spark, d):
-    lines = table(spark, d, "lineitem").where("l_quantity >= 46").select("l_partkey", "l_suppkey")
+    lines = table(spark, d, "lineitem").select("l_partkey", "l_suppkey")
     return (lines.join(v_item(spark, d), F.col("l_partkey") == F.col("p_partkey"))
             .select("label", F.col("l_suppkey").alias("occupation")).distinct())
 
@@ -92,8 +92,8 @@ TEXT_KEYWORDS = [  # the same for v_text
 
 
 def v_doc(spark, d):
-    """Label documents with a description that lists the parts of the label, and suppliers as occupations."""
-    parts = v_item(spark, d).groupBy("label").agg(F.array_join(F.array_sort(F.collect_list(
+    """Label documents with a description that lists the kinds of parts of the label, and suppliers as occupations."""
+    parts = v_item(spark, d).groupBy("label").agg(F.array_join(F.array_sort(F.collect_set(
         F.concat("p_type", F.lit(" part of size "), F.col("p_size").cast("string")))), ", ").alias("description"))
     occ = v_skill_occ(spark, d).groupBy("label").agg(
         F.array_sort(F.collect_list(F.col("occupation").cast("string"))).alias("occupations"))

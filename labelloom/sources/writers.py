@@ -1,17 +1,14 @@
-"""Sinks: JSON Lines in many part files, a pretty array for small reports, versioned result tables."""
+"""Sinks: JSON Lines or arrays in many part files, versioned result tables."""
 from __future__ import annotations
 
-import json
 import os
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import schemas as S
 from .readers import read_samples
 
-REPORT_ROWS = 10_000
-
-
 def sample_objects(df: DataFrame) -> DataFrame:
     """The stored fields of a sample; null fields of meta are not written."""
     columns = [c for c in ("query", "pos", "neg", "meta") if c in df.columns]
@@ -23,15 +20,20 @@ def sample_objects(df: DataFrame) -> DataFrame:
 
 
 def write_samples(df: DataFrame, path: str, fmt: str = "jsonl", mode: str = "errorifexists") -> None:
-    """JSON Lines through the executors; ``fmt='array'`` is an export of small results only."""
+    """JSON Lines or, with ``fmt='array'``, one valid array in each part file; both through the executors."""
     if fmt == "jsonl":
         sample_objects(df).write.mode(mode).option("ignoreNullFields", True).json(path)
         return
-    rows = sample_objects(df).select(F.to_json(F.struct("*")).alias("j")).limit(REPORT_ROWS + 1).collect()
-    if len(rows) > REPORT_ROWS:
-        raise ValueError(f"more than {REPORT_ROWS} rows: write JSON Lines instead of one array")
-    with open(path, "w", encoding="utf-8") as out:
-        json.dump([json.loads(r.j) for r in rows], out, ensure_ascii=False, indent=2)
+
+    def bracketed(batches):
+        lead = "["
+        for batch in batches:
+            lines = batch.column(0).to_pylist()
+            yield pa.RecordBatch.from_arrays([pa.array([("," if i else lead) + line for i, line in enumerate(lines)], pa.string())], names=["value"])
+            lead = "," if lines else lead
+        yield pa.RecordBatch.from_arrays([pa.array(["[]" if lead == "[" else "]"], pa.string())], names=["value"])
+
+    sample_objects(df).select(F.to_json(F.struct("*")).alias("j")).mapInArrow(bracketed, "value string").write.mode(mode).text(path)
 
 
 def convert_to_jsonl(spark: SparkSession, source, target: str) -> None:

@@ -49,7 +49,20 @@ def test_write_round_trip(spark, tmp_path):
     back = readers.read_jsonl(spark, str(tmp_path / "out")).rows
     assert sorted((r.query, tuple(r.pos), tuple(r.neg)) for r in back.collect()) == [("b", (), ("n",)), ("ä", ("x",), ())]
     writers.write_samples(df, str(tmp_path / "arr.json"), fmt="array")
-    assert len(json.load(open(tmp_path / "arr.json", encoding="utf-8"))) == 2
+    parts = [json.loads(p.read_text(encoding="utf-8")) for p in (tmp_path / "arr.json").glob("part-*")]
+    assert sorted(x["query"] for part in parts for x in part) == ["b", "ä"]
+    assert readers.read_samples(spark, str(tmp_path / "arr.json")).rows.count() == 2
+
+
+def test_sample_ids_do_not_depend_on_packing(spark, tmp_path):
+    for n in range(4):
+        (tmp_path / f"f{n}.jsonl").write_text("".join(json.dumps({"query": f"q{i % 7}", "pos": ["a"], "neg": []}) + "\n" for i in range(20)), encoding="utf-8")
+    name, found = "spark.sql.files.maxPartitionBytes", []
+    for size in ("128m", "200"):
+        spark.conf.set(name, size)
+        found.append(sorted(r.sample_id for r in readers.read_jsonl(spark, str(tmp_path)).rows.collect()))
+    spark.conf.unset(name)
+    assert found[0] == found[1] and len(set(found[0])) == 80
 
 
 def test_skills_csv_last_wins(spark, tmp_path):
@@ -309,23 +322,32 @@ def test_accept(spark):
     known = spark.createDataFrame([("schon DA",)], "text string")
     got = {(r.request_id, r.cand_no): r for r in generation.accept(cand, 50, known).collect()}
     assert got[(1, 1)].accepted == "Guter Text" and got[(1, 1)].first_survivor and not got[(1, 2)].first_survivor
-    assert [got[(i, 1)].reject_reason for i in (2, 3, 4, 5, 6)] == ["repeated text", "forbidden term", "blank", "too long", "existing text"]
+    assert [got[(i, 1)].reject_reason for i in (2, 3, 4, 5, 6)] == [None, "forbidden term", "blank", "too long", "existing text"]
+
+
+def test_accept_between_requests(spark):
+    rows = [(1, 1, "alpha", ["x"]), (1, 2, "beta", ["x"]), (1, 3, "Alpha", ["x"]), (2, 1, "beta", ["x", "y"]), (3, 1, "alpha", ["z"]), (4, 1, "BETA", ["y"]), (4, 2, "gamma", ["y"]), (5, 1, "gamma", ["y"]), (5, 2, "delta", ["y"])]
+    cand = spark.createDataFrame([(*r[:3], [], r[3]) for r in rows], "request_id int, cand_no int, text string, forbidden array<string>, focus array<string>")
+    known = spark.createDataFrame([(3, "delta"), (5, "nothing")], "request_id int, text string")
+    got = {(r.request_id, r.cand_no): (r.reject_reason, r.first_survivor) for r in generation.accept(cand, 50, known).collect()}
+    assert got == {(1, 1): (None, True), (1, 2): (None, False), (1, 3): ("repeated text", False), (2, 1): (None, True), (3, 1): (None, True),
+                   (4, 1): ("repeated text", False), (4, 2): (None, True), (5, 1): ("repeated text", False), (5, 2): (None, True)}
 
 
 def test_compress_result_reports_empty_answers(spark):
-    df = samples(spark, [("long", ["a"], []), ("other", ["b"], [])])
+    df = samples(spark, [("long", ["a"], []), ("other", ["b"], []), ("never answered", ["c"], [])])
     answers = spark.createDataFrame([(0, " kurz "), (1, " ")], "sample_id long, text string")
     good, failed = generation.compress_result(df, answers)
-    assert good.first().query == "kurz" and failed.first().error == "empty answer"
+    assert good.first().query == "kurz" and sorted((r.query, r.error) for r in failed.collect()) == [("never answered", "empty answer"), ("other", "empty answer")]
 
 
 def test_fill_deficits_reaches_the_minimum(spark):
     df = samples(spark, [("q1", ["lab-a", "lab-b"], ["neg-1"]), ("q2", ["lab-a"], []), ("q3", ["lab-c", "lab-a"], [])])
     skills = spark.createDataFrame([("lab-b", "beta", ["job"])], "label string, description string, occupations array<string>")
-    f = generation.fill_deficits(df, skills, 3, max_rounds=6)
+    f = generation.fill_deficits(df, skills, 3)
     assert f.leftover.count() == 0
     after = df.select("pos").unionAll(f.samples.select("pos"))
-    assert all(r.n >= 3 for r in stats.label_frequency(after).collect())
+    assert all(r.n == 3 for r in stats.label_frequency(after).collect())
 
 
 # --- evaluation -----------------------------------------------------------------------------------
