@@ -205,12 +205,12 @@ def h13(spark, d):
     return x.select("label", "sample_no", op.assign_scenario(F.col("label"), F.col("sample_no")).alias("scenario"))
 
 
-@query("h14_shuffle", sql("SELECT sample_id, row_number() OVER (ORDER BY md5('42|' || sample_id), sample_id) AS place FROM v_sample WHERE len(pos) > 0", "v_sample"))
+@query("h14_shuffle", sql("SELECT sample_id, row_number() OVER (ORDER BY md5('42|' || sample_id), sample_id) AS place FROM v_sample", "v_sample"))
 def h14(spark, d):
     """The place is attached by the ranks of the md5 order, so that the order itself is compared."""
     from ..functions.hashing import hash_order
     from ..functions.ranking import running_before
-    x = op.shuffle(t.v_sample(spark, d).where(F.size("pos") > 0).select("sample_id"))
+    x = op.shuffle(t.v_sample(spark, d).select("sample_id"))
     h = x.withColumn("h", hash_order(42, F.col("sample_id")))
     placed = running_before(h, [], F.conv(F.substring("h", 1, 2), 16, 10).cast("int"), [F.col("h"), F.col("sample_id")], {"place": F.lit(1).cast("long")})
     return placed.select("sample_id", (F.col("place") + 1).alias("place"))

@@ -133,11 +133,11 @@ def f10(spark, d):
     return rounded(op.type_balance(op.category_distribution(combined(spark, d))))
 
 
-@query("f11_dominant_category", sql("""SELECT sample_id, code FROM (SELECT *, row_number() OVER (PARTITION BY sample_id ORDER BY n DESC, p) AS r FROM
-    (SELECT sample_id, string_split(coarse_label, ' ')[2] AS code, count(*) AS n, min(pos_no) AS p FROM v_sample_label WHERE NOT is_neg GROUP BY ALL)) WHERE r = 1""", "v_sample_label"))
+@query("f11_dominant_category", sql("""SELECT v_sample.sample_id, code FROM v_sample LEFT JOIN (SELECT *, row_number() OVER (PARTITION BY sample_id ORDER BY n DESC, p) AS r FROM
+    (SELECT sample_id, string_split(coarse_label, ' ')[2] AS code, count(*) AS n, min(pos_no) AS p FROM v_sample_label WHERE NOT is_neg GROUP BY ALL)) x ON x.sample_id = v_sample.sample_id AND r = 1""", "v_sample", "v_sample_label"))
 def f11(spark, d):
     codes = F.transform("pos", lambda l: F.element_at(F.split(l, " "), 2))
-    return t.v_sample(spark, d).where(F.size("pos") > 0).select("sample_id", op.dominant_category(codes).alias("code"))
+    return t.v_sample(spark, d).select("sample_id", op.dominant_category(codes).alias("code"))
 
 
 W = words("text")
@@ -155,9 +155,9 @@ def f12(spark, d):
 
 
 @query("f13_positive_count_bucket", sql("""SELECT sample_id, CASE WHEN len(pos) = 1 THEN 'Single (1)' WHEN len(pos) <= 3 THEN 'Few (2-3)' WHEN len(pos) <= 5 THEN 'Several (4-5)' ELSE 'Many (6-10)' END AS bucket
-    FROM v_sample WHERE len(pos) > 0""", "v_sample"))
+    FROM v_sample""", "v_sample"))
 def f13(spark, d):
-    return t.v_sample(spark, d).where(F.size("pos") > 0).select("sample_id", tx.positive_count_bucket(F.size("pos")).alias("bucket"))
+    return t.v_sample(spark, d).select("sample_id", tx.positive_count_bucket(F.size("pos")).alias("bucket"))
 
 
 @query("f14_length_bucket", f"""SELECT doc_id, CASE WHEN {W} <= a THEN 'short' WHEN {W} <= b THEN 'medium' ELSE 'long' END AS bucket

@@ -42,10 +42,10 @@ def i2(spark, d):
     return t.v_text(spark, d).select("doc_id", tx.route(tx.token_count(F.col("query")), p).alias("route"))
 
 
-@query("i3_chunk_sequential", sql("""SELECT sample_id, string_agg(c, ' / ' ORDER BY i) AS chunks FROM (SELECT sample_id, (p - 1) // 3 AS i, string_agg(l, '|' ORDER BY p) AS c FROM
-    (SELECT sample_id, unnest(pos) AS l, generate_subscripts(pos, 1) AS p FROM v_sample) GROUP BY ALL) GROUP BY 1""", "v_sample"))
+@query("i3_chunk_sequential", sql("""SELECT v_sample.sample_id, coalesce(chunks, '') AS chunks FROM v_sample LEFT JOIN (SELECT sample_id, string_agg(c, ' / ' ORDER BY i) AS chunks FROM (SELECT sample_id, (p - 1) // 3 AS i, string_agg(l, '|' ORDER BY p) AS c FROM
+    (SELECT sample_id, unnest(pos) AS l, generate_subscripts(pos, 1) AS p FROM v_sample) GROUP BY ALL) GROUP BY 1) x ON x.sample_id = v_sample.sample_id""", "v_sample"))
 def i3(spark, d):
-    return t.v_sample(spark, d).where(F.size("pos") > 0).select("sample_id", chunked(chunk_sequential(F.col("pos"), 3)).alias("chunks"))
+    return t.v_sample(spark, d).select("sample_id", chunked(chunk_sequential(F.col("pos"), 3)).alias("chunks"))
 
 
 def grouped(spark, d):
@@ -103,9 +103,9 @@ def i7(spark, d):
 
 
 @query("i7_cluster_prompt", sql(f"""SELECT sample_id, md5({_lit('Zu gruppierende Kompetenzen:' + chr(10))} || array_to_string(list_transform(pos, lambda x: '- ' || x), {NL}) ||
-    {_lit(chr(10) + pr.TASK + chr(10) + chr(10).join(pr.CLUSTER).replace('{n}', '3'))}) AS digest FROM v_sample WHERE len(pos) > 0""", "v_sample"))
+    {_lit(chr(10) + pr.TASK + chr(10) + chr(10).join(pr.CLUSTER).replace('{n}', '3'))}) AS digest FROM v_sample""", "v_sample"))
 def i7b(spark, d):
-    return t.v_sample(spark, d).where(F.size("pos") > 0).select("sample_id", F.md5(pr.cluster_prompt(F.col("pos"), 3)).alias("digest"))
+    return t.v_sample(spark, d).select("sample_id", F.md5(pr.cluster_prompt(F.col("pos"), 3)).alias("digest"))
 
 
 @query("i7_group_prompt", sql(f"""SELECT sample_id, md5('Fokus-Kompetenzen: ' || {SORTED.format(c='pos')} || {NL} || 'Zu vermeidende Kompetenzen: ' || {SORTED.format(c='neg')} ||

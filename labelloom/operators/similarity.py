@@ -185,7 +185,7 @@ def rerank(preds: DataFrame, scorer: Callable[[], Callable[[list[str], list[str]
                 model = scorer()
             yield pdf.assign(score=np.asarray(model(list(pdf[query_text]), list(pdf[title])), dtype=float))
 
-    scored = base.mapInPandas(run, fields)
+    scored = base.repartition(F.xxhash64("query_id", "corpus_id")).mapInPandas(run, fields)  # few rows would else be scored by a single task
     w = Window.partitionBy("query_id").orderBy(F.desc("score"), "corpus_id")
     return scored.withColumn("rank", F.row_number().over(w))
 
