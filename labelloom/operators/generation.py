@@ -143,12 +143,13 @@ def accept(candidates: DataFrame, limit: int, existing: DataFrame | None = None)
     its next candidate. Texts are joined by digest, only those that are good so far; minima combine on the map side.
     """
     base = strip_lead_in(strip(F.col("text")))
+    keys = ["request_id", "cand_no"]
     x = candidates.withColumn("_base", base).withColumn("_cut", cut_to_length(base, limit))
     first = (F.when(F.col("_base") == "", "blank").when(F.col("_cut").isNull(), "too long")
              .when(contains_any(F.col("_cut"), or_empty(F.col("forbidden"))), "forbidden term"))
-    x = x.withColumn("_r1", first)
-    keys = ["request_id", "cand_no"]
-    good = x.where(F.col("_r1").isNull()).select(*keys, F.md5(F.lower("_cut")).alias("_key"), *[c for c in ["focus"] if c in candidates.columns])
+    # texts are judged once; from here on only digests move
+    judged = cut_lineage(x.select(*keys, first.alias("_r1"), F.md5(F.lower("_cut")).alias("_key"), *[c for c in ["focus"] if c in candidates.columns]))
+    good = judged.where(F.col("_r1").isNull()).drop("_r1")
     once = good.groupBy("request_id", "_key").agg(F.min("cand_no").alias("_w"))
     if existing is not None:
         on = [c for c in ["request_id"] if c in existing.columns] + ["_key"]
@@ -158,13 +159,13 @@ def accept(candidates: DataFrame, limit: int, existing: DataFrame | None = None)
         once = once.withColumn("_known", F.lit(None).cast("boolean"))
     good = good.join(once, ["request_id", "_key"]).withColumn(
         "_r2", F.when(F.col("_known"), "existing text").when(F.col("cand_no") > F.col("_w"), "repeated text")).drop("_known", "_w")
-    if "focus" in candidates.columns:
-        good = _settle_requests(good)
+    good = _settle_requests(good) if "focus" in candidates.columns else cut_lineage(good)
     best = good.where(F.col("_r2").isNull()).groupBy("request_id").agg(F.min("cand_no").alias("_first"))
-    x = x.join(good.select(*keys, "_r2"), keys, "left").join(best, "request_id", "left")
+    verdict = judged.select(*keys, "_r1").join(good.select(*keys, "_r2"), keys, "left").join(best, "request_id", "left")
     reason = F.coalesce("_r1", "_r2")
-    return x.select(*candidates.columns, F.when(reason.isNull(), F.col("_cut")).alias("accepted"), reason.alias("reject_reason"),
-                    (reason.isNull() & F.coalesce(F.col("cand_no") == F.col("_first"), F.lit(False))).alias("first_survivor"))
+    return candidates.join(verdict, keys, "left").select(
+        *candidates.columns, F.when(reason.isNull(), cut_to_length(base, limit)).alias("accepted"), reason.alias("reject_reason"),
+        (reason.isNull() & F.coalesce(F.col("cand_no") == F.col("_first"), F.lit(False))).alias("first_survivor"))
 
 
 def _settle_requests(good: DataFrame) -> DataFrame:
