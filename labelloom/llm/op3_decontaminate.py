@@ -6,8 +6,9 @@ of its shingles, so joining on the rarest alone (the prefix of that order; of le
 its offset in the window gives the only possible place; windows that would reach over either end of the text go (length and positional
 bounds), the others are compared word by word.
 
-The benchmark is the stated query set. It is read in blocks of about ``block_bytes`` each, which bounds what is broadcast; documents are never
-shuffled, and each is read whole. Null or empty texts: no words, nothing hit. Items without id or words match nothing. Several rows with one
+The benchmark is the stated query set. Up to ``block_bytes`` of it are one broadcast, and documents are not shuffled. A larger one is worked on in
+blocks of that size, one after the other: each block's hits are kept by digest of the text (checkpoint), its broadcast is given up before the next one,
+and the hits of all blocks are joined to the documents at the end. So no process holds more than one block, however large the benchmark. Each text is read whole. Null or empty texts: no words, nothing hit. Items without id or words match nothing. Several rows with one
 item_id: their windows belong to that one item. Repeated documents get equal results; other columns pass through.
 """
 from __future__ import annotations
@@ -22,6 +23,7 @@ from pyspark.sql import types as T
 
 from labelloom.llm.common import annotate, arrow, chunks, column
 from labelloom.llm.words import Words
+from labelloom.session import cut_lineage
 
 WINDOW, SHINGLE = 13, 4
 FOLD = np.arange(256, dtype=np.uint8)
@@ -40,10 +42,11 @@ class Block:
 
     def __init__(self, items: list[tuple[str, str]], window: int, shingle: int):
         held: dict[tuple[bytes, ...], set[str]] = defaultdict(set)
+        one: dict[bytes, bytes] = {}  # a word that comes again is held once
         for item, text in items:
             raw = np.frombuffer((text or "").encode(), np.uint8)
             w = tokens(raw, np.array([0, len(raw)]))
-            words = [w.text(i) for i in range(len(w))]
+            words = [one.setdefault(x, x) for x in (w.text(i) for i in range(len(w)))]
             for i in range(max(1, len(words) - window + 1) if words else 0):
                 held[tuple(words[i:i + window])].add(item)
         self.windows = sorted(held)
@@ -102,34 +105,56 @@ class Block:
                         yield d, begin, len(window), n
 
 
-def blocks(docs: DataFrame, items: DataFrame, window: int, shingle: int, block_bytes: int, text: str) -> list:
-    """Broadcasts of the benchmark's blocks, each with its rarest shingles chosen by their frequency in all documents."""
-    rows = items.select(F.col("item_id").cast("string").alias("item"), F.col("text").alias("text")).filter("item is not null and text is not null")
-    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = max(1, -(-size // block_bytes))
-    out, context = [], docs.sparkSession.sparkContext
-    for b in range(n):
-        some = rows.filter(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == b) if n > 1 else rows
-        block = Block([(r["item"], r["text"]) for r in some.toLocalIterator()], window, shingle)
-        if not block.windows:
-            continue
-        shared = context.broadcast(block)
-
-        def count(batches, shared=shared):
-            found: dict[int, np.ndarray] = {k: np.zeros(len(x), np.int64) for k, x in shared.value.keys.items()}
-            for batch in batches:
-                for _, data, offsets in chunks(batch.column(0)):
-                    for k, _, place in shared.value.occurring(tokens(data, offsets)):
-                        found[k] += np.bincount(place, minlength=len(found[k]))
-            for k, n in found.items():
-                at = np.flatnonzero(n)
-                yield pa.RecordBatch.from_arrays([pa.array([k] * len(at), pa.int32()), pa.array(shared.value.keys[k][at].view(np.int64)), pa.array(n[at])], names=["k", "h", "n"])
-
-        counted = arrow(docs.select(text), count, "k int, h long, n long").groupBy("k", "h").agg(F.sum("n").alias("n"))
-        block.choose({(r["k"], r["h"] & 0xFFFFFFFFFFFFFFFF): r["n"] for r in counted.toLocalIterator()})
-        shared.unpersist()
-        out.append(context.broadcast(block))
-    return out
+def ready(docs: DataFrame, rows: DataFrame, window: int, shingle: int, text: str):
+    """Broadcast of the windows of ``rows`` (item, text), each with its rarest shingle by the frequencies in all documents."""
+    context = docs.sparkSession.sparkContext
+    block = Block([(r["item"], r["text"]) for r in rows.toLocalIterator()], window, shingle)
+    if not block.windows:
+        return None
+    shared = context.broadcast(block)
+
+    def count(batches):
+        found: dict[int, np.ndarray] = {k: np.zeros(len(x), np.int64) for k, x in shared.value.keys.items()}
+        for batch in batches:
+            for _, data, offsets in chunks(batch.column(0)):
+                for k, _, place in shared.value.occurring(tokens(data, offsets)):
+                    found[k] += np.bincount(place, minlength=len(found[k]))
+        for k, n in found.items():
+            at = np.flatnonzero(n)
+            yield pa.RecordBatch.from_arrays([pa.array([k] * len(at), pa.int32()), pa.array(shared.value.keys[k][at].view(np.int64)), pa.array(n[at])], names=["k", "h", "n"])
+
+    counted = arrow(docs.select(text), count, "k int, h long, n long").groupBy("k", "h").agg(F.sum("n").alias("n"))
+    block.choose({(r["k"], r["h"] & 0xFFFFFFFFFFFFFFFF): r["n"] for r in counted.toLocalIterator()})
+    shared.unpersist()
+    return context.broadcast(block)
+
+
+def marked(w: Words, block: Block) -> tuple[np.ndarray, dict[int, set[str]]]:
+    """Which words are hit, and the items of each text that holds one of their windows."""
+    edge, names = np.zeros(len(w) + 1, np.int64), defaultdict(set)
+    for d, begin, length, n in block.matches(w):
+        edge[begin] += 1
+        edge[begin + length] -= 1
+        names[d].update(block.items[n])
+    return np.cumsum(edge)[:len(w)] > 0, names
+
+
+def spans_of(docs: DataFrame, shared, text: str) -> DataFrame:
+    """(key, spans, items) of each different text with a match: digest, first and end word of its hit runs in turn, items. Kept by a checkpoint."""
+    def run(batches):
+        for batch in batches:
+            rows = []
+            for first, data, offsets in chunks(batch.column(1)):
+                w = tokens(data, offsets)
+                hit, names = marked(w, shared.value)
+                for d, some in names.items():
+                    flags = hit[w.first[d]:w.first[d + 1]]
+                    rows.append((batch.column(0)[first + d].as_py(), np.flatnonzero(np.diff(np.concatenate([[0], flags, [0]]))), sorted(some)))
+            kinds = (pa.string(), pa.list_(pa.int64()), pa.list_(pa.string()))
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)], names=["key", "spans", "items"])
+
+    rows = docs.filter(F.col(text).isNotNull()).select(F.sha2(text, 256).alias("key"), text)
+    return cut_lineage(arrow(rows, run, "key string, spans array<long>, items array<string>").dropDuplicates(["key"]))
 
 
 FIELDS = [("n_words", T.LongType()), ("n_hit", T.LongType()), ("n_items", T.LongType()), ("items_sha256", T.StringType()), ("contaminated", T.BooleanType())]
@@ -137,29 +162,56 @@ FIELDS = [("n_words", T.LongType()), ("n_hit", T.LongType()), ("n_items", T.Long
 
 def overlaps(docs: DataFrame, items: DataFrame, text: str = "text", prefix: str = "", window: int = WINDOW, shingle: int = SHINGLE, least: int = 20, block_bytes: int = 4 << 20) -> DataFrame:
     """Appends n_words, n_hit, n_items, items_sha256 and contaminated (``least`` * n_hit >= n_words), with ``prefix`` before the names."""
-    shared = blocks(docs, items, window, shingle, block_bytes, text)
+    rows = items.select(F.col("item_id").cast("string").alias("item"), F.col("text").alias("text")).filter("item is not null and text is not null")
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    n, shared = max(1, -(-size // block_bytes)), None
+    if n == 1:
+        shared = ready(docs, rows, window, shingle, text)
+        joined = docs
+    else:
+        kept = None
+        for b in range(n):  # one block at a time: what it has found is kept, then its broadcast goes
+            block = ready(docs, rows.filter(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == b), window, shingle, text)
+            if block is not None:
+                found = spans_of(docs, block, text)
+                kept = found if kept is None else kept.union(found)
+                block.destroy()
+        joined = docs.withColumn("__key", F.sha2(text, 256))
+        if kept is not None:
+            # at most one row of each block for a text
+            every = kept.groupBy(F.col("key").alias("__of")).agg(F.flatten(F.collect_list("spans")).alias("__spans"), F.flatten(F.collect_list("items")).alias("__items"))
+            joined = joined.join(every, F.col("__key") == F.col("__of"), "left").drop("__of")
+
+    def gathered(w: Words, spans: list, names: list) -> tuple[np.ndarray, dict[int, set[str]]]:
+        edge = np.zeros(len(w) + 1, np.int64)
+        for d, some in enumerate(spans):
+            if some:
+                at = int(w.first[d]) + np.array(some)
+                np.add.at(edge, at[::2], 1)
+                np.add.at(edge, at[1::2], -1)
+        return np.cumsum(edge)[:len(w)] > 0, {d: set(x) for d, x in enumerate(names) if x}
 
     def run(batch: pa.RecordBatch) -> list[pa.Array]:
         total = batch.num_rows
         n_words, n_hit = np.zeros(total, np.int64), np.zeros(total, np.int64)
-        found: dict[int, set[str]] = defaultdict(set)
+        lists: list[list[str]] = [[] for _ in range(total)]
+        kept = "__spans" in batch.schema.names
         for first, data, offsets in chunks(column(batch, text)):
             w = tokens(data, offsets)
-            edge = np.zeros(len(w) + 1, np.int64)
-            for s in shared:
-                for d, begin, length, n in s.value.matches(w):
-                    edge[begin] += 1
-                    edge[begin + length] -= 1
-                    found[first + d].update(s.value.items[n])
-            hit = np.concatenate([[0], np.cumsum(np.cumsum(edge)[:len(w)] > 0)])
-            rows = slice(first, first + w.n_docs)
-            n_words[rows] = np.diff(w.first)
-            n_hit[rows] = hit[w.first[1:]] - hit[w.first[:-1]]
-        lists = [sorted(found[i]) if i in found else [] for i in range(total)]
+            flags, names = np.zeros(len(w), bool), {}
+            if shared is not None:
+                flags, names = marked(w, shared.value)
+            elif kept:
+                flags, names = gathered(w, column(batch, "__spans").slice(first, w.n_docs).to_pylist(), column(batch, "__items").slice(first, w.n_docs).to_pylist())
+            for d, some in names.items():
+                lists[first + d] = sorted(some)
+            hit = np.concatenate([[0], np.cumsum(flags)])
+            n_words[first:first + w.n_docs] = np.diff(w.first)
+            n_hit[first:first + w.n_docs] = hit[w.first[1:]] - hit[w.first[:-1]]
         return [pa.array(n_words), pa.array(n_hit), pa.array([len(x) for x in lists], pa.int64()),
                 pa.array([hashlib.sha256(",".join(x).encode()).hexdigest() for x in lists], pa.string()), pa.array((n_hit > 0) & (least * n_hit >= n_words))]
 
-    return annotate(docs, run, [T.StructField(prefix + name, kind) for name, kind in FIELDS])
+    return annotate(joined, run, [T.StructField(prefix + name, kind) for name, kind in FIELDS]).drop("__key", "__spans", "__items")
 
 
 def clean(docs: DataFrame, items: DataFrame) -> DataFrame:

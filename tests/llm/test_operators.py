@@ -169,7 +169,7 @@ def plain_overlap(text, items):
     return len(w), len(hit), len(found), digest, bool(hit) and 20 * len(hit) >= len(w)
 
 
-@pytest.mark.parametrize("block_bytes", [4 << 20, 200])
+@pytest.mark.parametrize("block_bytes", [4 << 20, 700])
 def test_decontamination(spark, block_bytes):
     rng = random.Random(11)
     items = [(i, sentence(rng, n)) for i, n in enumerate([1, 2, 3, 5, 12, 13, 14, 30, 30])] + [(20, None), (21, ""), (22, "Élan VITAL, vital élan"), (5, sentence(rng, 15)), (None, "river")]
