@@ -1,9 +1,9 @@
 """License scans by conditional compression: a block that says what a template says costs almost nothing once the template is known.
 
-Candidate blocks are lines with a license cue, together with the cue lines next to them cut into sentences. Each is compressed alone and with each template as
+Candidate blocks are the sentences with a license cue of each line. Each is compressed alone and with each template as
 zstandard raw dictionary; templates are ranked by the share of bytes saved. The winner is confirmed by its exact wording: a word alignment gives the words
-that are missing, extra or changed, which must be at most ``most_differences`` of the template's words. Ties go to the template with fewer
-differences, then to the first name.
+that are missing, extra or changed, which must be at most ``most_differences`` of the template's words. The template with the fewest differences
+wins; ties go to the larger saving, then to the first name.
 
 Null and empty text: no blocks. Texts are scanned whole. Repeated rows get equal results; other columns pass through.
 """
@@ -83,10 +83,14 @@ def judged(block: str, templates: tuple[tuple[str, str], ...], most_differences:
     ranked = sorted(((1 - len(z.compress(raw)) / alone, name, words) for name, words, z in prepared(templates)), key=lambda r: (-r[0], r[1]))
     have = WORD.findall(block.lower())
     best = None
-    for saved, name, words in ranked[:3]:  # templates that differ in a word or two save nearly the same; their wording tells them apart
+    for saved, name, words in ranked:  # templates that differ in a word or two save nearly the same; their wording tells them apart
+        if abs(len(have) - len(words)) > most_differences * len(words):
+            continue  # so many words at least are missing or extra
         n, what = differences(words, have)
         if n <= most_differences * len(words) and (best is None or n < best[0]):
             best = (n, name, saved, what)
+        if best and not best[0]:
+            break  # nothing can have fewer
     return (best[1], best[2], best[3]) if best else None
 
 

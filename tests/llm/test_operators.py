@@ -327,6 +327,12 @@ def test_license_scan(spark):
     assert op4_licenses.scan(documents(spark, [])).count() == 0
 
 
+def test_license_templates_that_hardly_differ():
+    some = tuple((f"L-{v}", f"Licensed under the Open Sample License, version {v}.0 of the year.") for v in range(1, 9))
+    for name, text in some:
+        assert op4_licenses.judged(text, some, 0.34)[::2] == (name, [])
+
+
 # -- HTML
 
 def test_html_by_markup():
