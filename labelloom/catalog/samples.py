@@ -172,3 +172,16 @@ def c8(spark, d):
 @query("c7_annotate_fuzzy")
 def c7(spark, d):
     return fuzzy.annotate_fuzzy(t.v_text_sample(spark, d), t.v_real(spark, d), 0.95).select("sample_id", "source")
+
+
+@query("c7_annotate_fuzzy_variants", sql("""SELECT concat(md5(query), '-', variant) AS sample_id,
+    CASE WHEN variant = 'same' OR variant = 'longer' AND length(query) >= 10 THEN 'real' ELSE 'synthetic' END AS source
+    FROM v_real, (VALUES ('same'), ('longer'), ('other')) AS v(variant) WHERE query <> ''""", "v_real"))
+def c7_variants(spark, d):
+    """Every validated text as it is, with one character more (a ratio of 2n/(2n+1)), and with every character replaced."""
+    real = t.v_real(spark, d).where("query <> ''")
+    variants = F.array(*[F.struct(F.lit(name).alias("name"), text.alias("text")) for name, text in (
+        ("same", F.col("query")), ("longer", F.concat("query", F.lit("‡"))), ("other", F.repeat(F.lit("‡"), F.length("query"))))])
+    x = real.select(F.md5("query").alias("k"), F.explode(variants).alias("v"))
+    rows = x.select(F.concat_ws("-", "k", "v.name").alias("sample_id"), F.lit(0).alias("row_no"), F.col("v.text").alias("query"), F.array(F.lit("a")).alias("pos"), F.array(F.lit("b")).alias("neg"))
+    return fuzzy.annotate_fuzzy(rows, real, 0.95).select("sample_id", "source")

@@ -255,22 +255,26 @@ def expansion_target(covered: int, uncovered: int, ratio: float) -> int:
 def select_expansion(scored: DataFrame, target: int, priorities: dict[str, float] | None = None) -> DataFrame:
     """(label, score, category, rank): best first, limited per category, up to 2 x target; filled up to target."""
     p = PRIORITIES if priorities is None else priorities
+    caps = {code: max(5, target // 4) if value >= 4 else max(3, target // 6) if value >= 3 else max(2, target // 10) for code, value in p.items()}
     limit = F.lit(3)
-    for code, value in p.items():
-        cap = max(5, target // 4) if value >= 4 else max(3, target // 6) if value >= 3 else max(2, target // 10)
+    for code, cap in caps.items():
         limit = F.when(F.col("category") == code, cap).otherwise(limit)
-    scored = scored.withColumn("category", F.coalesce("category", F.lit("")))
-    x = running_before(scored, ["category"], -F.floor(F.col("score") * 1000), [F.desc("score"), F.col("label")],
-                       {"_r": F.lit(1).cast("long")})
-    x = x.withColumn("_in", F.col("_r") < limit)
-    ranked = running_before(x, ["_in"], -F.floor(F.col("score") * 1000), [F.desc("score"), F.col("label")],
-                            {"_g": F.lit(1).cast("long")})
-    chosen = F.col("_in") & (F.col("_g") < 2 * target)
+    best = [F.desc("score"), F.col("label")]
+    nth = F.row_number().over(Window.partitionBy("category").orderBy(*best))
+    # no more of a category can be chosen or fill up, so the rest goes before the shuffle (group limit)
+    most = max(3, *caps.values()) + target
+    x = scored.withColumn("category", F.coalesce("category", F.lit(""))).withColumn("_r", nth).where(F.col("_r") <= most)
+    x = cut_lineage(x.withColumn("_in", F.col("_r") <= limit))
+
+    def first(rows: DataFrame, n: int) -> DataFrame:
+        """The best n rows, numbered."""
+        return rows.orderBy(*best).limit(n).withColumn("rank", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(*best)).cast("long"))
+
+    chosen = first(x.where("_in"), 2 * target)
     n = one_row(x.agg(F.least(F.count_if("_in"), F.lit(2 * target)).alias("n"))).n
     # when the limits leave the list short, everything within the limits is already chosen
-    fill = ~F.col("_in") & (F.col("_g") < F.lit(target) - n)
-    return ranked.where(chosen | fill).select(
-        "label", "score", "category", F.when(F.col("_in"), F.col("_g") + 1).otherwise(n + F.col("_g") + 1).alias("rank"))
+    fill = first(x.where("not _in"), target).where(F.col("rank") <= F.lit(target) - n).withColumn("rank", n + F.col("rank"))
+    return chosen.unionByName(fill).select("label", "score", "category", "rank")
 
 
 def expansion_report(selected: DataFrame, skills: DataFrame) -> DataFrame:

@@ -46,7 +46,7 @@ def _samples(raw: DataFrame) -> Loaded:
     # Spark refuses to read the corrupt-record column alone, so the record also names a data column
     bad = raw.where(F.col(BAD).isNotNull()).select("row_no", F.coalesce(BAD, "query").alias("record"))
     good = raw.where(F.col(BAD).isNull()).withColumn("_content", F.md5(F.to_json(F.struct("query", "pos", "neg", "meta"))))
-    good = running_before(good, ["_content"], F.struct("row_no.file", "row_no.block"), [F.col("row_no.seq")], {"_before": F.lit(1).cast("long")})
+    good = running_before(good, ["_content"], F.struct("row_no.file", "row_no.block"), [F.col("row_no.seq")], {"_before": F.lit(1).cast("long")}, once=False)
     good = good.select(
         F.md5(F.concat_ws("#", "_content", "_before")).alias("sample_id"), "row_no", "query", "pos", "neg", parse_meta(F.col("meta")).alias("meta"))
     return Loaded(good, bad)
