@@ -8,6 +8,7 @@ from ..functions.payloads import extract_json
 from ..operators import generation as op, pairs, stats
 from ..operators.balance import negative_pool_size
 from ..operators.similarity import group_hard_negatives
+from ..plans.compress import compress_or_split
 from ..sources import tables as t
 from .base import joined, query
 from .relations import occupation_lists
@@ -89,6 +90,21 @@ def i6(spark, d):
     return good.select("sample_id", "query", joined("pos"), "augmentation").unionByName(failed.select("sample_id", "query", joined("pos"), "error"), allowMissingColumns=True)
 
 
+@query("i6_compress_or_split", f"""WITH x AS (SELECT doc_id, text, lang, {TOK} AS n, CASE lang WHEN 'en' THEN 1 WHEN 'fr' THEN 2 ELSE 4 END AS p FROM documents),
+    r AS (SELECT *, list_transform(range(1, p + 1), lambda i: 'label ' || i) AS pos, {ROUTE} AS route FROM x)
+    SELECT doc_id AS sample_id, 'keep' AS strategy, NULL::BIGINT AS group_index, md5(text) AS query_md5, array_to_string(pos, '|') AS pos, lang AS neg, n AS original_tokens FROM r WHERE route = 'keep' UNION ALL
+    SELECT doc_id, 'compress', NULL, md5('[DryRun] komprimiert: ' || array_to_string(pos, ', ')), array_to_string(pos, '|'), lang, n FROM r WHERE route = 'compress' UNION ALL
+    SELECT doc_id, 'label_group', g, md5('[DryRun] Kurztext für ' || array_to_string(pos[3 * g + 1:3 * g + 3], ', ')), array_to_string(pos[3 * g + 1:3 * g + 3], '|'),
+        array_to_string(list_sort(list_concat([lang], list_filter(pos, lambda l, i: (i - 1) // 3 <> g))), '|'), n FROM r, (SELECT unnest([0, 1]) AS g) WHERE route = 'split' AND 3 * g < p""".replace("p > 5", "p > 3"))
+def i6_compress_or_split(spark, d):
+    """Dry run over all documents: kept, split in consecutive groups, or compressed."""
+    p = F.when(F.col("lang") == "en", 1).when(F.col("lang") == "fr", 2).otherwise(4)
+    s = t.v_text(spark, d).select(F.col("doc_id").alias("sample_id"), "query", F.transform(F.sequence(F.lit(1), p), lambda i: F.concat(F.lit("label "), i.cast("string"))).alias("pos"), F.array("lang").alias("neg"))
+    made, failed = compress_or_split(s, n=3)
+    both = made.unionByName(failed, allowMissingColumns=True)
+    return both.select("sample_id", "strategy", "group_index", F.md5("query").alias("query_md5"), joined("pos"), joined("neg"), "original_tokens")
+
+
 def _lit(s):
     return "'" + s.replace("'", "''") + "'"
 
