@@ -9,6 +9,7 @@ from ..operators import generation as op, pairs, stats
 from ..operators.balance import negative_pool_size
 from ..operators.similarity import group_hard_negatives
 from ..plans.compress import compress_or_split
+from ..plans.new_labels import new_label_samples
 from ..sources import tables as t
 from .base import joined, query
 from .relations import occupation_lists
@@ -299,6 +300,16 @@ def i17b(spark, d):
     return x.select("target", "sample_no", joined("focus"), joined("negatives"), "source", "scenario", "hint")
 
 
+@query("i17_new_label_samples", sql("""SELECT label, sample_no, '[DryRun] Beispieltext ' || (sample_no + 1) || ' zu ' || label AS query, label AS pos, '' AS neg, 'llm_new_skill' AS source
+    FROM v_doc, (SELECT unnest([0, 1]) AS sample_no) WHERE label NOT IN (SELECT label FROM v_item WHERE p_size > 30)""", "v_doc", "v_item"))
+def i17_samples(spark, d):
+    """The job in dry run: requests, answers, acceptance, records."""
+    docs = t.v_doc(spark, d)
+    targets = docs.select("label").join(t.v_item(spark, d).where("p_size > 30").select("label").distinct(), "label", "left_anti")
+    records, _ = new_label_samples(targets, docs, per_label=2)
+    return records.select("label", "sample_no", "query", joined("pos"), joined("neg"), "source")
+
+
 @query("i18_synthetic_record", sql("SELECT label, label AS query, label AS pos, 'llm' AS source, 'Kursinhalte' AS scenario FROM v_skill", "v_skill"))
 def i18(spark, d):
     rec = op.synthetic_record(F.col("label"), F.array("label"), F.expr("cast(array() as array<string>)"), F.lit(op.SOURCE_RARE), F.col("label"), F.lit("Kursinhalte"))

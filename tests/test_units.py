@@ -396,3 +396,53 @@ def test_standardise(spark):
 
 def test_chunks_of_nothing(spark):
     assert samples(spark, [("q", [], [])]).select(chunk_sequential(F.col("pos"), 3).alias("c")).first().c == []
+
+
+def _backends():
+    """(groups, texts); local functions travel to the workers by value."""
+    def groups():
+        return lambda prompt: '{"groups": [{"labels": ["c", "a"]}, {"labels": ["b", "d"]}]}' if "- e" not in prompt else "no idea"
+
+    def texts():
+        return lambda prompt: "  " if "silent" in prompt else f" short {len(prompt)} "
+
+    return groups, texts
+
+
+def test_compress_or_split(spark):
+    from labelloom.plans.compress import compress_or_split
+    long = "word " * 400
+    rows = [(1, "few words", ["a", "b", "c", "d"], ["n"]), (2, long, ["a", "b", "c", "d"], ["n", "a"]), (3, long, ["a"], None), (4, long + "silent", ["a"], []), (5, None, None, None),
+            (6, long, ["a", "b", "c", "e"], ["n"])]
+    df = spark.createDataFrame(rows, "sample_id long, query string, pos array<string>, neg array<string>")
+    made, failed = compress_or_split(df, n=2, backend=_backends()[1], cluster_backend=_backends()[0])
+    got = sorted((r.sample_id, r.strategy, r.group_index, tuple(r.pos), tuple(r.neg)) for r in made.collect())
+    assert got == [(1, "keep", None, ("a", "b", "c", "d"), ("n",)), (2, "llm_label_group", 0, ("c", "a"), ("a", "b", "d", "n")), (2, "llm_label_group", 1, ("b", "d"), ("a", "c", "n")),
+                   (3, "compress", None, ("a",), ()), (5, "keep", None, (), ()), (6, "compress", None, ("a", "b", "c", "e"), ("n",))]
+    assert [(r.sample_id, r.error) for r in failed.collect()] == [(4, "empty answer")]
+    vectors = spark.createDataFrame([(x, [1.0, 0.0] if x in "ad" else [0.0, 1.0]) for x in "abcd"], "label string, vector array<double>")
+    made, failed = compress_or_split(df.where("sample_id = 2"), n=2, pool=vectors)
+    assert sorted(tuple(r.pos) for r in made.collect()) == [("a", "d"), ("b", "c")] and failed.count() == 0
+    made, failed = compress_or_split(df.limit(0))
+    assert made.count() == 0 and failed.count() == 0
+
+
+def test_new_label_samples(spark):
+    from labelloom.plans.new_labels import new_label_samples
+    skills = spark.createDataFrame([("a", "what a is", ["x"]), ("silent", "says nothing", ["x"]), ("c", None, None)], "label string, description string, occupations array<string>")
+    records, refused = new_label_samples(skills.select("label"), skills, per_label=2, backend=_backends()[1])
+    assert sorted((r.label, r.sample_no, tuple(r.pos)) for r in records.collect()) == [("a", 0, ("a",)), ("a", 1, ("a",)), ("c", 0, ("c",)), ("c", 1, ("c",))]
+    assert sorted((r.target, r.reject_reason) for r in refused.collect()) == [("silent", "blank"), ("silent", "blank")]
+
+
+def test_similar_texts_over_bands_and_tiles(spark):
+    from difflib import SequenceMatcher
+    import random
+    rng = random.Random(4)
+    base = ["".join(rng.choice("abcdef ") for _ in range(rng.randint(1, 90))) for _ in range(60)]
+    texts = [(str(i), b[:rng.randint(1, len(b))] + rng.choice(["", "x", "yz"])) for i, b in enumerate(base)] + [("e", ""), ("n", None)]
+    for threshold in (0.6, 0.9):
+        want = {k for k, x in texts if x and any(SequenceMatcher(None, x, b).ratio() >= threshold for b in base)}
+        got = fuzzy.similar_texts(spark.createDataFrame(texts, "text_key string, text string"), spark.createDataFrame([(str(i), b) for i, b in enumerate(base)], "real_key string, query string"),
+                                  threshold, tile_rows=3)
+        assert {r.text_key for r in got.collect()} == want
