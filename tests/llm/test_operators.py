@@ -371,6 +371,25 @@ def test_covered_equals_brute_force():
         assert [f.tolist() for f in op6_html.covered(streams, page, 4)] == want
 
 
+def test_html_repeats_over_a_whole_host(spark):
+    """Each notice stands on two pages of a host with 1,500, far apart, and one page is left over by any cut into groups."""
+    def own(i):
+        return " ".join(f"w{i}x{j}" for j in range(12))
+
+    def notice(i):
+        return " ".join(f"n{i}y{j}" for j in range(9))
+
+    n = 1500
+    rows = [(i, f"http://big.org/{i}", f"<div>{notice(i % (n // 2))}</div><p>{own(i)}</p>") for i in range(n)]
+    rows += [(n + i, f"http://small{i}.org/", f"<div>{notice(i)}</div>") for i in range(5)] + [(n + 10 + i, "http://copy.org/", f"<div>{notice(i)}</div>") for i in (7, 7)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(11)
+    for r in op6_html.extract(df).collect():
+        if r["page_id"] < n:
+            assert (r["text"], r["n_side"], r["n_boilerplate"]) == (own(r["page_id"]), 21, 9)
+        else:
+            assert r["text"].startswith("n") and r["n_boilerplate"] == 0  # alone on its host, or only on equal pages
+
+
 # -- chat
 
 def test_chat(spark):
