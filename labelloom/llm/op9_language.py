@@ -6,7 +6,8 @@ followed) to the next shorter context without the bytes already ruled out, at la
 shortest code wins; its score is its share if all languages were as likely beforehand.
 
 Trees are learnt from texts with a language, outside the held-out third. Parameter ``per_lang``: about so many documents of each
-language are learnt from, chosen by a hash of their id, whatever the size of the table. Each text is scored whole.
+language are learnt from, chosen by a hash of their id, whatever the size of the table. Every context that they hold is kept, as sorted
+keys for each language and order, so the trees are as large as these documents need and no larger. Each text is scored whole.
 
 Null text or text without letters: ``und``, score 0; so is everything if there is nothing to learn from. Equal lengths: the language
 that comes first in the alphabet. Texts with null id are never learnt from. Repeated rows get equal results; other columns pass through.
@@ -24,8 +25,6 @@ from labelloom.llm.common import annotate, arrow, chunks, column, texts
 
 LETTER = re.compile(r"[^\W\d_]")
 ORDER = 3
-#: Cells (context, byte, language) of the frozen table: 4 bytes each.
-CELLS = 6_000_000
 
 
 def held_out(doc_id: str = "doc_id") -> Column:
@@ -50,83 +49,81 @@ def preceding(data: np.ndarray, offsets: np.ndarray, back: int) -> np.ndarray:
     return out
 
 
+class Order:
+    """The contexts of ``k`` bytes of one tree, and the bytes that followed them. Keys are as in ``grams``: the last byte lowest."""
+
+    def __init__(self, k: int, codes: np.ndarray, n: np.ndarray, shorter: Order | None):
+        self.k = k
+        self.grams, where = np.unique(codes & low(k + 1), return_inverse=True)
+        self.n = np.bincount(where, n)
+        self.contexts, starts = np.unique(self.grams >> np.uint32(8), return_index=True)
+        self.total, self.kinds = np.add.reduceat(self.n, starts), np.diff(np.append(starts, len(self.grams)))
+        self.head, self.escape = lengths(self.total, self.kinds)
+        self.log = np.log2(self.n).astype(np.float32)
+        if shorter is not None:  # the next shorter context, without the bytes that this one rules out
+            at = np.searchsorted(shorter.contexts, self.contexts & low(k - 1))
+            ruled = np.add.reduceat(shorter.n[np.searchsorted(shorter.grams, self.grams & low(k))], starts)
+            self.next_head, self.next_escape = lengths(shorter.total[at] - ruled, shorter.kinds[at] - self.kinds)
+
+
+def low(n: int) -> np.uint32:
+    """Mask of the ``n`` lowest bytes."""
+    return np.uint32((1 << 8 * n) - 1)
+
+
+def lengths(total: np.ndarray, kinds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Bits of a byte before its own count is taken off, and of an escape; 0 where nothing is left."""
+    head = np.log2(np.maximum(total + kinds, 1))
+    return head.astype(np.float32), (head - np.log2(np.maximum(kinds, 1))).astype(np.float32)
+
+
+def lookup(keys: np.ndarray, want: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the wanted keys, and which of them are there."""
+    at = np.minimum(np.searchsorted(keys, want), len(keys) - 1)
+    return at, keys[at] == want
+
+
 class Model:
-    """The frozen trees: ``node_of`` gives the longest known context of three byte classes, ``bits`` the code length of each byte after it."""
+    """The frozen trees: for each language its orders from the longest to none."""
 
     def __init__(self, counts: dict[str, tuple[np.ndarray, np.ndarray]]):
         self.langs = sorted(counts)
-        used = np.zeros(256, bool)
-        for codes, _ in counts.values():
-            used[(codes & np.uint32(255)).astype(np.int64)] = True
-        used[0] = False
-        #: class 0: no byte, or one that no tree knows; no context holds it beyond a text's beginning
-        self.cls = np.zeros(256, np.int64)
-        self.cls[used] = np.arange(1, used.sum() + 1)
-        a = int(used.sum()) + 1
-        self.a = a
-        if not self.langs:
-            return
-        #: per language and order: dense counts [context, byte], contexts numbered by their code in base a
-        contexts, tables = [], []
+        self.trees: list[list[Order]] = []
         for lang in self.langs:
-            codes, n = counts[lang]
-            parts = [self.cls[(codes >> np.uint32(8 * k) & np.uint32(255)).astype(np.int64)] for k in range(ORDER + 1)]
-            tables.append((parts, n))
-            contexts.append((parts[3] * a + parts[2]) * a + parts[1])
-        weight: dict[int, np.ndarray] = {}
-        every = np.concatenate(contexts)
-        seen, where = np.unique(every, return_inverse=True)
-        weight = np.bincount(where, np.concatenate([n for _, n in tables]).astype(float))
-        room = max(1, CELLS // (a * len(self.langs)) - a * a)
-        order3 = np.sort(seen[np.argsort(-weight, kind="stable")[:room]])
-        self.nodes = a * a + len(order3)  # contexts of two bytes stand first, known or not
-        self.node_of = np.tile(np.arange(a * a, dtype=np.int32), a)
-        self.node_of[order3] = a * a + np.arange(len(order3), dtype=np.int32)
-        two = np.concatenate([np.arange(a * a), order3 % (a * a)])
-        self.bits = np.zeros((self.nodes * a, len(self.langs)), np.float32)
-        for i, (parts, n) in enumerate(tables):
-            ctx3 = contexts[i]
-            place = np.searchsorted(order3, ctx3)
-            inside = place < len(order3)
-            inside[inside] = order3[place[inside]] == ctx3[inside]
-            c3 = np.bincount(place[inside] * a + parts[0][inside], n[inside], len(order3) * a).reshape(-1, a)
-            c2 = np.bincount((parts[2] * a + parts[1]) * a + parts[0], n, a ** 3).reshape(-1, a)
-            c1 = np.bincount(parts[1] * a + parts[0], n, a * a).reshape(-1, a)
-            c0 = np.bincount(parts[0], n, a)
-            for low in range(0, self.nodes, 4096):  # blocks bound the temporaries
-                rows = np.arange(low, min(low + 4096, self.nodes))
-                third = np.zeros((len(rows), a))
-                third[rows >= a * a] = c3[rows[rows >= a * a] - a * a]
-                self.bits[low * a:(low + len(rows)) * a, i] = self._lengths([third, c2[two[rows]], c1[two[rows] % a], np.broadcast_to(c0, (len(rows), a))]).ravel()
-
-    def _lengths(self, chain: list[np.ndarray]) -> np.ndarray:
-        """Bits of each byte, from the longest context (first) to none."""
-        out = np.zeros(chain[0].shape)
-        done = np.zeros(chain[0].shape, bool)
-        spent = np.zeros((len(out), 1))
-        for counts in chain:
-            left = np.where(done, 0, counts)
-            total, kinds = left.sum(1, keepdims=True), (left > 0).sum(1, keepdims=True)
-            known = total > 0
-            hit = left > 0
-            with np.errstate(divide="ignore", invalid="ignore"):
-                out = np.where(hit, spent + np.log2(total + kinds) - np.log2(left), out)
-                spent = np.where(known, spent + np.log2(total + kinds) - np.log2(np.maximum(kinds, 1)), spent)
-            done |= hit
-        rest = 256 - done.sum(1, keepdims=True)
-        return np.where(done, out, spent + np.log2(np.maximum(rest, 1)))
+            orders: list[Order] = []
+            for k in range(ORDER + 1):
+                orders.append(Order(k, *counts[lang], orders[-1] if orders else None))
+            for o in orders:
+                del o.n, o.total  # only needed to build the next
+            self.trees.append(orders[::-1])
+
+    @staticmethod
+    def _bits(tree: list[Order], codes: np.ndarray) -> np.ndarray:
+        """Bits of the last byte of each code after the three before it."""
+        out = np.zeros(len(codes))
+        left, spent = np.arange(len(codes)), np.zeros(len(codes))
+        head, escape, begun = np.zeros(len(codes)), np.zeros(len(codes)), np.zeros(len(codes), bool)
+        for o in tree:
+            at, known = lookup(o.contexts, codes[left] >> np.uint32(8) & low(o.k))
+            head, escape = np.where(begun, head, o.head[at]), np.where(begun, escape, o.escape[at])
+            place, hit = lookup(o.grams, codes[left] & low(o.k + 1))
+            out[left[hit]] = spent[hit] + head[hit] - o.log[place[hit]]
+            spent = np.where(known, spent + escape, spent)
+            begun = begun | known
+            if o.k:
+                head, escape = o.next_head[at], o.next_escape[at]
+            left, spent, head, escape, begun = left[~hit], spent[~hit], head[~hit], escape[~hit], begun[~hit]
+        out[left] = spent + np.log2(max(256 - len(tree[-1].grams), 1))
+        return out
 
     def cost(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Bits of each text under each language."""
         out = np.zeros((len(offsets) - 1, len(self.langs)))
-        c = self.cls[data]
-        ctx = c * 0
-        for back in range(ORDER, 0, -1):
-            ctx = ctx * self.a + self.cls[preceding(data, offsets, back)]
-        place = self.node_of[ctx].astype(np.int64) * self.a + c
         full = np.flatnonzero(np.diff(offsets))
         if len(full):
-            out[full] = np.add.reduceat(self.bits[place], offsets[:-1][full], axis=0, dtype=np.float64)
+            codes, where = np.unique(grams(data, offsets), return_inverse=True)
+            for i, tree in enumerate(self.trees):
+                out[full, i] = np.add.reduceat(self._bits(tree, codes)[where], offsets[:-1][full])
         return out
 
 

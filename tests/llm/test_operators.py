@@ -244,6 +244,36 @@ def test_language_code_lengths():
         assert abs(bits - cost) < 1e-3
 
 
+def test_language_keeps_every_context():
+    """Four languages over 140 byte values: order-3 contexts still count, as in a tree of dictionaries."""
+    rng = random.Random(11)
+    pieces = [bytes(rng.randint(1, 140) for _ in range(6)) for _ in range(300)]
+    learnt = {x: b"".join(rng.choice(pieces[i * 50:i * 50 + 150]) for _ in range(1500)) for i, x in enumerate("wxyz")}
+    text = b"".join(rng.choice(pieces) for _ in range(60)) + bytes(range(100, 200))
+    assert len(set(b"".join(learnt.values()))) == 140
+    raw = {x: np.frombuffer(t, np.uint8) for x, t in learnt.items()}
+    got = op9_language.Model({x: np.unique(op9_language.grams(r, np.array([0, len(r)])), return_counts=True) for x, r in raw.items()}).cost(np.frombuffer(text, np.uint8), np.array([0, len(text)]))[0]
+    for lang, cost in zip("wxyz", got):
+        follow = defaultdict(Counter)
+        t, s, bits = b"\0\0\0" + learnt[lang], b"\0\0\0" + text, 0.0
+        for i in range(3, len(t)):
+            for k in range(4):
+                follow[t[i - k:i]][t[i]] += 1
+        for i in range(3, len(s)):
+            out = set()
+            for k in (3, 2, 1, 0):
+                left = {c: n for c, n in follow[s[i - k:i]].items() if c not in out}
+                if s[i] in left:
+                    bits -= np.log2(left[s[i]] / (sum(left.values()) + len(left)))
+                    break
+                if left:
+                    bits -= np.log2(len(left) / (sum(left.values()) + len(left)))
+                out |= set(left)
+            else:
+                bits += np.log2(256 - len(out))
+        assert cost == pytest.approx(bits, rel=1e-5)
+
+
 # -- quality
 
 def plain_rules(text):
