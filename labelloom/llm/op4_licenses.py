@@ -1,18 +1,21 @@
 """License scans by conditional compression: a block that says what a template says costs almost nothing once the template is known.
 
-Candidate blocks are the sentences with a license cue of each line. Each is compressed alone and with each template as
-zstandard raw dictionary; templates are ranked by the share of bytes saved. The winner is confirmed by its exact wording: a word alignment gives the words
-that are missing, extra or changed, which must be at most ``most_differences`` of the template's words. The template with the fewest differences
-wins; ties go to the larger saving, then to the first name.
+Candidate blocks are the paragraphs with a license cue: the cue's line and its neighbours up to lines without words, so wrapping and comment marks do
+not matter. Around each cue every template is aligned by words with the stretch of the block that it fits best (Sellers' dynamic program: missing and
+extra words count one each, a changed word two); at most ``most_differences`` of the template's words may differ, the stretch must hold a cue, and a template of
+fewer than ``BRIEF`` words needs all words that are its license's alone. Among stretches that overlap, the one with the most words beyond twice its
+differences wins; ties go to the larger share of bytes that zstandard saves with the template as raw dictionary, then to the first name.
 
 Null and empty text: no blocks. Texts are scanned whole. Repeated rows get equal results; other columns pass through.
 """
 from __future__ import annotations
 
+import bisect
 import difflib
 import functools
 import re
 
+import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
@@ -20,7 +23,13 @@ from pyspark.sql import types as T
 
 from labelloom.llm.common import annotate, texts
 
-#: Short notices that name a license (name, wording). A parameter of ``scan``.
+BRIEF = 16
+
+GNU = ("This program is free software: you can redistribute it and/or modify it under the terms of the GNU {}General Public License as published by the Free Software Foundation, "
+       "either version {} of the License, or (at your option) any later version.")
+CC = "This work is licensed under a Creative Commons {} 4.0 International License."
+
+#: Notices that name a license (name, wording): short ones, standard headers, openings of full texts, identifiers. A parameter of ``scan``.
 TEMPLATES = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met."),
@@ -32,16 +41,52 @@ TEMPLATES = (
     ("MIT", "Released under the MIT License."),
     ("MPL-2.0", "This work is licensed under the Mozilla Public License, version 2.0."),
     ("all-rights-reserved", "All rights reserved."),
+    ("AGPL-3.0", GNU.format("Affero ", 3)),
+    ("AGPL-3.0", "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007"),
+    ("Apache-2.0", """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at
+        http://www.apache.org/licenses/LICENSE-2.0"""),
+    ("Apache-2.0", "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/"),
+    ("BSD-3-Clause", """Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software
+        without specific prior written permission."""),
+    ("CC-BY-4.0", CC.format("Attribution")),
+    ("CC-BY-NC-4.0", CC.format("Attribution-NonCommercial")),
+    ("CC-BY-SA-4.0", CC.format("Attribution-ShareAlike")),
+    ("GPL-2.0", GNU.format("", 2)),
+    ("GPL-2.0", "GNU GENERAL PUBLIC LICENSE Version 2, June 1991"),
+    ("GPL-3.0", GNU.format("", 3)),
+    ("GPL-3.0", "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
+    ("LGPL-2.1", GNU.format("Lesser ", 2.1)),
+    ("LGPL-2.1", "GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999"),
+    ("LGPL-3.0", GNU.format("Lesser ", 3)),
+    ("LGPL-3.0", "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
+    ("MIT", "MIT License"),
+    ("MIT", """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software
+        without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons
+        to whom the Software is furnished to do so, subject to the following conditions:"""),
+    ("MIT", """The software is provided "as is", without warranty of any kind, express or implied, including but not limited to the warranties of merchantability, fitness for a particular
+        purpose and noninfringement. In no event shall the authors or copyright holders be liable for any claim, damages or other liability, whether in an action of contract, tort or
+        otherwise, arising from, out of or in connection with the software or the use or other dealings in the software."""),
+    ("MPL-2.0", """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at
+        https://mozilla.org/MPL/2.0/."""),
+    ("MPL-2.0", "Mozilla Public License Version 2.0"),
+    *[(name, f"SPDX-License-Identifier: {name}") for name in ("Apache-2.0", "BSD-3-Clause", "CC-BY-4.0", "CC-BY-NC-4.0", "CC-BY-SA-4.0", "MIT", "MPL-2.0")],
+    *[(name, f"SPDX-License-Identifier: {name}{end}") for name in ("AGPL-3.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0") for end in ("", "+", "-only", "-or-later")],
 )
 CUE = re.compile(r"licen[sc]e|copyright|all rights reserved|warrant(?:y|ies)|redistribution and use|permission is hereby|spdx", re.I)
-SENTENCE = re.compile(r"(?<=[.!?])[ \t]+(?=[A-Z])")
 WORD = re.compile(r"[\w.+-]*\w")
+#: Marks of comments that are words.
+MARK = re.compile(r"^[ \t]*(?:rem|dnl)\b", re.I | re.M)
+#: A line without words ends a paragraph.
+EMPTY = re.compile(r"\n[^\w\n]*(?=\n)")
+STOP = re.compile(r"[.!?:]*")
 
 
 @functools.lru_cache(4)
-def prepared(templates: tuple[tuple[str, str], ...]) -> list[tuple[str, list[str], zstandard.ZstdCompressor]]:
-    return [(name, WORD.findall(text.lower()), zstandard.ZstdCompressor(level=9, write_content_size=False, dict_data=zstandard.ZstdCompressionDict(folded(text), dict_type=zstandard.DICT_TYPE_RAWCONTENT)))
-            for name, text in templates]
+def prepared(templates: tuple[tuple[str, str], ...]) -> list[tuple[str, list[str], set[str], zstandard.ZstdCompressor]]:
+    """Name, words, the words that a stretch must have, and the compressor of each template."""
+    split = [(name, WORD.findall(text.lower()), text) for name, text in templates]
+    return [(name, words, set(words).difference(*[w for other, w, _ in split if other != name]) if len(words) < BRIEF else set(),
+             zstandard.ZstdCompressor(level=9, write_content_size=False, dict_data=zstandard.ZstdCompressionDict(folded(text), dict_type=zstandard.DICT_TYPE_RAWCONTENT))) for name, words, text in split]
 
 
 def folded(text: str) -> bytes:
@@ -58,40 +103,84 @@ def differences(want: list[str], have: list[str]) -> tuple[int, list[str]]:
 
 
 def candidates(text: str) -> list[tuple[int, int]]:
-    """(start, end) of sentences with a cue. Cues are looked for first, so lines without one cost a single pass."""
-    out, done = [], 0
+    """(start, end) of paragraphs with a cue. Cues are looked for first, so texts without one cost a single pass."""
+    out, done, edges = [], 0, None
     for m in CUE.finditer(text):
         if m.start() < done:
             continue
-        low = text.rfind("\n", done, m.start()) + 1 or done
-        high = text.find("\n", m.end())
-        high = len(text) if high < 0 else high
-        begin = low
-        for cut in [*SENTENCE.finditer(text, low, high), None]:
-            end = cut.start() if cut else high
-            if CUE.search(text, begin, end):
-                out.append((begin, end))
-            begin = cut.end() if cut else high
-        done = high
+        if edges is None:
+            edges = [e.span() for e in EMPTY.finditer(text)]
+        at = bisect.bisect_right(edges, (m.start(), 0))
+        begin, done = edges[at - 1][1] + 1 if at else 0, edges[at][0] if at < len(edges) else len(text)
+        out.append((begin, done))
     return out
 
 
+def aligned(words: list[str], have: list[str], most: float) -> list[tuple[int, int, int]]:
+    """(differences, start, end) of the best stretch that ends at each word of ``have``, where it has at most ``most`` differences."""
+    want, n, out = np.array(words, object), len(have), []
+    one = np.int64(1) << 32  # a value is differences, then how far from the end the stretch begins: the later the better
+    steps = np.arange(len(words) + 1) * one
+    col = steps + n
+    for j, w in enumerate(have):
+        new = col + one
+        new[0] = n - j - 1
+        hit = np.flatnonzero(want == w)
+        new[hit + 1] = np.minimum(new[hit + 1], col[hit])
+        col = np.minimum.accumulate(new - steps) + steps
+        if (cost := int(col[-1] >> 32)) <= most:
+            out.append((cost, n - int(col[-1] & (one - 1)), j + 1))
+    return out
+
+
+def stretches(block: str, templates: tuple[tuple[str, str], ...], most_differences: float) -> list[tuple[int, int, str, float, list[str]]]:
+    """(start, end, license, share saved, wording differences) of the stretches that templates are found in; none overlap."""
+    some = [m.span() for m in WORD.finditer(MARK.sub(lambda m: " " * len(m[0]), block))]
+    have, begins = [block[a:b].lower() for a, b in some], [a for a, _ in some]
+    cues = sorted({max(0, bisect.bisect_right(begins, m.start()) - 1) for m in CUE.finditer(block)})
+    found = []
+    for number, (name, words, own, z) in enumerate(prepared(templates)):
+        most = most_differences * len(words)
+        reach = int(len(words) + most)  # no stretch is longer
+        known, areas = set(words), []
+        for c in cues:  # the words around cues that a stretch with the cue may have
+            low, high = max(0, c - reach), min(len(have), c + reach + 1)
+            if areas and low <= areas[-1][1]:
+                areas[-1][1] = high
+            else:
+                areas.append([low, high])
+        for low, high in areas:
+            part = have[low:high]
+            sums = np.concatenate([[0], np.cumsum([w in known for w in part])])
+            if (sums[np.minimum(np.arange(len(part)) + reach, len(part))] - sums[:-1]).max(initial=0) < len(words) - most:
+                continue  # nowhere are there so many of the template's words
+            for n, a, b in aligned(words, part, most):
+                begin, end = some[low + a][0], some[low + b - 1][1]
+                if b > a and own.issubset(part[a:b]) and CUE.search(block, begin, end):
+                    found.append((2 * n - len(words), number, low + a, low + b))
+    out, taken = [], np.zeros(len(have), bool)
+    ready = prepared(templates)
+
+    def saved(number: int, a: int, b: int) -> float:
+        raw = folded(" ".join(have[a:b]))
+        return 1 - len(ready[number][3].compress(raw)) / len(zstandard.ZstdCompressor(level=9, write_content_size=False).compress(raw))
+
+    best = {}
+    for row in sorted(found):
+        best.setdefault(row[0], []).append(row[1:])
+    for rows in best.values():
+        free = [r for r in rows if not taken[r[1]:r[2]].any()]
+        for share, name, number, a, b in sorted(((saved(*r), ready[r[0]][0], *r) for r in free), key=lambda r: (-r[0], *r[1:])):
+            if not taken[a:b].any():
+                taken[a:b] = True
+                out.append((some[a][0], STOP.match(block, some[b - 1][1]).end(), name, share, differences(ready[number][1], have[a:b])[1]))
+    return sorted(out)
+
+
 def judged(block: str, templates: tuple[tuple[str, str], ...], most_differences: float) -> tuple[str, float, list[str]] | None:
-    """(license, share saved, wording differences) of the confirmed winner."""
-    raw = folded(block)
-    alone = len(zstandard.ZstdCompressor(level=9, write_content_size=False).compress(raw))
-    ranked = sorted(((1 - len(z.compress(raw)) / alone, name, words) for name, words, z in prepared(templates)), key=lambda r: (-r[0], r[1]))
-    have = WORD.findall(block.lower())
-    best = None
-    for saved, name, words in ranked:  # templates that differ in a word or two save nearly the same; their wording tells them apart
-        if abs(len(have) - len(words)) > most_differences * len(words):
-            continue  # so many words at least are missing or extra
-        n, what = differences(words, have)
-        if n <= most_differences * len(words) and (best is None or n < best[0]):
-            best = (n, name, saved, what)
-        if best and not best[0]:
-            break  # nothing can have fewer
-    return (best[1], best[2], best[3]) if best else None
+    """(license, share saved, wording differences) of the stretch with the fewest differences."""
+    some = stretches(block, templates, most_differences)
+    return min(some, key=lambda r: len(r[4]))[2:] if some else None
 
 
 def scan(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES, most_differences: float = 0.34, text: str = "text") -> DataFrame:
@@ -102,8 +191,7 @@ def scan(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES, mo
             places = candidates(x)
             rows = []
             for a, b in places:
-                if got := judged(x[a:b], templates, most_differences):
-                    rows.append({"start": a, "end": b, "license": got[0], "saved": round(got[1], 6), "differences": " ".join(got[2])})
+                rows += [{"start": a + begin, "end": a + end, "license": name, "saved": round(share, 6), "differences": " ".join(what)} for begin, end, name, share, what in stretches(x[a:b], templates, most_differences)]
             n.append(len(places))
             names.append(",".join(sorted({r["license"] for r in rows})))
             found.append(rows)

@@ -363,6 +363,22 @@ def test_license_templates_that_hardly_differ():
         assert op4_licenses.judged(text, some, 0.34)[::2] == (name, [])
 
 
+def test_license_wrapped_notices():
+    def names(text):
+        return [r[2] for a, b in op4_licenses.candidates(text) for r in op4_licenses.stretches(text[a:b], op4_licenses.TEMPLATES, 0.34)]
+
+    bsd = " * Redistribution and use in source and binary forms, with or without\n * modification, are permitted provided that the following conditions\n * are met:\n *\n * 1. Redistributions"
+    assert names("/*\n * Copyright (c) X\n *\n" + bsd) == ["BSD-3-Clause"]
+    words = next(t for n, t in op4_licenses.TEMPLATES if t.startswith("Permission is hereby")).split()
+    wrapped = "\n".join("# " + " ".join(words[i:i + 9]) for i in range(0, len(words), 9))
+    assert names("MIT License\n\nCopyright (c) 2020 X\n\n" + wrapped) == ["MIT", "MIT"]
+    assert names("// SPDX-License-Identifier: Apache-2.0\nint x;") == ["Apache-2.0"] and names("-- SPDX-License-Identifier: GPL-3.0-or-later") == ["GPL-3.0"]
+    assert names("word " * 3000 + "text that is\nreleased under the\nMIT License. More " + "word " * 3000) == ["MIT"]
+    assert names("Released under the licence of all rights, with a warranty.") == []
+    gnu = op4_licenses.GNU.format("", 2).split()
+    assert names("dnl " + "\ndnl ".join(" ".join(gnu[i:i + 8]) for i in range(0, len(gnu), 8))) == ["GPL-2.0"]
+
+
 # -- HTML
 
 def test_html_by_markup():
