@@ -96,20 +96,29 @@ def links(fps: DataFrame, budget: int = BUDGET) -> DataFrame:
     return probe.alias("probe").join(index.alias("index"), on & within(3) & within(4) & (F.bit_count(differ) <= budget)).select("a", "b")
 
 
-def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row (doc_id, fp, component_id) for each row of ``docs``. Fingerprints are kept in the folder of ``spark.checkpoint.dir``."""
-    rows = cut_lineage(fingerprints(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), "text").drop("text"))
+def rooted(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``rows`` (doc_id, fp and others) as kept in the folder of ``spark.checkpoint.dir``, and (fp, root, least doc_id) of each different fingerprint."""
+    rows = cut_lineage(rows)
     nodes = rows.groupBy("fp").agg(F.min("doc_id").alias("least"))
     nodes = cut_lineage(nodes)
     trees = components(links(nodes.select("fp")))
-    named = nodes.join(trees, nodes["fp"] == trees["node"], "left").select("fp", F.coalesce("root", "fp").alias("root"), "least")
+    return rows, nodes.join(trees, nodes["fp"] == trees["node"], "left").select("fp", F.coalesce("root", "fp").alias("root"), "least")
+
+
+def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row (doc_id, fp, component_id) for each row of ``docs``. Fingerprints are kept in the folder of ``spark.checkpoint.dir``."""
+    rows, named = rooted(fingerprints(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), "text").drop("text"))
     whole = named.groupBy("root").agg(F.min("least").alias("component_id"))
     of = named.select("fp", "root").join(whole, "root").select(F.col("fp").alias("k"), "component_id")
     return rows.join(of, F.col("fp") == F.col("k")).select("doc_id", "fp", "component_id")
 
 
 def representatives(docs: DataFrame) -> DataFrame:
-    """One document of each class stays: the row whose doc_id names the class, or one row of each text if the class has no id. Columns stay."""
-    kept = classes(docs).filter("doc_id = component_id").select(F.col("doc_id").alias("__kept")).distinct()
-    once = docs.filter("doc_id is not null").dropDuplicates(["doc_id"])
-    return once.join(kept, F.col("doc_id") == F.col("__kept"), "left_semi").unionByName(docs.filter("doc_id is null"))
+    """Exactly one row of each class stays: of the least doc_id (null last), and among rows that share it the least by digest of all columns. Columns stay."""
+    digest = F.md5(F.to_json(F.struct(*[F.col(f"`{c}`") for c in docs.columns])))
+    rows, named = rooted(fingerprints(docs.select("doc_id", "text", digest.alias("row")), "text").drop("text"))
+    of = named.select(F.col("fp").alias("k"), "root")
+    least = rows.join(of, F.col("fp") == F.col("k")).groupBy("root").agg(F.min(F.struct(F.isnull("doc_id"), "doc_id", "row")).alias("first"))
+    kept = least.select(F.col("first.row").alias("__kept"))
+    once = docs.withColumn("__row", digest).join(kept, F.col("__row") == F.col("__kept"), "left_semi")
+    return once.dropDuplicates(["__row"]).select(*docs.columns)

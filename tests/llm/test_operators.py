@@ -130,6 +130,19 @@ def test_simhash_classes(spark):
     assert kept.filter("doc_id is null").count() == 1 and kept.columns == documents(spark, []).columns
 
 
+def test_simhash_representatives(spark):
+    rng = random.Random(21)
+    a, b, c, d = (sentence(rng, 60) + f" {x}" for x in "abcd")
+    rows = [(None, a, "en"), (None, a, "en"), (None, a, "de"), (None, b, "en"), (5, b, "en"), (7, c, "en"), (7, d, "en"), (7, d, "en"), (8, d, "en")]
+    df = documents(spark, rows)
+    got = op8_simhash.representatives(df)
+    assert got.columns == df.columns
+    want = [(7, c), (7, d), (5, b), (None, a)]
+    one = sorted(((r["doc_id"], r["text"], r["lang"]) for r in got.collect()), key=str)
+    assert sorted((x[:2] for x in one), key=str) == sorted(want, key=str)
+    assert one == sorted(((r["doc_id"], r["text"], r["lang"]) for r in op8_simhash.representatives(documents(spark, rows[::-1]).repartition(5)).collect()), key=str)
+
+
 def test_pigeonring_finds_every_link(spark):
     rng = random.Random(1)
     centre = rng.getrandbits(64)
