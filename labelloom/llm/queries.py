@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from labelloom.llm import op1_chat, op2_warc, op3_decontaminate, op4_licenses, op5_quality, op6_html, op7_bpe, op8_simhash, op9_language, op10_pii, op12_spelling, twins
+from labelloom.llm import op1_chat, op2_warc, op3_decontaminate, op4_licenses, op5_quality, op6_html, op7_bpe, op8_simhash, op9_language, op10_pii, op11_collocations, op12_spelling, twins
 from labelloom.session import scratch_dir
 
 
@@ -67,6 +67,10 @@ def op10_pii_spans(spark, sf):
     return op10_pii.find(table(spark, sf, "documents").select("doc_id", "text")).drop("text")
 
 
+def op11_phrase_collocations(spark, sf):
+    return op11_collocations.mine(table(spark, sf, "documents").select("lang", "text"))
+
+
 def op12_spelling_variants(spark, sf):
     return op12_spelling.groups(table(spark, sf, "documents").select("doc_id", "text"))
 
@@ -78,7 +82,7 @@ def pipeline(spark, sf):
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_chat_format, op2_warc_salvage, op3_decontaminate_documents, op4_license_scan, op5_quality_rules, op6_html_main_text, op7_bpe_round_trip, op8_simhash_classes, op9_language_id,
-    op10_pii_spans, op12_spelling_variants, pipeline)}
+    op10_pii_spans, op11_phrase_collocations, op12_spelling_variants, pipeline)}
 
 ORACLE: dict[str, str] = {
     "op2_warc_salvage": """
@@ -86,5 +90,6 @@ ORACLE: dict[str, str] = {
         f AS (SELECT payload_digest, min(page_id) AS first FROM p WHERE payload_bytes >= 100 GROUP BY ALL)
         SELECT page_id, payload_bytes, p.payload_digest, CASE WHEN page_id <> first THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN page_id <> first THEN first END AS refers_to
         FROM p LEFT JOIN f USING (payload_digest)""",
+    "op11_phrase_collocations": twins.PHRASES,
     "op12_spelling_variants": twins.SPELLING,
 }

@@ -19,3 +19,24 @@ forms AS MATERIALIZED (SELECT v.word, v.n, coalesce(any_value(best.n_near), 0) A
     FROM v LEFT JOIN best ON best.word = v.word LEFT JOIN pairs ON pairs.word = v.word AND pairs.other_n = best.top AND best.top >= 2 * v.n GROUP BY v.word, v.n),
 roots AS (SELECT word, word AS root FROM forms WHERE form IS NULL UNION ALL SELECT f.word, r.root FROM forms f JOIN roots r ON f.form = r.word)
 SELECT word, form, root, n, n_near, form_n FROM forms JOIN roots USING (word)"""
+
+
+PHRASES = r"""
+WITH RECURSIVE
+texts AS (SELECT row_number() OVER () AS d, coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+pieces AS (SELECT d, lang, p, piece FROM (SELECT d, lang, string_split_regex(text, '[.,;:!?\x0A-\x0D]') AS ps FROM texts), unnest(ps) WITH ORDINALITY AS u(piece, p)),
+words AS (SELECT d, lang, p, i, w FROM (SELECT d, lang, p, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS ws FROM pieces), unnest(ws) WITH ORDINALITY AS u(w, i)),
+next AS (SELECT lang, w, lead(w) OVER o AS w2, lead(w, 2) OVER o AS w3, lead(w, 3) OVER o AS w4 FROM words WINDOW o AS (PARTITION BY d, p ORDER BY i)),
+f AS MATERIALIZED (
+    SELECT lang, 1 AS m, [w] AS k, count(*) AS f FROM next GROUP BY ALL HAVING count(*) >= 30
+    UNION ALL SELECT lang, 2, [w, w2], count(*) FROM next WHERE w2 IS NOT NULL GROUP BY ALL HAVING count(*) >= 30
+    UNION ALL SELECT lang, 3, [w, w2, w3], count(*) FROM next WHERE w3 IS NOT NULL GROUP BY ALL HAVING count(*) >= 30
+    UNION ALL SELECT lang, 4, [w, w2, w3, w4], count(*) FROM next WHERE w4 IS NOT NULL GROUP BY ALL HAVING count(*) >= 30),
+cuts AS (SELECT c.lang, c.m, c.k AS w, c.f AS a, j, x.f AS l, y.f AS r, CAST(CAST(2000000 AS HUGEINT) * c.f // (x.f + y.f) AS BIGINT) AS score
+    FROM f c, unnest(range(1, c.m)) AS u(j), f x, f y WHERE c.m >= 2 AND x.lang = c.lang AND y.lang = c.lang AND x.k = c.k[1:j] AND y.k = c.k[j + 1:c.m]),
+lowest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, w ORDER BY score, j) = 1),
+inside AS (SELECT lang, f.k[i:i + size - 1] AS w, max(f.f) AS top FROM f, unnest(range(1, 4)) AS u(i), unnest(range(2, 4)) AS v(size) WHERE f.m >= 3 AND size < f.m AND i + size - 1 <= f.m GROUP BY ALL),
+total AS (SELECT lang, count(*) AS n FROM words GROUP BY lang)
+SELECT lang, row_number() OVER o AS rank, array_to_string(w, ' ') AS phrase, a, l, r, n, score
+FROM lowest LEFT JOIN inside USING (lang, w) JOIN total USING (lang) WHERE top IS NULL OR 100 * CAST(top AS HUGEINT) < 80 * a
+WINDOW o AS (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(w, ' ')) QUALIFY row_number() OVER o <= 2000"""

@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from labelloom.llm import bloom, op12_spelling
+from labelloom.llm import bloom, op11_collocations, op12_spelling, quotient
 
 DOC = "doc_id long, text string, lang string, word string, n long, form string, node long"  # with names that operators use
 
@@ -99,3 +99,113 @@ def test_spelling_with_a_full_filter(spark, monkeypatch):
 def test_spelling_empty(spark):
     assert op12_spelling.groups(documents(spark, [])).count() == 0
     assert op12_spelling.groups(documents(spark, [(1, "one two", None)])).count() == 0
+
+
+# -- counting quotient filters and phrases
+
+def test_permutation_is_invertible():
+    rng = np.random.default_rng(4)
+    for n in (1, 2, 3, 4):
+        lanes = [rng.integers(0, 2**64, 1000, dtype=np.uint64) for _ in range(n)]
+        assert all((a == b).all() for a, b in zip(lanes, quotient.restore(quotient.permute(lanes))))
+
+
+@pytest.mark.parametrize("bits", [0, 3, 8])
+@pytest.mark.parametrize("n", [1, 2, 4])
+def test_quotient_filters_are_lossless(n, bits):
+    rng = np.random.default_rng(bits + n)
+    seen, parts = Counter(), {}
+    for size in (1, 7, 3000, 5):
+        lanes = [rng.integers(0, 30, size).astype(np.uint64) for _ in range(n)]
+        for lane in lanes:
+            lane[:size // 2] = 7
+        seen.update(zip(*(lane.tolist() for lane in lanes)))
+        lanes, counts = quotient.combine(quotient.permute(lanes))
+        bounds = quotient.shard_bounds(lanes[0], bits)
+        for s in range(1 << bits):
+            a, b = bounds[s], bounds[s + 1]
+            if b > a:
+                parts.setdefault(s, []).append(quotient.unpack(quotient.pack([x[a:b] for x in lanes], counts[a:b], bits), s, bits, n))
+    got = {}
+    for some in parts.values():
+        lanes, counts = quotient.merge(some)
+        got |= dict(zip(zip(*(lane.tolist() for lane in quotient.restore(lanes))), counts.tolist()))
+    assert got == seen and max(seen.values()) > 255
+
+
+def test_keys_that_share_a_lane_stay_apart():
+    lanes = [np.array([5, 5, 5, 5, 1], np.uint64), np.array([2, 1, 2, 1, 1], np.uint64)]
+    held, counts = quotient.combine(lanes)
+    assert [tuple(map(int, x)) for x in zip(*held, counts)] == [(1, 1, 1), (5, 1, 2), (5, 2, 2)]
+
+
+def plain_phrases(rows, least=30, top=2000):
+    n, f = Counter(), Counter()
+    for _, text, lang in rows:
+        lang = "und" if lang is None else lang
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", fold(text)):
+            words = re.findall(r"[^\x20\x09]+", piece)
+            n[lang] += len(words)
+            f.update((lang, *words[i:i + m]) for m in range(1, 5) for i in range(len(words) - m + 1))
+    f = {k: c for k, c in f.items() if c >= least}
+    out = []
+    for (lang, *w), a in f.items():
+        if len(w) >= 2:
+            score, _, left, right = min((2000000 * a // (f[(lang, *w[:k])] + f[(lang, *w[k:])]), k, f[(lang, *w[:k])], f[(lang, *w[k:])]) for k in range(1, len(w)))
+            held = any(len(v) > len(w) and v[0] == lang and 100 * c >= 80 * a and any(v[i:i + len(w)] == tuple(w) for i in range(1, len(v) - len(w) + 1)) for v, c in f.items() if len(v) > len(w) + 1)
+            if not held:
+                out.append((lang, -score, -a, " ".join(w).encode(), left, right))
+    out.sort()
+    result, rank = [], Counter()
+    for lang, score, a, phrase, left, right in out:
+        rank[lang] += 1
+        if rank[lang] <= top:
+            result.append((lang, rank[lang], phrase.decode(), -a, left, right, n[lang], -score))
+    return result
+
+
+@pytest.mark.parametrize("small", [False, True])
+def test_phrases_equal_plain(spark, monkeypatch, small):
+    if small:  # many hand-overs of each task
+        monkeypatch.setattr(op11_collocations, "PENDING", 50)
+        monkeypatch.setattr(op11_collocations, "HELD", 60)
+    rng = random.Random(2)
+    pool = ["new", "york", "City", "of", "Ünter", "É", "the", "big", "a\u00a0b", "x"]
+    rows = [(i, "".join(rng.choice(["New York City", "the big x of", *pool]) + rng.choice([" ", " ", "  ", "\t", ". ", ",", "\n"]) for _ in range(60)), rng.choice(["en", "de", None, "und", ""])) for i in range(120)]
+    rows += [(1, None, "en"), (1, "", None), (None, rows[0][1], "en"), (5, rows[0][1], "en"), (6, "z " * 30000 + "." * 50, "long"), (7, "... ;;", "marks")]
+    got = list(map(tuple, op11_collocations.mine(documents(spark, rows), top=40).collect()))
+    assert sorted(got) == sorted(plain_phrases(rows, top=40))
+    assert {"en", "und", "long", ""} <= {r[0] for r in got}
+
+
+def test_phrases_with_shared_ids(spark, monkeypatch):
+    """Words whose first ids are equal are told apart and counted under other ids."""
+    from labelloom.llm import words
+    whole = words.Words._hashes
+    rng = random.Random(6)
+    rows = [(i, " ".join(rng.choice("aa bb cc dd".split()) for _ in range(40)), "en") for i in range(40)]
+    expected = plain_phrases(rows)
+
+    def equal(self):
+        h = whole(self)
+        return np.where(np.array([self.text(i) in (b"aa", b"bb") for i in range(len(h))], bool), np.uint64(1), h)
+
+    batch = pa.RecordBatch.from_pydict({"text": ["aa bb cc"], "lang": ["en"]})
+    monkeypatch.setattr(words.Words, "_hashes", equal)
+    ids = next(op11_collocations.word_ids(batch, np.zeros(0, np.uint64)))[1]
+    assert ids[0] == ids[1] != ids[2]
+    other = next(op11_collocations.word_ids(batch, ids[:1]))[1]
+    assert len(set(other.tolist())) == 3 and other[2] == ids[2]
+    checks = op11_collocations.second_hash(next(op11_collocations.word_ids(batch, ids[:1]))[0])
+    assert len(set(checks.tolist())) == 3
+    monkeypatch.undo()
+    shared = next(op11_collocations.word_ids(pa.RecordBatch.from_pydict({"text": ["aa bb"], "lang": ["en", ]}), np.zeros(0, np.uint64)))[1]
+    docs = documents(spark, rows)
+    before, after = (op11_collocations.frequent(docs, 30, 4, some)[0].groupBy("m").agg({"f": "sum"}).collect() for some in (np.zeros(0, np.uint64), shared))
+    assert sorted(before) == sorted(after)
+    assert sorted(map(tuple, op11_collocations.mine(docs).collect())) == sorted(expected)
+
+
+def test_phrases_empty(spark):
+    assert op11_collocations.mine(documents(spark, [])).count() == 0
+    assert op11_collocations.mine(documents(spark, [(1, None, None), (2, "few words", "en")])).count() == 0
