@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from labelloom.llm import op1_chat, op2_warc, op3_decontaminate, op4_licenses, op5_quality, op6_html, op7_bpe, op8_simhash, op9_language, op10_pii, op11_collocations, op12_spelling, twins
+from labelloom.llm import op1_chat, op2_warc, op3_decontaminate, op4_licenses, op5_quality, op6_html, op7_bpe, op8_simhash, op9_language, op10_pii, op11_collocations, op12_spelling, op13_jaccard, twins
 from labelloom.session import scratch_dir
 
 
@@ -75,6 +75,10 @@ def op12_spelling_variants(spark, sf):
     return op12_spelling.groups(table(spark, sf, "documents").select("doc_id", "text"))
 
 
+def op13_jaccard_classes(spark, sf):
+    return op13_jaccard.classes(table(spark, sf, "documents").select("doc_id", "text"))
+
+
 def pipeline(spark, sf):
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf)
@@ -82,7 +86,7 @@ def pipeline(spark, sf):
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_chat_format, op2_warc_salvage, op3_decontaminate_documents, op4_license_scan, op5_quality_rules, op6_html_main_text, op7_bpe_round_trip, op8_simhash_classes, op9_language_id,
-    op10_pii_spans, op11_phrase_collocations, op12_spelling_variants, pipeline)}
+    op10_pii_spans, op11_phrase_collocations, op12_spelling_variants, op13_jaccard_classes, pipeline)}
 
 ORACLE: dict[str, str] = {
     "op2_warc_salvage": """
@@ -92,4 +96,5 @@ ORACLE: dict[str, str] = {
         FROM p LEFT JOIN f USING (payload_digest)""",
     "op11_phrase_collocations": twins.PHRASES,
     "op12_spelling_variants": twins.SPELLING,
+    "op13_jaccard_classes": twins.SETS,
 }

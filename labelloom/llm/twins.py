@@ -40,3 +40,16 @@ total AS (SELECT lang, count(*) AS n FROM words GROUP BY lang)
 SELECT lang, row_number() OVER o AS rank, array_to_string(w, ' ') AS phrase, a, l, r, n, score
 FROM lowest LEFT JOIN inside USING (lang, w) JOIN total USING (lang) WHERE top IS NULL OR 100 * CAST(top AS HUGEINT) < 80 * a
 WINDOW o AS (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(w, ' ')) QUALIFY row_number() OVER o <= 2000"""
+
+
+SETS = r"""
+WITH RECURSIVE
+texts AS (SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+sets AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')] ELSE list_sort(list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')))) END AS s FROM texts),
+nodes AS MATERIALIZED (SELECT min(doc_id) AS node, s, len(s) AS n FROM sets WHERE len(s) > 0 GROUP BY s),
+held AS (SELECT node, n, unnest(s) AS g FROM nodes),
+pairs AS MATERIALIZED (SELECT x.node AS a, y.node AS b FROM held x JOIN held y ON x.g = y.g AND x.node <> y.node GROUP BY x.node, y.node, x.n, y.n HAVING 180 * count(*) >= 80 * (x.n + y.n)),
+reach AS (SELECT node AS a, node AS b FROM nodes UNION SELECT reach.a, pairs.b FROM reach JOIN pairs ON reach.b = pairs.a),
+least AS (SELECT a AS node, min(b) AS component_id FROM reach GROUP BY a)
+SELECT doc_id, CAST(len(sets.s) AS BIGINT) AS n_shingles, coalesce(component_id, doc_id) AS component_id
+FROM sets LEFT JOIN nodes ON nodes.s = sets.s LEFT JOIN least USING (node)"""

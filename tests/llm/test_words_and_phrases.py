@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from labelloom.llm import bloom, op11_collocations, op12_spelling, quotient
+from labelloom.llm import bloom, op11_collocations, op12_spelling, op13_jaccard, quotient
 
 DOC = "doc_id long, text string, lang string, word string, n long, form string, node long"  # with names that operators use
 
@@ -209,3 +209,90 @@ def test_phrases_with_shared_ids(spark, monkeypatch):
 def test_phrases_empty(spark):
     assert op11_collocations.mine(documents(spark, [])).count() == 0
     assert op11_collocations.mine(documents(spark, [(1, None, None), (2, "few words", "en")])).count() == 0
+
+
+# -- set join
+
+def plain_set(text, k=5):
+    words = re.findall(r"[^\x20\x09-\x0D]+", fold(text))
+    return frozenset(tuple(words[i:i + k]) for i in range(len(words) - k + 1)) if len(words) >= k else frozenset([tuple(words)] if words else [])
+
+
+def plain_classes(rows):
+    some = [plain_set(t) for _, t, _ in rows]
+    parent = list(range(len(rows)))
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i in range(len(rows)):
+        for j in range(i):
+            if some[i] and some[j] and 100 * len(some[i] & some[j]) >= 80 * len(some[i] | some[j]):
+                parent[root(i)] = root(j)
+    least = {}
+    for i, (d, _, _) in enumerate(rows):
+        if d is not None and some[i]:
+            least[root(i)] = min(d, least.get(root(i), d))
+    return [(d, len(some[i]), least.get(root(i)) if some[i] else d) for i, (d, _, _) in enumerate(rows)]
+
+
+def family(rng, pool, size, changes, copies):
+    base = [rng.choice(pool) for _ in range(size)]
+    out = [" ".join(base)]
+    for _ in range(copies):
+        some = list(base)
+        for _ in range(rng.randint(0, changes)):
+            at = rng.randrange(len(some))
+            if rng.random() < .5:
+                some[at] = rng.choice(pool)
+            else:
+                del some[at]
+        out.append(rng.choice([" ", "  ", "\n"]).join(some))
+    return out
+
+
+@pytest.mark.parametrize("block, heavy", [(op13_jaccard.BLOCK, op13_jaccard.HEAVY), (300, 8), (1, 1)])
+def test_set_join_equals_plain(spark, monkeypatch, block, heavy):
+    monkeypatch.setattr(op13_jaccard, "HEAVY", heavy)
+    rng = random.Random(block)
+    pool = [f"w{i}" for i in range(400)]
+    passage = " ".join(rng.choice(pool) for _ in range(60))
+    texts = [t for size in (1, 2, 3, 4, 5, 6, 8, 12, 20, 40, 60, 100, 300) for _ in range(3) for t in family(rng, pool, size, max(1, size // 25), 6)]
+    texts += family(rng, pool, 50, 3, 60) + [f"{passage} {t}" for t in family(rng, pool, 30, 30, 12)]
+    texts += [passage.upper(), passage, "", " \t", "É É É É É É", "a a a a a a a a", "a a a a a"]
+    rows = [(i * 7 % 1009, t, None) for i, t in enumerate(texts)]
+    rows += [(5000, None, None), (None, None, None), (None, texts[0], None), (None, "only here " * 3, None), (None, "only  here " * 3, None), (3, rows[9][1], None), rows[20], rows[20], (6000, "x " * 50000 + passage, "y")]
+    got = list(map(tuple, op13_jaccard.classes(documents(spark, rows), block).collect()))
+    assert sorted(got, key=str) == sorted(plain_classes(rows), key=str)
+
+
+@pytest.mark.parametrize("block", [op13_jaccard.BLOCK, 200])
+def test_every_link_is_found_once_at_least(spark, block):
+    rng = random.Random(3)
+    pool = [f"w{i}" for i in range(200)]
+    texts = sorted({t for size in (5, 9, 30, 120) for _ in range(3) for t in family(rng, pool, size, size // 20 + 1, 15)})
+    docs = documents(spark, [(i, t, None) for i, t in enumerate(texts)])
+    rows = op13_jaccard.parsed(docs)
+    name = {bytes(r["digest"]): r["doc_id"] for r in rows.filter("digest is not null").collect()}
+    got = {frozenset((name[bytes(r["a"])], name[bytes(r["b"])])) for r in op13_jaccard.links(docs, op13_jaccard.heavy(rows), block, every=True).collect()}
+    some = {d: plain_set(texts[d]) for d in name.values()}
+    assert got == {frozenset((i, j)) for i in some for j in some if i < j and 100 * len(some[i] & some[j]) >= 80 * len(some[i] | some[j])}
+    assert len(got) > 100
+
+
+def test_divide_skip_equals_counting():
+    rng = np.random.default_rng(2)
+    for _ in range(60):
+        base = rng.integers(0, 500, 80)
+        members = [np.unique(np.where(rng.random(80) < rng.choice([0, .05, .1, .3]), rng.integers(0, 500, 80), base)[:rng.integers(5, 80)]).astype(np.uint64) for _ in range(40)]
+        lists = op13_jaccard.Lists(members)
+        for s in members[:8]:
+            sizes = [(len(np.intersect1d(s, y)), len(np.union1d(s, y))) for y in members]
+            assert lists.search(s).tolist() == [j for j, (both, either) in enumerate(sizes) if 100 * both >= 80 * either]
+
+
+def test_set_join_empty(spark):
+    assert op13_jaccard.classes(documents(spark, [])).count() == 0
+    assert list(map(tuple, op13_jaccard.classes(documents(spark, [(1, None, None), (2, "", None), (None, "", None)])).collect())) == [(1, 0, 1), (2, 0, 2), (None, 0, None)]
