@@ -1,7 +1,7 @@
 """G: vector similarity, retrieval, embedding cache, negative mining."""
 from pyspark.sql import Window, functions as F
 
-from ..operators import similarity as op, stats
+from ..operators import inverted, similarity as op, stats
 from ..session import scratch_dir
 from ..sources import tables as t
 from .base import joined, query, rounded
@@ -119,6 +119,39 @@ def g7(spark, d):
     return rounded(neighbours(spark, d, 30))
 
 
+def index(spark, d):
+    return inverted.InvertedFile(t.v_vec(spark, d), "vec_id")
+
+
+@query("g7_topk_inverted", sql("SELECT query_id, corpus_id, round(score, 6) AS score, rank FROM top30", "v_vec", sim=SIM, top30=TOP.format(k=30)))
+def g7_inverted(spark, d):
+    return rounded(index(spark, d).topk(t.v_vec(spark, d), 30, exclude_same=True, query_id="vec_id"))
+
+
+@query("g7_topk_approximate")
+def g7_approximate(spark, d):
+    """Every 20th vector against all rows, from as few cells as hold nine tenths of the true neighbours of drawn queries."""
+    file, asked = index(spark, d), t.v_vec(spark, d).where("vec_id % 20 = 0")
+    probes, _ = file.probes_for(asked, 30, 0.9, exclude_same=True, query_id="vec_id")
+    return rounded(file.topk(asked, 30, exclude_same=True, query_id="vec_id", probes=probes, exact=False))
+
+
+@query("g7_index_recall", sql("SELECT count(*) AS queries, least(30, count(*) * 20 - 1) AS k, true AS reached FROM v_vec WHERE vec_id % 20 = 0", "v_vec"))
+def g7_recall(spark, d):
+    """The approximate search of g7_topk_approximate against brute force over all rows."""
+    asked = t.v_vec(spark, d).where("vec_id % 20 = 0")
+    true = op.topk_similar(asked, t.v_vec(spark, d), 30, exclude_same=True, query_id="vec_id", corpus_id="vec_id").select("query_id", "corpus_id")
+    found = g7_approximate(spark, d).select("query_id", "corpus_id", F.lit(1).alias("hit"))
+    both = true.join(found, ["query_id", "corpus_id"], "left")
+    return both.agg(F.countDistinct("query_id").alias("queries"), F.lit(30).cast("long").alias("k"), (F.count("hit") >= 0.9 * F.count(F.lit(1))).alias("reached"))
+
+
+@query("g7_cells_visited")
+def g7_visited(spark, d):
+    """What the exact search compares with each query."""
+    return rounded(index(spark, d).visited(t.v_vec(spark, d), 30, exclude_same=True, query_id="vec_id"))
+
+
 @query("g8_rerank", sql("""SELECT query_id, corpus_id, round(1.0 / (1 + abs(query_id - corpus_id)), 6)::DOUBLE AS score,
     row_number() OVER (PARTITION BY query_id ORDER BY abs(query_id - corpus_id), corpus_id) AS rank FROM top10""", "v_vec", sim=SIM, top10=TOP.format(k=10)))
 def g8(spark, d):

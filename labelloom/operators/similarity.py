@@ -131,16 +131,8 @@ def cache_stats(log: DataFrame) -> DataFrame:
 
 # --- retrieval ----------------------------------------------------------------------------------
 
-def topk_similar(queries: DataFrame, corpus: DataFrame, k: int = 30, normalise: bool = True,
-                 exclude_same: bool = False, query_id: str = "query_id", corpus_id: str = "corpus_id",
-                 tile_rows: int = 8192) -> DataFrame:
-    """Exact k nearest corpus items of each query by cosine: (query_id, corpus_id, score, rank).
-
-    Each tile returns at most k rows per query, a window with a group limit merges them.
-    """
-    left = queries.select(F.col(query_id).alias("query_id"), "vector")
-    right = corpus.select(F.col(corpus_id).alias("corpus_id"), "vector")
-
+def topk_kernel(k: int, normalise: bool = True, exclude_same: bool = False) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    """Kernel of a pair of tiles (query_id, vector) and (corpus_id, vector): at most k rows (query_id, corpus_id, score) for each query."""
     def kernel(l: pa.Table, r: pa.Table) -> pa.Table:
         out_q, out_c, out_s = [], [], []
         if len(l) and len(r):
@@ -160,12 +152,29 @@ def topk_similar(queries: DataFrame, corpus: DataFrame, k: int = 30, normalise:
                          "corpus_id": r["corpus_id"].take(pa.array(cat(out_c), pa.int64())),
                          "score": pa.array(cat(out_s), pa.float64())})
 
-    schema = f"query_id {_type(left, 'query_id')}, corpus_id {_type(right, 'corpus_id')}, score double"
-    local = tiled(left, "query_id", right, "corpus_id", kernel, schema, tile_rows)
+    return kernel
+
+
+def first_k(local: DataFrame, k: int) -> DataFrame:
+    """Merges the local results of tiles: rank by score, ties by corpus id."""
     w = Window.partitionBy("query_id").orderBy(F.desc("score"), "corpus_id")
     return local.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
+def topk_similar(queries: DataFrame, corpus: DataFrame, k: int = 30, normalise: bool = True,
+                 exclude_same: bool = False, query_id: str = "query_id", corpus_id: str = "corpus_id",
+                 tile_rows: int = 8192) -> DataFrame:
+    """Exact k nearest corpus items of each query by cosine: (query_id, corpus_id, score, rank).
+
+    Each tile returns at most k rows per query, a window with a group limit merges them. All pairs of tiles are multiplied; a corpus that is
+    searched more than once, or that falls into clusters, is cheaper through ``inverted.InvertedFile``.
+    """
+    left = queries.select(F.col(query_id).alias("query_id"), "vector")
+    right = corpus.select(F.col(corpus_id).alias("corpus_id"), "vector")
+    schema = f"query_id {_type(left, 'query_id')}, corpus_id {_type(right, 'corpus_id')}, score double"
+    return first_k(tiled(left, "query_id", right, "corpus_id", topk_kernel(k, normalise, exclude_same), schema, tile_rows), k)
+
+
 def find_similar(queries: DataFrame, cache: DataFrame, k: int, exclude: DataFrame, **kw) -> DataFrame:
     """Top k first, excluded ids removed afterwards: fewer than k may remain."""
     return topk_similar(queries, cache, k, **kw).join(exclude.select("corpus_id").distinct(), "corpus_id", "left_anti")
