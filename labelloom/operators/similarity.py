@@ -19,12 +19,10 @@ from ..functions.scalars import one_row
 from ..functions.text import skill_text, strip, words
 from ..functions.vectors import as_double, cosine, dot, norm
 from ..session import cut_lineage
-from .tiles import best_k, chunks, matrix, nested, shared_counts, tiled
-
-DIGITS = 9
+from .groups import cooccurring_by_group, group_hard_negatives  # noqa: F401
+from .tiles import DIGITS, best_k, chunks, matrix, nested, tiled
 
 # --- fixed values -----------------------------------------------------------------------------
-MIN_DISTANCE = 0.63
 DEFAULT_MAX_POSITIVE, DEFAULT_MIN_QUERY = 0.7, 0.4
 # ----------------------------------------------------------------------------------------------
 
@@ -517,96 +515,3 @@ def mine_hard_negatives(samples: DataFrame, pool: DataFrame, k: int = 8, max_pos
         F.when(~unchanged, F.size(new).cast("long")).alias("hard_negatives_added"),
         F.when(~unchanged, F.size(neg).cast("long")).alias("total_negatives"),
         "candidates", "excluded_used", "excluded_by_positive_similarity")
-
-
-def cooccurring_by_group(targets: DataFrame, skills: DataFrame, min_shared: int = 1, k: int = 10, tile_rows: int = 8192) -> DataFrame:
-    """(target, label, shared, rank): other labels by number of shared occupations.
-
-    Inputs: label, occupations. The shared counts are a product of two 0/1 matrices inside a tile, so an
-    occupation that a third of all labels share costs one column and never a pair of rows.
-    """
-    left = targets.select(F.col("label").alias("target"), "occupations").where(F.size("occupations") > 0)
-    right = skills.select("label", "occupations").where(F.size("occupations") > 0)
-
-    def kernel(l: pa.Table, r: pa.Table) -> pa.Table:
-        rows, cols, n = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0, np.int64)]
-        if len(l) and len(r):
-            r = r.sort_by("label")
-            at = {x: i for i, x in enumerate(r["label"].to_pylist())}
-            own, count = l["target"].to_pylist(), shared_counts(nested(l, "occupations"), nested(r, "occupations"))
-            for part in chunks(len(l), len(r)):
-                s = count(part)
-                s[s < max(1, min_shared)] = -np.inf
-                for i, x in enumerate(own[part]):
-                    if x in at:
-                        s[i, at[x]] = -np.inf
-                a, b = best_k(s, k)
-                rows.append(a + part.start), cols.append(b), n.append(s[a, b].astype(np.int64))
-        return pa.table({"target": l["target"].take(pa.array(np.concatenate(rows))),
-                         "label": r["label"].take(pa.array(np.concatenate(cols))), "shared": pa.array(np.concatenate(n))})
-
-    local = tiled(left, "target", right, "label", kernel, "target string, label string, shared bigint", tile_rows,
-                  (targets.count(), skills.count()))
-    w = Window.partitionBy("target").orderBy(F.desc("shared"), "label")
-    return local.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-
-
-def group_hard_negatives(targets: DataFrame, skills: DataFrame, covered: DataFrame, n: int = 2,
-                         use_vectors: bool = False, tile_rows: int = 8192) -> DataFrame:
-    """(target_id, label, score, rank): labels that share an occupation with the positives but mean something else.
-
-    ``targets``: target_id, positives; ``skills``: label, occupations[, vector]; ``covered``: label. Score =
-    2 x shared occupations + min(5 x distance, 3) from distance 0.63 + 1 for at most one shared word + 0.5 when
-    covered; more than 2 shared words rule a label out. Distance = 1 - max similarity, or 1 - shared / larger word set.
-    """
-    split = (lambda c: F.array_distinct(words(F.lower(c))))
-    docs = skills.join(covered.select("label", F.lit(True).alias("_c")).distinct(), "label", "left").select(
-        "label", "occupations", split(F.col("label")).alias("words"), F.col("_c").isNotNull().alias("covered"),
-        *(["vector"] if use_vectors else []))
-    lex = targets.select("target_id", "positives", split(F.array_join("positives", " ")).alias("words"))
-    per = targets.select("target_id", F.explode("positives").alias("label")).join(
-        skills.select("label", "occupations", *(["vector"] if use_vectors else [])), "label")
-    union = per.groupBy("target_id").agg(
-        F.array_distinct(F.flatten(F.collect_list("occupations"))).alias("occupations"),
-        *([F.flatten(F.collect_list("vector")).alias("pv")] if use_vectors else []))
-    left = lex.join(union, "target_id").where(F.size("occupations") > 0)
-    id_type = _type(targets, "target_id")
-
-    def kernel(l: pa.Table, r: pa.Table) -> pa.Table:
-        rows, cols, sc = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0)]
-        if len(l) and len(r):
-            r = r.sort_by("label")
-            at = {x: i for i, x in enumerate(r["label"].to_pylist())}
-            lw, rw = nested(l, "words"), nested(r, "words")
-            occ = shared_counts(nested(l, "occupations"), nested(r, "occupations"))
-            lex_count = shared_counts(lw, rw)
-            ln, rn = np.array([len(x) for x in lw]), np.array([len(x) for x in rw])
-            bonus = np.where(np.array(r["covered"].to_pylist()), 0.5, 0.0)
-            own = nested(l, "positives")
-            if use_vectors:
-                c, flat = matrix(r, "vector"), nested(l, "pv")
-            for part in chunks(len(l), len(r)):
-                o, w = occ(part).astype(float), lex_count(part)
-                if use_vectors:
-                    dist = np.empty(o.shape)
-                    for i in range(o.shape[0]):
-                        m = np.asarray(flat[part.start + i], dtype=float).reshape(-1, c.shape[1])
-                        length = np.linalg.norm(m, axis=1, keepdims=True)
-                        m = np.divide(m, length, out=m.copy(), where=length > 0)
-                        dist[i] = 1 - np.round(m @ c.T, DIGITS).max(axis=0)
-                else:
-                    dist = 1 - w / np.maximum(1, np.maximum(ln[part][:, None], rn[None, :]))
-                s = np.round(2 * o + np.where(dist >= MIN_DISTANCE, np.minimum(5 * dist, 3), 0)
-                             + np.where(w <= 1, 1.0, 0.0) + bonus[None, :], DIGITS)
-                s[(o < 1) | (w > 2)] = -np.inf
-                for i in range(s.shape[0]):
-                    s[i, [at[x] for x in own[part.start + i] if x in at]] = -np.inf
-                a, b = best_k(s, n)
-                rows.append(a + part.start), cols.append(b), sc.append(s[a, b])
-        return pa.table({"target_id": l["target_id"].take(pa.array(np.concatenate(rows))),
-                         "label": r["label"].take(pa.array(np.concatenate(cols))), "score": pa.array(np.concatenate(sc))})
-
-    local = tiled(left, "target_id", docs, "label", kernel, f"target_id {id_type}, label string, score double", tile_rows,
-                  (targets.count(), skills.count()))
-    w = Window.partitionBy("target_id").orderBy(F.desc("score"), "label")
-    return local.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)

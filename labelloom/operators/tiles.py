@@ -16,6 +16,11 @@ from pyspark.sql import DataFrame, functions as F
 
 TILE_ROWS = 8192
 CHUNK_CELLS = 4_000_000
+#: Bytes of one side of a pair of tiles, and partitions that pairs of tiles are dealt to at most; a task works on its pairs one after the other.
+TILE_BYTES = 64 << 20
+MOST_PARTITIONS = 20_000
+#: Scores are rounded to this many digits before they are compared.
+DIGITS = 9
 
 
 def grid(left_rows: int, right_rows: int, tile_rows: int, cores: int) -> tuple[int, int]:
@@ -26,6 +31,11 @@ def grid(left_rows: int, right_rows: int, tile_rows: int, cores: int) -> tuple[i
     return rows * max(1, spread), cols
 
 
+def _width(df: DataFrame) -> int:
+    """Numbers of the longest vector, at least one."""
+    return max(1, df.agg(F.max(F.size("vector"))).first()[0] or 1) if "vector" in df.columns else 1
+
+
 def tiled(left: DataFrame, left_id: str, right: DataFrame, right_id: str,
           kernel: Callable[[pa.Table, pa.Table], pa.Table], schema: str, tile_rows: int = TILE_ROWS,
           rows: tuple[int, int] | None = None) -> DataFrame:
@@ -35,6 +45,8 @@ def tiled(left: DataFrame, left_id: str, right: DataFrame, right_id: str,
     """
     spark = left.sparkSession
     cores = spark.sparkContext.defaultParallelism
+    width = max([_width(df) for df in (left, right)] if rows is None and "vector" in left.columns else [1])
+    tile_rows = max(1, min(tile_rows, TILE_BYTES // (8 * width)))
     n_rows, n_cols = grid(*(rows or (left.count(), right.count())), tile_rows, cores)
     n = n_rows * n_cols
 
@@ -43,7 +55,7 @@ def tiled(left: DataFrame, left_id: str, right: DataFrame, right_id: str,
         df = df.select([F.col(c).alias(c) for c in df.columns])
         return (df.withColumn(own, F.pmod(F.xxhash64(mine), F.lit(n_own)).cast("int"))
                 .withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(n_other - 1))))
-                .repartition(n, "_r", "_c"))
+                .repartition(min(n, MOST_PARTITIONS), "_r", "_c"))
 
     a = spread(left, left_id, "_r", n_rows, "_c", n_cols)
     b = spread(right, right_id, "_c", n_cols, "_r", n_rows)
@@ -91,28 +103,32 @@ def best_k(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     return r[keep], c[keep]
 
 
-def shared_counts(a: list[list], b: list[list], block: int = 2048):
-    """Function rows -> matrix of |a[i] & b[j]| for that range of rows; items are taken as sets."""
+def shared_counts(a: list[list], b: list[list], block: int = 4096):
+    """Function rows -> matrix of |a[i] & b[j]| for that range of rows. Items are taken as sets, as bits of ``block`` items at a time."""
     items = {x: i for i, x in enumerate(sorted({x for l in a for x in l} & {x for l in b for x in l}))}
 
     def pairs(lists):
-        r = [(i, items[x]) for i, l in enumerate(lists) for x in set(l) if x in items]
-        return np.array(r, dtype=np.int64).reshape(-1, 2)
+        r = [(items[x], i) for i, l in enumerate(lists) for x in set(l) if x in items]
+        r = np.array(r, dtype=np.int64).reshape(-1, 2)
+        return r[np.argsort(r[:, 0], kind="stable")]
 
     pa_, pb = pairs(a), pairs(b)
 
+    def bits(some: np.ndarray, start: int) -> tuple[np.ndarray, np.ndarray]:
+        """Rows that have items of the block, and their bits."""
+        low, high = np.searchsorted(some[:, 0], [start, start + block])
+        rows, at = np.unique(some[low:high, 1], return_inverse=True)
+        m = np.zeros((len(rows), min(block, -(-(len(items) - start) // 64) * 64)), dtype=bool)
+        m[at, some[low:high, 0] - start] = True
+        return rows, np.packbits(m, axis=1).view(np.uint64)
+
+    blocks = [(bits(pa_, start), bits(pb, start)) for start in range(0, len(items), block)]
+
     def count(rows: slice) -> np.ndarray:
         out = np.zeros((rows.stop - rows.start, len(b)), dtype=np.float32)
-        mine = pa_[(pa_[:, 0] >= rows.start) & (pa_[:, 0] < rows.stop)]
-        for start in range(0, len(items), block):
-            x = mine[(mine[:, 1] >= start) & (mine[:, 1] < start + block)]
-            y = pb[(pb[:, 1] >= start) & (pb[:, 1] < start + block)]
-            if len(x) and len(y):
-                left = np.zeros((out.shape[0], block), dtype=np.float32)
-                left[x[:, 0] - rows.start, x[:, 1] - start] = 1
-                right = np.zeros((len(b), block), dtype=np.float32)
-                right[y[:, 0], y[:, 1] - start] = 1
-                out += left @ right.T
+        for (mine, left), (cols, right) in blocks:
+            for i in range(*np.searchsorted(mine, [rows.start, rows.stop])):
+                out[mine[i] - rows.start, cols] += np.bitwise_count(left[i] & right).sum(axis=1, dtype=np.int64)
         return out
 
     return count
