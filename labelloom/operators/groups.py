@@ -101,7 +101,7 @@ def cooccurring_by_group(targets: DataFrame, skills: DataFrame, min_shared: int
             order = np.argsort(flat, kind="stable")
             owner = np.repeat(np.arange(len(r)), [len(x) for x in names])[order]
             if len(l) and len(flat):
-                count, limit = shared_counts(nested(l, "groups"), nested(r, "groups")), np.asarray(l["limit"])
+                count, limit = shared_counts(l["groups"], r["groups"]), np.asarray(l["limit"])
                 for part in chunks(len(l), len(flat)):
                     s = count(part)
                     s[s < limit[part][:, None]] = -np.inf
@@ -207,7 +207,7 @@ def group_hard_negatives(targets: DataFrame, skills: DataFrame, covered: DataFra
                 ours, theirs = nested(l, "words"), [set(x) for x in nested(r, "words")]
                 n_theirs, is_covered = np.array([len(x) for x in theirs]), np.asarray(r["covered"])
                 limit, own = np.asarray(l["limit"]), nested(l, "positives")
-                occ = shared_counts(nested(l, "groups"), nested(r, "groups"))
+                occ = shared_counts(l["groups"], r["groups"])
                 vectors, flat = (matrix(r, "vector"), l["pv"]) if use_vectors else (None, None)
 
                 def scores(i: int, some: np.ndarray, o: np.ndarray) -> np.ndarray:

@@ -103,29 +103,40 @@ def best_k(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     return r[keep], c[keep]
 
 
-def shared_counts(a: list[list], b: list[list], block: int = 4096):
-    """Function rows -> matrix of |a[i] & b[j]| for that range of rows. Items are taken as sets, as bits of ``block`` items at a time."""
-    items = {x: i for i, x in enumerate(sorted({x for l in a for x in l} & {x for l in b for x in l}))}
-
-    def pairs(lists):
-        r = [(items[x], i) for i, l in enumerate(lists) for x in set(l) if x in items]
-        r = np.array(r, dtype=np.int64).reshape(-1, 2)
-        return r[np.argsort(r[:, 0], kind="stable")]
-
-    pa_, pb = pairs(a), pairs(b)
+def shared_counts(a: pa.Array | pa.ChunkedArray | list, b: pa.Array | pa.ChunkedArray | list, block: int = 4096):
+    """Function rows -> matrix of |a[i] & b[j]| for that range of rows of two list columns. Items are taken as sets, as bits of ``block`` items at a time."""
+    a, b = ((x.combine_chunks() if isinstance(x, pa.ChunkedArray) else x if isinstance(x, pa.Array) else pa.array(x, pa.list_(pa.int64()))) for x in (a, b))
+    n_b = len(b)
+    left, right = a.flatten(), b.flatten()
+    code = pa.concat_arrays([left, right]).dictionary_encode().indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    n_items = int(code.max()) + 1 if len(code) else 0
+    held = np.zeros((2, n_items), bool)
+    held[0, code[:len(left)]] = held[1, code[len(left):]] = True
+    place = np.where(held[0] & held[1], np.cumsum(held[0] & held[1]) - 1, -1)  # only items of both sides count
+    n_items = int((place >= 0).sum())
+
+    def pairs(column: pa.Array, codes: np.ndarray) -> np.ndarray:
+        """Different (item, row), in this order."""
+        sizes = np.asarray(column.value_lengths().fill_null(0))
+        item, row = place[codes], np.repeat(np.arange(len(column)), sizes)
+        known = item >= 0
+        both = np.unique(item[known] * max(1, len(column)) + row[known])
+        return np.stack([both // max(1, len(column)), both % max(1, len(column))], axis=1)
+
+    pa_, pb = pairs(a, code[:len(left)]), pairs(b, code[len(left):])
 
     def bits(some: np.ndarray, start: int) -> tuple[np.ndarray, np.ndarray]:
         """Rows that have items of the block, and their bits."""
         low, high = np.searchsorted(some[:, 0], [start, start + block])
         rows, at = np.unique(some[low:high, 1], return_inverse=True)
-        m = np.zeros((len(rows), min(block, -(-(len(items) - start) // 64) * 64)), dtype=bool)
+        m = np.zeros((len(rows), min(block, -(-(n_items - start) // 64) * 64)), dtype=bool)
         m[at, some[low:high, 0] - start] = True
         return rows, np.packbits(m, axis=1).view(np.uint64)
 
-    blocks = [(bits(pa_, start), bits(pb, start)) for start in range(0, len(items), block)]
+    blocks = [(bits(pa_, start), bits(pb, start)) for start in range(0, n_items, block)]
 
     def count(rows: slice) -> np.ndarray:
-        out = np.zeros((rows.stop - rows.start, len(b)), dtype=np.float32)
+        out = np.zeros((rows.stop - rows.start, n_b), dtype=np.float32)
         for (mine, left), (cols, right) in blocks:
             for i in range(*np.searchsorted(mine, [rows.start, rows.stop])):
                 out[mine[i] - rows.start, cols] += np.bitwise_count(left[i] & right).sum(axis=1, dtype=np.int64)
