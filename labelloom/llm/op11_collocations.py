@@ -28,6 +28,8 @@ from labelloom.session import cut_lineage
 LEAST, LONGEST, SHARE, TOP = 30, 4, 80, 2000
 #: n-grams that a task gathers before it counts them, and different ones that it holds before it hands them on.
 PENDING, HELD = 1 << 21, 1 << 22
+#: Parts that a language's phrases are ranked in before they are ranked together.
+PARTS = 64
 
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[65:91] += 32
@@ -245,7 +247,9 @@ def mine(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, share: int
         kept = kept.join(covered(found, longest), "w", "left").filter(F.col("top").isNull() | (F.lit(100).cast("decimal(3,0)") * F.col("top").cast("decimal(19,0)") < F.lit(share).cast("decimal(3,0)") * F.col("a").cast("decimal(19,0)")))
     kept = kept.join(names.select(F.col("id").alias("first"), "lang"), F.col("w")[0] == F.col("first")).drop("first", "top")
     order = [F.col("score").desc(), F.col("a").desc()]
-    kept = kept.withColumn("place", F.rank().over(Window.partitionBy("lang").orderBy(*order))).filter(F.col("place") <= top)
+    # first inside parts of a language, so that the last task of a language gets ``top`` rows a part and not a task
+    for parts in ([F.pmod(F.hash("w"), F.lit(PARTS))], []):
+        kept = kept.withColumn("place", F.rank().over(Window.partitionBy("lang", *parts).orderBy(*order))).filter(F.col("place") <= top)
     spelled = kept.select("w", F.posexplode("w").alias("i", "id")).join(names.select("id", "word"), "id").groupBy("w").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("i", "word"))), lambda x: x["word"]), " ").alias("phrase"))
     kept = kept.join(spelled, "w").withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order, "phrase")).cast("long")).filter(F.col("rank") <= top)
     return kept.join(totals, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
