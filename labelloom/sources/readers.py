@@ -6,15 +6,23 @@ packs files into tasks. ``sample_id`` is the digest of the content and its numbe
 """
 from __future__ import annotations
 
+import csv
+import io
+import json
+from collections.abc import Iterator
 from dataclasses import dataclass
+from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+import pyarrow as pa
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from .. import schemas as S
 from ..functions.arrays import or_empty
 from ..functions.payloads import parse_occupations
 from ..functions.ranking import running_before
 from ..functions.text import strip
+from . import ranges
 
 BAD = "_bad"
 
@@ -43,60 +51,122 @@ def parse_meta(c: Column) -> Column:
 
 
 def _samples(raw: DataFrame) -> Loaded:
-    # Spark refuses to read the corrupt-record column alone, so the record also names a data column
-    bad = raw.where(F.col(BAD).isNotNull()).select("row_no", F.coalesce(BAD, "query").alias("record"))
+    bad = raw.where(F.col(BAD).isNotNull()).select("row_no", F.col(BAD).alias("record"))
     good = raw.where(F.col(BAD).isNull()).withColumn("_content", F.md5(F.to_json(F.struct("query", "pos", "neg", "meta"))))
-    good = running_before(good, ["_content"], F.struct("row_no.file", "row_no.block"), [F.col("row_no.seq")], {"_before": F.lit(1).cast("long")}, once=False)
+    # equal contents are numbered in file order; only those that occur more than once are moved for it
+    several = good.groupBy("_content").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).select("_content")
+    again = good.join(several, "_content", "left_semi").select("_content", "row_no")
+    again = running_before(again, ["_content"], F.struct("row_no.file", "row_no.block"), [F.col("row_no.seq")], {"_before": F.lit(1).cast("long")}, once=False)
+    again = again.select("row_no", "_before")
+    good = good.join(again.withColumnRenamed("row_no", "_at"), F.col("row_no") == F.col("_at"), "left")
     good = good.select(
-        F.md5(F.concat_ws("#", "_content", "_before")).alias("sample_id"), "row_no", "query", "pos", "neg", parse_meta(F.col("meta")).alias("meta"))
+        F.md5(F.concat_ws("#", "_content", F.coalesce("_before", F.lit(0).cast("long")))).alias("sample_id"), "row_no", "query", "pos", "neg", parse_meta(F.col("meta")).alias("meta"))
     return Loaded(good, bad)
 
 
-def _json(spark: SparkSession, paths, multi_line: bool, **options) -> DataFrame:
-    schema = T.StructType(S.RAW_SAMPLE.fields + [T.StructField(BAD, T.StringType())])
-    reader = (spark.read.schema(schema).option("mode", "PERMISSIVE")
-              .option("columnNameOfCorruptRecord", BAD).option("multiLine", multi_line))
+def _schema() -> T.StructType:
+    return T.StructType(S.RAW_SAMPLE.fields + [T.StructField(BAD, T.StringType())])
+
+
+def _parsed(rows: DataFrame, record: Column) -> DataFrame:
+    """(row_no, fields of a sample, bad): JSON text by the schema; what cannot be read stands in ``bad``."""
+    return rows.select("row_no", F.from_json(record, _schema(), {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD}).alias("s")).select("row_no", "s.*")
+
+
+def _json(spark: SparkSession, paths, **options) -> DataFrame:
+    """One object a line; blank lines are dropped."""
+    reader = spark.read
     for key, value in options.items():
         reader = reader.option(key, value)
-    return reader.json(paths).select(row_position().alias("row_no"), "*")
+    rows = reader.text(paths).select(row_position().alias("row_no"), "value").where(strip(F.col("value")) != "")
+    return _parsed(rows, F.col("value"))
+
+
+def _json_objects(spark: SparkSession, paths, base: int, **options) -> DataFrame:
+    """As ``_json`` for top-level arrays (base 1) and objects over several lines (base 0); byte ranges of a file are read by many tasks."""
+    good, rejected = ranges.records(spark, paths, ranges.Objects(base), **options)
+    nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in S.RAW_SAMPLE.fields]
+    return _parsed(good, F.col("record")).unionByName(rejected.select("row_no", *nothing, F.col("record").alias(BAD)))
 
 
 def read_jsonl(spark: SparkSession, path) -> Loaded:
     """One object per line; blank and undecodable lines are dropped, duplicates and order kept."""
-    return _samples(_json(spark, path, multi_line=False))
+    return _samples(_json(spark, path))
 
 
-def file_formats(spark: SparkSession, path, **options) -> DataFrame:
-    """(file, fmt) from the first non-blank line of each file: array, single object or JSON Lines."""
-    reader = spark.read
-    for key, value in options.items():
-        reader = reader.option(key, value)
-    lines = (reader.text(path).select(row_position().alias("row_no"), strip(F.col("value")).alias("line"))
-             .where("line <> ''"))
-    first = lines.groupBy(F.col("row_no.file").alias("file")).agg(F.min_by("line", "row_no").alias("line"))
-    parsed = F.try_parse_json("line")
-    return first.select("file", F.when(F.col("line").startswith("["), "array")
-                        .when(parsed.isNotNull() | ~F.col("line").startswith("{"), "jsonl")
-                        .otherwise("object").alias("fmt"))
+#: Pieces or characters of one range after which the probe has seen enough.
+PROBE_PIECES, PROBE_CHARS = 1000, 1 << 16
+
+
+def _format(text: str) -> str:
+    """array, object or jsonl, from the beginning of a file."""
+    text = text.lstrip("\ufeff \t\r\n")
+    if text.startswith("["):
+        return "array"
+    line = text.split("\n", 1)[0]
+    try:
+        json.loads(line)
+        return "jsonl"
+    except ValueError:
+        return "object" if line.startswith("{") else "jsonl"
+
+
+def file_formats(spark: SparkSession, path, **options) -> dict[str, str]:
+    """File -> array, object (over several lines) or jsonl, from the first characters of each file; empty files are left out.
+
+    A task stops reading at the first large range it has looked into. Files that were packed behind it are asked for again, so each round reads the
+    beginning of some files and never a large one to its end. The driver gets one short row a file, as it lists the files anyway.
+    """
+    def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begun: dict[str, str] = {}
+        names = ["file", "fmt", "seen"]
+        for batch in batches:
+            files, blocks, values = (batch.column(c).to_pylist() for c in (0, 1, 3))
+            for file, block, value in zip(files, blocks, values):
+                if block == 0 and len(begun.get(file, "")) < PROBE_CHARS:
+                    begun[file] = begun.get(file, "") + value + "}"
+            if files and files[0] == files[-1] and (len(files) >= PROBE_PIECES or sum(map(len, values)) >= PROBE_CHARS):
+                break
+        some = {f: t for f, t in begun.items() if t.strip("\ufeff \t\r\n}")}
+        yield pa.RecordBatch.from_arrays([pa.array(list(begun), pa.string()), pa.array([_format(some[f]) if f in some else None for f in begun], pa.string()), pa.array([True] * len(begun))], names=names)
+
+    out: dict[str, str] = {}
+    asked = ranges.pieces(spark, path, "}", **options)
+    left = set(asked.inputFiles())
+    while left:
+        rows = asked.mapInArrow(probe, "file string, fmt string, seen boolean").collect()
+        out.update({r.file: r.fmt for r in rows if r.fmt})
+        seen = {r.file for r in rows}
+        if not seen & left:  # what is left has no bytes
+            break
+        left -= seen
+        if left:
+            asked = ranges.pieces(spark, [unquote(f) for f in sorted(left)], "}")
+    return out
 
 
 def read_samples(spark: SparkSession, path, fmt: str = "auto", variant: str | None = None, **options) -> Loaded:
-    """JSON array, one object, or JSON Lines; ``variant='gen'`` refuses a top-level object.
+    """JSON array, one object, or JSON Lines; ``variant='gen'`` refuses a top-level object. ``fmt`` skips the probe.
 
-    An array file is one record for Spark and is read by one task; large sets belong in JSON Lines, and
-    ``fmt='jsonl'`` skips the probe. The probe collects one short row per file.
+    Large arrays are read by many tasks (module ``ranges``); what is no object in an array is rejected, the objects around it stay.
     """
+    bases = {"array": 1, "object": 0}
     if fmt != "auto":
-        loaded = _samples(_json(spark, path, fmt in ("array", "object"), **options))
+        loaded = _samples(_json_objects(spark, path, bases[fmt], **options) if fmt in bases else _json(spark, path, **options))
     else:
-        kinds = file_formats(spark, path, **options).collect()
-        if variant == "gen" and any(r.fmt == "object" for r in kinds):
+        kinds = file_formats(spark, path, **options)
+        if variant == "gen" and "object" in kinds.values():
             raise ValueError("a top-level object is not accepted here: expected a list of samples")
-        parts = [_json(spark, files, multi) for multi in (False, True)
-                 if (files := [r.file for r in kinds if (r.fmt != "jsonl") == multi])]
+        parts = []
+        for kind in ("jsonl", "object", "array"):
+            if files := sorted(unquote(f) for f, k in kinds.items() if k == kind):
+                parts.append(_json_objects(spark, files, bases[kind]) if kind in bases else _json(spark, files))
         if not parts:
             raise ValueError(f"no samples in {path}")
-        loaded = _samples(parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1]))
+        raw = parts[0]
+        for more in parts[1:]:
+            raw = raw.unionByName(more)
+        loaded = _samples(raw)
     if loaded.rows.where("query is not null or pos is not null or neg is not null").isEmpty():
         raise ValueError(f"no samples in {path}")
     return loaded
@@ -169,13 +239,31 @@ def label_documents(df: DataFrame, label_columns=LABEL_COLUMNS, empty_descriptio
     return rows.groupBy("label").agg(F.max_by(body, "row_no").alias("b")).select("label", "b.*")
 
 
+def read_csv(spark: SparkSession, path, sep: str = ",", **options) -> DataFrame:
+    """(row_no and the columns of the header, as text) of CSV files whose quoted cells may hold line breaks.
+
+    Byte ranges of a file are read by many tasks: the parity of quotes tells each range whether it begins inside a cell. Each file begins with a header;
+    the columns are those of the first file's, as Spark's reader has it. Blank lines are dropped, missing cells are null, surplus ones are ignored.
+    """
+    good, _ = ranges.records(spark, path, ranges.Quoted(), **options)
+    good = good.where(F.regexp_replace("record", r"^\ufeff", "") != "")
+    first = Window.partitionBy("row_no.file").orderBy("row_no")
+    heads = good.where("row_no.block = 0").withColumn("_n", F.row_number().over(first)).where("_n = 1").select("row_no", "record")
+    head = heads.orderBy("row_no.file").first()
+    if head is None:
+        return spark.createDataFrame([], T.StructType([T.StructField("row_no", S.ROW_NO)]))
+    names = next(csv.reader(io.StringIO(head.record.removeprefix("\ufeff")), delimiter=sep))
+    names = [name or f"_c{i}" for i, name in enumerate(names)]
+    body = good.join(heads.select(F.col("row_no").alias("_head")), F.col("row_no") == F.col("_head"), "left_anti")
+    cells = F.from_csv("record", ", ".join(f"`{name}` string" for name in names), {"sep": sep, "escape": '"', "mode": "PERMISSIVE"})
+    return body.select("row_no", cells.alias("c")).select("row_no", "c.*")
+
+
 def read_skills_csv(spark: SparkSession, path, extra_label: bool = False,
                     empty_description: str | None = None) -> DataFrame:
-    """Header CSV of label documents. Quoted line breaks need ``multiLine``: such a file is one task."""
-    raw = (spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
-           .select(row_position().alias("row_no"), "*"))
+    """Header CSV of label documents; cells may hold line breaks."""
     columns = LABEL_COLUMNS + (("label",) if extra_label else ())
-    return label_documents(raw, columns, empty_description)
+    return label_documents(read_csv(spark, path), columns, empty_description)
 
 
 def competence_corpus(df: DataFrame) -> DataFrame:
@@ -186,7 +274,7 @@ def competence_corpus(df: DataFrame) -> DataFrame:
 
 
 def read_competence_csv(spark: SparkSession, path) -> DataFrame:
-    return competence_corpus(spark.read.option("header", True).option("sep", ";").csv(path))
+    return competence_corpus(read_csv(spark, path, ";"))
 
 
 def skill_corpus(df: DataFrame, label: str = "preferredLabel") -> DataFrame:
