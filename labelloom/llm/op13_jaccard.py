@@ -25,7 +25,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql import types as T
 
 from labelloom.llm import bloom
@@ -74,20 +74,21 @@ def mark(key: bytes) -> int:
 
 
 def parsed(docs: DataFrame) -> DataFrame:
-    """(doc_id, n, digest, null, null) of every row, and (null, null, null, token, seen) of shingles that are frequent in a batch."""
+    """(doc_id, n, digest, mark, null, null) of every row, and (null, null, null, null, token, seen) of shingles that are frequent in a batch."""
     kind = docs.schema["doc_id"].dataType
-    schema = T.StructType([T.StructField("doc_id", kind), T.StructField("n", T.LongType()), T.StructField("digest", T.BinaryType()), T.StructField("token", T.LongType()), T.StructField("seen", T.LongType())])
+    schema = T.StructType([T.StructField("doc_id", kind), T.StructField("n", T.LongType()), T.StructField("digest", T.BinaryType()), T.StructField("mark", T.LongType()), T.StructField("token", T.LongType()), T.StructField("seen", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             some = list(sets(column(batch, "text")))
             size = len(some)
-            yield pa.RecordBatch.from_arrays([column(batch, "doc_id"), pa.array([len(s) for s in some], pa.int64()), pa.array([digest(s) for s in some], pa.binary()), pa.nulls(size, pa.int64()), pa.nulls(size, pa.int64())], names=schema.names)
+            keys = [digest(s) for s in some]
+            yield pa.RecordBatch.from_arrays([column(batch, "doc_id"), pa.array([len(s) for s in some], pa.int64()), pa.array(keys, pa.binary()), pa.array([mark(k) for k in keys], pa.int64()), pa.nulls(size, pa.int64()), pa.nulls(size, pa.int64())], names=schema.names)
             if size:
                 tokens, seen = np.unique(np.concatenate(some), return_counts=True)
                 kept = seen > max(1, int(seen.sum()) // (2 * HEAVY))
                 n = int(kept.sum())
-                yield pa.RecordBatch.from_arrays([pa.nulls(n, batch.schema.field("doc_id").type), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()), pa.array(tokens[kept].view(np.int64)), pa.array(seen[kept])], names=schema.names)
+                yield pa.RecordBatch.from_arrays([pa.nulls(n, batch.schema.field("doc_id").type), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()), pa.nulls(n, pa.int64()), pa.array(tokens[kept].view(np.int64)), pa.array(seen[kept])], names=schema.names)
 
     return arrow(docs.select("doc_id", "text"), run, schema)
 
@@ -108,11 +109,16 @@ def postings(docs: DataFrame, hot: tuple[np.ndarray, np.ndarray]) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens, seen = hot.value
+        done: set[bytes] = set()  # copies in a task say the same again
         for batch in batches:
             out: list[tuple[np.ndarray, ...]] = []
+            if len(done) > 1_000_000:
+                done.clear()
             for s in sets(column(batch, "text")):
-                if not len(s):
+                key = digest(s)
+                if not len(s) or key in done:
                     continue
+                done.add(key)
                 first = len(s) - required(len(s)) + 1
                 at = np.minimum(np.searchsorted(tokens, s), max(0, len(tokens) - 1))
                 known = tokens[at] == s if len(tokens) else np.zeros(len(s), bool)
@@ -120,7 +126,7 @@ def postings(docs: DataFrame, hot: tuple[np.ndarray, np.ndarray]) -> DataFrame:
                 last = int(np.searchsorted(np.cumsum(np.bincount(kind, minlength=3)), first))
                 kept = np.flatnonzero(kind <= last)
                 df = np.where(kind[kept] == 2, seen[at[kept]] if len(seen) else 0, 0)
-                name = mark(digest(s))
+                name = mark(key)
                 # as many salts as would be tasks for these many rows
                 salt = np.where(df > 0, name % np.maximum(1, df * deal // max(1, int(seen.sum()))), 0)
                 out.append((s[kept].view(np.int64), salt, np.full(len(kept), name), np.where(kind[kept] == last, len(kept) - first, -1), df))
@@ -138,7 +144,8 @@ def shared(rows: DataFrame) -> DataFrame:
         names = ["token", "mark", "spare", "df"]
 
         def lists(cols: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-            token, marks, spare, df = cols
+            again = np.r_[False, (cols[0][1:] == cols[0][:-1]) & (cols[1][1:] == cols[1][:-1]) & (cols[2][1:] == cols[2][:-1])]  # copies of other tasks
+            token, marks, spare, df = (c[~again] for c in cols)
             first = np.flatnonzero(np.r_[True, token[1:] != token[:-1]])
             size = np.diff(np.r_[first, len(token)])
             several = np.minimum.reduceat(marks, first) != np.maximum.reduceat(marks, first)
@@ -167,12 +174,12 @@ def shared(rows: DataFrame) -> DataFrame:
         if held:
             yield from lists([np.concatenate(c) for c in zip(*held)])
 
-    return arrow(rows.repartition("token", "salt").sortWithinPartitions("token"), run, "token long, mark long, spare long, df long")
+    return arrow(rows.repartition("token", "salt").sortWithinPartitions("token", "mark", "spare"), run, "token long, mark long, spare long, df long")
 
 
 def chains(rows: DataFrame) -> DataFrame:
     """(mark, root): sets that may link, directly or over others. ``rows`` are shared postings; each token's least set stands for its list, so no pairs arise."""
-    place = F.dense_rank().over(Window.partitionBy("mark", "spare").orderBy(F.col("df").desc(), F.col("token").desc()))  # copies bring equal rows
+    place = F.dense_rank().over(Window.partitionBy("mark", "spare").orderBy(F.col("df").desc(), F.col("token").desc()))  # a copy may still bring an equal row
     firsts = cut_lineage(rows.withColumn("place", place).filter("spare < 0 or place > spare").select("token", "mark"))
     least = firsts.groupBy("token").agg(F.min("mark").alias("b"))
     edges = firsts.join(least, "token").filter("mark <> b").select(F.col("mark").alias("a"), "b").distinct()
@@ -204,13 +211,16 @@ def candidates(docs: DataFrame, members: DataFrame) -> DataFrame:
     return arrow(docs.select("text"), run, "mark long, digest binary, n long, tokens binary").join(members, "mark")
 
 
-def dealt(rows: DataFrame, block: int) -> DataFrame:
-    """(root, band, piece, guest, digest, tokens): each set in its own block, and as guest in the blocks where partners can be that it does not meet otherwise."""
-    # bands grow by 1.26, more than the 1.25 that linked sets may differ by
-    rows = rows.withColumn("band", F.floor(F.log(F.col("n").cast("double")) / math.log(1.26)).cast("int"))
-    pieces = rows.groupBy("root", "band").agg(F.ceil(F.sum("n") / block).cast("int").alias("pieces"))
+def band(n: Column) -> Column:
+    """Bands of size grow by 1.26, more than the 1.25 that linked sets may differ by."""
+    return F.floor(F.log(n.cast("double")) / math.log(1.26)).cast("int")
+
+
+def dealt(rows: DataFrame, sizes: DataFrame, block: int) -> DataFrame:
+    """(root, band, piece, guest, digest, tokens): each set in its own block, and as guest in the blocks where partners can be that it does not meet otherwise. ``sizes``: root and n of the sets."""
+    pieces = sizes.groupBy("root", band(F.col("n")).alias("band")).agg(F.ceil(F.sum("n") / block).cast("int").alias("pieces"))
     after = pieces.select("root", (F.col("band") - 1).alias("band"), F.col("pieces").alias("after"))
-    rows = rows.join(pieces.join(after, ["root", "band"], "left"), ["root", "band"])
+    rows = rows.withColumn("band", band(F.col("n"))).join(pieces.join(after, ["root", "band"], "left"), ["root", "band"])
     own = F.pmod(F.hash("digest"), F.col("pieces"))
     here = F.transform(F.sequence(own, F.col("pieces") - 1), lambda p: F.struct(F.col("band").alias("band"), p.alias("piece"), (p > own).alias("guest")))
     there = F.when(F.col("after").isNotNull(), F.transform(F.sequence(F.lit(0), F.col("after") - 1), lambda p: F.struct((F.col("band") + 1).alias("band"), p.alias("piece"), F.lit(True).alias("guest"))))
@@ -313,10 +323,11 @@ def linked(rows: DataFrame, every: bool = False) -> DataFrame:
     return arrow(rows.repartition(*keys).sortWithinPartitions(*keys, "guest", "digest"), run, "a binary, b binary")
 
 
-def links(docs: DataFrame, hot: tuple[np.ndarray, np.ndarray], block: int = BLOCK, every: bool = False) -> DataFrame:
-    """(a, b): links between different sets, by digest."""
-    members = cut_lineage(chains(shared(postings(docs, hot))))
-    return linked(dealt(candidates(docs, members), block), every)
+def links(docs: DataFrame, rows: DataFrame, block: int = BLOCK, every: bool = False) -> DataFrame:
+    """(a, b): links between different sets, by digest. ``rows`` is the kept result of ``parsed``."""
+    members = cut_lineage(chains(shared(postings(docs, heavy(rows)))))
+    sizes = rows.filter("n > 0").select("mark", "digest", "n").distinct().join(members, "mark").select("root", "n")
+    return linked(dealt(candidates(docs, members), sizes, block), every)
 
 
 def classes(docs: DataFrame, block: int = BLOCK) -> DataFrame:
@@ -324,7 +335,7 @@ def classes(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     rows = cut_lineage(parsed(docs))
     own = rows.filter("digest is not null").select("doc_id", F.col("n").alias("n_shingles"), "digest")
     nodes = cut_lineage(own.filter("n_shingles > 0").groupBy("digest").agg(F.min("doc_id").alias("least")).withColumn("node", F.monotonically_increasing_id()))
-    pairs = links(docs, heavy(rows), block)
+    pairs = links(docs, rows, block)
     for side in ("a", "b"):
         pairs = pairs.join(nodes.select(F.col("digest").alias(side), F.col("node").alias(f"node_{side}")), side)
     trees = components(pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")))

@@ -276,10 +276,10 @@ def test_every_link_is_found_once_at_least(spark, block):
     docs = documents(spark, [(i, t, None) for i, t in enumerate(texts)])
     rows = op13_jaccard.parsed(docs)
     name = {bytes(r["digest"]): r["doc_id"] for r in rows.filter("digest is not null").collect()}
-    got = {frozenset((name[bytes(r["a"])], name[bytes(r["b"])])) for r in op13_jaccard.links(docs, op13_jaccard.heavy(rows), block, every=True).collect()}
+    got = {frozenset((name[bytes(r["a"])], name[bytes(r["b"])])) for r in op13_jaccard.links(docs, rows, block, every=True).collect()}
     some = {d: plain_set(texts[d]) for d in name.values()}
     assert got == {frozenset((i, j)) for i in some for j in some if i < j and 100 * len(some[i] & some[j]) >= 80 * len(some[i] | some[j])}
-    assert len(got) > 100
+    assert len(got) > 40
 
 
 def test_divide_skip_equals_counting():
