@@ -1,12 +1,15 @@
 """License scans by conditional compression: a block that says what a template says costs almost nothing once the template is known.
 
 Candidate blocks are the paragraphs with a license cue: the cue's line and its neighbours up to lines without words, so wrapping and comment marks do
-not matter. Around each cue every template is aligned by words with the stretch of the block that it fits best (Sellers' dynamic program: missing and
-extra words count one each, a changed word two); at most ``most_differences`` of the template's words may differ, the stretch must hold a cue, and a template of
-fewer than ``BRIEF`` words needs all words that are its license's alone. Among stretches that overlap, the one with the most words beyond twice its
-differences wins; ties go to the larger share of bytes that zstandard saves with the template as raw dictionary, then to the first name.
-
-Null and empty text: no blocks. Texts are scanned whole. Repeated rows get equal results; other columns pass through.
+not matter. Around each cue lies a window as wide as a template can reach; it is compressed by zstandard alone and with every template as raw dictionary. All
+pairs of window and template are ranked by the bytes that the template saves, and only those that save at least ``LEAST_SHARE`` of what
+the template saves on itself go on. The winner is confirmed by its exact wording: its best stretch of the window (Sellers' dynamic program: missing and extra
+words count one each, a changed word two) may differ in at most ``most_differences`` of the template's words, must hold a cue, and for a template of fewer than ``BRIEF``
+words all words that are its license's alone. If it is refused, the next one in rank is asked; runners-up down to ``RUNNER_UP`` of the winner's saving are confirmed too, and of these the one that saves most on its
+exact stretch wins (equal ones: fewer differences, then name). A confirmed
+stretch is cut out and the words before and behind it are ranked anew, so a block may hold several notices.
+
+Null and empty text: no blocks. Texts are scanned whole. Repeated rows get equal results; other columns pass through (a column named like an appended one is replaced).
 """
 from __future__ import annotations
 
@@ -24,6 +27,10 @@ from pyspark.sql import types as T
 from labelloom.llm.common import annotate, texts
 
 BRIEF = 16
+#: Share of what a template saves on its own wording that it must save on a window to be asked for its wording.
+LEAST_SHARE = 0.25
+#: Runners-up are held against the winner down to this share of its saving: the words around a stretch blur the savings of windows.
+RUNNER_UP = 0.8
 
 GNU = ("This program is free software: you can redistribute it and/or modify it under the terms of the GNU {}General Public License as published by the Free Software Foundation, "
        "either version {} of the License, or (at your option) any later version.")
@@ -81,12 +88,24 @@ EMPTY = re.compile(r"\n[^\w\n]*(?=\n)")
 STOP = re.compile(r"[.!?:]*")
 
 
+class Template:
+    """Name, words, those words that a brief one's stretch must have, and how it compresses."""
+
+    def __init__(self, name: str, text: str, others: list[list[str]]):
+        self.name, self.words = name, WORD.findall(text.lower())
+        self.own = set(self.words).difference(*others) if len(self.words) < BRIEF else set()
+        self.z = zstandard.ZstdCompressor(level=9, write_content_size=False, dict_data=zstandard.ZstdCompressionDict(folded(text), dict_type=zstandard.DICT_TYPE_RAWCONTENT))
+        raw = folded(" ".join(self.words))
+        self.own_saving = len(_PLAIN.compress(raw)) - len(self.z.compress(raw))
+
+
+_PLAIN = zstandard.ZstdCompressor(level=9, write_content_size=False)
+
+
 @functools.lru_cache(4)
-def prepared(templates: tuple[tuple[str, str], ...]) -> list[tuple[str, list[str], set[str], zstandard.ZstdCompressor]]:
-    """Name, words, the words that a stretch must have, and the compressor of each template."""
-    split = [(name, WORD.findall(text.lower()), text) for name, text in templates]
-    return [(name, words, set(words).difference(*[w for other, w, _ in split if other != name]) if len(words) < BRIEF else set(),
-             zstandard.ZstdCompressor(level=9, write_content_size=False, dict_data=zstandard.ZstdCompressionDict(folded(text), dict_type=zstandard.DICT_TYPE_RAWCONTENT))) for name, words, text in split]
+def prepared(templates: tuple[tuple[str, str], ...]) -> list[Template]:
+    split = [(name, WORD.findall(text.lower())) for name, text in templates]
+    return [Template(name, text, [w for other, w in split if other != name]) for name, text in templates]
 
 
 def folded(text: str) -> bytes:
@@ -133,56 +152,60 @@ def aligned(words: list[str], have: list[str], most: float) -> list[tuple[int, i
     return out
 
 
+def ranked(have: list[str], cues: list[int], templates: list[Template], most_differences: float) -> list[tuple[int, float, int, int, int]]:
+    """(bytes saved, share of the window saved, template, low, high) of the windows of words around cues, the largest saving first."""
+    plain: dict[tuple[int, int], tuple[bytes, int]] = {}
+    out = []
+    for number, t in enumerate(templates):
+        reach = int(len(t.words) * (1 + most_differences))  # no stretch is longer
+        for low, high in {(max(0, c - reach), min(len(have), c + reach + 1)) for c in cues}:
+            if (low, high) not in plain:
+                raw = folded(" ".join(have[low:high]))
+                plain[low, high] = raw, len(_PLAIN.compress(raw))
+            raw, size = plain[low, high]
+            saved = size - len(t.z.compress(raw))
+            if saved > 0 and saved >= LEAST_SHARE * t.own_saving:
+                out.append((saved, saved / size, number, low, high))
+    return sorted(out, key=lambda r: (-r[0], r[2:]))
+
+
+def confirmed(have: list[str], low: int, high: int, t: Template, most_differences: float, has_cue) -> tuple[int, int, int] | None:
+    """(differences, start, end) of the template's best stretch of the window, if its wording allows it."""
+    found = [(n, low + a, low + b) for n, a, b in aligned(t.words, have[low:high], most_differences * len(t.words))
+             if b > a and t.own.issubset(have[low + a:low + b]) and has_cue(low + a, low + b)]
+    return min(found, default=None)
+
+
 def stretches(block: str, templates: tuple[tuple[str, str], ...], most_differences: float) -> list[tuple[int, int, str, float, list[str]]]:
     """(start, end, license, share saved, wording differences) of the stretches that templates are found in; none overlap."""
     some = [m.span() for m in WORD.finditer(MARK.sub(lambda m: " " * len(m[0]), block))]
-    have, begins = [block[a:b].lower() for a, b in some], [a for a, _ in some]
-    cues = sorted({max(0, bisect.bisect_right(begins, m.start()) - 1) for m in CUE.finditer(block)})
-    found = []
-    for number, (name, words, own, z) in enumerate(prepared(templates)):
-        most = most_differences * len(words)
-        reach = int(len(words) + most)  # no stretch is longer
-        known, areas = set(words), []
-        for c in cues:  # the words around cues that a stretch with the cue may have
-            low, high = max(0, c - reach), min(len(have), c + reach + 1)
-            if areas and low <= areas[-1][1]:
-                areas[-1][1] = high
-            else:
-                areas.append([low, high])
-        for low, high in areas:
-            part = have[low:high]
-            sums = np.concatenate([[0], np.cumsum([w in known for w in part])])
-            if (sums[np.minimum(np.arange(len(part)) + reach, len(part))] - sums[:-1]).max(initial=0) < len(words) - most:
-                continue  # nowhere are there so many of the template's words
-            for n, a, b in aligned(words, part, most):
-                begin, end = some[low + a][0], some[low + b - 1][1]
-                if b > a and own.issubset(part[a:b]) and CUE.search(block, begin, end):
-                    found.append((2 * n - len(words), number, low + a, low + b))
-    out, taken = [], np.zeros(len(have), bool)
-    ready = prepared(templates)
-
-    def saved(number: int, a: int, b: int) -> float:
-        raw = folded(" ".join(have[a:b]))
-        return 1 - len(ready[number][3].compress(raw)) / len(zstandard.ZstdCompressor(level=9, write_content_size=False).compress(raw))
-
-    best = {}
-    for row in sorted(found):
-        best.setdefault(row[0], []).append(row[1:])
-    for rows in best.values():
-        free = [r for r in rows if not taken[r[1]:r[2]].any()]
-        for share, name, number, a, b in sorted(((saved(*r), ready[r[0]][0], *r) for r in free), key=lambda r: (-r[0], *r[1:])):
-            if not taken[a:b].any():
-                taken[a:b] = True
-                out.append((some[a][0], STOP.match(block, some[b - 1][1]).end(), name, share, differences(ready[number][1], have[a:b])[1]))
+    words, begins = [block[a:b].lower() for a, b in some], [a for a, _ in some]
+    all_cues = sorted({max(0, bisect.bisect_right(begins, m.start()) - 1) for m in CUE.finditer(block)}) if some else []
+    ready, out, left = prepared(templates), [], [(0, len(words))]
+
+    def has_cue(a: int, b: int) -> bool:
+        return CUE.search(block, some[a][0], some[b - 1][1]) is not None
+
+    while left:
+        begin, end = left.pop()
+        have, cues = words[begin:end], [c - begin for c in all_cues if begin <= c < end]
+        best, at = None, None
+        for saved, share, number, low, high in ranked(have, cues, ready, most_differences):
+            if best and saved < RUNNER_UP * at:
+                break
+            hit = confirmed(have, low, high, ready[number], most_differences, lambda a, b: has_cue(begin + a, begin + b))
+            if hit:
+                at = at or saved
+                raw = folded(" ".join(have[hit[1]:hit[2]]))
+                row = len(ready[number].z.compress(raw)) - len(_PLAIN.compress(raw)), hit[0], ready[number].name, hit[1:], share, number
+                best = min(best or row, row)
+        if best:
+            *_, (a, b), share, number = best
+            out.append((some[begin + a][0], STOP.match(block, some[begin + b - 1][1]).end(), ready[number].name, share, differences(ready[number].words, have[a:b])[1]))
+            left += [(x, y) for x, y in ((begin, begin + a), (begin + b, end)) if y > x]
     return sorted(out)
 
 
-def judged(block: str, templates: tuple[tuple[str, str], ...], most_differences: float) -> tuple[str, float, list[str]] | None:
-    """(license, share saved, wording differences) of the stretch with the fewest differences."""
-    some = stretches(block, templates, most_differences)
-    return min(some, key=lambda r: len(r[4]))[2:] if some else None
-
-
 def scan(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES, most_differences: float = 0.34, text: str = "text") -> DataFrame:
     """Narrow: appends n_blocks, licenses (names, comma-joined) and found (array of start, end, license, saved, differences)."""
     def run(batch: pa.RecordBatch) -> list[pa.Array]:
@@ -199,4 +222,4 @@ def scan(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES, mo
         return [pa.array(n, pa.int64()), pa.array(names, pa.string()), pa.array(found, kind)]
 
     row = T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType()), T.StructField("license", T.StringType()), T.StructField("saved", T.DoubleType()), T.StructField("differences", T.StringType())])
-    return annotate(docs, run, [T.StructField("n_blocks", T.LongType()), T.StructField("licenses", T.StringType()), T.StructField("found", T.ArrayType(row))])
+    return annotate(docs.drop("n_blocks", "licenses", "found"), run, [T.StructField("n_blocks", T.LongType()), T.StructField("licenses", T.StringType()), T.StructField("found", T.ArrayType(row))])

@@ -373,7 +373,7 @@ def test_license_scan(spark):
 def test_license_templates_that_hardly_differ():
     some = tuple((f"L-{v}", f"Licensed under the Open Sample License, version {v}.0 of the year.") for v in range(1, 9))
     for name, text in some:
-        assert op4_licenses.judged(text, some, 0.34)[::2] == (name, [])
+        assert [r[2::2] for r in op4_licenses.stretches(text, some, 0.34)] == [(name, [])]
 
 
 def test_license_wrapped_notices():
@@ -392,6 +392,96 @@ def test_license_wrapped_notices():
     assert names("dnl " + "\ndnl ".join(" ".join(gnu[i:i + 8]) for i in range(0, len(gnu), 8))) == ["GPL-2.0"]
 
 
+def test_license_compression_decides(monkeypatch):
+    """Without savings nothing is found, and a template that saves more comes before one with the better wording."""
+    class Same:
+        def compress(self, raw):
+            return b"x" * 10
+
+    text = "Released under the MIT License. Licensed under CC BY 4.0."
+    assert [r[2] for r in op4_licenses.stretches(text, op4_licenses.TEMPLATES, 0.34)] == ["MIT", "CC-BY-4.0"]
+    with monkeypatch.context() as m:
+        m.setattr(op4_licenses, "_PLAIN", Same())
+        for t in op4_licenses.prepared(op4_licenses.TEMPLATES):
+            m.setattr(t, "z", Same())
+        assert op4_licenses.stretches(text, op4_licenses.TEMPLATES, 0.34) == []
+    two = tuple((name, f"Licensed under the open sample terms of {word} year which anyone may read in full at the usual place of publication") for name, word in (("A", "this"), ("B", "that")))
+    assert [r[2] for r in op4_licenses.stretches(two[1][1], two, 0.34)] == ["B"]
+
+    class Worse:
+        def __init__(self, z):
+            self.z = z
+
+        def compress(self, raw):
+            return self.z.compress(raw) + b"x" * 8
+
+    with monkeypatch.context() as m:
+        t = op4_licenses.prepared(two)[1]
+        m.setattr(t, "z", Worse(t.z))
+        assert [r[2::2] for r in op4_licenses.stretches(two[1][1], two, 0.34)] == [("A", ["-this", "+that"])]
+
+
+def plain_stretches(block, templates, most):
+    """Every window with every template, every stretch of the window by plain edit distance."""
+    import zstandard
+    spans = [m.span() for m in op4_licenses.WORD.finditer(block)]
+    words = [block[a:b].lower() for a, b in spans]
+
+    def size(raw, text=None):
+        held = zstandard.ZstdCompressionDict(text, dict_type=zstandard.DICT_TYPE_RAWCONTENT) if text else None
+        return len(zstandard.ZstdCompressor(level=9, write_content_size=False, dict_data=held).compress(raw))
+
+    def distance(x, y):
+        row = list(range(len(y) + 1))
+        for i, a in enumerate(x, 1):
+            row, last = [i], row
+            for j, b in enumerate(y, 1):
+                row.append(min(last[j] + 1, row[-1] + 1, last[j - 1] if a == b else 10 ** 9))
+        return row[-1]
+
+    out, left = [], [(0, len(words))]
+    while left:
+        begin, end = left.pop()
+        cues = {max(k for k in range(len(words)) if spans[k][0] <= m.start()) for m in op4_licenses.CUE.finditer(block)} & set(range(begin, end))
+        rows = []
+        for name, text in templates:
+            want = op4_licenses.WORD.findall(text.lower())
+            own_raw, held = " ".join(want).encode(), " ".join(text.lower().split()).encode()
+            unique = {w for w in want if not any(w in op4_licenses.WORD.findall(t.lower()) for n, t in templates if n != name)} if len(want) < op4_licenses.BRIEF else set()
+            for c in cues:
+                low, high = max(begin, c - int(len(want) * (1 + most))), min(end, c + int(len(want) * (1 + most)) + 1)
+                raw = " ".join(words[low:high]).encode()
+                saved = size(raw) - size(raw, held)
+                if saved <= 0 or saved < op4_licenses.LEAST_SHARE * (size(own_raw) - size(own_raw, held)):
+                    continue
+                hits = [(distance(want, words[a:b]), a, b) for a in range(low, high) for b in range(a + 1, high + 1) if unique <= set(words[a:b])
+                        and op4_licenses.CUE.search(block, spans[a][0], spans[b - 1][1])]
+                hits = [h for h in hits if h[0] <= most * len(want)]
+                if hits:
+                    n, a, b = min(hits)
+                    raw = " ".join(words[a:b]).encode()
+                    rows.append((saved, size(raw, held) - size(raw), n, name))
+        if rows:
+            _, n, name = min(r[1:] for r in rows if r[0] >= op4_licenses.RUNNER_UP * max(r[0] for r in rows))
+            out.append((name, n))
+            return out  # the first winner; what is left depends on where its stretch is cut
+    return out
+
+
+def test_license_winner_equals_plain():
+    rng = random.Random(12)
+    some = tuple(t for t in op4_licenses.TEMPLATES if len(t[1]) < 110)[:24]
+    for _ in range(40):
+        words = rng.choice(some)[1].split()
+        for _ in range(rng.randint(0, 3)):
+            at = rng.randrange(len(words))
+            words[at:at + rng.randint(0, 1)] = rng.choice([[], ["license"], ["other"]])
+        block = " ".join(["see", "the"] + words + ["and", "so", "on"])
+        expected = plain_stretches(block, some, 0.34)
+        got = [(r[2], len(r[4])) for r in op4_licenses.stretches(block, some, 0.34)]
+        assert {name for name, _ in expected} <= {name for name, _ in got} and bool(got) == bool(expected)
+
+
 # -- HTML
 
 def test_html_by_markup():
