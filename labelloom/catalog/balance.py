@@ -1,12 +1,13 @@
 """H: balancing, sampling, selection."""
 from pyspark.sql import functions as F
 
-from ..operators import balance as op, classify
-from ..operators.similarity import cooccurring_by_group
+from ..operators import balance as op, classify, stats
+from ..operators.similarity import cooccurring_by_group, group_hard_negatives
 from ..sources import tables as t
 from .base import joined, query, rounded
 from .classify import CATS, KW, TEXT_CATS, TOP2
 from .relations import occupation_lists
+from .similarity import SHARED
 from .stats import COARSE, LIMIT, coarse_samples
 from .views import sql, words
 
@@ -53,6 +54,32 @@ def h3(spark, d):
     return op.removed_with_reason(multi, none)
 
 
+@query("h3_removed_both_reasons", sql("""SELECT sample_id, 'Multiple overfitting labels: ' || replace(labels, '|', ', ') AS removal_reason FROM r
+    UNION ALL SELECT sample_id, 'Overfitting label: ' || min(label) FROM l WHERE sample_id NOT IN (SELECT sample_id FROM r) AND sample_id IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F') GROUP BY 1""", "v_sample_label", **CLOSED))
+def h3_both(spark, d):
+    """Second step: the overfull labels of finished orders; the reason of the first step wins."""
+    s = coarse_samples(spark, d)
+    finished = t.table(spark, d, "orders").where("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("sample_id"))
+    over = stats.overfull_labels(stats.label_frequency(s), LIMIT).select("label")
+    single = s.select("sample_id", F.explode("pos").alias("label")).join(over, "label", "left_semi").join(finished, "sample_id", "left_semi").distinct()
+    return op.removed_with_reason(op.cap_multi_label(s, LIMIT), single)
+
+
+@query("e15_multi_label_impact", sql("SELECT label, count(*) AS n FROM l WHERE sample_id IN (SELECT sample_id FROM r) GROUP BY 1", "v_sample_label", **CLOSED))
+def e15_impact(spark, d):
+    s = coarse_samples(spark, d)
+    return stats.multi_label_impact(s, op.cap_multi_label(s, LIMIT), LIMIT)
+
+
+@query("e15_top_reduced_by_walk", sql(f"""SELECT label, n AS n_before, n - coalesce(gone, 0) AS n_after, gone AS removed, n > {LIMIT} AS overfull FROM f JOIN (SELECT coarse_label AS label, count(*) AS gone FROM v_sample_label
+    WHERE NOT is_neg AND sample_id IN (SELECT sample_id FROM r) GROUP BY 1) USING (label) ORDER BY removed DESC, label LIMIT 10""", "v_sample_label", **CLOSED))
+def e15_walk(spark, d):
+    """The labels that lost most samples through the walk over multi-label samples."""
+    s = coarse_samples(spark, d)
+    kept = s.join(op.cap_multi_label(s, LIMIT).select("sample_id"), "sample_id", "left_anti")
+    return stats.top_reduced(stats.reduction_by_label(stats.label_frequency(s), stats.label_frequency(kept), LIMIT), 10)
+
+
 def classified(spark, d):
     """(sample_id, category, bucket) of v_sample."""
     x = classify.length_bucket(t.v_sample(spark, d))
@@ -133,11 +160,11 @@ SCORE = f"""SELECT label, category, round((CASE WHEN description <> '' THEN 2.0
     WHERE len(occupations) >= 3 AND length(description) >= 50 AND label NOT IN (SELECT label FROM v_item WHERE p_size > 45))"""
 
 
-def scored(spark, d):
+def scored(spark, d, novelty=None):
     docs = t.v_doc(spark, d)
     covered = t.v_item(spark, d).where("p_size > 45").select("label").distinct()
     category = F.when(F.contains("label", F.lit("gizmo")), "S5").when(F.contains("label", F.lit("ring")), "L").otherwise("99")
-    return op.score_expansion(docs, docs.select("label").join(covered, "label", "left_anti"), category, PRIO)
+    return op.score_expansion(docs, docs.select("label").join(covered, "label", "left_anti"), category, PRIO, novelty)
 
 
 @query("h8_score_expansion", sql("SELECT label, category, round(score, 6) AS score FROM sc", "v_doc", "v_item", sc=SCORE))
@@ -145,6 +172,14 @@ def h8(spark, d):
     return rounded(scored(spark, d))
 
 
+@query("h8_score_expansion_novelty", sql("""SELECT sc.label, category, round(score + 1.5 * coalesce(v.novelty, 0.5), 6) AS score FROM sc LEFT JOIN
+    (SELECT label, max(CASE WHEN p_size > 30 THEN p_size / 50 END) AS novelty FROM v_item GROUP BY 1 HAVING max(p_size) > 20) v ON v.label = sc.label""", "v_doc", "v_item", sc=SCORE))
+def h8_novelty(spark, d):
+    """With a novelty for some labels, null for some and none for others."""
+    novelty = t.v_item(spark, d).groupBy("label").agg(F.max(F.when(F.col("p_size") > 30, F.col("p_size") / 50)).alias("novelty"), F.max("p_size").alias("m")).where("m > 20").select("label", "novelty")
+    return rounded(scored(spark, d, novelty))
+
+
 SELECTED = """SELECT label, category, round(score, 6) AS score FROM (SELECT *, row_number() OVER (PARTITION BY ok ORDER BY score DESC, label) AS g FROM (
     SELECT *, r <= CASE category WHEN 'S5' THEN 10 WHEN 'L' THEN 6 ELSE 4 END AS ok FROM (SELECT *, row_number() OVER (PARTITION BY category ORDER BY score DESC, label) AS r FROM sc)))
     WHERE (ok AND g <= 80) OR (NOT ok AND g <= 40 - (SELECT least(80, count(*)) FROM (SELECT *, row_number() OVER (PARTITION BY category ORDER BY score DESC, label) AS r FROM sc) WHERE r <= CASE category WHEN 'S5' THEN 10 WHEN 'L' THEN 6 ELSE 4 END))"""
@@ -195,6 +230,20 @@ def h12(spark, d):
     return op.vary_negatives(requests(spark, d), companions(spark, d), 2)
 
 
+POOL = """SELECT target, label FROM (SELECT *, row_number() OVER (PARTITION BY target ORDER BY score DESC, label) AS rank FROM (
+    SELECT target, label, round(2 * o + CASE WHEN 1 - w / m >= 0.63 THEN least(5 * (1 - w / m), 3) ELSE 0 END + CASE WHEN w <= 1 THEN 1 ELSE 0 END + CASE WHEN label < 'm' THEN 0.5 ELSE 0 END, 9) AS score FROM n WHERE w <= 2)) WHERE rank <= 10"""
+
+
+@query("h12_vary_negatives_pool", sql("""SELECT * FROM (SELECT target, sample_no, label, row_number() OVER (PARTITION BY target, sample_no ORDER BY md5('42|' || target || '|' || sample_no || '|' || label), label) AS pick
+    FROM po, (SELECT unnest([0, 1]) AS sample_no)) WHERE pick <= 2""", "v_skill_occ", n=SHARED, po=POOL))
+def h12_pool(spark, d):
+    """Drawn from the hard negatives of each target."""
+    lists = occupation_lists(spark, d)
+    targets = lists.select(F.col("label").alias("target_id"), F.array("label").alias("positives"))
+    pool = group_hard_negatives(targets, lists, lists.where("label < 'm'"), op.negative_pool_size(2))
+    return op.vary_negatives(requests(spark, d), pool.withColumnRenamed("target_id", "target"), 2)
+
+
 LIST = "[" + ", ".join(f"'{s}'" for s in op.SCENARIOS) + "]"
 
 

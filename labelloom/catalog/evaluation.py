@@ -5,9 +5,10 @@ from ..functions import payloads as pl
 from ..functions import text as tx
 from ..operators import evaluation as op
 from ..operators.similarity import best_ranks, rank_positives
+from ..plans import mining, retrieval
 from ..sources import tables as t
-from .base import query, rounded
-from .similarity import FIRST, RANKS, SIM, TOP, VS, neighbours, pool, vec_samples
+from .base import joined, query, rounded
+from .similarity import CAL, FIRST, MINE, RANKS, SIM, TOP, VS, neighbours, pool, vec_samples
 from .views import sql
 
 QRELS = "SELECT a.vec_id AS query_id, b.vec_id AS corpus_id FROM v_vec a JOIN v_vec b ON a.label = b.label AND a.vec_id <> b.vec_id WHERE a.label < 9"
@@ -76,6 +77,48 @@ def k8(spark, d):
     return rounded(op.metric_table(per_query(spark, d), "cosine"))
 
 
+QR = dict(f=FIRST, vs=VS, qrels="SELECT DISTINCT sample_id AS query_id, CAST(l AS BIGINT) AS corpus_id FROM (SELECT sample_id, unnest(pos) AS l FROM vs WHERE len(pos) > 0) WHERE sample_id <> CAST(l AS BIGINT)")
+SEEN = "SELECT query_id, corpus_id, score, rank FROM (SELECT q AS query_id, c AS corpus_id, s AS score, row_number() OVER (PARTITION BY q ORDER BY s DESC, c) AS rank FROM sim) WHERE rank <= 100"
+
+
+def judgements(spark, d):
+    """(query_id, corpus_id): the positive labels of each vector, but for itself."""
+    pairs = vec_samples(spark, d).select(F.col("sample_id").alias("query_id"), F.explode(F.col("pos").cast("array<bigint>")).alias("corpus_id"))
+    return pairs.where("query_id <> corpus_id")
+
+
+@query("k2_k7_per_query_qrels", sql("SELECT query_id, " + ", ".join(f'round("{n}", 6) AS "{n}"' for n in NAMES) + " FROM pq WHERE query_id IN (SELECT vec_id FROM v_vec WHERE label < 7)",
+    "v_vec", sim=SIM, preds=TOP.format(k=100), **QR, hits=HITS, pq=_per_query()))
+def k_per_query(spark, d):
+    """All metrics of the queries of seven labels, from predictions and a table of judgements."""
+    asked = t.v_vec(spark, d).where("label < 7").select(F.col("vec_id").alias("query_id"))
+    return rounded(op.per_query_metrics(neighbours(spark, d, 100), judgements(spark, d), asked))
+
+
+@query("k8_evaluate_qrels", sql(table_sql("cosine"), "v_vec", sim=SIM, preds=TOP.format(k=100), **QR, hits=HITS, pq=_per_query()))
+def k_evaluate(spark, d):
+    return rounded(op.evaluate(neighbours(spark, d, 100), judgements(spark, d), "cosine"))
+
+
+@query("plan_evaluate_retrieval", sql(table_sql("vectors"), "v_vec", sim=SIM, preds=SEEN, **QR, hits=HITS, pq=_per_query()))
+def plan_retrieval(spark, d):
+    """Search over the whole corpus, each vector included, then the metric table."""
+    v = t.v_vec(spark, d)
+    queries, corpus = v.select(F.col("vec_id").alias("query_id"), "vector"), v.select(F.col("vec_id").alias("corpus_id"), "vector")
+    return rounded(retrieval.evaluate_retrieval(queries, corpus, judgements(spark, d), "vectors"))
+
+
+CALIBRATED = MINE | dict(dr="SELECT * FROM vs ORDER BY md5('42|' || sample_id) LIMIT 50", x=CAL, th="SELECT quantile_cont(s, 0.5) AS th FROM x WHERE side = 'pos'")
+CALIBRATED = {k: CALIBRATED[k].replace(">= 0.3", ">= (SELECT th FROM th)") for k in ("f", "vs", "sim", "dr", "x", "th", "cand", "walk", "mined")}
+
+
+@query("plan_calibrated_mining", sql("SELECT * FROM mined", "v_vec", **CALIBRATED))
+def plan_mining(spark, d):
+    """The threshold is the median similarity of queries and positives of drawn samples."""
+    mined, _ = mining.mine(vec_samples(spark, d), pool(spark, d), 8)
+    return mined.select("sample_id", joined("neg"), "hard_negatives_added", "total_negatives", "candidates", "excluded_used", "excluded_by_positive_similarity")
+
+
 def traits(spark, d):
     """Best ranks of the vectors with the text traits of the document of the same number."""
     ranks = best_ranks(rank_positives(vec_samples(spark, d), pool(spark, d)))
@@ -139,6 +182,23 @@ def k12(spark, d):
     return op.evaluation_report(traits(spark, d), DIMS)["details"].select("sample_id", "best_rank", "topic")
 
 
+@query("k12_evaluation_report_parts", sql(f"""SELECT 'overall' AS part, '' AS dimension, '' AS bucket, unnest(['count', 'mrr', 'recall_at_10', 'median_rank']) AS name, unnest([count::DOUBLE, mrr, recall_at_10, median_rank]) AS value FROM (SELECT {AGG} FROM tr)
+    UNION ALL SELECT 'breakdowns', dimension, bucket, unnest(['count', 'mrr', 'recall_at_10', 'median_rank']), unnest([count::DOUBLE, mrr, recall_at_10, median_rank]) FROM (SELECT dimension, bucket, {AGG} FROM ce GROUP BY ALL)
+    UNION ALL SELECT 'details', topic, CAST(sample_id AS VARCHAR), 'best_rank', best_rank FROM (SELECT * FROM tr ORDER BY sample_id LIMIT 100) UNION ALL SELECT DISTINCT 'categories', 'topic', topic, 'found', 1 FROM tr""", "v_vec", **RANKED, ce=CELLS))
+def k12_parts(spark, d):
+    """All four parts of the report as rows."""
+    report = op.evaluation_report(traits(spark, d), DIMS)
+    none = F.lit("")
+
+    def measures(df, dimension, bucket, part):
+        cells = F.array(*[F.struct(F.lit(n).alias("name"), F.round(F.col(n).cast("double"), 6).alias("value")) for n in ("count", "mrr", "recall_at_10", "median_rank")])
+        return df.select(F.lit(part).alias("part"), dimension.alias("dimension"), bucket.alias("bucket"), F.inline(cells))
+
+    out = measures(report["overall"], none, none, "overall").unionByName(measures(report["breakdowns"], F.col("dimension"), F.col("bucket"), "breakdowns"))
+    out = out.unionByName(report["details"].select(F.lit("details").alias("part"), F.col("topic").alias("dimension"), F.col("sample_id").cast("string").alias("bucket"), F.lit("best_rank").alias("name"), F.col("best_rank").cast("double").alias("value")))
+    return out.unionByName(report["categories"].select(F.lit("categories").alias("part"), F.lit("topic").alias("dimension"), F.col("topic").alias("bucket"), F.lit("found").alias("name"), F.lit(1.0).alias("value")))
+
+
 def model_metrics(spark, d):
     """Order priority as model, averages over its lines as metrics."""
     l = t.table(spark, d, "lineitem").join(t.table(spark, d, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))

@@ -159,3 +159,68 @@ def a13(spark, d):
     store = l.groupBy(F.col("l_returnflag").alias("model")).agg(F.avg("l_quantity").alias("value")).withColumn("metric", F.lit("avg_quantity"))
     new = l.where("l_returnflag <> 'N'").groupBy(F.col("l_returnflag").alias("model")).agg(F.avg("l_tax").alias("value")).withColumn("metric", F.lit("avg_tax"))
     return rounded(writers.upsert_results(store, new))
+
+
+# --- the same through files ---------------------------------------------------------------------
+
+@query("a1_read_samples_array", sql(FLAT, "v_sample"))
+def a1_array(spark, d):
+    """Top-level arrays, read by byte ranges."""
+    path = scratch_dir(spark)
+    writers.write_samples(t.v_sample(spark, d), path, fmt="array")
+    return _flat(readers.read_samples(spark, path).rows)
+
+
+@query("a5_read_skills_csv_file", f"""WITH r AS (SELECT p_partkey AS row_no, coalesce(CASE WHEN p_type <> 'PROMO' THEN p_name END, CASE WHEN p_size > 3 THEN p_name END) AS label,
+    CASE WHEN p_size > 9 THEN p_type || chr(10) || chr(10) || '"' || p_brand || '", ' || p_size END AS description, {CELL} AS c, p_brand AS skill_type FROM part),
+    last AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY row_no DESC) AS k FROM r WHERE label IS NOT NULL)
+    SELECT label, description, array_to_string(list_concat(c, list_filter(['b','c'], lambda x: NOT list_contains(c, x))), '|') AS occupations, skill_type FROM last WHERE k = 1""")
+def a5_file(spark, d):
+    """A CSV in part order with quotes and line breaks inside its cells; the last row of a label wins."""
+    path = scratch_dir(spark)
+    text = F.concat("p_type", F.lit('\n\n"'), "p_brand", F.lit('", '), F.col("p_size").cast("string"))
+    part = t.table(spark, d, "part").select(F.col("p_partkey").alias("row_no"), F.when(F.col("p_size") > 9, text).alias("text"))
+    rows = skill_rows(spark, d).join(part, "row_no").orderBy("row_no").drop("row_no", "description").withColumnRenamed("text", "description")
+    rows.write.option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+    return readers.read_skills_csv(spark, path).select("label", "description", joined("occupations"), "skill_type")
+
+
+@query("a7_read_competence_csv", """SELECT p_brand AS title, p_brand || ',/nKompetenzanforderungen: ' || nullif(p_type,'PROMO') || ';' || chr(10) || p_size AS page_content FROM part""")
+def a7_file(spark, d):
+    path = scratch_dir(spark)
+    need = F.concat(F.expr("nullif(p_type,'PROMO')"), F.lit(";\n"), F.col("p_size").cast("string"))
+    t.table(spark, d, "part").select(F.col("p_brand").alias("Kompetenzfacette"), need.alias("Kompetenzanforderungen")).write.option("header", True).option("sep", ";").option("escape", '"').csv(path)
+    return readers.read_competence_csv(spark, path)
+
+
+@query("a9_read_target_labels_file", sql("""SELECT i.label, p.label IS NOT NULL AS known, count(*) AS n FROM v_item i LEFT JOIN v_skill_partial p ON i.label = p.label GROUP BY ALL""", "v_item", "v_skill_partial"))
+def a9_file(spark, d):
+    """Files with a list or an object of labels, one for each brand."""
+    path = scratch_dir(spark)
+    items = t.v_item(spark, d).withColumn("brand", F.element_at(F.split("label", " "), -1))
+    lists = items.groupBy("brand").agg(F.collect_list("label").alias("l"))
+    lists.select("brand", F.when(F.col("brand") > "Brand#2", F.to_json(F.struct(F.col("l").alias("skills")))).otherwise(F.to_json("l")).alias("value")).write.partitionBy("brand").text(path)
+    known, missing = readers.read_target_labels(spark, path, t.v_skill_partial(spark, d))
+    both = known.withColumn("known", F.lit(True)).unionAll(missing.withColumn("known", F.lit(False)))
+    return both.groupBy("label", "known").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("a12_write_split_stats", sql("""SELECT left(query,1) = '1' AS urgent, count(*) AS n FROM v_sample GROUP BY 1""", "v_sample"))
+def a12_stats(spark, d):
+    s = t.v_sample(spark, d)
+    urgent = F.col("query").startswith("1")
+    paths = writers.write_split(s.where(urgent), s.where(~urgent), s.groupBy(urgent.alias("urgent")).agg(F.count(F.lit(1)).alias("n")), scratch_dir(spark))
+    return spark.read.schema("urgent boolean, n long").json(paths["stats"])
+
+
+@query("a13_write_results", """WITH m AS (SELECT l_returnflag AS model, 'avg_quantity' AS metric, avg(l_quantity) AS value FROM lineitem GROUP BY 1),
+    n AS (SELECT l_returnflag AS model, 'avg_tax' AS metric, avg(l_tax) AS value FROM lineitem WHERE l_returnflag <> 'N' GROUP BY 1)
+    SELECT 1 AS version, model, metric, round(value, 6) AS value FROM m UNION ALL SELECT 2, model, metric, round(value, 6) FROM (SELECT * FROM n UNION ALL SELECT * FROM m WHERE model NOT IN (SELECT model FROM n))""")
+def a13_versions(spark, d):
+    """Two stored versions, read back."""
+    l, root = t.table(spark, d, "lineitem"), scratch_dir(spark)
+    first = l.groupBy(F.col("l_returnflag").alias("model")).agg(F.avg("l_quantity").alias("value")).select("model", F.lit("avg_quantity").alias("metric"), "value")
+    second = l.where("l_returnflag <> 'N'").groupBy(F.col("l_returnflag").alias("model")).agg(F.avg("l_tax").alias("value")).select("model", F.lit("avg_tax").alias("metric"), "value")
+    paths = [writers.write_results(spark, root, rows, version) for version, rows in ((1, first), (2, second))]
+    parts = [spark.read.parquet(path).select(F.lit(i).cast("long").alias("version"), "model", "metric", "value") for i, path in enumerate(paths, 1)]
+    return rounded(parts[0].unionByName(parts[1]))

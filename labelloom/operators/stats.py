@@ -210,6 +210,13 @@ def top_reduced(by_label: DataFrame, n: int = 10) -> DataFrame:
     return by_label.where("removed > 0").orderBy(F.desc("removed"), "label").limit(n)
 
 
+def multi_label_impact(samples: DataFrame, removed: DataFrame, limit: int) -> DataFrame:
+    """(label, n): how often each overfull label stands in the samples that were removed for having several; ``removed``: sample_id."""
+    over = overfull_labels(label_frequency(samples), limit).select("label")
+    gone = samples.join(removed.select("sample_id").distinct(), "sample_id", "left_semi")
+    return gone.select(F.explode("pos").alias("label")).join(over, "label", "left_semi").groupBy("label").agg(F.count(F.lit(1)).alias("n"))
+
+
 def reduction_stats(before: DataFrame, after: DataFrame, by_label: DataFrame) -> DataFrame:
     """original / final / removed samples and the number of overfull labels."""
     sizes = before.select(F.lit(1).alias("b"), F.lit(0).alias("a"), F.lit(0).alias("o")).unionAll(
