@@ -10,6 +10,7 @@ from ..operators.balance import negative_pool_size
 from ..operators.similarity import group_hard_negatives
 from ..plans.compress import compress_or_split
 from ..plans.new_labels import new_label_samples
+from ..session import scratch_dir
 from ..sources import tables as t
 from .base import joined, query
 from .relations import occupation_lists
@@ -170,6 +171,21 @@ def i8(spark, d):
     return op.generate(x, dry_text=op.dry_run_text(F.col("label"))).select("label", "text", "status")
 
 
+@query("i8_generate_stored", sql("""SELECT label, CASE WHEN NOT contains(label, 'gizmo') THEN upper(label) END AS text, CASE WHEN contains(label, 'gizmo') THEN 'failed' ELSE 'ok' END AS status,
+    CASE WHEN contains(label, 'gizmo') THEN 'RuntimeError: refused' END AS error FROM v_skill""", "v_skill"))
+def i8c(spark, d):
+    """Asked in two calls: the first for some requests only, whose answers the second finds in the store."""
+    def backend():
+        def ask(prompt):
+            if "gizmo" in prompt:
+                raise RuntimeError("refused")
+            return prompt.upper()
+        return ask
+    x, path = t.v_skill(spark, d).select("label", F.col("label").alias("prompt"), "size"), scratch_dir(spark)
+    op.generate_stored(x.where("size > 25"), backend, path, "label", rounds=2, delay=0.0)
+    return op.generate_stored(x, backend, path, "label", rounds=3, delay=0.0).select("label", "text", "status", "error")
+
+
 @query("i8_generate_backend", sql("""SELECT label, CASE WHEN NOT contains(label, 'gizmo') THEN upper(label) END AS text, CASE WHEN contains(label, 'gizmo') THEN 'failed' ELSE 'ok' END AS status FROM v_skill""", "v_skill"))
 def i8b(spark, d):
     """A backend callable that refuses some prompts for good and others once."""

@@ -1,7 +1,7 @@
 """G: vector similarity, retrieval, embedding cache, negative mining."""
 from pyspark.sql import Window, functions as F
 
-from ..operators import inverted, similarity as op, stats
+from ..operators import distribution, inverted, similarity as op, stats
 from ..session import scratch_dir
 from ..sources import tables as t
 from .base import joined, query, rounded
@@ -239,6 +239,41 @@ def g13b(spark, d):
     return rounded(op.calibrate_from(drawn_pairs(spark, d)))
 
 
+ALL_PAIRS = """SELECT list_cosine_similarity(x.vector, y.vector) AS s FROM g a JOIN g b ON a.occupation = b.occupation AND a.label < b.label JOIN v_vec x ON x.id = a.label JOIN v_vec y ON y.id = b.label"""
+
+
+@query("g11_similarity_distribution_all", sql("""SELECT count(*) AS n, round(min(s), 6) AS min, round(max(s), 6) AS max, round(avg(s), 6) AS mean, round(median(s), 6) AS median, round(stddev_pop(s), 6) AS std,
+    round(quantile_cont(s, 0.1), 6) AS p10, round(quantile_cont(s, 0.25), 6) AS p25, round(quantile_cont(s, 0.5), 6) AS p50, round(quantile_cont(s, 0.75), 6) AS p75, round(quantile_cont(s, 0.9), 6) AS p90 FROM ap""",
+    "v_vec", g=GROUPS, ap=ALL_PAIRS))
+def g11_all(spark, d):
+    """Over all pairs of a group, none drawn."""
+    return rounded(distribution.group_similarities(pool(spark, d), groups(spark, d)))
+
+
+@query("g12_threshold_recommendation_all", sql("SELECT round(1 - quantile_cont(s, 0.75), 6) AS distance_threshold, round(1 - quantile_cont(s, 0.5), 6) AS conservative_threshold FROM ap", "v_vec", g=GROUPS, ap=ALL_PAIRS))
+def g12_all(spark, d):
+    x = distribution.group_similarities(pool(spark, d), groups(spark, d))
+    return rounded(x.select((1 - F.col("p75")).alias("distance_threshold"), (1 - F.col("p50")).alias("conservative_threshold")))
+
+
+@query("g13_calibrate_all", sql("""SELECT round(avg(s) FILTER (side='pos'), 6) AS query_pos_mean, round(stddev_pop(s) FILTER (side='pos'), 6) AS query_pos_std, round(quantile_cont(s, 0.25) FILTER (side='pos'), 6) AS query_pos_p25,
+    round(quantile_cont(s, 0.5) FILTER (side='pos'), 6) AS query_pos_p50, round(avg(s) FILTER (side='neg'), 6) AS query_neg_mean, round(stddev_pop(s) FILTER (side='neg'), 6) AS query_neg_std,
+    round(quantile_cont(s, 0.75) FILTER (side='neg'), 6) AS query_neg_p75, round(quantile_cont(s, 0.9) FILTER (side='neg'), 6) AS query_neg_p90, round(avg(s) FILTER (side='pp'), 6) AS pos_pos_mean,
+    round(quantile_cont(s, 0.5) FILTER (side='pp'), 6) AS pos_pos_p50, round(quantile_cont(s, 0.5) FILTER (side='pos'), 6) AS max_positive_similarity, 0.0::DOUBLE AS min_query_similarity FROM x""",
+    "v_vec", f=FIRST, vs=VS, dr="SELECT * FROM vs", x=CAL))
+def g13_all(spark, d):
+    """All samples and all negatives."""
+    return rounded(op.calibrate(vec_samples(spark, d), pool(spark, d), n=None, max_negs=None))
+
+
+@query("g17_novelty_all", sql("""SELECT v.id AS label, round(greatest(0, least(1, 1 - least(1, max(list_inner_product(v.vector, r.vector))))), 6)::DOUBLE AS novelty
+    FROM v_vec v, (SELECT vector FROM v_vec WHERE label < 5) r GROUP BY 1""", "v_vec"))
+def g17_all(spark, d):
+    """Against all covered vectors."""
+    v = t.v_vec(spark, d)
+    return rounded(op.novelty(pool(spark, d), v.where("label < 5").select(F.col("id").alias("label"), "vector"), sample=None))
+
+
 @query("g14_chunk_by_similarity")
 def g14(spark, d):
     s = t.v_sample(spark, d)

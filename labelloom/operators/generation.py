@@ -2,9 +2,12 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Callable
+from collections import deque
+from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.arrays import chunk_sequential, let, negatives_for, or_empty
@@ -40,37 +43,76 @@ def dry_run_compress(labels: Column, strategy: str = "compress") -> Column:
 
 
 def generate(requests: DataFrame, backend: Callable[[], Callable[[str], str]] | None = None, dry_text: Column | None = None,
-             tries: int = 4, delay: float = 2.0, factor: float = 1.5, prompt: str = "prompt") -> DataFrame:
-    """Requests + (text, status). ``backend()`` opens one client per Python worker and returns prompt -> text.
+             tries: int = 4, delay: float = 2.0, factor: float = 1.5, prompt: str = "prompt", in_flight: int = 8) -> DataFrame:
+    """Requests + (text, status, error). ``backend()`` opens one client per Python worker and returns prompt -> text; it must bear ``in_flight`` calls at a time.
 
-    Without a backend it is a dry run: a column expression. A request that fails ``tries`` times is marked
-    'failed' and does not stop the job. Write the answers before using them twice: a backend need not repeat itself.
+    A partition keeps that many calls in flight: rows are taken up only as calls come back, and answers are handed on in their order, so neither requests nor
+    answers pile up. Without a backend it is a dry run: a column expression. A request that fails ``tries`` times is marked
+    'failed' with the reason of the last try and does not stop the job. Write the answers before using them twice: a backend need not repeat itself
+    (``generate_stored`` does).
     """
     if backend is None:
-        return requests.withColumn("text", dry_text).withColumn("status", F.lit("ok"))
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in requests.schema.fields] + ["text string", "status string"])
-
-    def run(batches):
-        ask = None
-        for pdf in batches:
-            if ask is None:
-                ask = backend()
-            texts, states = [], []
-            for p in pdf[prompt]:
-                wait, text, state = delay, None, "failed"
-                for attempt in range(tries):
-                    try:
-                        text, state = ask(p), "ok"
-                        break
-                    except Exception:
-                        if attempt + 1 < tries:
-                            time.sleep(wait)
-                            wait *= factor
-                texts.append(text), states.append(state)
-            yield pdf.assign(text=texts, status=states)
+        return requests.withColumns({"text": dry_text, "status": F.lit("ok"), "error": F.lit(None).cast("string")})
+    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in requests.schema.fields] + ["text string", "status string", "error string"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        client: list = []
+
+        def call(text: str) -> tuple[str | None, str, str | None]:
+            wait, reason = delay, None
+            for attempt in range(tries):
+                try:
+                    return client[0](text), "ok", None
+                except Exception as e:
+                    reason = f"{type(e).__name__}: {e}"
+                    if attempt + 1 < tries:
+                        time.sleep(wait)
+                        wait *= factor
+            return None, "failed", reason
+
+        with ThreadPoolExecutor(max(1, in_flight)) as pool:
+            for batch in batches:
+                if not len(batch):
+                    continue
+                if not client:
+                    client.append(backend())
+                answers, waiting = [], deque()
+                for text in batch.column(batch.schema.get_field_index(prompt)).to_pylist():
+                    if len(waiting) >= in_flight:
+                        answers.append(waiting.popleft().result())
+                    waiting.append(pool.submit(call, text))
+                answers += [f.result() for f in waiting]
+                yield pa.RecordBatch.from_arrays([*batch.columns, *[pa.array(c, pa.string()) for c in zip(*answers)]], names=[*batch.schema.names, "text", "status", "error"])
 
     spread = requests.repartition(F.xxhash64(F.col(prompt)))  # small rows would else be read, and asked for, by a single task
-    return spread.mapInPandas(run, schema)
+    return spread.mapInArrow(run, schema)
+
+
+def generate_stored(requests: DataFrame, backend: Callable[[], Callable[[str], str]], path: str, key: str = "request_id", rounds: int = 10, **options) -> DataFrame:
+    """``generate`` through a store of answers at ``path`` (Parquet, shared): requests whose key has an answer there are not asked again.
+
+    Requests are asked in ``rounds`` parts by hash of the key, and each part is appended by Spark's commit protocol when it is complete: a lost executor asks again for its
+    own tasks only, and a job that was ended goes on where it was. Failed requests are not stored, so the next call asks them again. Keys are unique.
+    """
+    spark = requests.sparkSession
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
+    kind = f"`{key}` {requests.schema[key].dataType.simpleString()}, text string, status string, error string"
+
+    def stored() -> DataFrame:
+        return spark.read.schema(kind).parquet(path) if fs.exists(hadoop) else spark.createDataFrame([], kind)
+
+    failed = None
+    for i in range(rounds):
+        part = requests.where(F.pmod(F.xxhash64(key), F.lit(rounds)) == i).join(stored().select(key), key, "left_anti")
+        if part.isEmpty():
+            continue
+        answers = cut_lineage(generate(part, backend, **options).select(key, "text", "status", "error"))
+        answers.where("status = 'ok'").write.mode("append").parquet(path)
+        bad = answers.where("status <> 'ok'")
+        failed = bad if failed is None else failed.unionByName(bad)
+    answers = stored() if failed is None else stored().unionByName(failed)
+    return requests.join(answers, key, "left")
 
 
 def prompt_log(requests: DataFrame, path: str) -> None:

@@ -6,6 +6,7 @@ in different engines cannot change a ranking; ties are broken by id.
 from __future__ import annotations
 
 import os
+import uuid
 from collections.abc import Callable
 
 import numpy as np
@@ -64,50 +65,116 @@ def hashing_embed(df: DataFrame, text_col: str, dim: int = 64, out: str = "vecto
 
 
 class EmbeddingCache:
-    """Parquet table of vectors, one directory per model, keyed by md5 of ``label: description``."""
+    """Vectors of one model, keyed by md5 of ``label: description``, in Parquet folders that a manifest lists.
+
+    A fill writes a folder of its own, in ranges of keys (the first two digits), and is part of the store once version n + 1 of the manifest is in its place, by a rename that
+    does not overwrite. Who comes second drops the keys that others have committed since it looked, and tries again; so equal keys never stand twice, however
+    many jobs fill at once, and a job that dies leaves nothing that counts. The file system must rename atomically (HDFS does).
+    Whether a text is there is asked in the ranges of the requested keys only.
+    """
+    SCHEMA = "text_id string, text string, vector array<float>"
 
     def __init__(self, spark: SparkSession, root: str, model: str):
         self.spark, self.model_id = spark, model_key(model)
         self.path = os.path.join(root, f"model_id={self.model_id}")
 
-    def _files(self):
+    def _hadoop(self, *names: str):
         jvm = self.spark._jvm
-        p = jvm.org.apache.hadoop.fs.Path(self.path)
+        p = jvm.org.apache.hadoop.fs.Path(os.path.join(self.path, *names))
         return p.getFileSystem(self.spark._jsc.hadoopConfiguration()), p
 
+    def _manifest(self) -> tuple[int, list[str]]:
+        """(version, committed folders) of the newest manifest; version 0 has none."""
+        fs, p = self._hadoop("manifest")
+        versions = sorted(f.getPath().getName() for f in fs.listStatus(p)) if fs.exists(p) else []
+        if not versions:
+            return 0, []
+        fs, p = self._hadoop("manifest", versions[-1])
+        stream = fs.open(p)
+        try:
+            text = bytes(stream.readAllBytes()).decode()
+        finally:
+            stream.close()
+        return int(versions[-1]), text.split()
+
+    def _commit(self, version: int, folders: list[str]) -> bool:
+        """Put manifest ``version`` in its place by one rename that does not overwrite; false if somebody else was first."""
+        from py4j.protocol import Py4JJavaError
+        hadoop = self.spark._jvm.org.apache.hadoop.fs
+        fs, target = self._hadoop("manifest", f"{version:012d}")
+        draft = self._hadoop(f"draft-{uuid.uuid4().hex}")[1]
+        stream = fs.create(draft, False)
+        stream.write(bytearray("\n".join(folders).encode()))
+        stream.close()
+        fs.mkdirs(target.getParent())
+        kind = getattr(hadoop, "Options$Rename")
+        options = self.spark.sparkContext._gateway.new_array(kind, 1)
+        options[0] = kind.NONE
+        try:
+            hadoop.FileContext.getFileContext(fs.getUri(), self.spark._jsc.hadoopConfiguration()).rename(fs.makeQualified(draft), fs.makeQualified(target), options)
+            return True
+        except Py4JJavaError:
+            if not fs.exists(target):
+                raise
+            fs.delete(draft, False)
+            return False
+
+    def _read(self, folders: list[str], ranges: list[str] | None = None) -> DataFrame:
+        if not folders:
+            return self.spark.createDataFrame([], self.SCHEMA)
+        rows = self.spark.read.schema(self.SCHEMA + ", fill string, range string").option("basePath", self.path).parquet(*[os.path.join(self.path, f) for f in folders])
+        return (rows if ranges is None else rows.where(F.col("range").isin(ranges))).select("text_id", "text", "vector")
+
     def table(self) -> DataFrame:
-        schema = "text_id string, text string, vector array<float>"
-        fs, p = self._files()
-        if not fs.exists(p):
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(self.path)
+        return self._read(self._manifest()[1])
 
     def keyed(self, items: DataFrame) -> DataFrame:
         """Adds text and text_id to (label, description) rows."""
         text = skill_text(F.col("label"), F.col("description"))
         return items.withColumn("text", text).withColumn("text_id", text_key(text))
 
-    def misses(self, items: DataFrame) -> DataFrame:
+    def _requested(self, items: DataFrame) -> list[str]:
+        """Key ranges of the items: 256 at most."""
+        return sorted(r[0] for r in self.keyed(items).select(F.substring("text_id", 1, 2)).distinct().collect() if r[0] is not None)
+
+    def misses(self, items: DataFrame, folders: list[str] | None = None) -> DataFrame:
         """Distinct texts that have no vector yet."""
+        folders = self._manifest()[1] if folders is None else folders
         return (self.keyed(items).select("text_id", "text").dropDuplicates(["text_id"])
-                .join(self.table().select("text_id"), "text_id", "left_anti"))
+                .join(self._read(folders, self._requested(items)).select("text_id"), "text_id", "left_anti"))
 
     def lookup_stats(self, items: DataFrame) -> DataFrame:
         """total, hits, misses, hit rate of the requested rows."""
-        known = self.table().select("text_id", F.lit(True).alias("hit"))
+        known = self._read(self._manifest()[1], self._requested(items)).select("text_id", F.lit(True).alias("hit"))
         return cache_stats(self.keyed(items).join(known, "text_id", "left").select(F.col("hit").isNotNull().alias("hit")))
 
+    def _write(self, rows: DataFrame) -> tuple[str, int]:
+        """(new folder, rows in it); not part of the store yet."""
+        folder = f"fill={uuid.uuid4().hex}"
+        rows.select("text_id", "text", "vector", F.substring("text_id", 1, 2).alias("range")).write.partitionBy("range").parquet(os.path.join(self.path, folder))
+        fs, p = self._hadoop(folder)
+        some = any(f.isDirectory() for f in fs.listStatus(p))  # an empty write has no ranges
+        return folder, self._read([folder]).count() if some else 0
+
     def fill(self, items: DataFrame, encode: Callable[[DataFrame, str], DataFrame]) -> int:
-        """Encode and append what is missing; returns how many were added. The encoder runs once."""
-        before = self.table().count()
-        new = encode(self.misses(items), "text").select("text_id", "text", "vector")
-        new.write.mode("append").parquet(self.path)
-        return self.table().count() - before
+        """Encode what is missing and commit it; returns how many were added. The encoder runs once."""
+        version, known = self._manifest()
+        folder, n = self._write(encode(self.misses(items, known), "text"))
+        while n:
+            now, folders = self._manifest()
+            if since := [f for f in folders if f not in known]:
+                others = self._read(since).select("text_id")
+                folder, n = self._write(self._read([folder]).join(others, "text_id", "left_anti"))
+                known = folders
+                continue
+            if self._commit(now + 1, [*folders, folder]):
+                break
+        return n
 
     def embed(self, items: DataFrame, encode: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
         """Rows with their vectors, aligned by key."""
         self.fill(items, encode)
-        return self.keyed(items).join(self.table().select("text_id", "vector"), "text_id")
+        return self.keyed(items).join(self._read(self._manifest()[1], self._requested(items)).select("text_id", "vector"), "text_id")
 
     def prepopulate(self, items: DataFrame, encode, clear: bool = False) -> int:
         if clear:
@@ -116,7 +183,7 @@ class EmbeddingCache:
 
     def clear(self) -> None:
         """Drop the vectors of this model only."""
-        fs, p = self._files()
+        fs, p = self._hadoop()
         fs.delete(p, True)
 
 
@@ -325,16 +392,18 @@ def calibrate_from(pairs: DataFrame) -> DataFrame:
                     F.coalesce(F.col("p")[0], F.lit(DEFAULT_MIN_QUERY)).alias("min_query_similarity"))
 
 
-def calibrate(samples: DataFrame, pool: DataFrame, n: int = 50, max_negs: int = 10, seed: int = 42,
+def calibrate(samples: DataFrame, pool: DataFrame, n: int | None = 50, max_negs: int | None = 10, seed: int = 42,
               normalise: bool = True) -> DataFrame:
     """Similarity statistics of n drawn samples and the mining threshold = median(query, positive).
 
-    ``samples``: sample_id, vector, pos, neg. Only the drawn samples are joined to the pool.
+    ``samples``: sample_id, vector, pos, neg. Only the drawn samples are joined to the pool. ``n=None`` takes all samples and ``max_negs=None`` all
+    negatives; quantiles over all are exact for 9 digits and come from histograms (``distribution.column_quantiles``), since a percentile aggregate would
+    keep a counter for each value.
     """
     sim = cosine if normalise else dot
     full = samples.where((F.size(or_empty(F.col("pos"))) > 0) & (F.size(or_empty(F.col("neg"))) > 0))
-    drawn = full.orderBy(hash_order(seed, F.col("sample_id")), "sample_id").limit(n)
-    negs = F.transform(F.slice(F.array_sort(F.transform(F.col("neg"), lambda x, i: F.struct(
+    drawn = full if n is None else full.orderBy(hash_order(seed, F.col("sample_id")), "sample_id").limit(n)
+    negs = F.col("neg") if max_negs is None else F.transform(F.slice(F.array_sort(F.transform(F.col("neg"), lambda x, i: F.struct(
         hash_order(seed, F.col("sample_id"), x).alias("k"), i.alias("i"), x.alias("l")))), 1, max_negs), lambda t: t.l)
     sides = F.array(F.struct(F.lit("pos").alias("side"), F.col("pos").alias("l")), F.struct(F.lit("neg").alias("side"), negs.alias("l")))
     rows = drawn.select("sample_id", "vector", F.explode(sides).alias("s")).select(
@@ -345,8 +414,15 @@ def calibrate(samples: DataFrame, pool: DataFrame, n: int = 50, max_negs: int =
     pp = (p.alias("x").join(p.alias("y"), "sample_id").where("x.i < y.i")
           .select(F.lit("pos_pos").alias("side"), sim(F.col("x.v"), F.col("y.v")).alias("sim")))
     allp = scored.select("side", "sim").unionByName(pp)
+    if n is None:
+        from .distribution import column_quantiles
+        allp = cut_lineage(allp)
+        known = {(side, q): v for side, qs in (("pos", (0.25, 0.5)), ("neg", (0.75, 0.9)), ("pos_pos", (0.5,)))
+                 for q, v in zip(qs, column_quantiles(allp.where(F.col("side") == side), "sim", qs)[1])}
 
     def stat(side, q):
+        if n is None:
+            return F.first(F.lit(known[side, q]).cast("double"))
         return F.percentile(F.when(F.col("side") == side, F.col("sim")), F.lit(q))
 
     def of(side):
@@ -411,11 +487,15 @@ def in_group_redundancy(df: DataFrame, dim: int, key: str = "id", group: str = "
     return x.join(s, "group").select("id", "group", "n", mean.alias("redundancy"))
 
 
-def novelty(skills: DataFrame, covered: DataFrame, sample: int = 30, seed: int = 42) -> DataFrame:
-    """label, novelty = 1 - max similarity to at most ``sample`` md5-drawn covered labels, within [0, 1].
+def novelty(skills: DataFrame, covered: DataFrame, sample: int | None = 30, seed: int = 42) -> DataFrame:
+    """label, novelty = 1 - max similarity to at most ``sample`` md5-drawn covered labels, within [0, 1]; ``sample=None`` compares with all of them, in tiles.
 
-    Drawing so few is the measure itself. No reference set -> 0.5.
+    No reference set -> 0.5.
     """
+    if sample is None:
+        near = topk_similar(skills, covered, 1, normalise=False, query_id="label", corpus_id="label").select(F.col("query_id").alias("label"), "score")
+        value = F.greatest(F.lit(0.0), F.least(F.lit(1.0), 1 - F.least(F.col("score"), F.lit(1.0))))
+        return skills.select("label").join(near, "label", "left").select("label", F.coalesce(value, F.lit(0.5)).alias("novelty"))
     drawn = covered.orderBy(hash_order(seed, F.col("label")), "label").limit(sample).select("vector")
     refs = one_row(drawn.agg(F.collect_list("vector").alias("v"))).v
     x = skills.withColumn("_refs", refs)
@@ -426,13 +506,18 @@ def novelty(skills: DataFrame, covered: DataFrame, sample: int = 30, seed: int =
 
 # --- negatives ----------------------------------------------------------------------------------
 
+#: Skipped labels of a sample that a tile hands on one by one; samples with more are counted in a second pass.
+SKIPPED = 64
+
+
 def mine_hard_negatives(samples: DataFrame, pool: DataFrame, k: int = 8, max_pos_sim: float = 0.7,
-                        tile_rows: int = 8192) -> DataFrame:
+                        tile_rows: int = 8192, skipped_rows: int = SKIPPED) -> DataFrame:
     """Up to k nearest pool labels per sample that are unused and not too similar to any positive.
 
-    ``samples``: sample_id, vector, pos, neg; ``pool``: label, vector. Two passes over the tiles: the first
-    keeps the k best valid labels, the second only counts what the walk to the k-th pick skipped. Both are
-    exact for any threshold; neither writes a pair that is not a result. Samples without positives pass through.
+    ``samples``: sample_id, vector, pos, neg; ``pool``: label, vector. One pass over the tiles: of each sample a tile returns its k best valid labels and those labels
+    before the last of them that the walk skips, which is all that can matter: the k-th pick of all tiles is not behind that of one. Samples that skip
+    more than ``skipped_rows`` labels in a tile (many labels as close as a positive) are counted in a second pass over just these samples. Both are
+    exact for any threshold. Samples without positives pass through.
     """
     trim = (lambda c: F.array_distinct(F.transform(or_empty(c), strip)))
     base = samples.select("sample_id", "vector", "pos", "neg", trim(F.col("pos")).alias("_p"), trim(F.col("neg")).alias("_n"))
@@ -467,26 +552,44 @@ def mine_hard_negatives(samples: DataFrame, pool: DataFrame, k: int = 8, max_pos
             yield part, s, u, close & ~u
 
     def pick(l: pa.Table, r: pa.Table) -> pa.Table:
-        rows, cols, sims = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0)]
+        """Rows of kind 0 (picked), 1 (skipped as used), 2 (skipped as too similar), 3 (too many to hand on)."""
+        rows, cols, sims, kinds = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0)], [np.empty(0, np.int64)]
         if len(l) and len(r):
             r = r.sort_by("label")
             for part, s, u, close in walk(l, r):
                 a, b = best_k(np.where(u | close, -np.inf, s), k)
-                rows.append(a + part.start), cols.append(b), sims.append(s[a, b])
+                n = np.bincount(a, minlength=len(s))
+                edge, at = np.full(len(s), -np.inf), np.full(len(s), s.shape[1])  # the tile's k-th pick, if it has so many
+                last = np.cumsum(n)[n >= k] - 1
+                edge[n >= k], at[n >= k] = s[a[last], b[last]], b[last]
+                before = (s > edge[:, None]) | ((s == edge[:, None]) & (np.arange(s.shape[1]) < at[:, None]))
+                many = np.flatnonzero((close & before).sum(1) > skipped_rows)
+                before[many] = False
+                x, y = np.nonzero((u | close) & before)
+                rows += [a + part.start, x + part.start, many + part.start]
+                cols += [b, y, np.zeros(len(many), np.int64)]
+                sims += [s[a, b], s[x, y], np.zeros(len(many))]
+                kinds += [np.zeros(len(a), np.int64), np.where(u[x, y], 1, 2), np.full(len(many), 3)]
         return pa.table({"sample_id": l["sample_id"].take(pa.array(np.concatenate(rows))),
                          "label": r["label"].take(pa.array(np.concatenate(cols))),
-                         "score": pa.array(np.concatenate(sims))})
+                         "score": pa.array(np.concatenate(sims)), "kind": pa.array(np.concatenate(kinds))})
 
+    found = cut_lineage(tiled(left, "sample_id", right, "label", pick, f"sample_id {id_type}, label string, score double, kind long", tile_rows, rows))
     w = Window.partitionBy("sample_id").orderBy(F.desc("score"), "label")
-    picks = (tiled(left, "sample_id", right, "label", pick, f"sample_id {id_type}, label string, score double", tile_rows, rows)
-             .withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k))
-    picks = cut_lineage(picks)  # k rows per sample, read by the second pass and by the result
+    picks = found.where("kind = 0").select("sample_id", "label", "score").withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
     item = F.struct("rank", "label", "score")
-    chosen = picks.groupBy("sample_id").agg(F.array_sort(F.collect_list(item)).alias("t"))
+    chosen = cut_lineage(picks.groupBy("sample_id").agg(F.array_sort(F.collect_list(item)).alias("t")))
     full = F.size("t") >= k
-    cut = left.join(chosen, "sample_id", "left").select(
-        *left.columns, F.when(full, F.element_at("t", -1).score).alias("cut_score"),
-        F.when(full, F.element_at("t", -1).label).alias("cut_label"))
+    edges = chosen.select("sample_id", F.size("t").alias("_picked"), F.when(full, F.element_at("t", -1).score).alias("cut_score"),
+                          F.when(full, F.element_at("t", -1).label).alias("cut_label"))
+    many = found.where("kind = 3").select("sample_id").distinct()
+    passed = (F.col("score") > F.col("cut_score")) | ((F.col("score") == F.col("cut_score")) & (F.col("label") < F.col("cut_label")))
+    skips = found.where("kind in (1, 2)").join(edges, "sample_id", "left").where(F.col("cut_score").isNull() | passed)
+    skips = skips.groupBy("sample_id").agg(F.count_if(F.col("kind") == 1).alias("_u"), F.count_if(F.col("kind") == 2).alias("_c"))
+    zero = F.lit(0).cast("long")
+    counts = (mineable.select("sample_id").join(many, "sample_id", "left_anti").join(skips, "sample_id", "left").join(edges.select("sample_id", "_picked"), "sample_id", "left")
+              .select("sample_id", (F.coalesce("_picked", F.lit(0)) + F.coalesce("_u", zero) + F.coalesce("_c", zero)).alias("candidates"),
+                      F.coalesce("_u", zero).alias("excluded_used"), F.coalesce("_c", zero).alias("excluded_by_positive_similarity")))
 
     def skipped(l: pa.Table, r: pa.Table) -> pa.Table:
         seen, used_n, close_n = (np.zeros(len(l), dtype=np.int64) for _ in range(3))
@@ -503,9 +606,12 @@ def mine_hard_negatives(samples: DataFrame, pool: DataFrame, k: int = 8, max_pos
                     close_n[row] = (before & close[i]).sum()
         return pa.table({"sample_id": l["sample_id"], "seen": seen, "used": used_n, "close": close_n})
 
-    counts = (tiled(cut, "sample_id", right, "label", skipped, f"sample_id {id_type}, seen bigint, used bigint, close bigint", tile_rows, rows)
-              .groupBy("sample_id").agg(F.sum("seen").alias("candidates"), F.sum("used").alias("excluded_used"),
-                                        F.sum("close").alias("excluded_by_positive_similarity")))
+    if n_many := many.count():
+        again = left.join(many, "sample_id", "left_semi").join(edges.drop("_picked"), "sample_id", "left")
+        late = (tiled(again, "sample_id", right, "label", skipped, f"sample_id {id_type}, seen bigint, used bigint, close bigint", tile_rows, (n_many, rows[1]))
+                .groupBy("sample_id").agg(F.sum("seen").alias("candidates"), F.sum("used").alias("excluded_used"),
+                                          F.sum("close").alias("excluded_by_positive_similarity")))
+        counts = counts.unionByName(late)
     new = F.coalesce(F.transform("t", lambda x: x.label), F.expr("cast(array() as array<string>)"))
     mined = base.join(chosen, "sample_id", "left").join(counts, "sample_id", "left")
     unchanged = F.size("_p") == 0

@@ -53,6 +53,7 @@ def compress_or_split(samples: DataFrame, limit: int = 320, n: int = 5, pool: Da
     requests = split_requests.unionByName(compress_requests)
     answers = cut_lineage(generation.generate(requests, backend, F.col("dry")).drop("prompt", "dry"))
     ok = (F.col("status") == "ok") & (F.coalesce(strip(F.col("text")), F.lit("")) != "")
-    made = answers.where(ok).withColumn("query", strip(F.col("text"))).withColumn("tokens", token_count(F.col("query"), tokenizer)).drop("text", "status")
-    failed = answers.where(~ok).withColumn("error", F.when(F.col("status") == "ok", "empty answer").otherwise("no answer")).drop("text", "status")
+    made = answers.where(ok).withColumn("query", strip(F.col("text"))).withColumn("tokens", token_count(F.col("query"), tokenizer)).drop("text", "status", "error")
+    reason = F.concat(F.lit("no answer"), F.coalesce(F.concat(F.lit(": "), "error"), F.lit("")))
+    failed = answers.where(~ok).withColumn("error", F.when(F.col("status") == "ok", "empty answer").otherwise(reason)).drop("text", "status")
     return kept.unionByName(made), failed
