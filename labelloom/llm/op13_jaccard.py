@@ -220,7 +220,8 @@ def dealt(rows: DataFrame, sizes: DataFrame, block: int) -> DataFrame:
     """(root, band, piece, guest, digest, tokens): each set in its own block, and as guest in the blocks where partners can be that it does not meet otherwise. ``sizes``: root and n of the sets."""
     pieces = sizes.groupBy("root", band(F.col("n")).alias("band")).agg(F.ceil(F.sum("n") / block).cast("int").alias("pieces"))
     after = pieces.select("root", (F.col("band") - 1).alias("band"), F.col("pieces").alias("after"))
-    rows = rows.withColumn("band", band(F.col("n"))).join(pieces.join(after, ["root", "band"], "left"), ["root", "band"])
+    grid = cut_lineage(pieces.join(after, ["root", "band"], "left"))  # so that the join below deals its sides itself and may split a crowded chain
+    rows = rows.withColumn("band", band(F.col("n"))).join(grid, ["root", "band"])
     own = F.pmod(F.hash("digest"), F.col("pieces"))
     here = F.transform(F.sequence(own, F.col("pieces") - 1), lambda p: F.struct(F.col("band").alias("band"), p.alias("piece"), (p > own).alias("guest")))
     there = F.when(F.col("after").isNotNull(), F.transform(F.sequence(F.lit(0), F.col("after") - 1), lambda p: F.struct((F.col("band") + 1).alias("band"), p.alias("piece"), F.lit(True).alias("guest"))))
