@@ -27,14 +27,16 @@ def arrow(df: DataFrame, fn: Callable, schema) -> DataFrame:
 
 
 def annotate(df: DataFrame, fn: Callable[[pa.RecordBatch], list[pa.Array]], fields: list[T.StructField]) -> DataFrame:
-    """Narrow: keeps every column of ``df`` and appends ``fields``, computed by ``fn`` for each Arrow batch."""
-    names = [*df.columns, *[f.name for f in fields]]
+    """Narrow: keeps the columns of ``df`` and appends ``fields``, computed by ``fn`` for each Arrow batch. A column that is named like an appended one is replaced by it."""
+    new = {f.name.lower() for f in fields}
+    kept = [i for i, f in enumerate(df.schema.fields) if f.name.lower() not in new]
+    schema = T.StructType([*[df.schema.fields[i] for i in kept], *fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([*batch.columns, *fn(batch)], names=names)
+            yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in kept], *fn(batch)], names=schema.names)
 
-    return arrow(df, run, T.StructType([*df.schema.fields, *fields]))
+    return arrow(df, run, schema)
 
 
 def column(batch: pa.RecordBatch, name: str) -> pa.Array:

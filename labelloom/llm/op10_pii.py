@@ -3,7 +3,9 @@ pass over the text; local parsers then walk from the anchor to the left and righ
 
 Base kinds, as fixed by contract: email, ip, card, phone; each kind's matches are the leftmost ones that do not overlap, and a match that
 fails its check is dropped together with its characters. The method adds: url (user:password before the host), iban (country, check
-digits, remainder 1 of 97) and account (a number of 6 to 34 letters and digits, with a digit, behind a cue such as "account no.:").
+digits, remainder 1 of 97) and account: behind a cue such as "passport:", a word with a digit, and where it has fewer than 6 letters and digits the groups of two or
+more digits that follow it after single spaces; 6 to 34 letters and digits in all, three digits at least. Nothing may stick to the cue or the number. Cues that are also
+verbs ("compte", "cuenta", "account") need a mark (":", "#", "no." and the like) before the number.
 
 Null and empty text: no spans. Texts of any length are read whole in linear time. Repeated rows get equal results; other columns pass.
 """
@@ -34,7 +36,11 @@ CHAIN = re.compile(r"[0-9](?:[ -]?[0-9])++")
 PLUS = re.compile(r"\+[0-9][ ().0-9-]++")
 AUTHORITY = re.compile(r"[A-Za-z0-9._~%!$&'()*+,;=-]+:[^\s/@]*@[A-Za-z0-9.-]+(?::[0-9]+)?")
 IBAN = re.compile(r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}")
-NUMBER = re.compile(r"(?:[ ]?(?:number|no|nr|num|code|id)\b\.?)?[ ]?(?:is |:|=|#)?[ ]?#?([A-Za-z0-9](?:[A-Za-z0-9-]){4,32}[A-Za-z0-9])(?![A-Za-z0-9@])", re.I)
+#: Cues that are also verbs.
+VERBS = frozenset(("account", "cuenta", "compte"))
+LEAD = re.compile(r"[ ]?((?:number|no|nr|num|code|id)\b\.?)?[ ]?(is |:|=|#)?[ ]?(#)?", re.I)
+TOKEN = re.compile(r"[A-Za-z0-9](?:[A-Za-z0-9-]{0,64}[A-Za-z0-9])?")
+GROUP = re.compile(r" [0-9]{2,}(?![A-Za-z0-9])")
 
 
 @functools.lru_cache(1)
@@ -109,17 +115,35 @@ def spans(text: str) -> dict[str, list[tuple[int, int]]]:
             if at >= done["url"] and (run := AUTHORITY.match(text, last + 1)):
                 out["url"].append((at, run.end()))
                 done["url"] = run.end()
-        elif at >= done["account"] and (at == 0 or not text[at - 1].isalnum()):
+        elif at >= done["account"] and not text[at - 1:at].isalnum() and not text[last + 1:last + 2].isalnum():
             lead = re.compile(r"[ ]?[:=#]?[ ]?").match(text, last + 1).end()
             if (run := IBAN.match(text, lead)) and (cut := longest_iban(run[0])):
                 out["iban"].append((lead, lead + cut))
                 done["account"] = lead + cut
-            elif (run := NUMBER.match(text, last + 1)) and re.search("[0-9]{3}", run[1]):
-                out["account"].append(run.span(1))
-                done["account"] = run.end(1)
+            elif run := account(text, last + 1, text[at:last + 1].lower() in VERBS):
+                out["account"].append(run)
+                done["account"] = run[1]
     return out
 
 
+def account(text: str, place: int, marked: bool) -> tuple[int, int] | None:
+    """(start, end) of the number behind a cue that ends at ``place``; with ``marked`` only behind a mark."""
+    lead = LEAD.match(text, place)
+    if marked and not any(lead.groups()):
+        return None
+    token = TOKEN.match(text, lead.end())
+    if not token or not any("0" <= c <= "9" for c in token[0]):
+        return None
+    end = token.end()
+    while sum(c.isalnum() for c in token[0]) < 6 and (group := GROUP.match(text, end)):
+        end = group.end()
+    some = [c for c in text[token.start():end] if c.isalnum()]
+    follows = text[end:end + 1]
+    if not 6 <= len(some) <= 34 or sum("0" <= c <= "9" for c in some) < 3 or follows.isalnum() or follows == "@":
+        return None
+    return token.start(), end
+
+
 def longest_iban(raw: str) -> int:
     """Length of the longest part from the beginning that is an IBAN; 0 if none."""
     for end in range(len(raw), 14, -1):

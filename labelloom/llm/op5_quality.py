@@ -10,6 +10,8 @@ no verdict and the rules decide alone (quality_p null). Repeated rows get equal
 """
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -60,17 +62,18 @@ def rules(w: Words, data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarr
 
 
 def features(w: Words, data: np.ndarray, offsets: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-    """(text, dimension) of every word, word pair and run of four bytes."""
+    """(text, dimension) of every word, word pair and run of four characters."""
     top = np.uint64(52)
     pair, whole = w.shingles(2)
-    d = data.astype(np.uint64)
-    four = np.zeros(max(0, len(data) - 3), np.uint64)
+    d = np.frombuffer(data.tobytes().decode().encode("utf-32-le"), np.uint32).astype(np.uint64)
+    four = np.zeros(max(0, len(d) - 3), np.uint64)
     for i in range(4):
-        four = four << np.uint64(8) | d[i:i + len(four)]
-    of_byte = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
-    inside = of_byte[:len(four)] == of_byte[3:3 + len(four)] if len(four) else np.zeros(0, bool)
+        four = four * np.uint64(0x110001) + d[i:i + len(four)]  # more than there are code points
+    begins = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])[offsets]
+    of_char = np.repeat(np.arange(len(offsets) - 1), np.diff(begins))
+    inside = of_char[:len(four)] == of_char[3:3 + len(four)] if len(four) else np.zeros(0, bool)
     return [(w.doc, (w.h >> top).astype(np.int64)), (w.doc[:len(pair)][whole], (pair[whole] >> top).astype(np.int64)),
-            (of_byte[:len(four)][inside], (four[inside] * np.uint64(0x9E3779B97F4A7C15) >> top).astype(np.int64))]
+            (of_char[:len(four)][inside], (four[inside] * np.uint64(0x9E3779B97F4A7C15) >> top).astype(np.int64))]
 
 
 class Model:
@@ -132,10 +135,13 @@ def train(docs: DataFrame, labels: DataFrame, train_rows: int = 2000) -> Model |
                     count = np.bincount(doc * DIMS + dim, minlength=n * DIMS).reshape(n, DIMS)
                     x[:, i * DIMS:(i + 1) * DIMS] = count / np.maximum(count.sum(1, keepdims=True), 1)
                 at = [np.flatnonzero(r) for r in x]
-                yield pa.RecordBatch.from_arrays([column(batch, c).slice(first, n) for c in "ky"] + [pa.array([i.astype(np.int32).tobytes() for i in at]), pa.array([r[i].tobytes() for r, i in zip(x, at)])], names=["k", "y", "at", "x"])
+                keys = [hashlib.md5(data[a:b].tobytes()).hexdigest() for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
+                yield pa.RecordBatch.from_arrays([column(batch, c).slice(first, n) for c in "ky"] + [pa.array(keys), pa.array([i.astype(np.int32).tobytes() for i in at]), pa.array([r[i].tobytes() for r, i in zip(x, at)])], names=["k", "y", "digest", "at", "x"])
 
     kinds = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
-    got = sorted(arrow(rows, shares, f"k {kinds['k']}, y {kinds['y']}, at binary, x binary").dropDuplicates(["k"]).collect(), key=lambda r: r["k"])
+    # of rows that share an id the text of the least digest counts
+    once = arrow(rows, shares, f"k {kinds['k']}, y {kinds['y']}, digest string, at binary, x binary").groupBy("k").agg(F.min(F.struct("digest", "y", "at", "x")).alias("r")).select("k", "r.y", "r.at", "r.x")
+    got = sorted(once.collect(), key=lambda r: r["k"])
     y = np.array([r["y"] for r in got], float)
     fit, test = y[np.arange(len(y)) % 4 != 3], y[np.arange(len(y)) % 4 == 3]
     if len(y) < 8 or fit.min() == fit.max() or not len(test):

@@ -14,16 +14,15 @@ that comes first in the alphabet. Texts with null id are never learnt from. Repe
 """
 from __future__ import annotations
 
-import re
-
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
 from labelloom.llm.common import annotate, arrow, chunks, column, texts
 
-LETTER = re.compile(r"[^\W\d_]")
+LETTER = regex.compile(r"\p{L}")
 ORDER = 3
 
 

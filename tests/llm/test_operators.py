@@ -75,6 +75,17 @@ def test_pii_base_equals_patterns():
         assert {k: found[k] for k in op10_pii.BASE} == plain_spans(text), text
 
 
+def test_pii_accounts():
+    def found(text):
+        return [text[a:b] for a, b in op10_pii.spans(text)["account"]]
+
+    for text in ("Le roman compte 100000 mots.", "La ciudad cuenta 150000 habitantes.", "accounting2024 is here", "We account 12345678 of them", "passport holder 12345678", "konto 12", "ssn: abcdefgh", "passport: 12345678@x.org"):
+        assert found(text) == [], text
+    for text, number in (("passport: AB12CD34", "AB12CD34"), ("account no. 12 34 56 78", "12 34 56 78"), ("konto 1234 5678 9012", "1234 5678 9012"), ("Account: 12345678 20 items", "12345678"),
+                         ("cuenta #123456, y", "123456"), ("SSN 123-45-6789.", "123-45-6789"), ("Kontonummer 12345678", "12345678"), ("compte n 1 compte no 998877", "998877")):
+        assert found(text) == [number], text
+
+
 def test_pii_rows(spark):
     rows = [(1, None, None), (2, "", None), (3, "mail a.b@c.org, 4111 1111 1111 1111 and 10.0.0.1 or +1 (555) 010-0199", None), (3, "a@b.c", None), (4, "1" * 100_000 + "@" * 50, None),
             (5, "IBAN: DE89 3704 0044 0532 0130 00, account no. 12345678, http://u:pw@h.org/x", None)]
@@ -567,3 +578,38 @@ def test_viterbi_is_the_best_path():
         return total
     best = max(itertools.product(range(4), repeat=4), key=score)
     assert chain.roles(some, None) == [op1_chat.ROLES[i] for i in best]
+
+
+def test_letters_are_letters():
+    assert not any(op9_language.LETTER.search(x) for x in ("²³", "½", "Ⅷ", "①", "12 _ .", "")) and all(op9_language.LETTER.search(x) for x in ("a", "é", "漢", "ª", "ʰ"))
+
+
+def test_quality_runs_are_of_characters():
+    from labelloom.llm.words import Words
+    texts = ["ab", "äöü漢字", "", "x😀yz", "abcdé"]
+    raw = [t.encode() for t in texts]
+    data, offsets = np.frombuffer(b"".join(raw), np.uint8), np.concatenate([[0], np.cumsum([len(r) for r in raw])])
+    doc, dim = op5_quality.features(Words(data, offsets, op5_quality.IS_WORD, op5_quality.FOLD), data, offsets)[2]
+    assert np.bincount(doc, minlength=5).tolist() == [max(0, len(t) - 3) for t in texts] and len(dim) == len(doc)
+
+
+def test_quality_model_does_not_depend_on_row_order(spark):
+    rng = random.Random(9)
+    rows = [(i, sentence(rng, 40), None) for i in range(40)] + [(i, "spam " * 30 + sentence(rng, 5), None) for i in range(40, 80)] + [(i % 80, sentence(rng, 30), None) for i in range(20)]
+    labels = spark.createDataFrame([(i, int(i < 40)) for i in range(80)], "doc_id long, quality int")
+    models = [op5_quality.train(documents(spark, some), labels) for some in (rows, rows[::-1])]
+    p = [[r["quality_p"] for r in op5_quality.judge(documents(spark, rows), m).orderBy("doc_id", "text").collect()] for m in models]
+    assert p[0] == p[1]
+
+
+def test_clashing_columns_are_replaced(spark):
+    rows = [(1, "Some words: mail a.b@c.org now. Released under the MIT License.", "en")]
+    docs = documents(spark, rows)
+    clash = {c: F.lit("old") for c in ("n_words", "n_hit", "found", "licenses", "kept", "quality_p", "n_tokens", "IDS_SHA256", "spans", "n_email", "fp", "contaminated")}
+    wide = docs.withColumns(clash)
+    bench = spark.createDataFrame([("i", "nothing here")], "item_id string, text string")
+    for out, name in ((op10_pii.find(wide), "spans"), (op4_licenses.scan(wide), "licenses"), (op5_quality.judge(wide, None), "n_words"), (op7_bpe.encode_documents(wide, vocabulary_path()), "ids_sha256"),
+                      (op8_simhash.fingerprints(wide), "fp"), (op3_decontaminate.overlaps(wide, bench), "n_hit")):
+        assert len({c.lower() for c in out.columns}) == len(out.columns)
+        row = out.collect()[0]
+        assert row[name] != "old" and row["source"] == "s"
