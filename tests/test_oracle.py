@@ -24,6 +24,12 @@ def test_twin(spark, sf, con, name):
     assert canonical(got) == canonical(ref)
 
 
+@pytest.mark.parametrize("name", sorted(n for n in entry.load()[0] if n not in TWINS))
+def test_without_twin(spark, sf, name):
+    got = entry.queries()[name](spark, sf)
+    assert got.count() > 0 and len(set(got.columns)) == len(got.columns)
+
+
 def test_names():
     assert set(TWINS) <= set(entry.queries())
 
