@@ -369,6 +369,56 @@ def test_warc_salvage():
         assert sum(n for _, n, *_ in got) == len(buf)  # every byte belongs to a record or a gap
 
 
+def test_warc_members_in_part():
+    """Several records in one member that is cut, damaged, or holds a bad record."""
+    good = [raw_record(b"%d " % i * 400) for i in range(3)]
+    raw = b"".join(good)
+    cut = gzip.compress(raw, 0)[:-200]
+    got = list(op2_warc.salvage(cut + gzip.compress(good[2])))
+    assert [b for _, _, h, b, _ in got if h is not None] == [b"0 " * 400, b"1 " * 400, b"2 " * 400] and sum(n for _, n, *_ in got) == len(cut) + len(gzip.compress(good[2]))
+    whole = gzip.compress(good[0] + good[1].replace(b"1 1", b"1 x", 1) + good[2])
+    got = list(op2_warc.salvage(whole))
+    assert [b for _, _, h, b, _ in got if h is not None] == [b"0 " * 400, b"2 " * 400] and [f for *_, f in got if f] == ["digest"] and sum(n for _, n, *_ in got) == len(whole)
+
+
+def test_warc_fuzz():
+    """Bytes are flipped, cut and put in: no exception, lengths add up, untouched records are found."""
+    rng = random.Random(17)
+    bodies = [bytes(rng.randrange(256) for _ in range(rng.choice([0, 5, 300]))) + b"%d" % i for i in range(12)]
+    for compress in (False, True):
+        parts = [gzip.compress(raw_record(b)) if compress else raw_record(b) for b in bodies]
+        begins = np.cumsum([0] + [len(p) for p in parts])
+        for _ in range(150):
+            buf = bytearray(b"".join(parts))
+            at = rng.randrange(len(buf))
+            size = rng.choice([1, 1, 3, 200])
+            how = rng.choice(["flip", "cut", "put"])
+            if how == "flip":
+                buf[at:at + size] = bytes(rng.randrange(256) for _ in range(min(size, len(buf) - at)))
+            elif how == "cut":
+                del buf[at:at + size]
+            else:
+                buf[at:at] = rng.choice([b"WARC/1.", b"\x1f\x8b\x08", b"\r\n\r\n", b"xyz"])
+            got = list(op2_warc.salvage(bytes(buf)))
+            assert sum(n for _, n, *_ in got) == len(buf)
+            hit = at + (size if how != "put" else 0)
+            safe = [b for b, x, y in zip(bodies, begins[:-1], begins[1:]) if y <= at or x >= hit]
+            seen = [b for _, _, h, b, _ in got if h is not None]
+            assert all(b in seen for b in safe)
+
+
+def test_warc_page_numbers():
+    assert [op2_warc.page_number(x) for x in (None, "", "7", "-3", "1;3", "9" * 19, "9" * 18, "x")] == [None, None, 7, -3, None, None, int("9" * 18), None]
+
+
+def test_warc_large_pages_go_to_their_own_archives(spark, tmp_path):
+    pages = spark.createDataFrame([(i, "u", "x" * n) for i, n in enumerate([10, 70_000, 10, 5_000_000, 65_536, 80_000])], "page_id long, url string, html string").coalesce(1)
+    op2_warc.write(pages, f"file://{tmp_path}/w")
+    back = op2_warc.read(spark, f"file://{tmp_path}/w")
+    assert {r["page_id"]: r["payload_bytes"] for r in back.collect()} == {0: 10, 1: 70_000, 2: 10, 3: 5_000_000, 4: 65_536, 5: 80_000}
+    assert back.select("archive").distinct().count() == 3
+
+
 # -- licenses
 
 def test_license_scan(spark):
