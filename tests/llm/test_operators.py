@@ -555,6 +555,13 @@ def test_html_by_markup():
     assert op6_html.parted("<article></article>")[0] == "" and op6_html.parted("")[0] is None
 
 
+def test_html_articles_are_not_lost_to_a_part_of_a_class():
+    assert op6_html.parted('<article class="post share-alike"><p>Body.</p></article>')[0] == "Body."
+    assert op6_html.parted('<main id="share-main">Text</main>')[0] == "Text"
+    assert op6_html.parted('<article>Kept <article class="thread comment">Reader</article></article>')[0] == "Kept"
+    assert op6_html.parted('<article hidden>x</article><article>y</article>')[0] == "y"
+
+
 def test_html_suffix_array(spark):
     rng = random.Random(6)
     boiler = "all of these words stand on every page of this one host"
