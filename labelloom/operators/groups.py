@@ -3,7 +3,8 @@
 A group is light while it has at most ``light`` members on either side; the pairs of light groups are formed by an equi-join and counted on the map side: at most ``light``
 rows for each membership. Pairs of heavy groups are never formed. For pairs that a light group has brought up, the heavy share is the overlap of two short
 lists. That gives each target a k-th best value so far, and only targets whose heavy groups could still beat it go on: to tiles in which sets of heavy groups are
-compared as bitmaps, where targets and labels with equal heavy groups are one row.
+compared as bitmaps, where targets and labels with equal heavy groups are one row. Heavy groups are numbered, and a set goes to its tiles
+as packed pieces, at most two bytes for each group: no tile holds the names of groups, and tiles are bounded by the bytes of their sets.
 """
 from __future__ import annotations
 
@@ -15,7 +16,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.text import words
 from ..session import cut_lineage
-from .tiles import DIGITS, best_k, chunks, matrix, nested, shared_counts, tiled
+from .tiles import DIGITS, PIECE, TILE_BYTES, best_k, chunks, matrix, nested, pack_pieces, packed_counts, tiled
 
 #: Members up to which a group's pairs are formed.
 LIGHT = 32
@@ -35,6 +36,7 @@ class Split:
         degree = sizes(left) if left is right else sizes(left).unionByName(sizes(right)).groupBy("g").agg(F.max("n").alias("n"))
         self.heavy = cut_lineage(degree.select("g", (F.col("n") > light).alias("h")))
         self.n_heavy, self.n_light = self.heavy.agg(F.count_if("h"), F.count_if(~F.col("h"))).first()
+        self.numbers = cut_lineage(self.heavy.where("h").select("g", F.monotonically_increasing_id().alias("no"))) if self.n_heavy else None
 
     def members(self, df: DataFrame) -> DataFrame:
         """(id, g) of light groups."""
@@ -50,12 +52,34 @@ class Split:
                .groupBy("id").agg(F.array_sort(F.collect_list("g")).alias("_heavy")))
         return df.join(own, "id", "left").withColumn("groups", F.coalesce("_heavy", F.slice("groups", F.lit(1), F.lit(0)))).drop("_heavy")
 
+    def packed(self, df: DataFrame) -> DataFrame:
+        """``df`` with its heavy groups as packed pieces in place of all groups, and their number ``size``; rows without any are left out."""
+        kind = df.schema["id"].dataType.simpleString()
+        pieces = (df.select("id", F.explode("groups").alias("g")).join(self.numbers, "g")
+                  .groupBy("id", F.floor(F.col("no") / PIECE).alias("block")).agg(F.collect_list(F.pmod("no", F.lit(PIECE)).cast("int")).alias("items")))
+
+        def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                items = batch.column("items")
+                yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("block"), pack_pieces(items), items.value_lengths().cast(pa.int64())],
+                                                 names=["id", "block", "items", "n"])
+
+        sets = (pieces.mapInArrow(pack, f"id {kind}, block bigint, items binary, n bigint").groupBy("id")
+                .agg(F.array_sort(F.collect_list(F.struct("block", "items"))).alias("groups"), F.sum("n").alias("size")))
+        return df.drop("groups").join(sets, "id")
+
     def pairs(self) -> DataFrame:
         """(id, label, n): pairs that share n light groups, one at least."""
         l, r = self.members(self.left), self.members(self.right)
         return l.join(r.select("g", F.col("id").alias("label")), "g").groupBy("id", "label").agg(F.count(F.lit(1)).alias("n"))
 
 
+def _tile_rows(df: DataFrame, tile_rows: int) -> int:
+    """Rows of a tile, bounded by the bytes of their sets on average: ids are hashed."""
+    each = df.agg(F.avg(F.aggregate("groups", F.lit(0).cast("long"), lambda n, x: n + F.length(x["items"]) + 16))).first()[0] or 1
+    return max(1, min(tile_rows, int(TILE_BYTES // each)))
+
+
 def _sets(df: DataFrame, key: str, groups: str, *keep: str) -> DataFrame:
     return df.select(F.col(key).alias("id"), F.array_distinct(groups).alias("groups"), *keep).where(F.size("groups") > 0)
 
@@ -76,20 +100,22 @@ def cooccurring_by_group(targets: DataFrame, skills: DataFrame, min_shared: int
     left = cut_lineage(_sets(targets, "label", "occupations"))
     right = left if targets is skills else cut_lineage(_sets(skills, "label", "occupations"))
     split = Split(left, right, light)
-    parts = []
-    rest = split.with_heavy(left).withColumn("limit", F.lit(float(least)))
+    parts, limits = [], None
     if split.n_light:
         heavy = (lambda df, name: split.with_heavy(df).select(F.col("id").alias(name), F.col("groups").alias(f"_{name}")))
         found = (split.pairs().where("id <> label").join(heavy(left, "id"), "id").join(heavy(right, "label"), "label")
                  .select("id", "label", (F.col("n") + F.size(F.array_intersect("_id", "_label"))).alias("shared")).where(F.col("shared") >= least))
         found = cut_lineage(found)
         parts.append(found)
-        rest = rest.drop("limit").join(_limit(found, "shared", k), "id", "left").withColumn("limit", F.greatest(F.coalesce("limit", F.lit(0.0)), F.lit(float(least))))
+        limits = _limit(found, "shared", k)
     if split.n_heavy:
         key = F.md5(F.to_json("groups"))
-        reach = rest.where(F.size("groups") >= F.col("limit")).withColumn("key", key)
+        sets = cut_lineage(split.packed(left).withColumn("key", key))
+        rest = sets.withColumn("limit", F.lit(float(least))) if limits is None else sets.join(limits, "id", "left").withColumn(
+            "limit", F.greatest(F.coalesce("limit", F.lit(0.0)), F.lit(float(least))))
+        reach = rest.where(F.col("size") >= F.col("limit"))
         ours = reach.groupBy("key").agg(F.first("groups").alias("groups"), F.min("limit").alias("limit"))
-        theirs = split.with_heavy(right).where(F.size("groups") > 0).withColumn("key", key)
+        theirs = sets if right is left else split.packed(right).withColumn("key", key)
         w = Window.partitionBy("key").orderBy("id")
         theirs = (theirs.withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= k + 1)
                   .groupBy("key").agg(F.first("groups").alias("groups"), F.collect_list("id").alias("labels")))
@@ -101,7 +127,7 @@ def cooccurring_by_group(targets: DataFrame, skills: DataFrame, min_shared: int
             order = np.argsort(flat, kind="stable")
             owner = np.repeat(np.arange(len(r)), [len(x) for x in names])[order]
             if len(l) and len(flat):
-                count, limit = shared_counts(l["groups"], r["groups"]), np.asarray(l["limit"])
+                count, limit = packed_counts(l["groups"], r["groups"]), np.asarray(l["limit"])
                 for part in chunks(len(l), len(flat)):
                     s = count(part)
                     s[s < limit[part][:, None]] = -np.inf
@@ -111,7 +137,7 @@ def cooccurring_by_group(targets: DataFrame, skills: DataFrame, min_shared: int
             return pa.table({"key": l["key"].take(pa.array(np.concatenate(rows))), "label": pa.array(flat[np.concatenate(cols)], pa.string()), "shared": pa.array(np.concatenate(n))})
 
         ours, theirs = cut_lineage(ours), cut_lineage(theirs)
-        best = tiled(ours, "key", theirs, "key", kernel, "key string, label string, shared bigint", tile_rows)
+        best = tiled(ours, "key", theirs, "key", kernel, "key string, label string, shared bigint", min(_tile_rows(ours, tile_rows), _tile_rows(theirs, tile_rows)))
         w = Window.partitionBy("key").orderBy(F.desc("shared"), "label")
         best = best.withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= k + 1)
         parts.append(reach.select("id", "key").join(best, "key").where("id <> label").select("id", "label", "shared"))
@@ -166,8 +192,7 @@ def group_hard_negatives(targets: DataFrame, skills: DataFrame, covered: DataFra
     right = cut_lineage(docs)
     id_type = left.schema["id"].dataType.simpleString()
     parts = Split(left.select("id", "groups"), right.select("id", "groups"), light)
-    found = None
-    rest = parts.with_heavy(left).withColumn("limit", F.lit(float("-inf")))
+    found = limits = None
     if parts.n_light:
         theirs = parts.with_heavy(right).select(F.col("id").alias("label"), F.col("groups").alias("_g"), F.col("words").alias("_w"), "covered", *vector)
         pairs = parts.pairs().join(parts.with_heavy(left), "id").join(theirs, "label").where(~F.array_contains("positives", F.col("label")))
@@ -190,14 +215,14 @@ def group_hard_negatives(targets: DataFrame, skills: DataFrame, covered: DataFra
                 yield pa.RecordBatch.from_arrays([batch.column("id").filter(kept), batch.column("label").filter(kept), pa.array(s).filter(kept)], names=["id", "label", "score"])
 
         found = cut_lineage(pairs.mapInArrow(judge, f"id {id_type}, label string, score double"))
-        rest = rest.drop("limit").join(_limit(found, "score", n), "id", "left").withColumn("limit", F.coalesce("limit", F.lit(float("-inf"))))
+        limits = _limit(found, "score", n)
     out = found
     if parts.n_heavy:
-        reach = rest.where((F.size("groups") > 0) & (SHARED_WEIGHT * F.size("groups") + BESIDE >= F.col("limit")))
-        reach = reach.select("id", "positives", "words", "groups", "limit", *(["pv"] if use_vectors else []))
-        docs = parts.with_heavy(right).where(F.size("groups") > 0).withColumnRenamed("id", "label")
-        if parts.n_light:
-            reach, docs = cut_lineage(reach), cut_lineage(docs)
+        lowest, rest = F.lit(float("-inf")), parts.packed(left)
+        rest = rest.withColumn("limit", lowest) if limits is None else rest.join(limits, "id", "left").withColumn("limit", F.coalesce("limit", lowest))
+        reach = cut_lineage(rest.where(SHARED_WEIGHT * F.col("size") + BESIDE >= F.col("limit"))
+                            .select("id", "positives", "words", "groups", "limit", *(["pv"] if use_vectors else [])))
+        docs = cut_lineage(parts.packed(right).drop("size").withColumnRenamed("id", "label"))
 
         def kernel(l: pa.Table, r: pa.Table) -> pa.Table:
             rows, cols, sc = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0)]
@@ -207,7 +232,7 @@ def group_hard_negatives(targets: DataFrame, skills: DataFrame, covered: DataFra
                 ours, theirs = nested(l, "words"), [set(x) for x in nested(r, "words")]
                 n_theirs, is_covered = np.array([len(x) for x in theirs]), np.asarray(r["covered"])
                 limit, own = np.asarray(l["limit"]), nested(l, "positives")
-                occ = shared_counts(l["groups"], r["groups"])
+                occ = packed_counts(l["groups"], r["groups"])
                 vectors, flat = (matrix(r, "vector"), l["pv"]) if use_vectors else (None, None)
 
                 def scores(i: int, some: np.ndarray, o: np.ndarray) -> np.ndarray:
@@ -235,7 +260,8 @@ def group_hard_negatives(targets: DataFrame, skills: DataFrame, covered: DataFra
             return pa.table({"id": l["id"].take(pa.array(np.concatenate(rows))),
                              "label": r["label"].take(pa.array(np.concatenate(cols))), "score": pa.array(np.concatenate(sc))})
 
-        heavy = tiled(reach, "id", docs, "label", kernel, f"id {id_type}, label string, score double", tile_rows, None if parts.n_light else (left.count(), right.count()))
+        heavy = tiled(reach, "id", docs, "label", kernel, f"id {id_type}, label string, score double",
+                      min(_tile_rows(reach, tile_rows), _tile_rows(docs, tile_rows)))
         out = heavy if found is None else found.unionByName(heavy).groupBy("id", "label").agg(F.max("score").alias("score"))
     if out is None:
         out = left.select("id", F.lit("").alias("label"), F.lit(0.0).alias("score")).limit(0)

@@ -2,10 +2,11 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from labelloom.operators import groups
-from labelloom.operators.tiles import shared_counts
+from labelloom.operators.tiles import PIECE, pack_pieces, packed_counts, shared_counts
 
 
 def relation(seed, labels=60):
@@ -81,3 +82,28 @@ def test_empty(spark):
     assert groups.cooccurring_by_group(some, none).count() == 0
     targets = spark.createDataFrame([(1, ["a"])], "target_id long, positives array<string>")
     assert groups.group_hard_negatives(targets, some, some.select("label")).count() == 0
+
+
+def test_packed_counts():
+    rng = random.Random(2)
+    sets = [[rng.sample(range(13_000), rng.choice([0, 1, 40, 3_000, 9_000])) for _ in range(n)] for n in (23, 31)]
+
+    def column(rows):
+        pieces = [{x // PIECE: [y % PIECE for y in row if y // PIECE == x // PIECE] for x in {z - z % PIECE for z in row}} for row in rows]
+        packed = [[{"block": k, "items": pack_pieces(pa.array([v], pa.list_(pa.int32())))[0].as_py()} for k, v in p.items()] for p in pieces]
+        return pa.array(packed, pa.list_(pa.struct([("block", pa.int64()), ("items", pa.binary())])))
+
+    a, b = map(column, sets)
+    assert max(len(x["items"]) for row in a.to_pylist() for x in row) == PIECE // 8
+    count = packed_counts(a, b)
+    assert (np.vstack([count(slice(0, 9)), count(slice(9, 23))]) == [[len(set(x) & set(y)) for y in sets[1]] for x in sets[0]]).all()
+
+
+def test_sets_of_many_groups_are_packed(spark):
+    """No names of groups go to the tiles: a set of 20,000 groups takes some KB there."""
+    df = spark.createDataFrame([(f"l{i}", [f"occupation {i % 2}{g}" for g in range(20_000)]) for i in range(4)], "id string, groups array<string>")
+    split = groups.Split(df, df, 1)
+    rows = split.packed(df).collect()
+    assert [r["size"] for r in rows] == [20_000] * 4 and len({str(r.groups) for r in rows}) == 2
+    assert max(sum(len(p["items"]) for p in r.groups) for r in rows) <= 40_000 < sum(map(len, df.first().groups))
+    assert groups._tile_rows(split.packed(df), 1_000_000) < 1_000_000
