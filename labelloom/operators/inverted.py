@@ -28,6 +28,8 @@ from .tiles import matrix
 MOST_CELLS, FIT_ROWS = 4096, 64
 #: Scores are rounded to 9 digits, so a bound may be off by as much.
 SLACK = 2e-9
+#: Standard errors by which a recall measured on drawn queries must exceed the wanted one.
+MARGIN = 3
 
 
 def _nearest(m: np.ndarray, centroids: np.ndarray) -> np.ndarray:
@@ -202,7 +204,9 @@ class InvertedFile:
         return out.withColumn("share", F.col("rows") / F.lit(max(1, int(self.cells.sizes.sum()))))
 
     def probes_for(self, queries: DataFrame, k: int = 30, recall: float = 0.9, check: int = 200, exclude_same: bool = False, query_id: str = "query_id", seed: int = 42) -> tuple[int, float]:
-        """(probes, measured recall): the fewest cells that hold ``recall`` of the true k nearest of ``check`` drawn queries, found by brute force over the whole corpus."""
+        """(probes, measured recall): the fewest cells that hold ``recall`` of the true k nearest of ``check`` drawn queries, found by brute force over the whole corpus.
+
+        Where not all queries are drawn, the measured recall must exceed ``recall`` by MARGIN standard errors, so that it holds for all of them too."""
         q = queries.select(F.col(query_id).alias("query_id"), "vector").where("vector is not null")
         drawn = cut_lineage(q.orderBy(hash_order(seed, F.col("query_id")), "query_id").limit(check))
         true = topk_similar(drawn, self.members, k, self.normalise, exclude_same, tile_rows=self.tile_rows)
@@ -213,11 +217,18 @@ class InvertedFile:
             for batch in batches:
                 if len(batch):
                     place = np.argsort(table.order(_vectors(batch.column("vector"), normalise)), axis=1)
-                    yield pa.RecordBatch.from_pydict({"place": pa.array(np.concatenate([place[i, c] for i, c in enumerate(batch.column("cells").to_pylist())]))})
+                    found = [sorted(place[i, c].tolist()) for i, c in enumerate(batch.column("cells").to_pylist())]
+                    yield pa.RecordBatch.from_pydict({"places": pa.array(found, pa.list_(pa.int64()))})
 
-        counts = {r[0]: r[1] for r in drawn.join(cells, "query_id").mapInArrow(places, "place long").groupBy("place").count().collect()}
-        found = np.cumsum([counts.get(i, 0) for i in range(len(self.cells))])
-        if not found[-1]:
+        found = [r[0] for r in drawn.join(cells, "query_id").mapInArrow(places, "places array<long>").collect()]  # at most ``check`` rows of k places
+        if not found:
             return 1, 1.0
-        probes = int(np.searchsorted(found, recall * found[-1] - 1e-9)) + 1
-        return probes, float(found[probes - 1] / found[-1])
+        # hits of each drawn query within so many cells
+        hits = np.array([np.cumsum(np.bincount(x, minlength=len(self.cells))) for x in found], dtype=float)
+        got, sizes = hits.sum(axis=0) / hits[:, -1].sum(), hits[:, -1]
+        error = np.zeros(len(got))
+        if q.count() > len(found) > 1:
+            # recall is a ratio of sums over drawn queries: its deviation from that over all queries
+            error = np.sqrt(((hits - got * sizes[:, None]) ** 2).sum(axis=0) / (len(found) - 1) / len(found)) / sizes.mean()
+        probes = int(np.argmax(got - MARGIN * error >= recall - 1e-9)) + 1 if (got - MARGIN * error >= recall - 1e-9).any() else len(self.cells)
+        return probes, float(got[probes - 1])

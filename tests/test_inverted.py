@@ -84,3 +84,14 @@ def test_empty(spark):
     some = inverted.InvertedFile(spark.createDataFrame([(5, [1.0, 2.0])], SCHEMA))
     assert some.topk(queries.limit(0), 3).count() == 0 and some.topk(queries, 3).count() == 1
     assert some.probes_for(queries.limit(0)) == (1, 1.0)
+
+
+def test_recall_holds_for_all_queries(spark):
+    """A recall that just holds for 20 drawn queries (these: 9 cells) is 0.894 over all of them."""
+    m = np.random.default_rng(5).normal(size=(3000, 12))
+    df = spark.createDataFrame([(i, m[i].tolist()) for i in range(3000)], "id long, vector array<double>")
+    true = similarity.topk_similar(df, df, 10, exclude_same=True, query_id="id", corpus_id="id").select("query_id", "corpus_id")
+    file = inverted.InvertedFile(df, "id")
+    probes, _ = file.probes_for(df, 10, 0.9, check=20, exclude_same=True, query_id="id", seed=3)
+    found = file.topk(df, 10, exclude_same=True, query_id="id", probes=probes, exact=False).select("query_id", "corpus_id")
+    assert found.join(true, ["query_id", "corpus_id"]).count() >= 0.9 * 30_000
