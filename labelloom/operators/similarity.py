@@ -21,7 +21,7 @@ from ..functions.text import skill_text, strip, words
 from ..functions.vectors import as_double, cosine, dot, norm
 from ..session import cut_lineage
 from .groups import cooccurring_by_group, group_hard_negatives  # noqa: F401
-from .tiles import DIGITS, best_k, chunks, matrix, nested, tiled
+from .tiles import DIGITS, TILE_ROWS, best_k, chunks, matrix, nested, tiled
 
 # --- fixed values -----------------------------------------------------------------------------
 DEFAULT_MAX_POSITIVE, DEFAULT_MIN_QUERY = 0.7, 0.4
@@ -228,7 +228,7 @@ def first_k(local: DataFrame, k: int) -> DataFrame:
 
 def topk_similar(queries: DataFrame, corpus: DataFrame, k: int = 30, normalise: bool = True,
                  exclude_same: bool = False, query_id: str = "query_id", corpus_id: str = "corpus_id",
-                 tile_rows: int = 8192) -> DataFrame:
+                 tile_rows: int = TILE_ROWS) -> DataFrame:
     """Exact k nearest corpus items of each query by cosine: (query_id, corpus_id, score, rank).
 
     Each tile returns at most k rows per query, a window with a group limit merges them. All pairs of tiles are multiplied; a corpus that is

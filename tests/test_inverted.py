@@ -95,3 +95,13 @@ def test_recall_holds_for_all_queries(spark):
     probes, _ = file.probes_for(df, 10, 0.9, check=20, exclude_same=True, query_id="id", seed=3)
     found = file.topk(df, 10, exclude_same=True, query_id="id", probes=probes, exact=False).select("query_id", "corpus_id")
     assert found.join(true, ["query_id", "corpus_id"]).count() >= 0.9 * 30_000
+
+
+def test_tiles_of_vectors_grow_to_their_bytes():
+    """360,000 vectors make 36 pairs of tiles; with tiles of 8,192 rows each vector was sent 44 times."""
+    from inspect import signature
+
+    from labelloom.operators import tiles
+    rows = signature(similarity.topk_similar).parameters["tile_rows"].default
+    assert tiles.grid(360_000, 360_000, rows, 12) == (6, 6)
+    assert rows * 64 * 8 <= tiles.TILE_BYTES
