@@ -10,7 +10,7 @@ from ..operators.balance import negative_pool_size
 from ..operators.similarity import group_hard_negatives
 from ..plans.compress import compress_or_split
 from ..plans.new_labels import new_label_samples
-from ..session import scratch_dir
+from ..session import cut_lineage, scratch_dir
 from ..sources import tables as t
 from .base import joined, query
 from .relations import occupation_lists
@@ -308,7 +308,8 @@ def i17(spark, d):
 
 @query("i17_new_label_requests_multi")
 def i17b(spark, d):
-    docs = t.v_doc(spark, d)
+    """The label documents are kept once: companions, negatives and requests would else each build all lists of occupations again."""
+    docs = cut_lineage(t.v_doc(spark, d))
     lists = docs.select("label", "occupations")
     from ..operators.similarity import cooccurring_by_group
     pool = group_hard_negatives(lists.select(F.col("label").alias("target_id"), F.array("label").alias("positives")), lists, lists.where("label < 'm'"), negative_pool_size(2))

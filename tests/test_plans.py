@@ -23,3 +23,8 @@ def test_scan_is_pruned(spark, sf):
 def test_classification_has_no_shuffle(spark, sf):
     p = plan(entry.queries()["f5_classify_rules"](spark, sf))
     assert "Exchange" not in p and "Join" not in p
+
+
+def test_label_documents_are_built_once(spark, sf):
+    """Requests with companions and negatives read kept label documents, not the lines again."""
+    assert "FileScan" not in plan(entry.queries()["i17_new_label_requests_multi"](spark, sf))
