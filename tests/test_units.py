@@ -178,6 +178,26 @@ def test_fuzzy_matches_difflib(spark):
         assert got[t] == ("real" if best >= 0.95 else "synthetic")
 
 
+def test_fuzzy_compares_few_pairs():
+    """Long texts of the same words: nearly equal counts of characters, but hardly a pair that needs matching; verdicts as difflib's, with its junk rule for long texts."""
+    rng = random.Random(3)
+    words = ["".join(rng.choice("abcdefghijklmnopäöüßéè") for _ in range(rng.randint(2, 9))) for _ in range(300)] + [chr(0x400 + i) for i in range(60)]
+    base = [" ".join(rng.choice(words) for _ in range(150)) for _ in range(30)]
+    texts = [" ".join(rng.choice(words) for _ in range(150)) for _ in range(20)] + [b[:50] + "Q" + b[55:] for b in base[:4]] + [b[200:] + b[:200] for b in base[:4]]
+    texts += [" ".join(w if rng.random() < 0.95 else rng.choice(words) for w in b.split(" ")) for b in base[:20]]
+    found = fuzzy.candidates(texts, base, 0.95)
+    assert sum(map(len, found)) <= 2 * len(texts)
+    verdicts = set()
+    for threshold in (0.5, 0.9, 0.95, 1):
+        near = fuzzy.candidates(texts, base, threshold)
+        for i, t in enumerate(texts):
+            for j in sorted({*range(0, len(base), 7), i % len(base), (i - 20) % len(base), (i - 28) % len(base)}):
+                want = SequenceMatcher(None, t, base[j]).ratio() >= threshold
+                verdicts.add(want)
+                assert fuzzy.reaches(t, base[j], threshold) == want and (not want or j in near[i] and fuzzy.in_place(t, base[j], threshold))
+    assert verdicts == {True, False}
+
+
 # --- vectors --------------------------------------------------------------------------------------
 
 def vectors(spark, n, dim=8, seed=0, ties=True):
