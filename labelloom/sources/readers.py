@@ -9,6 +9,7 @@ from __future__ import annotations
 import csv
 import io
 import json
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from urllib.parse import unquote
@@ -111,6 +112,11 @@ def _format(text: str) -> str:
         return "object" if line.startswith("{") else "jsonl"
 
 
+def _plain(file: str) -> str:
+    """One form for the names that Spark gives a file: its listing says file:///x where its rows say file:/x."""
+    return re.sub(r"^([A-Za-z][A-Za-z0-9+.-]*):///(?!/)", r"\1:/", unquote(file))
+
+
 def file_formats(spark: SparkSession, path, **options) -> dict[str, str]:
     """File -> array, object (over several lines) or jsonl, from the first characters of each file; empty files are left out.
 
@@ -132,16 +138,18 @@ def file_formats(spark: SparkSession, path, **options) -> dict[str, str]:
 
     out: dict[str, str] = {}
     asked = ranges.pieces(spark, path, "}", **options)
-    left = set(asked.inputFiles())
+    left = {_plain(f) for f in asked.inputFiles()}
     while left:
         rows = asked.mapInArrow(probe, "file string, fmt string, seen boolean").collect()
         out.update({r.file: r.fmt for r in rows if r.fmt})
-        seen = {r.file for r in rows}
-        if not seen & left:  # what is left has no bytes
+        seen = {_plain(r.file) for r in rows}
+        if not seen:  # what is left has no bytes
             break
+        if not seen <= left:
+            raise ValueError(f"files that were not listed: {sorted(seen - left)[:3]}")
         left -= seen
         if left:
-            asked = ranges.pieces(spark, [unquote(f) for f in sorted(left)], "}")
+            asked = ranges.pieces(spark, sorted(left), "}")
     return out
 
 

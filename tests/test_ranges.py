@@ -6,6 +6,8 @@ import random
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from labelloom.sources import ranges, readers
 
 
@@ -98,3 +100,20 @@ def test_csv_edges(spark, tmp_path):
     assert readers.read_csv(spark, str(tmp_path / "b.csv")).count() == 0
     (tmp_path / "c.csv").write_text("label,x\n")
     assert readers.read_csv(spark, str(tmp_path / "c.csv")).columns == ["row_no", "label", "x"] and readers.read_csv(spark, str(tmp_path / "c.csv")).count() == 0
+
+
+def test_no_file_is_left_out_behind_others(spark, tmp_path, monkeypatch):
+    """A task that stops at the first file it has looked into leaves those behind it to further rounds; equal contents are still numbered."""
+    monkeypatch.setattr(readers, "PROBE_PIECES", 1)
+    line = F.concat(F.lit('{"query":"'), (F.col("id") % 1990).cast("string"), F.lit('","pos":[],"neg":[]}'))
+    path = str(tmp_path / "many files")
+    spark.range(2000).select(line.alias("value")).repartition(40).write.text(path)
+    (tmp_path / "many files" / "part-empty.txt").write_text("")
+    batch = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "25")
+    try:
+        assert len(readers.file_formats(spark, path)) == 40
+        rows = readers.read_samples(spark, path).rows
+        assert (rows.count(), rows.select("sample_id").distinct().count()) == (2000, 2000)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
