@@ -23,6 +23,7 @@ from ..functions.arrays import or_empty
 from ..functions.payloads import parse_occupations
 from ..functions.ranking import running_before
 from ..functions.text import strip
+from ..session import cut_lineage
 from . import ranges
 
 BAD = "_bad"
@@ -54,12 +55,15 @@ def parse_meta(c: Column) -> Column:
 def _samples(raw: DataFrame) -> Loaded:
     bad = raw.where(F.col(BAD).isNotNull()).select("row_no", F.col(BAD).alias("record"))
     good = raw.where(F.col(BAD).isNull()).withColumn("_content", F.md5(F.to_json(F.struct("query", "pos", "neg", "meta"))))
-    # equal contents are numbered in file order; only those that occur more than once are moved for it
-    several = good.groupBy("_content").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).select("_content")
-    again = good.join(several, "_content", "left_semi").select("_content", "row_no")
-    again = running_before(again, ["_content"], F.struct("row_no.file", "row_no.block"), [F.col("row_no.seq")], {"_before": F.lit(1).cast("long")}, once=False)
-    again = again.select("row_no", "_before")
-    good = good.join(again.withColumnRenamed("row_no", "_at"), F.col("row_no") == F.col("_at"), "left")
+    # equal contents are numbered in file order; only those that occur more than once are moved for it, so without any nothing is joined
+    several = cut_lineage(good.groupBy("_content").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).select("_content"))
+    if several.isEmpty():
+        good = good.withColumn("_before", F.lit(0).cast("long"))
+    else:
+        again = good.join(several, "_content", "left_semi").select("_content", "row_no")
+        again = running_before(again, ["_content"], F.struct("row_no.file", "row_no.block"), [F.col("row_no.seq")], {"_before": F.lit(1).cast("long")}, once=False)
+        again = again.select("row_no", "_before")
+        good = good.join(again.withColumnRenamed("row_no", "_at"), F.col("row_no") == F.col("_at"), "left")
     good = good.select(
         F.md5(F.concat_ws("#", "_content", F.coalesce("_before", F.lit(0).cast("long")))).alias("sample_id"), "row_no", "query", "pos", "neg", parse_meta(F.col("meta")).alias("meta"))
     return Loaded(good, bad)
@@ -160,7 +164,7 @@ def read_samples(spark: SparkSession, path, fmt: str = "auto", variant: str | No
     """
     bases = {"array": 1, "object": 0}
     if fmt != "auto":
-        loaded = _samples(_json_objects(spark, path, bases[fmt], **options) if fmt in bases else _json(spark, path, **options))
+        raw = _json_objects(spark, path, bases[fmt], **options) if fmt in bases else _json(spark, path, **options)
     else:
         kinds = file_formats(spark, path, **options)
         if variant == "gen" and "object" in kinds.values():
@@ -174,10 +178,9 @@ def read_samples(spark: SparkSession, path, fmt: str = "auto", variant: str | No
         raw = parts[0]
         for more in parts[1:]:
             raw = raw.unionByName(more)
-        loaded = _samples(raw)
-    if loaded.rows.where("query is not null or pos is not null or neg is not null").isEmpty():
+    if raw.where(F.col(BAD).isNull()).where("query is not null or pos is not null or neg is not null").isEmpty():
         raise ValueError(f"no samples in {path}")
-    return loaded
+    return _samples(raw)
 
 
 def read_directories(spark: SparkSession, paths: list[str]) -> Loaded:

@@ -117,3 +117,11 @@ def test_no_file_is_left_out_behind_others(spark, tmp_path, monkeypatch):
         assert (rows.count(), rows.select("sample_id").distinct().count()) == (2000, 2000)
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+
+
+def test_different_contents_are_not_joined(spark, tmp_path):
+    """Without equal contents nothing is shuffled to number them."""
+    path = str(tmp_path / "x")
+    spark.range(50).select(F.col("id").cast("string").alias("query"), F.array().cast("array<string>").alias("pos")).write.json(path)
+    plan = readers.read_samples(spark, path).rows._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Exchange" not in plan
