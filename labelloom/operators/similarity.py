@@ -25,6 +25,7 @@ from .tiles import DIGITS, TILE_ROWS, best_k, chunks, matrix, nested, tiled
 
 # --- fixed values -----------------------------------------------------------------------------
 DEFAULT_MAX_POSITIVE, DEFAULT_MIN_QUERY = 0.7, 0.4
+EMBED_ROWS = 512
 # ----------------------------------------------------------------------------------------------
 
 
@@ -39,19 +40,23 @@ def embed(df: DataFrame, text_col: str, encoder: Callable[[], Callable[[list[str
     """Text -> vector. ``encoder()`` loads the model once per Python worker and returns texts -> matrix."""
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields] + [f"`{out}` array<float>"])
 
+    step = max(1, EMBED_ROWS // batch) * batch  # rows whose texts are Python strings at a time
+
     def run(batches):
         model = None
-        for pdf in batches:
-            if model is None:
-                model = encoder()
-            parts = [np.asarray(model(list(pdf[text_col][i:i + batch])), dtype=np.float64) for i in range(0, len(pdf), batch)]
-            m = np.vstack(parts) if parts else np.zeros((0, 0))
-            if normalise and len(m):
-                n = np.linalg.norm(m, axis=1, keepdims=True)
-                m = np.divide(m, n, out=m.copy(), where=n > 0)
-            yield pdf.assign(**{out: [v.astype(np.float32) for v in m]})
-
-    return df.mapInPandas(run, schema)
+        for whole in batches:
+            for low in range(0, len(whole), step):
+                rows = whole.slice(low, step)
+                if model is None:
+                    model = encoder()
+                texts = rows.column(rows.schema.get_field_index(text_col)).to_pylist()
+                m = np.vstack([np.asarray(model(texts[i:i + batch]), dtype=np.float64) for i in range(0, len(texts), batch)])
+                if normalise:
+                    n = np.linalg.norm(m, axis=1, keepdims=True)
+                    m = np.divide(m, n, out=m.copy(), where=n > 0)
+                yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(list(m.astype(np.float32)), pa.list_(pa.float32()))], names=[*rows.schema.names, out])
+
+    return df.mapInArrow(run, schema)
 
 
 def hashing_embed(df: DataFrame, text_col: str, dim: int = 64, out: str = "vector") -> DataFrame:

@@ -198,6 +198,15 @@ def test_fuzzy_compares_few_pairs():
     assert verdicts == {True, False}
 
 
+def test_embed_turns_few_texts_into_strings(spark):
+    """A batch is handed on in parts, each with its own vectors; nulls reach the encoder."""
+    df = spark.range(3000).coalesce(1).select("id", F.when(F.col("id") % 7 > 0, F.col("id").cast("string")).alias("text"))
+    encoder = (lambda: lambda texts: np.array([[len(texts) <= 40, 0.0 if t is None else int(t)] for t in texts]))
+    got = sim.embed(df, "text", encoder, batch=40, normalise=False)
+    assert "MapInArrow" in got._jdf.queryExecution().executedPlan().toString()
+    assert {r.id: list(r.vector) for r in got.collect()} == {i: [1.0, float(i if i % 7 else 0)] for i in range(3000)}
+
+
 # --- vectors --------------------------------------------------------------------------------------
 
 def vectors(spark, n, dim=8, seed=0, ties=True):
