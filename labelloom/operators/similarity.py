@@ -5,6 +5,8 @@ in different engines cannot change a ranking; ties are broken by id.
 """
 from __future__ import annotations
 
+import bisect
+import math
 import os
 import uuid
 from collections.abc import Callable
@@ -12,6 +14,7 @@ from collections.abc import Callable
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..functions.arrays import or_empty
@@ -21,7 +24,7 @@ from ..functions.text import skill_text, strip, words
 from ..functions.vectors import as_double, cosine, dot, norm
 from ..session import cut_lineage
 from .groups import cooccurring_by_group, group_hard_negatives  # noqa: F401
-from .tiles import DIGITS, TILE_ROWS, best_k, chunks, matrix, nested, tiled
+from .tiles import CHUNK_CELLS, DIGITS, TILE_BYTES, TILE_ROWS, best_rounded, chunks, matrix, near, nested, tiled
 
 # --- fixed values -----------------------------------------------------------------------------
 DEFAULT_MAX_POSITIVE, DEFAULT_MIN_QUERY = 0.7, 0.4
@@ -211,12 +214,12 @@ def topk_kernel(k: int, normalise: bool = True, exclude_same: bool = False) -> C
             column = {x: i for i, x in enumerate(r["corpus_id"].to_pylist())} if exclude_same else {}
             ids = l["query_id"].to_pylist() if exclude_same else []
             for part in chunks(len(l), len(r)):
-                s = np.round(q[part] @ c.T, DIGITS)
+                s = q[part] @ c.T
                 for i, x in enumerate(ids[part]) if exclude_same else ():
                     if x in column:
                         s[i, column[x]] = -np.inf
-                rows, cols = best_k(s, k)
-                out_q.append(rows + part.start), out_c.append(cols), out_s.append(s[rows, cols])
+                rows, cols, scores = best_rounded(s, k)
+                out_q.append(rows + part.start), out_c.append(cols), out_s.append(scores)
         cat = (lambda p: np.concatenate(p) if p else np.empty(0, np.int64))
         return pa.table({"query_id": l["query_id"].take(pa.array(cat(out_q), pa.int64())),
                          "corpus_id": r["corpus_id"].take(pa.array(cat(out_c), pa.int64())),
@@ -512,69 +515,108 @@ def novelty(skills: DataFrame, covered: DataFrame, sample: int | None = 30, seed
 # --- negatives ----------------------------------------------------------------------------------
 
 #: Skipped labels of a sample that a tile hands on one by one; samples with more are counted in a second pass.
-SKIPPED = 64
+SKIPPED = 8
+
+
+def _runs(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """start, start + 1, ... of each run, one run after the other."""
+    return np.repeat(starts - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
+
+
+def _walk(l: pa.Table, r: pa.Table, max_pos_sim: float):
+    """(rows, scores, close, which, used) for blocks of the left tile; columns are the right tile's labels in order.
+
+    Rows with equal positives stand together: ``close`` says for each different list of positives which labels are too similar to one of them, ``which`` is the
+    list of each row. ``used`` are the (rows, columns) of labels that the samples have. Scores are not rounded.
+    """
+    q, c = matrix(l, "vector"), matrix(r, "vector")
+    lists = l["pv"].combine_chunks()
+    bounds, flat = np.asarray(lists.offsets), np.asarray(lists.values)
+    numbers: dict[bytes, int] = {}
+    of = np.array([numbers.setdefault(flat[a:b].tobytes(), len(numbers)) for a, b in zip(bounds[:-1], bounds[1:])], np.int64)
+    some = np.unique(of, return_index=True)[1]  # a row of each list
+    names = r["label"].combine_chunks().dictionary_encode()
+    code = names.indices.to_numpy(zero_copy_only=False)
+    have = l["used"].combine_chunks()
+    at = pc.index_in(have.values, value_set=names.dictionary)
+    owner = np.repeat(np.arange(len(l)), np.diff(np.asarray(have.offsets)))
+    known = at.is_valid().to_numpy(zero_copy_only=False)[have.offsets[0].as_py():have.offsets[-1].as_py()]
+    at = at.fill_null(0).to_numpy(zero_copy_only=False)[have.offsets[0].as_py():have.offsets[-1].as_py()][known]
+    low = np.searchsorted(code, at)
+    copies = np.searchsorted(code, at, "right") - low
+    owner, column = np.repeat(owner[known], copies), _runs(low, copies)
+    begin = np.searchsorted(owner, np.arange(len(l) + 1))
+    order, step = np.argsort(of, kind="stable"), max(1, CHUNK_CELLS // max(1, len(r)))
+    for part in chunks(len(l), len(r)):
+        rows = order[part]
+        sets, which = np.unique(of[rows], return_inverse=True)
+        pos = [flat[bounds[i]:bounds[i + 1]].reshape(-1, c.shape[1]) for i in some[sets]]
+        mine = np.repeat(np.arange(len(sets)), [len(m) for m in pos])
+        m = np.concatenate(pos).astype(np.float64)
+        length = np.linalg.norm(m, axis=1, keepdims=True)
+        m = np.divide(m, length, out=m.copy(), where=length > 0)
+        close = np.zeros((len(sets), len(r)), dtype=bool)
+        for start in range(0, len(m), step):
+            for i, hit in zip(mine[start:start + step], np.round(m[start:start + step] @ c.T, DIGITS) >= max_pos_sim):
+                close[i] |= hit
+        sizes = begin[rows + 1] - begin[rows]
+        yield rows, q[rows] @ c.T, close, which, (np.repeat(np.arange(len(rows)), sizes), column[_runs(begin[rows], sizes)])
 
 
 def mine_hard_negatives(samples: DataFrame, pool: DataFrame, k: int = 8, max_pos_sim: float = 0.7,
-                        tile_rows: int = 8192, skipped_rows: int = SKIPPED) -> DataFrame:
+                        tile_rows: int = TILE_ROWS, skipped_rows: int = SKIPPED) -> DataFrame:
     """Up to k nearest pool labels per sample that are unused and not too similar to any positive.
 
     ``samples``: sample_id, vector, pos, neg; ``pool``: label, vector. One pass over the tiles: of each sample a tile returns its k best valid labels and those labels
     before the last of them that the walk skips, which is all that can matter: the k-th pick of all tiles is not behind that of one. Samples that skip
     more than ``skipped_rows`` labels in a tile (many labels as close as a positive) are counted in a second pass over just these samples. Both are
-    exact for any threshold. Samples without positives pass through.
+    exact for any threshold. Samples without positives pass through. Tiles are bounded by the bytes of their vectors and positives.
     """
     trim = (lambda c: F.array_distinct(F.transform(or_empty(c), strip)))
     base = samples.select("sample_id", "vector", "pos", "neg", trim(F.col("pos")).alias("_p"), trim(F.col("neg")).alias("_n"))
+    # in order, so that equal positives are equal lists
     pv = (base.select("sample_id", F.explode("_p").alias("label")).join(pool.select("label", F.col("vector").alias("v")), "label")
-          .groupBy("sample_id").agg(F.flatten(F.collect_list("v")).alias("pv")))
+          .groupBy("sample_id").agg(F.flatten(F.array_sort(F.collect_list("v"))).alias("pv")))
     mineable = base.where(F.size("_p") > 0)
     left = mineable.join(pv, "sample_id", "left").select(
         "sample_id", "vector", F.array_union("_p", "_n").alias("used"), F.coalesce("pv", F.expr("cast(array() as array<float>)")).alias("pv"))
     right = pool.select("label", "vector")
     id_type = _type(samples, "sample_id")
-    rows = (samples.count(), pool.count())
-
-    def walk(l: pa.Table, r: pa.Table):
-        """(row range, scores, used mask, too-similar mask) for blocks of the left tile; columns in label order."""
-        q, c = matrix(l, "vector"), matrix(r, "vector")
-        at = {x: i for i, x in enumerate(r["label"].to_pylist())}
-        used, pos = nested(l, "used"), l["pv"].combine_chunks()
-        bounds = np.asarray(pos.offsets) if hasattr(pos, "offsets") else None
-        flat = np.asarray(pos.values, dtype=np.float64)
-        for part in chunks(len(l), len(r)):
-            s = np.round(q[part] @ c.T, DIGITS)
-            u = np.zeros(s.shape, dtype=bool)
-            close = np.zeros(s.shape, dtype=bool)
-            for i in range(s.shape[0]):
-                row = part.start + i
-                u[i, [at[x] for x in used[row] if x in at]] = True
-                m = flat[bounds[row]:bounds[row + 1]].reshape(-1, c.shape[1])
-                if len(m):
-                    length = np.linalg.norm(m, axis=1, keepdims=True)
-                    m = np.divide(m, length, out=m.copy(), where=length > 0)
-                    close[i] = np.round(m @ c.T, DIGITS).max(axis=0) >= max_pos_sim
-            yield part, s, u, close & ~u
+    n_left, n_pos, wide = base.agg(F.count(F.lit(1)), F.sum(F.size("_p")), F.max(F.size("vector"))).first()
+    n_right, width = pool.agg(F.count(F.lit(1)), F.max(F.size("vector"))).first()
+    rows, width = (n_left, n_right), 8 * max(1, wide or 1, width or 1)
+    held = math.ceil(width * (1 + (n_pos or 0) / max(1, n_left)))
+    tile_rows = tuple(max(1, min(tile_rows, TILE_BYTES // x)) for x in (held, width))
 
     def pick(l: pa.Table, r: pa.Table) -> pa.Table:
         """Rows of kind 0 (picked), 1 (skipped as used), 2 (skipped as too similar), 3 (too many to hand on)."""
         rows, cols, sims, kinds = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0)], [np.empty(0, np.int64)]
         if len(l) and len(r):
             r = r.sort_by("label")
-            for part, s, u, close in walk(l, r):
-                a, b = best_k(np.where(u | close, -np.inf, s), k)
+            for part, s, close, which, used in _walk(l, r, max_pos_sim):
+                valid = np.where(close[which], -np.inf, s)
+                valid[used] = -np.inf
+                a, b, best = best_rounded(valid, k)
                 n = np.bincount(a, minlength=len(s))
                 edge, at = np.full(len(s), -np.inf), np.full(len(s), s.shape[1])  # the tile's k-th pick, if it has so many
                 last = np.cumsum(n)[n >= k] - 1
-                edge[n >= k], at[n >= k] = s[a[last], b[last]], b[last]
-                before = (s > edge[:, None]) | ((s == edge[:, None]) & (np.arange(s.shape[1]) < at[:, None]))
-                many = np.flatnonzero((close & before).sum(1) > skipped_rows)
-                before[many] = False
-                x, y = np.nonzero((u | close) & before)
-                rows += [a + part.start, x + part.start, many + part.start]
-                cols += [b, y, np.zeros(len(many), np.int64)]
-                sims += [s[a, b], s[x, y], np.zeros(len(many))]
-                kinds += [np.zeros(len(a), np.int64), np.where(u[x, y], 1, 2), np.full(len(many), 3)]
+                edge[n >= k], at[n >= k] = best[last], b[last]
+                x, y = np.nonzero(s >= near(edge)[:, None])
+                skip = valid[x, y] == -np.inf
+                x, y = x[skip], y[skip]
+                score = np.round(s[x, y], DIGITS)
+                before = (score > edge[x]) | ((score == edge[x]) & (y < at[x]))
+                x, y, score = x[before], y[before], score[before]
+                mine = np.zeros(s.shape, dtype=bool)
+                mine[used] = True
+                mine = mine[x, y]
+                many = np.bincount(x[~mine], minlength=len(s)) > skipped_rows
+                x, y, score, mine = (v[~many[x]] for v in (x, y, score, mine))
+                rest = part[many]
+                rows += [part[a], part[x], rest]
+                cols += [b, y, np.zeros(len(rest), np.int64)]
+                sims += [best, score, np.zeros(len(rest))]
+                kinds += [np.zeros(len(a), np.int64), np.where(mine, 1, 2), np.full(len(rest), 3)]
         return pa.table({"sample_id": l["sample_id"].take(pa.array(np.concatenate(rows))),
                          "label": r["label"].take(pa.array(np.concatenate(cols))),
                          "score": pa.array(np.concatenate(sims)), "kind": pa.array(np.concatenate(kinds))})
@@ -600,15 +642,19 @@ def mine_hard_negatives(samples: DataFrame, pool: DataFrame, k: int = 8, max_pos
         seen, used_n, close_n = (np.zeros(len(l), dtype=np.int64) for _ in range(3))
         if len(l) and len(r):
             r = r.sort_by("label")
-            names = np.array(r["label"].to_pylist(), dtype=object)
-            limit, edge = l["cut_score"].to_pylist(), l["cut_label"].to_pylist()
-            for part, s, u, close in walk(l, r):
-                for i in range(s.shape[0]):
-                    row = part.start + i
-                    before = np.ones(s.shape[1], dtype=bool) if limit[row] is None else (
-                        (s[i] > limit[row]) | ((s[i] == limit[row]) & (names <= edge[row])))
-                    seen[row], used_n[row] = before.sum(), (before & u[i]).sum()
-                    close_n[row] = (before & close[i]).sum()
+            names = r["label"].to_pylist()
+            limit = np.array([-np.inf if x is None else x for x in l["cut_score"].to_pylist()])
+            place = np.array([len(names) if x is None else bisect.bisect_right(names, x) for x in l["cut_label"].to_pylist()])
+            for part, s, close, which, used in _walk(l, r, max_pos_sim):
+                x, y = np.nonzero(s >= near(limit[part])[:, None])
+                score, edge = np.round(s[x, y], DIGITS), limit[part][x]
+                before = (score > edge) | ((score == edge) & (y < place[part][x]))
+                x, y = x[before], y[before]
+                mine = np.zeros(s.shape, dtype=bool)
+                mine[used] = True
+                mine = mine[x, y]
+                near_one = close[which[x], y] & ~mine
+                seen[part], used_n[part], close_n[part] = (np.bincount(v, minlength=len(s)) for v in (x, x[mine], x[near_one]))
         return pa.table({"sample_id": l["sample_id"], "seen": seen, "used": used_n, "close": close_n})
 
     if n_many := many.count():

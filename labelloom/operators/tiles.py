@@ -24,10 +24,11 @@ MOST_PARTITIONS = 20_000
 DIGITS = 9
 
 
-def grid(left_rows: int, right_rows: int, tile_rows: int, cores: int) -> tuple[int, int]:
+def grid(left_rows: int, right_rows: int, tile_rows: int | tuple[int, int], cores: int) -> tuple[int, int]:
     """Number of left and right tiles: bounded by memory, and enough of them for the cores."""
-    rows = max(1, math.ceil(left_rows / tile_rows))
-    cols = max(1, math.ceil(right_rows / tile_rows))
+    mine, theirs = tile_rows if isinstance(tile_rows, tuple) else (tile_rows, tile_rows)
+    rows = max(1, math.ceil(left_rows / mine))
+    cols = max(1, math.ceil(right_rows / theirs))
     spread = min(math.ceil(cores / (rows * cols)), math.ceil(left_rows / 256) or 1)
     return rows * max(1, spread), cols
 
@@ -38,16 +39,18 @@ def _width(df: DataFrame) -> int:
 
 
 def tiled(left: DataFrame, left_id: str, right: DataFrame, right_id: str,
-          kernel: Callable[[pa.Table, pa.Table], pa.Table], schema: str, tile_rows: int = TILE_ROWS,
+          kernel: Callable[[pa.Table, pa.Table], pa.Table], schema: str, tile_rows: int | tuple[int, int] = TILE_ROWS,
           rows: tuple[int, int] | None = None) -> DataFrame:
     """Apply ``kernel(left_tile, right_tile)`` to all pairs of tiles.
 
-    ``rows`` = row counts (or upper bounds) of both sides where the caller knows them; otherwise they are counted.
+    ``rows`` = row counts (or upper bounds) of both sides where the caller knows them; otherwise they are counted. ``tile_rows`` may
+    be a pair, one for each side.
     """
     spark = left.sparkSession
     cores = spark.sparkContext.defaultParallelism
     width = max([_width(df) for df in (left, right)] if rows is None and "vector" in left.columns else [1])
-    tile_rows = max(1, min(tile_rows, TILE_BYTES // (8 * width)))
+    if not isinstance(tile_rows, tuple):
+        tile_rows = max(1, min(tile_rows, TILE_BYTES // (8 * width)))
     n_rows, n_cols = grid(*(rows or (left.count(), right.count())), tile_rows, cores)
     n = n_rows * n_cols
 
@@ -104,6 +107,42 @@ def best_k(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     return r[keep], c[keep]
 
 
+#: Columns of a block whose maximum stands for it, and how far a score may lie from its rounded one.
+BLOCK, SLACK = 64, 2e-9
+
+
+def near(limit: np.ndarray) -> np.ndarray:
+    """Raw scores whose rounded ones may reach ``limit`` are not below this."""
+    return limit - SLACK - np.abs(limit) * 1e-15
+
+
+def best_rounded(raw: np.ndarray, k: int, order: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, column, rounded score) of the k best finite cells per row by rounded score, best first; ties by column, or by its place in ``order``.
+
+    The k-th largest of the maxima of blocks of columns is a bound that k cells reach, so only the cells above it are rounded and sorted.
+    """
+    n = raw.shape[1]
+    k = min(k, n)
+    if k <= 0 or not len(raw):
+        return np.empty(0, int), np.empty(0, int), np.empty(0)
+    block = max(1, min(BLOCK, n // (2 * k)))
+    whole = n // block * block
+    tops = raw[:, :whole].reshape(len(raw), whole // block, block).max(axis=2) if block > 1 else raw
+    if np.isnan(tops).any() or (tops == np.inf).any():
+        return best_rounded(np.where(np.isfinite(raw), raw, -np.inf), k, order)
+    limit = np.partition(tops, tops.shape[1] - k, axis=1)[:, tops.shape[1] - k]
+    r, c = np.nonzero(raw >= near(limit)[:, None])
+    s = raw[r, c]
+    if (off := ~np.isfinite(s)).any():
+        r, c, s = r[~off], c[~off], s[~off]
+    s = np.round(s, DIGITS)
+    at = np.lexsort((c if order is None else order[c], -s, r))
+    r, c, s = r[at], c[at], s[at]
+    first = np.searchsorted(r, np.arange(raw.shape[0]))
+    keep = np.arange(len(r)) - first[r] < k
+    return r[keep], c[keep], s[keep]
+
+
 #: Items of a piece of a packed set, and items from which a piece is a bitmap (all of these have the same length, which no list reaches).
 PIECE, DENSE = 4096, 256
 
