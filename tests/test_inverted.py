@@ -105,3 +105,23 @@ def test_tiles_of_vectors_grow_to_their_bytes():
     rows = signature(similarity.topk_similar).parameters["tile_rows"].default
     assert tiles.grid(360_000, 360_000, rows, 12) == (6, 6)
     assert rows * 64 * 8 <= tiles.TILE_BYTES
+
+
+def test_cells_travel_in_bundles(spark):
+    """A query was sent to each of its cells, and brought k rows back from each: 49,000 rows where two bundles need at most 2,000."""
+    assert inverted.bundles(np.array([3, 0, 4, 9, 2, 2, 25, 1]), 10) == [(0, 3, 1), (3, 4, 1), (4, 6, 1), (6, 7, 3), (7, 8, 1)]
+    assert inverted.bundles(np.array([30, 30]), 10) == [(0, 1, 3), (1, 2, 3)] and inverted.bundles(np.zeros(3, int), 10) == [(0, 3, 1)]
+    m = np.random.default_rng(2).normal(size=(100, 8))
+    df = spark.createDataFrame([(i, m[i].tolist()) for i in range(100)], SCHEMA)
+    file = inverted.InvertedFile(df, cells=49, tile_rows=60)
+    assert len(file.bundles) == 2
+    queries = df.withColumnRenamed("corpus_id", "query_id")
+    assert file._search(queries, 10, False, 49).count() <= 100 * 10 * 2
+
+
+def test_equal_ids_are_all_left_out(spark):
+    data = [(i % 40, [float(i % 7), float(i % 11) + 1]) for i in range(120)]
+    file = inverted.InvertedFile(spark.createDataFrame(data, SCHEMA), cells=4, tile_rows=50)
+    queries = spark.createDataFrame([(i, [1.0, 2.0]) for i in range(40)], "query_id long, vector array<double>")
+    found = file.topk(queries, 500, exclude_same=True).collect()
+    assert len(found) == 40 * 117 and all(r["query_id"] != r["corpus_id"] for r in found)
