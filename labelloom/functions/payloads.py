@@ -36,32 +36,45 @@ def _occupations(c: Column, v: Column) -> Column:
             .otherwise(none))
 
 
-def json_candidates(c: Column) -> Column:
-    """Texts worth parsing, best first: whole, fenced json, fenced, back-ticked, greatest braces, brace lines."""
+def _candidates(c: Column) -> list[Column]:
     none = F.expr("cast(array() as array<string>)")
-    found = [F.array(strip(c))]
+    found = [F.array(c)]
     for pattern in (r"(?is)```json\s*(.*?)\s*```", r"(?is)```\s*(.*?)\s*```", r"(?is)`([^`]*)`"):
         found.append(F.coalesce(F.regexp_extract_all(c, F.lit(pattern), 1), none))
     found.append(F.coalesce(F.regexp_extract_all(c, F.lit(r"(?s)(\{.*\})"), 1), none))
     # a block opens on a line that starts with '{' (again on every such line) and closes on a later one that ends with '}'
     found.append(F.coalesce(F.regexp_extract_all(
         c, F.lit(r"(?m)^[ \t]*(\{[^\n]*\n(?:(?![ \t]*\{)[^\n]*\n)*?(?![ \t]*\{)[^\n]*\})[ \t\r]*$"), 1), none))
-    return F.transform(F.flatten(F.array(*found)), strip)
+    return found
 
 
-def extract_json(c: Column) -> Column:
-    """First candidate that parses, as JSON text; null when none does.
+def json_candidates(c: Column) -> Column:
+    """Texts worth parsing, best first: whole, fenced json, fenced, back-ticked, greatest braces, brace lines."""
+    return let(c, lambda c: F.transform(F.flatten(F.array(*_candidates(c))), strip))
+
 
-    The whole text is tried alone first, so that the regular expressions run only where it fails.
-    """
-    whole = strip(c)
-    rest = F.filter(json_candidates(c), lambda x: F.try_parse_json(x).isNotNull())
-    return F.when(_variant(whole).isNotNull(), whole).otherwise(F.get(rest, F.lit(0)))
+#: A text that begins like this is no JSON; a failed try to parse it costs far more than this look.
+NO_JSON = r"^(?!true|false|null|NaN|INF|Infinity)[A-Za-z]"
+
+
+def _first_json(c: Column, result) -> Column:
+    """``result(text, variant)`` of the first candidate that parses. The text is worked out once, and each regular expression runs only where all candidates before it fail."""
+    def parsed(x):
+        return let(strip(x), lambda x: F.struct(x.alias("text"), F.when(~x.rlike(NO_JSON), _variant(x)).alias("variant")))
+
+    def first(found):
+        return F.get(F.filter(F.transform(found, parsed), lambda p: p.variant.isNotNull()), F.lit(0))
+    return let(c, lambda c: let(F.coalesce(*[first(found) for found in _candidates(c)]), result))
+
+
+def extract_json(c: Column) -> Column:
+    """First candidate that parses, as JSON text; null when none does."""
+    return _first_json(c, lambda p: p.text)
 
 
 def response_groups(c: Column) -> Column:
     """``{"groups": [{"labels": [...]}]}`` inside an answer -> array<array<string>>; null when unusable."""
-    return let(_variant(extract_json(c)), _groups)
+    return _first_json(c, lambda p: _groups(p.variant))
 
 
 def _groups(v: Column) -> Column:

@@ -140,21 +140,21 @@ def reconcile_groups(labels: Column, response: Column, n: int) -> Column:
         kept = F.transform(own, lambda g, i: F.array_except(g, F.flatten(F.slice(own, F.lit(1), i))))
         return F.filter(kept, lambda g: F.size(g) > 0)
 
-    def asked(t):
-        own = F.transform(t.groups, lambda g: F.array_distinct(F.filter(F.transform(g, strip), lambda x: F.array_contains(t.clean, x))))
+    def asked(clean, groups):
+        own = F.transform(groups, lambda g: F.array_distinct(F.filter(F.transform(g, strip), lambda x: F.array_contains(clean, x))))
         return let(own, lambda own: let(first_time(own), lambda once: let(
-            F.filter(t.clean, lambda x: ~F.array_contains(F.flatten(once), x)), lambda rest: finish(t.clean, once, rest))))
+            F.filter(clean, lambda x: ~F.array_contains(F.flatten(once), x)), lambda rest: finish(clean, once, rest))))
 
-    answer = F.struct(clean.alias("clean"), response_groups(response).alias("groups"))
-    return F.when(F.size(clean) <= n, F.array(clean)).otherwise(
-        let(answer, lambda t: F.when(t.groups.isNotNull(), asked(t))))
+    return let(clean, lambda clean: F.when(F.size(clean) <= n, F.array(clean)).otherwise(
+        let(response_groups(response), lambda groups: F.when(groups.isNotNull(), asked(clean, groups)))))
 
 
 def split_by_group(samples: DataFrame, groups: str = "groups", strategy: str = "label_group", keep=("sample_id",)) -> DataFrame:
     """One row per non-empty group: pos = the group, neg = sorted distinct(old negatives + labels of other groups)."""
-    x = samples.select(*keep, "query", or_empty(F.col("neg")).alias("_neg"), F.col(groups).alias("_all"), F.posexplode(groups).alias("group_index", "_g"))
+    # the outer form: for the plain one Spark infers a filter that works the groups out again below
+    x = samples.select(*keep, "query", or_empty(F.col("neg")).alias("_neg"), F.col(groups).alias("_all"), F.posexplode_outer(groups).alias("group_index", "_g"))
     focus = F.array_distinct("_g")
-    avoid = F.filter(F.flatten("_all"), lambda l: ~F.array_contains(F.array_distinct(F.col("_g")), l))
+    avoid = F.filter(F.flatten("_all"), lambda l: ~F.array_contains(F.col("_g"), l))
     return x.where(F.size("_g") > 0).select(
         *keep, "query", focus.alias("pos"), F.array_sort(F.array_distinct(F.concat("_neg", avoid))).alias("neg"),
         F.array_distinct(avoid).alias("avoid"), F.lit(strategy).alias("augmentation"), F.col("group_index").cast("long").alias("group_index"),
