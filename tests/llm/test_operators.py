@@ -607,6 +607,31 @@ def test_html_repeats_over_a_whole_host(spark):
             assert r["text"].startswith("n") and r["n_boilerplate"] == 0  # alone on its host, or only on equal pages
 
 
+def test_html_repeats_decide_where_a_class_only_partly_matches(spark):
+    """Markup alone dropped both, the section on related work and the license note; and an article's page was never decided by repeats."""
+    def words(name, n):
+        return " ".join(f"{name}{j}" for j in range(n))
+
+    note = words("licensed", 11)
+    rows = [(i, f"http://h.org/{i}", f"<nav>{words('menu', 9)}</nav><article><h1>{words(f'own{i}x', 10)}</h1><section class='related-work'>{words(f'prior{i}x', 9)}</section>"
+                f"<div class='share-alike-note'>{note}</div><p>{words('quoted', 10)}</p></article><footer>end</footer>") for i in range(3)]
+    rows += [(9, "http://alone.org/", rows[0][2]), (10, "http://alone.org/same", rows[0][2])]
+    for r in op6_html.extract(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)).collect():
+        i = r["page_id"] if r["page_id"] < 3 else 0
+        kept = [words(f"own{i}x", 10), words(f"prior{i}x", 9)] + [note] * (r["page_id"] >= 9) + [words("quoted", 10)]
+        assert (r["text"], r["n_side"], r["n_boilerplate"]) == (" ".join(kept), 30, 21 if r["page_id"] < 3 else 0)  # the note, the menu and the footer
+
+
+def test_html_classes():
+    for out in ("ad", "Sidebar", "navLeft", "site-footer", "cookie-bar", "comment-list", "ad-slot-2", "x menu_item"):
+        assert op6_html.parted(f"<article>a<div class='{out}'>b</div></article>")[0] == "a", out
+    for unsure in ("related-work", "share-alike", "notices-to-airmen"):
+        assert op6_html.parted(f"<article>a<div class='{unsure}'>b</div></article>")[::2] == (None, [2, 1]), unsure
+    assert op6_html.parted("<article>a<div class='loaded headline'>b</div></article>")[0] == "a b"
+    assert op6_html.parted("<main>a<div class='related-work'><article>b</article></div></main><p>c</p>")[1:] == (["a", "b", "c"], [2, 1, 0])
+    assert op6_html.parted("<div class='related-work'><article>b</article></div><p>c</p>")[1:] == (["b", "c"], [1, 1])
+
+
 # -- chat
 
 def test_chat(spark):
