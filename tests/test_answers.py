@@ -16,7 +16,7 @@ def test_first_json_equals_trying_all_candidates(spark):
 
 
 def test_groups_are_worked_out_once(spark):
-    """They were worked out four times: for the rows, twice in filters that Spark infers for explode, and the text once for each pattern."""
+    """They were worked out again in the filter that Spark infers for explode, and the text once for each pattern."""
     df = spark.createDataFrame([(1, "q", ["a", "b", "c"], ["d"], '```json\n{"groups": [{"labels": ["a", "c"]}, {"labels": []}]}\n```'), (2, "q", ["a"], None, None), (3, "q", ["a", "b", "c"], [], "nothing"), (4, "q", [], [], "")],
                                "sample_id int, query string, pos array<string>, neg array<string>, answer string")
     answer = F.concat("answer", F.lit("  marked  "))

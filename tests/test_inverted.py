@@ -108,7 +108,7 @@ def test_tiles_of_vectors_grow_to_their_bytes():
 
 
 def test_cells_travel_in_bundles(spark):
-    """A query was sent to each of its cells, and brought k rows back from each: 49,000 rows where two bundles need at most 2,000."""
+    """A query was sent to each of its cells, and brought up to k rows back from each."""
     assert inverted.bundles(np.array([3, 0, 4, 9, 2, 2, 25, 1]), 10) == [(0, 3, 1), (3, 4, 1), (4, 6, 1), (6, 7, 3), (7, 8, 1)]
     assert inverted.bundles(np.array([30, 30]), 10) == [(0, 1, 3), (1, 2, 3)] and inverted.bundles(np.zeros(3, int), 10) == [(0, 3, 1)]
     m = np.random.default_rng(2).normal(size=(100, 8))
