@@ -8,7 +8,7 @@ as packed pieces, at most two bytes for each group: no tile holds the names of g
 """
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +20,8 @@ from .tiles import DIGITS, PIECE, TILE_BYTES, best_k, chunks, matrix, nested, pa
 
 #: Members up to which a group's pairs are formed.
 LIGHT = 32
+#: A tile of labels is so many times larger than one of targets: the work of a target hardly grows with it, what it is sent and brings back falls.
+LABEL_ROWS = 8
 
 # --- fixed values -----------------------------------------------------------------------------
 MIN_DISTANCE = 0.63
@@ -74,12 +76,19 @@ class Split:
         return l.join(r.select("g", F.col("id").alias("label")), "g").groupBy("id", "label").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _tile_rows(df: DataFrame, tile_rows: int) -> int:
-    """Rows of a tile, bounded by the bytes of their sets on average: ids are hashed."""
-    each = df.agg(F.avg(F.aggregate("groups", F.lit(0).cast("long"), lambda n, x: n + F.length(x["items"]) + 16))).first()[0] or 1
+def _tile_rows(df: DataFrame, tile_rows: int, vector: str | None = None) -> int:
+    """Rows of a tile, bounded by the bytes of their sets (and vectors, as they are computed with) on average: ids are hashed."""
+    each = F.aggregate("groups", F.lit(0).cast("long"), lambda n, x: n + F.length(x["items"]) + 16)
+    each = df.agg(F.avg(each + 8 * F.size(vector) if vector else each)).first()[0] or 1
     return max(1, min(tile_rows, int(TILE_BYTES // each)))
 
 
+def _distinct(keys: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """Number of the key of each row, and a row of each key."""
+    codes = keys.combine_chunks().dictionary_encode().indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    return codes, np.unique(codes, return_index=True)[1]
+
+
 def _sets(df: DataFrame, key: str, groups: str, *keep: str) -> DataFrame:
     return df.select(F.col(key).alias("id"), F.array_distinct(groups).alias("groups"), *keep).where(F.size("groups") > 0)
 
@@ -176,7 +185,8 @@ def group_hard_negatives(targets: DataFrame, skills: DataFrame, covered: DataFra
     ``targets``: target_id, positives; ``skills``: label, occupations[, vector]; ``covered``: label. Score =
     2 x shared occupations + min(5 x distance, 3) from distance 0.63 + 1 for at most one shared word + 0.5 when
     covered; more than 2 shared words rule a label out. Distance = 1 - max similarity, or 1 - shared / larger word set.
-    Words and distances are worked out only for pairs whose shared occupations can still bring them among the n best.
+    Words and distances are worked out only for pairs whose shared occupations can still bring them among the n best; shared occupations are counted once for all
+    targets and labels with equal (heavy) ones, and labels are tried from the highest score that they can have down.
     """
     split = (lambda c: F.array_distinct(words(F.lower(c))))
     vector = ["vector"] if use_vectors else []
@@ -218,11 +228,11 @@ def group_hard_negatives(targets: DataFrame, skills: DataFrame, covered: DataFra
         limits = _limit(found, "score", n)
     out = found
     if parts.n_heavy:
-        lowest, rest = F.lit(float("-inf")), parts.packed(left)
+        lowest, rest, key = F.lit(float("-inf")), parts.packed(left), F.md5(F.to_json("groups"))
         rest = rest.withColumn("limit", lowest) if limits is None else rest.join(limits, "id", "left").withColumn("limit", F.coalesce("limit", lowest))
         reach = cut_lineage(rest.where(SHARED_WEIGHT * F.col("size") + BESIDE >= F.col("limit"))
-                            .select("id", "positives", "words", "groups", "limit", *(["pv"] if use_vectors else [])))
-        docs = cut_lineage(parts.packed(right).drop("size").withColumnRenamed("id", "label"))
+                            .select("id", "positives", "words", "groups", key.alias("key"), "limit", *(["pv"] if use_vectors else [])))
+        docs = cut_lineage(parts.packed(right).drop("size").withColumnRenamed("id", "label").withColumn("key", key))
 
         def kernel(l: pa.Table, r: pa.Table) -> pa.Table:
             rows, cols, sc = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0)]
@@ -232,36 +242,60 @@ def group_hard_negatives(targets: DataFrame, skills: DataFrame, covered: DataFra
                 ours, theirs = nested(l, "words"), [set(x) for x in nested(r, "words")]
                 n_theirs, is_covered = np.array([len(x) for x in theirs]), np.asarray(r["covered"])
                 limit, own = np.asarray(l["limit"]), nested(l, "positives")
-                occ = packed_counts(l["groups"], r["groups"])
                 vectors, flat = (matrix(r, "vector"), l["pv"]) if use_vectors else (None, None)
+                mine, first = _distinct(l["key"])
+                their, rest = _distinct(r["key"])
+                occ = packed_counts(l["groups"].take(pa.array(first)), r["groups"].take(pa.array(rest)))
+                most = MOST_DISTANCE + FEW_WORDS + COVERED * is_covered  # what each label can get beside its shared groups
+                order = np.argsort(mine, kind="stable")
+                begin = np.searchsorted(mine[order], np.arange(len(first) + 1))
 
                 def scores(i: int, some: np.ndarray, o: np.ndarray) -> np.ndarray:
-                    mine = set(ours[i])
-                    w = np.array([len(mine & theirs[j]) for j in some.tolist()], dtype=float)
-                    dist = _distance(vectors[some] if use_vectors else None, flat[i].as_py() if use_vectors else None, w, len(mine), n_theirs[some])
+                    have = set(ours[i])
+                    w = np.array([len(have & theirs[j]) for j in some.tolist()], dtype=float)
+                    dist = _distance(vectors[some] if use_vectors else None, flat[i].as_py() if use_vectors else None, w, len(have), n_theirs[some])
                     return _score(o, dist, w, is_covered[some])
 
-                for part in chunks(len(l), len(r)):
-                    counts = occ(part)
-                    for k in range(len(counts)):
-                        i, o = part.start + k, counts[k].astype(float)
-                        o[[at[x] for x in own[i] if x in at]] = 0
-                        some = np.flatnonzero((o >= 1) & (SHARED_WEIGHT * o + BESIDE >= limit[i]))
-                        if not len(some):
-                            continue
-                        first = some[np.argsort(-o[some], kind="stable")[:4 * n]]  # where the best ones are likely to be
-                        s = scores(i, first, o[first])
-                        edge = np.sort(s)[-n] if len(s) >= n else -np.inf
-                        late = np.setdiff1d(some[SHARED_WEIGHT * o[some] + BESIDE >= edge], first, assume_unique=True)
-                        s, some = np.concatenate([s, scores(i, late, o[late])]), np.concatenate([first, late])
-                        best = np.lexsort((some, -s))[:n]
-                        best = best[np.isfinite(s[best])]
-                        rows.append(np.full(len(best), i)), cols.append(some[best]), sc.append(s[best])
+                def best(i: int, o: np.ndarray, levels: Callable[[], Iterator[tuple[float, np.ndarray]]]) -> tuple[np.ndarray, np.ndarray]:
+                    """(score, column) of the n best, from levels of columns that can get as much, highest first; a level ends where nothing behind can be among the best."""
+                    s, c, left_out = np.empty(0), np.empty(0, np.int64), [at[x] for x in own[i] if x in at]
+                    for bound, some in levels():
+                        if bound < limit[i] or len(s) == n and bound < s[-1]:
+                            break
+                        low, step = 0, 16 * n
+                        while low < (len(some) if len(s) < n or bound > s[-1] else np.searchsorted(some, c[-1]) if bound == s[-1] else 0):
+                            part = some[low:low + step]
+                            low, step = low + step, min(2 * step, 8192)
+                            for x in left_out:
+                                part = part[part != x]
+                            if len(part):
+                                s, c = np.concatenate([s, scores(i, part, o[part])]), np.concatenate([c, part])
+                                top = np.lexsort((c, -s))[:n]
+                                top = top[np.isfinite(s[top])]
+                                s, c = s[top], c[top]
+                    return s, c
+
+                for part in chunks(len(first), len(rest)):
+                    for k, counts in enumerate(occ(part)):
+                        o = counts.astype(float)[their]  # the same for all rows with these groups
+                        reach = np.where(o >= 1, SHARED_WEIGHT * o + most, -np.inf)
+                        values = np.unique(reach, return_counts=True)[0][::-1]
+                        known: dict[float, np.ndarray] = {}
+
+                        def levels() -> Iterator[tuple[float, np.ndarray]]:
+                            for value in values[np.isfinite(values)].tolist():
+                                if value not in known:
+                                    known[value] = np.flatnonzero(reach == value)
+                                yield value, known[value]
+
+                        for i in order[begin[part.start + k]:begin[part.start + k + 1]].tolist():
+                            s, c = best(i, o, levels)
+                            rows.append(np.full(len(c), i)), cols.append(c), sc.append(s)
             return pa.table({"id": l["id"].take(pa.array(np.concatenate(rows))),
                              "label": r["label"].take(pa.array(np.concatenate(cols))), "score": pa.array(np.concatenate(sc))})
 
         heavy = tiled(reach, "id", docs, "label", kernel, f"id {id_type}, label string, score double",
-                      min(_tile_rows(reach, tile_rows), _tile_rows(docs, tile_rows)))
+                      (_tile_rows(reach, tile_rows), _tile_rows(docs, LABEL_ROWS * tile_rows, "vector" if use_vectors else None)))
         out = heavy if found is None else found.unionByName(heavy).groupBy("id", "label").agg(F.max("score").alias("score"))
     if out is None:
         out = left.select("id", F.lit("").alias("label"), F.lit(0.0).alias("score")).limit(0)

@@ -107,3 +107,36 @@ def test_sets_of_many_groups_are_packed(spark):
     assert [r["size"] for r in rows] == [20_000] * 4 and len({str(r.groups) for r in rows}) == 2
     assert max(sum(len(p["items"]) for p in r.groups) for r in rows) <= 40_000 < sum(map(len, df.first().groups))
     assert groups._tile_rows(split.packed(df), 1_000_000) < 1_000_000
+
+
+@pytest.mark.parametrize("use_vectors", [False, True])
+def test_labels_are_tried_from_the_highest_score_down(spark, monkeypatch, use_vectors):
+    """Few different sets of groups, so that many labels share one and tie: as by brute force, and rows with equal sets go to their tile with one key, to be counted once."""
+    import numpy as np
+    rng = np.random.default_rng(11)
+    sides, kept = [], groups.tiled
+    monkeypatch.setattr(groups, "tiled", lambda *a: sides.append((a[0], a[2], a[6])) or kept(*a))
+    sets = [["g1"], ["g1", "g2"], ["g2", "g3"], ["g1", "g2", "g3"], ["g4"]]
+    words = ["red", "blue", "bolt", "plate"]
+    skills = {f"{' '.join(rng.choice(words, rng.integers(1, 4), replace=False))} {i:03d}": (sets[rng.integers(len(sets))], np.round(rng.normal(size=4), 3).tolist()) for i in range(150)}
+    names = sorted(skills)
+    covered = [x for x in names if x < "p"]
+    targets = {i: [names[j] for j in rng.choice(len(names), rng.integers(1, 3), replace=False)] for i in range(40)}
+    got = groups.group_hard_negatives(spark.createDataFrame(list(targets.items()), "target_id long, positives array<string>"),
+                                      spark.createDataFrame([(k, *v) for k, v in skills.items()], "label string, occupations array<string>, vector array<double>"),
+                                      spark.createDataFrame([(x,) for x in covered], "label string"), 3, use_vectors, tile_rows=16, light=5)
+    found = {}
+    for r in got.orderBy("target_id", "rank").collect():
+        found.setdefault(r.target_id, []).append((r.label, round(r.score, 6)))
+    unit = {k: np.array(v[1]) / np.linalg.norm(v[1]) for k, v in skills.items()}
+    for i, pos in targets.items():
+        have, mine, want = set().union(*[skills[p][0] for p in pos]), set(" ".join(pos).split()), []
+        for x in names:
+            o, w = len(have & set(skills[x][0])), len(mine & set(x.split()))
+            if x not in pos and o and w <= 2:
+                dist = 1 - max(round(float(unit[p] @ unit[x]), 9) for p in pos) if use_vectors else 1 - w / max(len(mine), len(x.split()))
+                want.append((x, round(2 * o + (min(5 * dist, 3) if dist >= 0.63 else 0) + (w <= 1) + 0.5 * (x in covered), 6)))
+        assert found.get(i, []) == sorted(want, key=lambda t: (-t[1], t[0]))[:3]
+    (left, right, tile_rows), = sides
+    assert tile_rows == (16, 16 * groups.LABEL_ROWS)
+    assert right.select("key").distinct().count() == len(sets) and left.count() == len(targets)
