@@ -3,6 +3,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..session import cut_lineage
+
 # --- fixed values -----------------------------------------------------------------------------
 CUTS = (1, 3, 5, 10)
 METRICS = ([f"accuracy@{k}" for k in CUTS] + [f"precision@{k}" for k in CUTS] + [f"recall@{k}" for k in CUTS]
@@ -134,7 +136,8 @@ def insights(b: DataFrame) -> DataFrame:
 
 
 def evaluation_report(ranks: DataFrame, dimensions: list[str], details: int = 100, key: str = "sample_id") -> dict[str, DataFrame]:
-    """overall, breakdowns, first sample details by id, categories found."""
+    """overall, breakdowns, first sample details by id, categories found. The ranks are worked out once for all four."""
+    ranks = cut_lineage(ranks)
     return {"overall": best_rank_metrics(ranks), "breakdowns": breakdowns(ranks, dimensions),
             "details": ranks.orderBy(key).limit(details), "categories": ranks.select("topic").distinct()}
 
