@@ -561,6 +561,8 @@ def novelty(skills: DataFrame, covered: DataFrame, sample: int | None = 30, seed
 
 #: Skipped labels of a sample that a tile hands on one by one; samples with more are counted in a second pass.
 SKIPPED = 8
+#: Labels that a sample is compared with at first, without a bound from those before, and at most at a time.
+FIRST_COLUMNS, MOST_COLUMNS = 256, 16_384
 
 
 def _runs(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -568,44 +570,103 @@ def _runs(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.repeat(starts - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
 
 
-def _walk(l: pa.Table, r: pa.Table, max_pos_sim: float):
-    """(rows, scores, close, which, used) for blocks of the left tile; columns are the right tile's labels in order.
+def _places(row: np.ndarray) -> np.ndarray:
+    """Place of each cell among those of its row; rows stand together."""
+    return np.arange(len(row)) - np.searchsorted(row, row)
+
+
+def _first(row: np.ndarray, order: np.ndarray, k: int, *values: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Rows and values of the first k cells of each row, in an order by rows."""
+    order = order[_places(row[order]) < k]
+    return row[order], *(v[order] for v in values)
 
-    Rows with equal positives stand together: ``close`` says for each different list of positives which labels are too similar to one of them, ``which`` is the
-    list of each row. ``used`` are the (rows, columns) of labels that the samples have. Scores are not rounded.
+
+class _Walk:
+    """A pair of tiles: rough scores of samples and labels (columns in order), and for single cells the exact score, whether the sample has the label, and whether the label is too similar to a positive.
+
+    Nearly all cells lie surely below what matters for their sample and are only compared with that bound. Samples with equal lists of positives share what is found for a list.
     """
-    q, c = matrix(l, "vector"), matrix(r, "vector")
-    lists = l["pv"].combine_chunks()
-    bounds, flat = np.asarray(lists.offsets), np.asarray(lists.values)
-    numbers: dict[bytes, int] = {}
-    of = np.array([numbers.setdefault(flat[a:b].tobytes(), len(numbers)) for a, b in zip(bounds[:-1], bounds[1:])], np.int64)
-    some = np.unique(of, return_index=True)[1]  # a row of each list
-    names = r["label"].combine_chunks().dictionary_encode()
-    code = names.indices.to_numpy(zero_copy_only=False)
-    have = l["used"].combine_chunks()
-    at = pc.index_in(have.values, value_set=names.dictionary)
-    owner = np.repeat(np.arange(len(l)), np.diff(np.asarray(have.offsets)))
-    known = at.is_valid().to_numpy(zero_copy_only=False)[have.offsets[0].as_py():have.offsets[-1].as_py()]
-    at = at.fill_null(0).to_numpy(zero_copy_only=False)[have.offsets[0].as_py():have.offsets[-1].as_py()][known]
-    low = np.searchsorted(code, at)
-    copies = np.searchsorted(code, at, "right") - low
-    owner, column = np.repeat(owner[known], copies), _runs(low, copies)
-    begin = np.searchsorted(owner, np.arange(len(l) + 1))
-    order, step = np.argsort(of, kind="stable"), max(1, CHUNK_CELLS // max(1, len(r)))
-    for part in chunks(len(l), len(r)):
-        rows = order[part]
-        sets, which = np.unique(of[rows], return_inverse=True)
-        pos = [flat[bounds[i]:bounds[i + 1]].reshape(-1, c.shape[1]) for i in some[sets]]
-        mine = np.repeat(np.arange(len(sets)), [len(m) for m in pos])
+
+    def __init__(self, l: pa.Table, r: pa.Table, max_pos_sim: float):
+        self.q, self.c, self.limit = matrix(l, "vector"), matrix(r, "vector"), max_pos_sim
+        self.rough = Rough(self.q, self.c)
+        lists = l["pv"].combine_chunks()
+        bounds, flat = np.asarray(lists.offsets), np.asarray(lists.values)
+        numbers: dict[bytes, int] = {}
+        self.of = np.array([numbers.setdefault(flat[a:b].tobytes(), len(numbers)) for a, b in zip(bounds[:-1], bounds[1:])], np.int64)
+        some = np.unique(self.of, return_index=True)[1]  # a row of each list
+        pos = [flat[bounds[i]:bounds[i + 1]].reshape(-1, self.c.shape[1]) for i in some]
+        self.n_pos = np.array([len(m) for m in pos], np.int64)
+        self.first = np.cumsum(self.n_pos) - self.n_pos
         m = np.concatenate(pos).astype(np.float64)
         length = np.linalg.norm(m, axis=1, keepdims=True)
-        m = np.divide(m, length, out=m.copy(), where=length > 0)
-        close = np.zeros((len(sets), len(r)), dtype=bool)
-        for start in range(0, len(m), step):
-            for i, hit in zip(mine[start:start + step], np.round(m[start:start + step] @ c.T, DIGITS) >= max_pos_sim):
-                close[i] |= hit
-        sizes = begin[rows + 1] - begin[rows]
-        yield rows, q[rows] @ c.T, close, which, (np.repeat(np.arange(len(rows)), sizes), column[_runs(begin[rows], sizes)])
+        self.pos = np.divide(m, length, out=m.copy(), where=length > 0)
+        self.table = self._close(np.arange(len(some))) if len(some) <= max(len(l) // 16, 1) and len(some) * len(r) <= TILE_BYTES else None
+        names = r["label"].combine_chunks().dictionary_encode()
+        code = names.indices.to_numpy(zero_copy_only=False)
+        have = l["used"].combine_chunks()
+        at = pc.index_in(have.values, value_set=names.dictionary)
+        owner = np.repeat(np.arange(len(l)), np.diff(np.asarray(have.offsets)))
+        known = at.is_valid().to_numpy(zero_copy_only=False)[have.offsets[0].as_py():have.offsets[-1].as_py()]
+        at = at.fill_null(0).to_numpy(zero_copy_only=False)[have.offsets[0].as_py():have.offsets[-1].as_py()][known]
+        low = np.searchsorted(code, at)
+        copies = np.searchsorted(code, at, "right") - low
+        self.used = np.sort(np.repeat(owner[known], copies) * len(r) + _runs(low, copies))
+
+    def _close(self, sets: np.ndarray) -> np.ndarray:
+        """Which labels are too similar to one of the positives, for some lists."""
+        rows, step = _runs(self.first[sets], self.n_pos[sets]), max(1, CHUNK_CELLS // max(1, len(self.c)))
+        mine, out = np.repeat(np.arange(len(sets)), self.n_pos[sets]), np.zeros((len(sets), len(self.c)), dtype=bool)
+        for start in range(0, len(rows), step):
+            for i, hit in zip(mine[start:start + step], np.round(self.pos[rows[start:start + step]] @ self.c.T, DIGITS) >= self.limit):
+                out[i] |= hit
+        return out
+
+    def close(self, rows: np.ndarray, columns: np.ndarray) -> np.ndarray:
+        of = self.of[rows]
+        if self.table is not None:
+            return self.table[of, columns]
+        sets, which = np.unique(of, return_inverse=True)
+        if len(rows) * 16 > len(sets) * len(self.c):
+            return self._close(sets)[which, columns]
+        out = np.zeros(len(rows), dtype=bool)
+        for nth in range(self.n_pos[sets].max(initial=0)):
+            left = np.flatnonzero(~out & (self.n_pos[of] > nth))
+            for low in range(0, len(left), EXACT_CELLS):
+                some = left[low:low + EXACT_CELLS]
+                out[some] = np.round(np.einsum("ij,ij->i", self.pos[self.first[of[some]] + nth], self.c[columns[some]]), DIGITS) >= self.limit
+        return out
+
+    def has(self, rows: np.ndarray, columns: np.ndarray) -> np.ndarray:
+        cell = rows * len(self.c) + columns
+        return self.used[np.minimum(np.searchsorted(self.used, cell), len(self.used) - 1)] == cell if len(self.used) else np.zeros(len(cell), dtype=bool)
+
+    def cells(self, part: slice, columns: slice, limit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(row, column, rough score) of the cells that may reach the limit of their row (NaN never does)."""
+        x = self.rough(part, columns)
+        at = np.flatnonzero(x >= (near(limit) - self.rough.error[part]).astype(x.dtype)[:, None])
+        row, column = np.divmod(at, x.shape[1])
+        return row, column + columns.start, x.ravel()[at]
+
+    def exact(self, part: slice, rows: np.ndarray, columns: np.ndarray) -> np.ndarray:
+        """Scores of some cells, rounded."""
+        if len(rows) * 16 > (part.stop - part.start) * len(self.c):
+            return np.round((self.q[part] @ self.c.T)[rows, columns], DIGITS)
+        return np.round(self.rough.exact(rows + part.start, columns), DIGITS)
+
+
+def _walk(l: pa.Table, r: pa.Table, max_pos_sim: float):
+    """All cells of ``_Walk``: (rows, scores, close, which, used) for blocks of the left tile, rows with equal positives side by side; ``which`` is the row of ``close`` of each. Scores are not rounded."""
+    walk = _Walk(l, r, max_pos_sim)
+    order, place = np.argsort(walk.of, kind="stable"), np.empty(len(l), np.int64)
+    owner, column = np.divmod(walk.used, len(r))
+    for part in chunks(len(l), len(r)):
+        rows = order[part]
+        sets, which = np.unique(walk.of[rows], return_inverse=True)
+        place[:] = -1
+        place[rows] = np.arange(len(rows))
+        mine = place[owner] >= 0
+        yield rows, walk.q[rows] @ walk.c.T, walk._close(sets), which, (place[owner[mine]], column[mine])
 
 
 def mine_hard_negatives(samples: DataFrame, pool: DataFrame, k: int = 8, max_pos_sim: float = 0.7,
@@ -638,27 +699,40 @@ def mine_hard_negatives(samples: DataFrame, pool: DataFrame, k: int = 8, max_pos
         rows, cols, sims, kinds = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0)], [np.empty(0, np.int64)]
         if len(l) and len(r):
             r = r.sort_by("label")
-            for part, s, close, which, used in _walk(l, r, max_pos_sim):
-                valid = np.where(close[which], -np.inf, s)
-                valid[used] = -np.inf
-                a, b, best = best_rounded(valid, k)
-                n = np.bincount(a, minlength=len(s))
-                edge, at = np.full(len(s), -np.inf), np.full(len(s), s.shape[1])  # the tile's k-th pick, if it has so many
+            walk = _Walk(l, r, max_pos_sim)
+            for part in chunks(len(l), len(r)):
+                n_rows, stop, found = part.stop - part.start, 0, []
+                limit, tops = np.full(n_rows, -np.inf if k else np.inf), np.full((n_rows, k), -np.inf)  # of the rough scores of the best valid labels so far
+                while stop < len(r):
+                    columns = slice(stop, min(len(r), stop + min(max(stop, FIRST_COLUMNS), MOST_COLUMNS)))
+                    stop = columns.stop
+                    x, y, score = walk.cells(part, columns, limit)
+                    mine = walk.has(x + part.start, y)
+                    valid = ~mine
+                    valid[valid] = ~walk.close(x[valid] + part.start, y[valid])
+                    found.append((x, y, score, mine, valid))
+                    if k and valid.any():
+                        a, best = _first(x[valid], np.lexsort((-score[valid], x[valid])), k, score[valid])
+                        new = np.full((n_rows, k), -np.inf)
+                        new[a, _places(a)] = best
+                        tops = -np.partition(-np.concatenate([tops, new], axis=1), k - 1, axis=1)[:, :k]
+                        limit = tops.min(axis=1) - walk.rough.error[part]  # so many valid labels are not below this
+                x, y, score, mine, valid = (np.concatenate(v) for v in zip(*found))
+                late = score >= (near(limit) - walk.rough.error[part])[x]
+                x, y, mine, valid = x[late], y[late], mine[late], valid[late]
+                score = walk.exact(part, x, y)
+                a, b, best = x[valid], y[valid], score[valid]
+                a, b, best = _first(a, np.lexsort((b, -best, a)), k, b, best)
+                n = np.bincount(a, minlength=n_rows)
+                edge, at = np.full(n_rows, -np.inf), np.full(n_rows, len(r))  # the tile's k-th pick, if it has so many
                 last = np.cumsum(n)[n >= k] - 1
                 edge[n >= k], at[n >= k] = best[last], b[last]
-                x, y = np.nonzero(s >= near(edge)[:, None])
-                skip = valid[x, y] == -np.inf
-                x, y = x[skip], y[skip]
-                score = np.round(s[x, y], DIGITS)
-                before = (score > edge[x]) | ((score == edge[x]) & (y < at[x]))
-                x, y, score = x[before], y[before], score[before]
-                mine = np.zeros(s.shape, dtype=bool)
-                mine[used] = True
-                mine = mine[x, y]
-                many = np.bincount(x[~mine], minlength=len(s)) > skipped_rows
+                before = ~valid & ((score > edge[x]) | ((score == edge[x]) & (y < at[x])))
+                x, y, score, mine = x[before], y[before], score[before], mine[before]
+                many = np.bincount(x[~mine], minlength=n_rows) > skipped_rows
                 x, y, score, mine = (v[~many[x]] for v in (x, y, score, mine))
-                rest = part[many]
-                rows += [part[a], part[x], rest]
+                rest = np.flatnonzero(many) + part.start
+                rows += [a + part.start, x + part.start, rest]
                 cols += [b, y, np.zeros(len(rest), np.int64)]
                 sims += [best, score, np.zeros(len(rest))]
                 kinds += [np.zeros(len(a), np.int64), np.where(mine, 1, 2), np.full(len(rest), 3)]
@@ -690,16 +764,18 @@ def mine_hard_negatives(samples: DataFrame, pool: DataFrame, k: int = 8, max_pos
             names = r["label"].to_pylist()
             limit = np.array([-np.inf if x is None else x for x in l["cut_score"].to_pylist()])
             place = np.array([len(names) if x is None else bisect.bisect_right(names, x) for x in l["cut_label"].to_pylist()])
-            for part, s, close, which, used in _walk(l, r, max_pos_sim):
-                x, y = np.nonzero(s >= near(limit[part])[:, None])
-                score, edge = np.round(s[x, y], DIGITS), limit[part][x]
-                before = (score > edge) | ((score == edge) & (y < place[part][x]))
-                x, y = x[before], y[before]
-                mine = np.zeros(s.shape, dtype=bool)
-                mine[used] = True
-                mine = mine[x, y]
-                near_one = close[which[x], y] & ~mine
-                seen[part], used_n[part], close_n[part] = (np.bincount(v, minlength=len(s)) for v in (x, x[mine], x[near_one]))
+            walk = _Walk(l, r, max_pos_sim)
+            for part in chunks(len(l), len(r)):
+                for low in range(0, len(r), MOST_COLUMNS):
+                    x, y, _ = walk.cells(part, slice(low, min(len(r), low + MOST_COLUMNS)), limit[part])
+                    x, score = x + part.start, walk.exact(part, x, y)
+                    before = (score > limit[x]) | ((score == limit[x]) & (y < place[x]))
+                    x, y = x[before], y[before]
+                    mine = walk.has(x, y)
+                    near_one = ~mine
+                    near_one[near_one] = walk.close(x[near_one], y[near_one])
+                    for total, some in ((seen, x), (used_n, x[mine]), (close_n, x[near_one])):
+                        total[part] += np.bincount(some - part.start, minlength=part.stop - part.start)
         return pa.table({"sample_id": l["sample_id"], "seen": seen, "used": used_n, "close": close_n})
 
     if n_many := many.count():
