@@ -719,7 +719,10 @@ def mine_hard_negatives(samples: DataFrame, pool: DataFrame, k: int = 8, max_pos
                         limit = tops.min(axis=1) - walk.rough.error[part]  # so many valid labels are not below this
                 x, y, score, mine, valid = (np.concatenate(v) for v in zip(*found))
                 late = score >= (near(limit) - walk.rough.error[part])[x]
-                x, y, mine, valid = x[late], y[late], mine[late], valid[late]
+                x, y, score, mine, valid = x[late], y[late], score[late], mine[late], valid[late]
+                sure = ~valid & ~mine & (score > (limit + 3 * walk.rough.error[part])[x])  # before the last pick, whatever the exact scores are
+                surely_many = np.bincount(x[sure], minlength=n_rows) > skipped_rows
+                x, y, mine, valid = (v[valid | ~surely_many[x]] for v in (x, y, mine, valid))
                 score = walk.exact(part, x, y)
                 a, b, best = x[valid], y[valid], score[valid]
                 a, b, best = _first(a, np.lexsort((b, -best, a)), k, b, best)
@@ -729,7 +732,7 @@ def mine_hard_negatives(samples: DataFrame, pool: DataFrame, k: int = 8, max_pos
                 edge[n >= k], at[n >= k] = best[last], b[last]
                 before = ~valid & ((score > edge[x]) | ((score == edge[x]) & (y < at[x])))
                 x, y, score, mine = x[before], y[before], score[before], mine[before]
-                many = np.bincount(x[~mine], minlength=n_rows) > skipped_rows
+                many = surely_many | (np.bincount(x[~mine], minlength=n_rows) > skipped_rows)
                 x, y, score, mine = (v[~many[x]] for v in (x, y, score, mine))
                 rest = np.flatnonzero(many) + part.start
                 rows += [a + part.start, x + part.start, rest]
@@ -767,10 +770,12 @@ def mine_hard_negatives(samples: DataFrame, pool: DataFrame, k: int = 8, max_pos
             walk = _Walk(l, r, max_pos_sim)
             for part in chunks(len(l), len(r)):
                 for low in range(0, len(r), MOST_COLUMNS):
-                    x, y, _ = walk.cells(part, slice(low, min(len(r), low + MOST_COLUMNS)), limit[part])
-                    x, score = x + part.start, walk.exact(part, x, y)
-                    before = (score > limit[x]) | ((score == limit[x]) & (y < place[x]))
-                    x, y = x[before], y[before]
+                    x, y, score = walk.cells(part, slice(low, min(len(r), low + MOST_COLUMNS)), limit[part])
+                    before = score > (limit[part] + walk.rough.error[part])[x]
+                    open_ = np.flatnonzero(~before)
+                    score, edge = walk.exact(part, x[open_], y[open_]), limit[part][x[open_]]
+                    before[open_] = (score > edge) | ((score == edge) & (y[open_] < place[part][x[open_]]))
+                    x, y = x[before] + part.start, y[before]
                     mine = walk.has(x, y)
                     near_one = ~mine
                     near_one[near_one] = walk.close(x[near_one], y[near_one])
